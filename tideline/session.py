@@ -37,6 +37,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     """A session with the recommended settings (tests, bench, examples)."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
          .config("spark.sql.warehouse.dir", _local_scratch("warehouse")))

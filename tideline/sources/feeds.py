@@ -33,9 +33,13 @@ class Feed:
         n = (bounds["hi"] - bounds["lo"]).days // days + 1
         self.slices = list(range(n))
 
-    def deliver(self, i: int) -> None:
-        part = (self.spark.read.parquet(self.staging)
+    def slice(self, i: int) -> DataFrame:
+        """Rows of slice ``i`` (a partition-pruned read of the staging copy)."""
+        return (self.spark.read.parquet(self.staging)
                 .filter(F.col("_slice") == i).drop("_slice"))
+
+    def deliver(self, i: int) -> None:
+        part = self.slice(i)
         if self.fmt == "text":
             part.select("value").write.mode("append").text(self.landing)
         else:
