@@ -11,7 +11,8 @@ from tideline.functions.timeparts import with_time_parts
 from tideline.operators.setops import union_tagged
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
-from tideline.sinks.files import append_ingest_partitioned, append_partitioned
+from tideline.sinks.files import append_partitioned
+from tideline.sinks.files import append_ingest_partitioned as _append_ingest
 
 
 def _database(spark: SparkSession, prefix: str = "tl") -> str:
@@ -119,7 +120,7 @@ def append_ingest_partitioned(spark: SparkSession, events: DataFrame,
     """Two appends stamped with their ingest instants (given, so re-runs agree)."""
     path = workdir(spark, "raw-ingest")
     for batch, at in zip(_two_batches(events, split), ingest_at):
-        append_ingest_partitioned(batch, path, at=at)
+        _append_ingest(batch, path, at=at)
     back = spark.read.schema(EVENT_DDL + ", year STRING, month STRING, day STRING, hour STRING").parquet(path)
     return _per_partition(back, ["year", "month", "day", "hour"])
 
