@@ -12,11 +12,20 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 def guarded(fn: BatchFn) -> BatchFn:
-    """Skip a micro-batch with no rows (``isEmpty`` reads at most one row,
-    where ``count() > 0`` would run the whole batch an extra time)."""
+    """Skip a micro-batch with no rows.
+
+    The batch is persisted for the call: ``isEmpty`` computes (and caches)
+    only the partitions it needs to find one row, and the sink reuses them,
+    so a batch is evaluated once — ``count() > 0`` then write would run a
+    stateful batch plan twice.
+    """
     def run(df: DataFrame, batch_id: int) -> None:
-        if not df.isEmpty():
-            fn(df, batch_id)
+        df.persist()
+        try:
+            if not df.isEmpty():
+                fn(df, batch_id)
+        finally:
+            df.unpersist()
     return run
 
 
