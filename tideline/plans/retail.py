@@ -141,7 +141,8 @@ def popular_items(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
                        F.count(F.lit(1)).alias("n_lines")))
     top = per_part.orderBy(F.col("total_qty").desc(), F.col("l_partkey").asc()).limit(k)
     p = part.select("p_partkey", "p_name")
-    return (top.join(p, top.l_partkey == p.p_partkey)
+    # the winners are at most k rows: broadcast them and stream `part` past them
+    return (p.join(F.broadcast(top), top.l_partkey == p.p_partkey)
                .select(F.col("l_partkey").alias("p_partkey"), "p_name", "total_qty", "n_lines"))
 
 

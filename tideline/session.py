@@ -26,6 +26,7 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Runtime settings that are safe to apply to a session someone else built.
@@ -92,5 +93,13 @@ def workdir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Total task slots of the cluster (cores), used to size stream state."""
+    try:
+        return max(1, int(spark.sparkContext.defaultParallelism))
+    except Exception:  # no SparkContext (e.g. a remote session)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"

@@ -8,15 +8,33 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.session import default_parallelism
+
 
 def start(df: DataFrame, checkpoint: str, fn: Callable | None = None,
           fmt: str | None = None, path: str | None = None, mode: str = "append",
           trigger: dict | None = None, partition_by: Sequence[str] = (),
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, state_partitions: int | None = 0) -> StreamingQuery:
     """Start a query with a checkpoint (restart resumes from it, exactly once
     for idempotent sinks). ``fn`` makes it a ``foreachBatch`` query; the
     default trigger drains what is available and stops (``availableNow``),
-    pass e.g. ``{"processingTime": "60 seconds"}`` for a fixed cadence."""
+    pass e.g. ``{"processingTime": "60 seconds"}`` for a fixed cadence.
+
+    ``state_partitions`` fixes how many partitions the query's state (and
+    shuffles) use; Spark records it in the checkpoint on the first run and
+    keeps it for the life of the query. ``0`` (default) means the cluster's
+    task slots, ``None`` the session's ``spark.sql.shuffle.partitions``.
+    """
+    if state_partitions is not None:
+        spark = df.sparkSession
+        n = state_partitions or default_parallelism(spark)
+        key = "spark.sql.shuffle.partitions"
+        old = spark.conf.get(key)
+        spark.conf.set(key, str(n))
+        try:
+            return start(df, checkpoint, fn, fmt, path, mode, trigger, partition_by, name, None)
+        finally:
+            spark.conf.set(key, old)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
