@@ -76,14 +76,17 @@ def shared_root(spark: SparkSession) -> str:
     and our own staging agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    sc = None
+    try:
+        sc = spark.sparkContext._jsc.sc()
+    except Exception:  # remote session: no JVM context here
+        pass
+    if not root and sc is not None and sc.getCheckpointDir().isDefined():
+        root = sc.getCheckpointDir().get()
     if not root:
         root = _local_scratch("checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+    if sc is not None and not sc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
