@@ -17,8 +17,10 @@ def windowed_sum(df: DataFrame, keys: Sequence[str], ts: str, size: str,
     half-open ``[start, end)``; rows with a NULL time fall in no window.
     With ``delay`` the input gets a watermark: on a stream in append mode a
     window is written once, when the watermark passes its end, and older
-    rows are dropped. ``exact_scale`` sums as decimal (then returns double)
-    so the total does not depend on partitioning or addition order.
+    rows are dropped. With ``exact_scale`` the sum runs in decimal and is
+    returned as double, so the total does not depend on partitioning or
+    addition order: a column name is cast to ``decimal(18, exact_scale)``,
+    a Column expression is summed as given (make it decimal yourself).
     Partial aggregation runs before the shuffle, so hot keys cost nothing
     extra. ``start``/``end`` are TIMESTAMP_NTZ (UTC).
     """

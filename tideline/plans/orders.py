@@ -240,10 +240,11 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
     latest per owner + MERGE -> processed (stage 3), one ``availableNow``
     run per stage after each delivery, as an hourly schedule would run them.
 
-    Raw orders are partitioned by event-time year/month/day/hour (so a re-run
-    lands in the same place); curated is a file-sink table whose commit log
-    gives stage 3 exactly-once input; processed is a keyed table on
+    Raw orders are partitioned by ingest year/month/day/hour (wall clock:
+    one partition per micro-batch); curated is a file-sink table whose commit
+    log gives stage 3 exactly-once input; processed is a keyed table on
     ``order_owner`` with the latest order (ties: later membership) per owner.
+    Returns the processed rows without the ingest-time columns.
     """
     of = Feed(spark, order_messages(events), "ts", days, fmt="text", name="m-orders-topic")
     mf = Feed(spark, member_messages(events), "ts", days, fmt="text", name="m-members-topic")
@@ -252,7 +253,7 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
     processed = KeyedTable(spark, workdir(spark, "m-processed"), ["order_owner"], buckets)
 
     def orders_sink(df: DataFrame, batch_id: int) -> None:
-        append_partitioned(with_time_parts(df, "order_ts"), raw_o, ["year", "month", "day", "hour"])
+        append_ingest_partitioned(df, raw_o)
 
     def members_sink(df: DataFrame, batch_id: int) -> None:
         append_partitioned(df, raw_m, ["membership"])
@@ -278,4 +279,4 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
         cur = spark.readStream.schema(PROCESSED_ROW).parquet(curated)
         finish(start(cur, ck["upsert"],
                      fn=upsert_sink(processed, "order_ts", ["member_ts", "member_id"])))
-    return processed.read().select(*JOINED_COLS, "year", "month", "day", "hour")
+    return processed.read().select(*JOINED_COLS)

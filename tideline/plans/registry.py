@@ -250,15 +250,12 @@ ORACLE: dict[str, str] = {
     "stream_enrich_inline_dim": f"""
       SELECT p.order_id, e.event_id, e.user_id, date_trunc('millisecond', e.ts) AS ts, p.product_name
       FROM events e JOIN (VALUES {PRODUCTS}) p(order_id, product_name) ON {K} = p.order_id""",
-    "stream_archive_by_hour": f"""
-      SELECT strftime(ts, '%Y') AS ingest_year, strftime(ts, '%m') AS ingest_month,
-             strftime(ts, '%d') AS ingest_day, strftime(ts, '%H') AS ingest_hour, {PER_PART}
-      FROM events GROUP BY ALL""",
+    "stream_archive_by_hour": "SELECT * FROM events",
     "medallion_processed": f"""
       WITH {_orders_members(ms=True)},
       j AS (SELECT o.*, m.* FROM o JOIN m ON o.order_owner = m.member_owner
               AND o.order_ts >= m.member_ts AND o.order_ts <= m.member_ts + INTERVAL 1 HOUR)
-      SELECT *, {YEAR_PARTS.format(c='order_ts')}, {HOUR_PART.format(c='order_ts')} FROM j
+      SELECT * FROM j
       QUALIFY row_number() OVER (PARTITION BY order_owner
                                  ORDER BY order_ts DESC, member_ts DESC, member_id DESC) = 1""",
     "union_tagged_distinct": """

@@ -207,8 +207,9 @@ ARCHIVE_PARTS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
 def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6) -> DataFrame:
     """Tail a catalog table as a stream; each non-empty micro-batch is
     archived under ``ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH``
-    by event time (so re-runs land in the same place). Returns rows and value
-    per archive partition."""
+    of its ingest time (wall clock), so a batch lands in one partition and
+    each task writes one file. Returns the archived rows (the partition
+    values depend on when it ran)."""
     from tideline.sinks.files import archive_by_time, guarded
     from tideline.sources.feeds import Feed
     from tideline.sources.streams import table_stream
@@ -224,6 +225,6 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
     for i in feed.slices:
         cat.insert_into(feed.slice(i).select(*cols), t)
         src = table_stream(spark, t)
-        finish(start(src, ckpt, fn=guarded(lambda df, _: archive_by_time(df, archive, at="ts"))))
+        finish(start(src, ckpt, fn=guarded(lambda df, _: archive_by_time(df, archive))))
     back = spark.read.schema(EVENT_DDL + ", " + ", ".join(f"{c} STRING" for c in ARCHIVE_PARTS)).parquet(archive)
-    return _per_partition(back, ARCHIVE_PARTS)
+    return back.select(*cols)
