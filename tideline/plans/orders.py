@@ -22,13 +22,15 @@ from tideline.plans.inputs import (
     order_events, order_messages, with_k,
 )
 from tideline.session import workdir
-from tideline.sinks.files import append_ingest_partitioned, append_partitioned, guarded
+from tideline.sinks.files import stream_append
 from tideline.sinks.keyed import KeyedTable, upsert_sink
 from tideline.sources.feeds import Feed
 from tideline.sources.streams import stream_source
 from tideline.sources.tables import inline_table
 from tideline.streaming.runner import StreamSpec, finish, run_all, start
 
+INGEST_PARTS = ["year", "month", "day", "hour"]
+
 ORDER_ROW = "order_id BIGINT, order_owner BIGINT, order_value DOUBLE, order_ts TIMESTAMP_NTZ"
 MEMBER_ROW = "member_id BIGINT, member_owner BIGINT, membership STRING, member_ts TIMESTAMP_NTZ"
 JOINED_COLS = ["order_id", "order_owner", "order_value", "order_ts",
@@ -109,19 +111,16 @@ EVENT_ROW = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, t
 
 def stream_json_ingest(spark: SparkSession, events: DataFrame, days: int = 6) -> DataFrame:
     """Message stream -> text payload -> ``from_json`` -> raw table partitioned
-    by event day (bad messages are kept as all-NULL rows)."""
+    by event day (bad messages are kept as all-NULL rows), appended exactly
+    once through the file sink."""
     feed = Feed(spark, event_messages(events, junk_errors=True), "ts", days, fmt="text", name="events-json")
     raw, ckpt = workdir(spark, "raw-events"), workdir(spark, "raw-events-ckpt")
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        append_partitioned(with_time_parts(df, "ts", ("year", "month", "day")),
-                           raw, ["year", "month", "day"])
-
+    parts = ["year", "month", "day"]
     for i in feed.slices:
         feed.deliver(i)
         dec = json_decode(stream_source(spark, "text", feed.landing), EVENT_SCHEMA)
-        dec = dec.withColumn("ts", to_ntz(epoch_ms("ts")))
-        finish(start(dec, ckpt, fn=guarded(sink)))
+        dec = with_time_parts(dec.withColumn("ts", to_ntz(epoch_ms("ts"))), "ts", parts)
+        finish(stream_append(dec, raw, ckpt, parts))
     return _read(spark, raw, EVENT_ROW + ", year STRING, month STRING, day STRING")
 
 
@@ -154,7 +153,7 @@ def stream_interval_join(spark: SparkSession, events: DataFrame, days: int = 6,
         of.deliver(i)
         mf.deliver(i)
         j = _joined_stream(_order_stream(spark, of.landing), _member_stream(spark, mf.landing), within)
-        finish(start(j, ckpt, fn=guarded(lambda df, _: append_partitioned(df, out))))
+        finish(stream_append(j, out, ckpt))
     return _read(spark, out, ", ".join([ORDER_ROW, MEMBER_ROW]))
 
 
@@ -180,12 +179,6 @@ def stream_two_topics(spark: SparkSession, events: DataFrame, days: int = 6) ->
     raw_o, raw_m = workdir(spark, "raw-order"), workdir(spark, "raw-member")
     ck_o, ck_m = workdir(spark, "raw-order-ckpt"), workdir(spark, "raw-member-ckpt")
 
-    def orders_sink(df: DataFrame, batch_id: int) -> None:
-        append_ingest_partitioned(df, raw_o)
-
-    def members_sink(df: DataFrame, batch_id: int) -> None:
-        append_partitioned(df, raw_m, ["membership"])
-
     for i in of.slices:
         of.deliver(i)
         mf.deliver(i)
@@ -193,8 +186,10 @@ def stream_two_topics(spark: SparkSession, events: DataFrame, days: int = 6) ->
             .withColumn("timestamp", to_ntz(epoch_ms("timestamp")))
         m = json_decode(stream_source(spark, "text", mf.landing), MEMBER_SCHEMA) \
             .withColumn("timestamp", to_ntz(epoch_ms("timestamp")))
-        run_all([StreamSpec(o, guarded(orders_sink), ck_o, name=None),
-                 StreamSpec(m, guarded(members_sink), ck_m, name=None)])
+        # ingest time = the micro-batch's timestamp (kept in the offset log)
+        run_all([StreamSpec(with_time_parts(o, None), None, ck_o, path=raw_o,
+                            partition_by=INGEST_PARTS),
+                 StreamSpec(m, None, ck_m, path=raw_m, partition_by=["membership"])])
     ro = _read(spark, raw_o, "order_id BIGINT, order_owner BIGINT, order_value DOUBLE, "
                              "timestamp TIMESTAMP_NTZ, year STRING, month STRING, day STRING, hour STRING")
     rm = _read(spark, raw_m, "member_id BIGINT, order_owner BIGINT, timestamp TIMESTAMP_NTZ, "
@@ -208,23 +203,20 @@ def stream_two_topics(spark: SparkSession, events: DataFrame, days: int = 6) ->
 
 def stream_enrich_products(spark: SparkSession, events: DataFrame, days: int = 6) -> DataFrame:
     """Per micro-batch: stamp ingest time, join the inline product table,
-    append partitioned by ingest year/month/day/hour. Returns the data
-    columns (the ingest-time partition values depend on the wall clock)."""
+    append (exactly once) partitioned by ingest year/month/day/hour. Returns
+    the data columns (the ingest-time partition values depend on the wall
+    clock)."""
     feed = Feed(spark, event_messages(events), "ts", days, fmt="text", name="orders-json")
     out, ckpt = workdir(spark, "raw-products"), workdir(spark, "raw-products-ckpt")
     dim = product_dim(spark)
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        stamped = with_time_parts(df, None)
-        append_partitioned(enrich(stamped, dim, "order_id", small=True), out,
-                           ["year", "month", "day", "hour"])
-
     for i in feed.slices:
         feed.deliver(i)
         dec = json_decode(stream_source(spark, "text", feed.landing), EVENT_SCHEMA)
         dec = dec.select("event_id", "user_id", to_ntz(epoch_ms("ts")).alias("ts"),
                          F.col("k").alias("order_id"))
-        finish(start(dec, ckpt, fn=guarded(sink)))
+        # stream-static join with the broadcast literal; ingest time = batch timestamp
+        joined = enrich(with_time_parts(dec, None), dim, "order_id", small=True)
+        finish(stream_append(joined, out, ckpt, INGEST_PARTS))
     return _read(spark, out, "order_id INT, event_id BIGINT, user_id BIGINT, ts TIMESTAMP_NTZ, "
                              "product_name STRING").select(
         "order_id", "event_id", "user_id", "ts", "product_name")
@@ -252,12 +244,6 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
     ck = {n: workdir(spark, f"m-ckpt-{n}") for n in ("o", "m", "join", "upsert")}
     processed = KeyedTable(spark, workdir(spark, "m-processed"), ["order_owner"], buckets)
 
-    def orders_sink(df: DataFrame, batch_id: int) -> None:
-        append_ingest_partitioned(df, raw_o)
-
-    def members_sink(df: DataFrame, batch_id: int) -> None:
-        append_partitioned(df, raw_m, ["membership"])
-
     raw_order_row = ORDER_ROW + ", year STRING, month STRING, day STRING, hour STRING"
     for i in of.slices:
         of.deliver(i)
@@ -267,8 +253,9 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
         m = json_decode(stream_source(spark, "text", mf.landing), MEMBER_SCHEMA).select(
             "member_id", F.col("order_owner").alias("member_owner"), "membership",
             to_ntz(epoch_ms("timestamp")).alias("member_ts"))
-        run_all([StreamSpec(o, guarded(orders_sink), ck["o"]),
-                 StreamSpec(m, guarded(members_sink), ck["m"])])
+        run_all([StreamSpec(with_time_parts(o, None), None, ck["o"], path=raw_o,
+                            partition_by=INGEST_PARTS),
+                 StreamSpec(m, None, ck["m"], path=raw_m, partition_by=["membership"])])
         ro = (spark.readStream.schema(raw_order_row).parquet(raw_o)
               .withColumn("order_ts", event_time("order_ts")))
         rm = (spark.readStream.schema(MEMBER_ROW).parquet(raw_m)

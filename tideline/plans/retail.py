@@ -88,7 +88,8 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
     if report is not None:
         report["dropped"] = dropped
     return _read_or_empty(spark, out, "Country STRING, start TIMESTAMP_NTZ, "
-                                      "`end` TIMESTAMP_NTZ, Total_sales DOUBLE")
+                                      "`end` TIMESTAMP_NTZ, Total_sales DOUBLE").select(
+        "Country", "start", "end", "Total_sales")
 
 
 def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:

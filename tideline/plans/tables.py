@@ -205,15 +205,16 @@ ARCHIVE_PARTS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
 
 
 def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6) -> DataFrame:
-    """Tail a catalog table as a stream; each non-empty micro-batch is
-    archived under ``ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH``
-    of its ingest time (wall clock), so a batch lands in one partition and
-    each task writes one file. Returns the archived rows (the partition
-    values depend on when it ran)."""
-    from tideline.sinks.files import archive_by_time, guarded
+    """Tail a catalog table as a stream; each micro-batch is archived
+    (exactly once, file sink) under
+    ``ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH`` of its
+    ingest time (the batch timestamp, which a replay reuses), so a batch lands
+    in one partition and each task writes one file. Returns the archived rows
+    (the partition values depend on when it ran)."""
+    from tideline.sinks.files import stream_append
     from tideline.sources.feeds import Feed
     from tideline.sources.streams import table_stream
-    from tideline.streaming.runner import finish, start
+    from tideline.streaming.runner import finish
 
     db = _database(spark)
     t = f"{db}.orderlog_landing"
@@ -225,6 +226,7 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
     for i in feed.slices:
         cat.insert_into(feed.slice(i).select(*cols), t)
         src = table_stream(spark, t)
-        finish(start(src, ckpt, fn=guarded(lambda df, _: archive_by_time(df, archive))))
+        stamped = with_time_parts(src, None, prefix="ingest_")  # the batch timestamp
+        finish(stream_append(stamped, archive, ckpt, ARCHIVE_PARTS))
     back = spark.read.schema(EVENT_DDL + ", " + ", ".join(f"{c} STRING" for c in ARCHIVE_PARTS)).parquet(archive)
     return back.select(*cols)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tideline.functions.timeparts import with_time_parts
+from tideline.streaming.runner import start
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -64,14 +67,45 @@ def archive_by_time(df: DataFrame, path: str, at=None, prefix: str = "ingest_",
     append_partitioned(with_time_parts(df, at, parts, prefix=prefix), path, cols, fmt)
 
 
+def stream_append(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
+                  fmt: str = "parquet", trigger: dict | None = None) -> StreamingQuery:
+    """Append a stream to a table folder through Spark's file sink: exactly once.
+
+    At commit each micro-batch's files are listed in the folder's
+    ``_spark_metadata`` log; a batch replayed after a restart is skipped
+    (its id is already there), and readers of the folder (``spark.read``,
+    ``readStream``) see only committed files, so a task or job that died
+    half-way leaves nothing visible. Empty batches write no files. Ingest-time
+    columns made on the stream with ``with_time_parts(df, None)`` take the
+    batch timestamp recorded in the offset log, so a replayed batch lands in
+    the same partitions. Starts the query (``availableNow`` by default).
+    """
+    return start(df, checkpoint, fmt=fmt, path=path, partition_by=partition_by, trigger=trigger)
+
+
 def batch_writer(fmt: str, mode: str = "append", path: str | None = None,
                  options: Mapping[str, str] | None = None,
-                 partition_by: Sequence[str] = ()) -> BatchFn:
+                 partition_by: Sequence[str] = (), batch_col: str | None = "batch_id") -> BatchFn:
     """A ``foreachBatch`` callback that appends each non-empty batch through
-    any batch data source (``jdbc`` for a warehouse table, ``parquet``…)."""
+    any batch data source (``jdbc`` for a warehouse table, ``parquet``…).
+
+    With a ``path`` (file formats) the batch goes to its own ``batch_col=<id>``
+    partition by dynamic partition overwrite: a batch replayed after a restart
+    replaces the files it wrote before instead of adding a second copy, so the
+    table ends up exactly once. Without a path (``jdbc``) the append is at
+    least once; de-duplicate on the warehouse side (e.g. stage + MERGE).
+    """
     def run(df: DataFrame, batch_id: int) -> None:
-        w = df.write.format(fmt).mode(mode).options(**(options or {}))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
+        parts = list(partition_by)
+        w_mode = mode
+        extra = dict(options or {})
+        if path and batch_col:
+            df = df.withColumn(batch_col, F.lit(batch_id).cast("bigint"))
+            parts.append(batch_col)
+            w_mode = "overwrite"
+            extra["partitionOverwriteMode"] = "dynamic"
+        w = df.write.format(fmt).mode(w_mode).options(**extra)
+        if parts:
+            w = w.partitionBy(*parts)
         w.save(path) if path else w.save()
     return guarded(run)

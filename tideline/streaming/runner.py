@@ -65,20 +65,27 @@ def drain(df: DataFrame, checkpoint: str, **kw) -> StreamingQuery:
 
 @dataclass
 class StreamSpec:
-    """One query of a multi-topic application: own source, sink and checkpoint."""
+    """One query of a multi-topic application: own source, sink and checkpoint.
+
+    The sink is ``fn`` (``foreachBatch``) or, without it, a file sink at
+    ``path`` (exactly once, partitioned by ``partition_by``)."""
     source: DataFrame
-    fn: Callable[[DataFrame, int], None]
+    fn: Callable[[DataFrame, int], None] | None
     checkpoint: str
     trigger: dict | None = None
     mode: str = "append"
     name: str | None = None
+    path: str | None = None
+    partition_by: Sequence[str] = ()
+    fmt: str = "parquet"
     extra: dict = field(default_factory=dict)
 
 
 def run_all(specs: Sequence[StreamSpec], wait: bool = True) -> list[StreamingQuery]:
     """Start several independent queries on one session (they run concurrently)."""
-    qs = [start(s.source, s.checkpoint, fn=s.fn, mode=s.mode, trigger=s.trigger,
-                name=s.name) for s in specs]
+    qs = [start(s.source, s.checkpoint, fn=s.fn, mode=s.mode, trigger=s.trigger, name=s.name,
+                fmt=None if s.fn else s.fmt, path=s.path, partition_by=s.partition_by)
+          for s in specs]
     if wait:
         finish(*qs)
     return qs
