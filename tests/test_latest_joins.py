@@ -85,3 +85,25 @@ def test_bounded_broadcast_respects_bound(spark):
     big = spark.range(100)
     assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().logical().toString().lower()
+
+
+def test_interval_join_shuffles_on_key_and_time_bucket(spark):
+    """At scale (no broadcast) a hot owner is spread over its time buckets:
+    the shuffle key is (owner, bucket), not the owner alone."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = [(i, "hot" if i % 3 == 0 else f"u{i}", T0 + dt.timedelta(minutes=37 * i))
+               for i in range(300)]
+        left = spark.createDataFrame(hot, "oid INT, owner STRING, ots TIMESTAMP_NTZ")
+        right = spark.createDataFrame(hot, "mid INT, owner STRING, mts TIMESTAMP_NTZ")
+        j = interval_join(left, right, ["owner"], "ots", "mts", "1 hour")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+        assert exchanges and all("_ib" in ln and "owner" in ln for ln in exchanges)
+        assert rows(j.filter("owner = 'hot'"), "oid", "mid") == \
+            _brute([r for r in hot if r[1] == "hot"], [r for r in hot if r[1] == "hot"],
+                   interval_micros("1 hour"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -8,7 +8,7 @@ from tideline.operators.setops import union_tagged
 from tideline.operators.upsert import merge_rows
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
-from tideline.sinks.keyed import KeyedTable, upsert_sink
+from tideline.sinks.keyed import KeyedTable, buckets_for, upsert_sink
 
 KV = "k INT, v STRING"
 
@@ -135,3 +135,24 @@ def test_retail_rebuild_overwrites_and_is_repeatable(spark):
     assert {k: spark.table(v).count() for k, v in names.items()} == first
     assert first["top"] == 10 and first["summary"] == t["orders"].select("o_custkey").distinct().count()
     assert first["cleaned"] == R.clean_invoices(t["events"], t["customer"], t["nation"]).count()
+
+
+def test_buckets_for_keeps_buckets_small():
+    assert buckets_for(1 << 20) == 16
+    assert buckets_for(100 * (1 << 40)) == 1 << 18  # 100 TB -> 262144 buckets of <= 512 MB
+
+
+def _parquet_files(path):
+    import os
+    return sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(path))
+
+
+def test_partitioned_write_regroups_rows_by_partition(spark):
+    from tideline.sinks.files import append_partitioned
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "CAST(id % 4 AS INT) AS p")  # 8 tasks
+    plain, grouped = workdir(spark, "plain"), workdir(spark, "grouped")
+    append_partitioned(df, plain, ["p"], rebalance=False)
+    append_partitioned(df, grouped, ["p"])
+    assert _parquet_files(plain) == 32  # every task wrote every partition
+    assert _parquet_files(grouped) <= 8 and _parquet_files(grouped) < _parquet_files(plain)
+    assert rows(spark.read.parquet(grouped)) == rows(spark.read.parquet(plain))

@@ -9,6 +9,7 @@ folder) when the session has none, as in local tests.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -29,6 +30,42 @@ RECOMMENDED_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+MB = 1 << 20
+
+
+def scale_conf(cores: int, shuffle_bytes: int, target_bytes: int = 256 * MB,
+               scan_bytes: int = 256 * MB) -> dict[str, str]:
+    """Partition sizing for a cluster of ``cores`` task slots whose largest
+    shuffle (after map-side partial aggregation) is about ``shuffle_bytes``.
+
+    * ``spark.sql.shuffle.partitions``: enough partitions that each holds
+      about ``target_bytes`` (so a reducer's hash table or sort buffer fits
+      in its share of executor memory without spilling much), and at least
+      two waves of the cluster's slots. AQE coalesces the small ones of
+      lighter stages, so over-provisioning costs little.
+    * ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: the same target
+      for coalescing and for splitting skewed join partitions.
+    * ``spark.sql.files.maxPartitionBytes``: scan splits of ``scan_bytes``;
+      large parquet files are read by several tasks (one per row group range).
+    * skew join: a partition 5× the median and over 2 × target is split.
+
+    Example: 100 TB scanned, 20 TB shuffled, 8000 cores -> 81920 partitions
+    of ~256 MB. Streaming state partitions are fixed separately, at a
+    query's first start (see ``streaming.runner.start``).
+    """
+    n = max(2 * cores, math.ceil(shuffle_bytes / target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_bytes),
+    }
+
+
 # Runtime settings that are safe to apply to a session someone else built.
 RUNTIME_CONF = ("spark.sql.session.timeZone",)
 

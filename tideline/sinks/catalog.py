@@ -29,9 +29,11 @@ def create_database(spark: SparkSession, name: str, location: str) -> str:
 
 def ctas(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[str] = (),
          location: str | None = None, fmt: str = "parquet") -> None:
-    """``CREATE TABLE t USING parquet PARTITIONED BY (…) [LOCATION] AS SELECT …``."""
+    """``CREATE TABLE t USING parquet PARTITIONED BY (…) [LOCATION] AS SELECT …``
+    (rows regrouped by the partition columns first, see ``files.rebalanced``)."""
+    from tideline.sinks.files import rebalanced
     view = f"_ctas_src_{abs(hash(table))}"
-    df.createOrReplaceTempView(view)
+    rebalanced(df, partition_by).createOrReplaceTempView(view)
     part = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     loc = f"LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE {_q(table)} USING {fmt} {part} {loc} AS SELECT * FROM `{view}`")

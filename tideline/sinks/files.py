@@ -32,16 +32,39 @@ def guarded(fn: BatchFn) -> BatchFn:
     return run
 
 
+def rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows regrouped by the output partition columns before a partitioned
+    write (the ``REBALANCE`` hint), when AQE is on.
+
+    Without it every writing task opens a file in every partition value it
+    holds: tasks x partitions files, a small-file flood at scale. With it,
+    AQE hashes rows by ``cols``, coalesces small groups, and splits a value
+    that holds a third of the rows into advisory-size chunks written in
+    parallel, so a partition gets about ``size / advisory size`` files.
+    Streams and sessions without AQE are returned unchanged (there the hint
+    would be a plain hash repartition that puts a hot value in one task).
+    """
+    cols = list(cols)
+    if not cols or df.isStreaming:
+        return df
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+        return df
+    return df.hint("rebalance", *cols)
+
+
 def append_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                        fmt: str = "parquet", mode: str = "append",
-                       options: Mapping[str, str] | None = None) -> None:
+                       options: Mapping[str, str] | None = None,
+                       rebalance: bool = True) -> None:
     """Append (or write) ``df`` under ``path`` as a hive-partitioned table.
 
-    No repartition before the write: each task writes the partitions it
-    holds, so a partition value that holds a third of the rows is still
-    written by many tasks in parallel. Set
-    ``spark.sql.files.maxRecordsPerFile`` to bound file size.
+    By default the rows are first regrouped by the partition columns
+    (:func:`rebalanced`): one partition value is written by as few tasks as
+    its size needs, and a value holding a third of the rows is still written
+    in parallel. Set ``spark.sql.files.maxRecordsPerFile`` to bound file size.
     """
+    if rebalance:
+        df = rebalanced(df, partition_by)
     w = df.write.format(fmt).mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)

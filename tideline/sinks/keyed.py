@@ -7,6 +7,12 @@ the shared scratch folder (this cuts the lineage to the files about to be
 replaced), and swaps them in with a dynamic partition overwrite. The cost of
 one upsert follows the touched buckets, not the table.
 
+Sizing: an upsert rewrites every bucket its batch touches, so a bucket
+should stay small (``buckets_for(table_bytes)`` aims at ~512 MB each). A
+batch of ``b`` distinct keys touches at most ``min(b, N)`` buckets: at
+100 TB that is ~200k buckets, and an hourly batch of a few thousand keys
+rewrites a few TB at most rather than the whole table.
+
 Limits: one writer at a time; readers may see a bucket between delete and
 rename (the swap is not atomic) — the staged copy stays in the scratch folder,
 so a failed swap can be redone. Re-running the same batch gives the same
@@ -25,6 +31,14 @@ from pyspark.sql import functions as F
 from tideline.operators.latest import latest_per_key
 from tideline.operators.upsert import merge_rows
 from tideline.session import workdir
+from tideline.sinks.files import rebalanced
+
+
+def buckets_for(table_bytes: int, target_bytes: int = 512 << 20, minimum: int = 16) -> int:
+    """Bucket count that keeps each bucket near ``target_bytes`` (the unit an
+    upsert rewrites); a power of two, so growing the table doubles it."""
+    n = max(minimum, -(-table_bytes // target_bytes))
+    return 1 << (n - 1).bit_length()
 
 
 class KeyedTable:
@@ -62,13 +76,16 @@ class KeyedTable:
         touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
         if not touched:
             return
+        # regrouped by bucket before writing: ~one file per bucket, not one per task and bucket
         if not self.exists():
-            u.write.format(self.fmt).partitionBy(self.bucket_col).save(self.path)
+            rebalanced(u, [self.bucket_col]).write.format(self.fmt) \
+                .partitionBy(self.bucket_col).save(self.path)
             return
         base = self._raw().filter(F.col(self.bucket_col).isin(touched))
         merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
         staging = workdir(self.spark, "keyed-staging")
-        merged.write.format(self.fmt).partitionBy(self.bucket_col).save(staging)
+        rebalanced(merged, [self.bucket_col]).write.format(self.fmt) \
+            .partitionBy(self.bucket_col).save(staging)
         (self.spark.read.format(self.fmt).load(staging)
              .select(*base.columns)
              .write.format(self.fmt).mode("overwrite")
