@@ -109,6 +109,23 @@ def test_external_table_sees_partitions_after_repair(spark):
     assert rows(spark.table(t)) == [(1, "2024"), (2, "2025")]
 
 
+def test_add_partitions_registers_only_what_a_run_wrote(spark):
+    loc = workdir(spark, "inc")
+    first = spark.createDataFrame([(1, "2024", "01")], "id INT, year STRING, month STRING")
+    first.write.partitionBy("year", "month").parquet(loc)
+    db = cat.create_database(spark, unique_name("t"), workdir(spark, "db"))
+    t = f"{db}.inc"
+    cat.create_external(spark, t, "id INT, year STRING, month STRING", ["year", "month"], loc)
+    assert cat.add_partitions(spark, t, first, ["year", "month"]) == 1
+    run = spark.createDataFrame([(2, "2024", "02"), (3, "2024", "02"), (4, "2025", "01")],
+                                "id INT, year STRING, month STRING")
+    run.write.mode("append").partitionBy("year", "month").parquet(loc)
+    assert cat.add_partitions(spark, t, run, ["year", "month"]) == 2
+    assert cat.add_partitions(spark, t, run, ["year", "month"]) == 2  # re-run: no error, no change
+    assert rows(spark.table(t), "id") == [(1,), (2,), (3,), (4,)]
+    assert cat.partition_exists(spark, t, {"year": "2025", "month": "01"})
+
+
 def test_manifest_lists_each_file_once(spark):
     loc = workdir(spark, "man")
     df = spark.range(100).withColumn("p", F.col("id") % 2)

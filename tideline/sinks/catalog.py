@@ -76,6 +76,24 @@ def repair(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {_q(table)}")
 
 
+def add_partitions(spark: SparkSession, table: str, written: DataFrame,
+                   partition_by: Sequence[str], chunk: int = 500) -> int:
+    """Register only the partitions present in ``written`` (the rows a run
+    just wrote): ``ALTER TABLE … ADD IF NOT EXISTS PARTITION (…) …``.
+
+    ``MSCK REPAIR`` lists every partition folder of the table on each run, so
+    its cost grows with the table's history; this grows with one run's
+    output. Only the distinct partition values reach the driver (an hourly
+    run writes a handful), never rows. Returns how many values were given.
+    """
+    cols = list(partition_by)
+    specs = [r.asDict() for r in written.select(*cols).distinct().collect()]
+    for i in range(0, len(specs), chunk):
+        parts = " ".join(f"PARTITION ({_spec(sp)})" for sp in specs[i:i + chunk])
+        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {parts}")
+    return len(specs)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
 

@@ -71,7 +71,14 @@ class KeyedTable:
         """MERGE ``updates`` (at most one row per key) into the table."""
         if self.fmt == "delta":
             return self._delta_merge(updates)
-        u = updates.withColumn(self.bucket_col, self.bucket())
+        # used twice (touched buckets, merge): computed once, cached for the call
+        u = updates.withColumn(self.bucket_col, self.bucket()).persist()
+        try:
+            self._upsert(u, only_newer)
+        finally:
+            u.unpersist()
+
+    def _upsert(self, u: DataFrame, only_newer: str | None) -> None:
         # at most `buckets` small ints reach the driver, whatever the batch size
         touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
         if not touched:
@@ -107,14 +114,9 @@ def upsert_sink(table: KeyedTable, order_by: str, tie_break: Sequence[str] = (),
                 only_newer: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: latest row per key of the batch, then MERGE.
 
-    The batch is used twice (touched buckets, merge), so it is persisted for
-    the call and released after.
+    ``upsert`` caches the batch for its two uses and does nothing when the
+    batch touches no bucket (empty batch), so a batch is evaluated once.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        latest = latest_per_key(df, table.keys, order_by, tie_break).persist()
-        try:
-            if not latest.isEmpty():
-                table.upsert(latest, only_newer)
-        finally:
-            latest.unpersist()
+        table.upsert(latest_per_key(df, table.keys, order_by, tie_break), only_newer)
     return run
