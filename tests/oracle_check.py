@@ -1,6 +1,7 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [--plain] [sf_dir] [name ...]
+(--plain: a bare SparkSession instead of the recommended conf)
 Comparison: row count, column names, and the sorted multiset of rows with
 columns ordered by name (exact values).
 """
@@ -79,12 +80,22 @@ def compare(spark, con, name, fn, sql, sf_dir):
     return res
 
 
+def plain_session():
+    """A bare session, as a caller who never saw our recommended conf builds it."""
+    from pyspark.sql import SparkSession
+    return (SparkSession.builder.master("local[8]").appName("plain")
+            .config("spark.ui.enabled", "false")
+            .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+
+
 def main(argv):
+    plain = "--plain" in argv
+    argv = [a for a in argv if a != "--plain"]
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in argv[1:] if not a.startswith("/")]
     from tideline.plans.registry import ORACLE, QUERIES
     from tideline.session import build_session
-    spark = build_session()
+    spark = plain_session() if plain else build_session()
     con = duck(sf_dir)
     bad = 0
     for name in names or list(QUERIES):

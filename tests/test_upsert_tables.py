@@ -82,6 +82,19 @@ def test_replace_partition_twice_is_once(spark):
     assert rows(spark.table(t)) == once == [(1, "a", 2020), (9, "z", 2021)]
 
 
+def test_replace_partition_keeps_others_in_a_static_mode_session(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")  # how a bare session starts
+    try:
+        t = _table(spark)
+        cat.replace_partitions(spark.createDataFrame([(9, "z", 2021)], "id INT, v STRING, y INT"), t)
+        assert rows(spark.table(t)) == [(1, "a", 2020), (9, "z", 2021)]
+        assert spark.conf.get(key) == "static"  # the caller's setting is restored
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_partition_exists_and_drop(spark):
     t = _table(spark)
     assert cat.partition_exists(spark, t, {"y": 2021})

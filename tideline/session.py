@@ -13,6 +13,7 @@ import math
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -93,6 +94,30 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the duration of a block, restored after it.
+
+    For settings a write depends on but a per-write option does not reach
+    (e.g. ``insertInto`` ignores ``partitionOverwriteMode``), so the result
+    does not depend on how the caller built the session.
+    """
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+
+
 _LOCAL_ROOT: str | None = None
 
 

@@ -49,10 +49,13 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions present in ``df``; others stay as they are.
 
     Dynamic partition overwrite: delete-then-insert of today's partition in
-    one step, idempotent when re-run with the same rows.
+    one step, idempotent when re-run with the same rows. ``insertInto`` does
+    not take the mode as a write option, so the session setting is set for
+    the write (a session left in static mode would wipe the whole table).
     """
-    (df.write.option("partitionOverwriteMode", "dynamic")
-       .insertInto(table, overwrite=True))
+    from tideline.session import DYNAMIC_OVERWRITE, session_conf
+    with session_conf(df.sparkSession, DYNAMIC_OVERWRITE):
+        df.write.insertInto(table, overwrite=True)
 
 
 def partition_exists(spark: SparkSession, table: str, spec: Mapping[str, object]) -> bool:

@@ -130,5 +130,10 @@ def batch_writer(fmt: str, mode: str = "append", path: str | None = None,
         w = df.write.format(fmt).mode(w_mode).options(**extra)
         if parts:
             w = w.partitionBy(*parts)
-        w.save(path) if path else w.save()
+        if path and batch_col:
+            from tideline.session import DYNAMIC_OVERWRITE, session_conf
+            with session_conf(df.sparkSession, DYNAMIC_OVERWRITE):
+                w.save(path)
+        else:
+            w.save(path) if path else w.save()
     return guarded(run)

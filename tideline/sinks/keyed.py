@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_per_key
 from tideline.operators.upsert import merge_rows
-from tideline.session import workdir
+from tideline.session import DYNAMIC_OVERWRITE, session_conf, workdir
 from tideline.sinks.files import rebalanced
 
 
@@ -93,11 +93,12 @@ class KeyedTable:
         staging = workdir(self.spark, "keyed-staging")
         rebalanced(merged, [self.bucket_col]).write.format(self.fmt) \
             .partitionBy(self.bucket_col).save(staging)
-        (self.spark.read.format(self.fmt).load(staging)
-             .select(*base.columns)
-             .write.format(self.fmt).mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(self.bucket_col).save(self.path))
+        with session_conf(self.spark, DYNAMIC_OVERWRITE):  # only the touched buckets
+            (self.spark.read.format(self.fmt).load(staging)
+                 .select(*base.columns)
+                 .write.format(self.fmt).mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(self.bucket_col).save(self.path))
 
     def _delta_merge(self, updates: DataFrame) -> None:  # pragma: no cover - needs Delta
         from delta.tables import DeltaTable  # type: ignore
