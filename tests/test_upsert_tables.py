@@ -39,6 +39,18 @@ def test_keyed_table_upsert_and_rerun_is_idempotent(spark):
     assert len(once) == 21 and (3, "x") in once and (25, "y") in once and (4, "v4") in once
 
 
+def test_keyed_table_upsert_into_new_buckets_keeps_the_others(spark):
+    t = KeyedTable(spark, workdir(spark, "ktn"), ["k"], buckets=64)
+    t.upsert(spark.createDataFrame([(1, "a"), (2, "b")], KV))
+    have = {r[0] for r in spark.read.parquet(t.path).select("_bucket").distinct().collect()}
+    new_key = next(k for k in range(3, 500)
+                   if spark.range(1).select(F.pmod(F.xxhash64(F.lit(k).cast("int")), F.lit(64)))
+                   .first()[0] not in have)
+    t.upsert(spark.createDataFrame([(new_key, "c"), (1, "A")], KV))  # one new bucket, one old
+    t.upsert(spark.createDataFrame([(new_key + 0, "d")], KV))  # only that bucket, now existing
+    assert rows(t.read()) == sorted([(1, "A"), (2, "b"), (new_key, "d")])
+
+
 def test_upsert_fold_equals_global_latest(spark):
     rnd = random.Random(7)
     data = [(rnd.randrange(30), ts, f"r{ts}") for ts in range(300)]

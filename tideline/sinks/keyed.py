@@ -78,27 +78,48 @@ class KeyedTable:
         finally:
             u.unpersist()
 
+    def _buckets(self, touched: list[int]) -> DataFrame | None:
+        """The stored rows of the ``touched`` buckets, or None if none exists.
+
+        Only those buckets' folders are listed (a glob over their names), so
+        an upsert does not list the whole table. Past half the buckets the
+        table root is read and pruned instead (a glob that long gains
+        nothing).
+        """
+        try:
+            if 2 * len(touched) > self.buckets:
+                df = self._raw()
+                return None if df is None else df.filter(F.col(self.bucket_col).isin(touched))
+            names = ",".join(str(b) for b in sorted(touched))
+            return (self.spark.read.format(self.fmt).option("basePath", self.path)
+                    .load(f"{self.path}/{self.bucket_col}={{{names}}}"))
+        except AnalysisException:  # no table yet, or none of these buckets
+            return None
+
+    def _write_buckets(self, df: DataFrame, path: str, replace: bool) -> None:
+        # regrouped by bucket before writing: ~one file per bucket, not one per task and bucket
+        w = rebalanced(df, [self.bucket_col]).write.format(self.fmt).partitionBy(self.bucket_col)
+        if not replace:
+            w.save(path)
+            return
+        with session_conf(self.spark, DYNAMIC_OVERWRITE):  # only the buckets in `df`
+            w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+
     def _upsert(self, u: DataFrame, only_newer: str | None) -> None:
         # at most `buckets` small ints reach the driver, whatever the batch size
         touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
         if not touched:
             return
-        # regrouped by bucket before writing: ~one file per bucket, not one per task and bucket
-        if not self.exists():
-            rebalanced(u, [self.bucket_col]).write.format(self.fmt) \
-                .partitionBy(self.bucket_col).save(self.path)
+        base = self._buckets(touched)
+        if base is None:  # new table or new buckets only: nothing to merge with
+            self._write_buckets(u, self.path, replace=True)
             return
-        base = self._raw().filter(F.col(self.bucket_col).isin(touched))
         merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
+        # staged first: the merge reads the buckets it is about to replace
         staging = workdir(self.spark, "keyed-staging")
-        rebalanced(merged, [self.bucket_col]).write.format(self.fmt) \
-            .partitionBy(self.bucket_col).save(staging)
-        with session_conf(self.spark, DYNAMIC_OVERWRITE):  # only the touched buckets
-            (self.spark.read.format(self.fmt).load(staging)
-                 .select(*base.columns)
-                 .write.format(self.fmt).mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(self.bucket_col).save(self.path))
+        self._write_buckets(merged, staging, replace=False)
+        self._write_buckets(self.spark.read.format(self.fmt).load(staging).select(*base.columns),
+                            self.path, replace=True)
 
     def _delta_merge(self, updates: DataFrame) -> None:  # pragma: no cover - needs Delta
         from delta.tables import DeltaTable  # type: ignore
