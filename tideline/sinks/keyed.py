@@ -41,6 +41,9 @@ def buckets_for(table_bytes: int, target_bytes: int = 512 << 20, minimum: int =
     return 1 << (n - 1).bit_length()
 
 
+GLOB_MAX = 1024  # bucket names listed one by one before reading the table root instead
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  buckets: int = 64, fmt: str = "parquet", bucket_col: str = "_bucket"):
@@ -82,12 +85,14 @@ class KeyedTable:
         """The stored rows of the ``touched`` buckets, or None if none exists.
 
         Only those buckets' folders are listed (a glob over their names), so
-        an upsert does not list the whole table. Past half the buckets the
-        table root is read and pruned instead (a glob that long gains
-        nothing).
+        an upsert does not list the whole table. Past ``GLOB_MAX`` names or
+        half the buckets the table root is read and pruned instead: the glob
+        is matched name by name against every bucket folder, and a batch that
+        touches that many buckets rewrites far more data than one listing
+        costs.
         """
         try:
-            if 2 * len(touched) > self.buckets:
+            if len(touched) > min(GLOB_MAX, self.buckets // 2):
                 df = self._raw()
                 return None if df is None else df.filter(F.col(self.bucket_col).isin(touched))
             names = ",".join(str(b) for b in sorted(touched))
