@@ -1,4 +1,5 @@
-"""Batch writers used directly or as ``foreachBatch`` callbacks."""
+"""File writers: partitioned batch writes, ``foreachBatch`` callbacks, and the
+exactly-once stream append (file sink)."""
 
 from __future__ import annotations
 
