@@ -198,3 +198,40 @@ def test_partitioned_write_regroups_rows_by_partition(spark):
     assert _parquet_files(plain) == 32  # every task wrote every partition
     assert _parquet_files(grouped) <= 8 and _parquet_files(grouped) < _parquet_files(plain)
     assert rows(spark.read.parquet(grouped)) == rows(spark.read.parquet(plain))
+
+
+def test_upsert_replay_finishes_an_interrupted_swap(spark, monkeypatch):
+    import pytest
+
+    import tideline.sinks.keyed as keyed
+    s = "k INT, ts INT, v STRING"
+    t = KeyedTable(spark, workdir(spark, "crash"), ["k"], buckets=4)
+    sink = upsert_sink(t, "ts")
+    first = [(i, 0, f"a{i}") for i in range(12)]
+    sink(spark.createDataFrame(first, s), 0)
+    second = [(i, 1, f"b{i}") for i in range(0, 12, 3)] + [(20, 1, "new")]
+    real_swap, real_merge = KeyedTable._swap, keyed.merge_rows
+
+    def dying_swap(self, staged):  # the driver dies right after staging committed
+        monkeypatch.setattr(KeyedTable, "_swap", real_swap)
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(KeyedTable, "_swap", dying_swap)
+    with pytest.raises(RuntimeError):
+        sink(spark.createDataFrame(second, s), 1)
+    merges = []
+    monkeypatch.setattr(keyed, "merge_rows", lambda *a, **k: merges.append(1) or real_merge(*a, **k))
+    sink(spark.createDataFrame(second, s), 1)  # the replayed batch
+    assert merges == []  # finished from the staged buckets, not merged again
+    expect = rows(latest_per_key(spark.createDataFrame(first + second, s), ["k"], "ts"))
+    assert rows(t.read().select("k", "ts", "v")) == expect
+
+
+def test_staging_keeps_only_the_last_batch_and_stays_hidden(spark):
+    s = "k INT, ts INT, v STRING"
+    t = KeyedTable(spark, workdir(spark, "stg"), ["k"], buckets=4)
+    sink = upsert_sink(t, "ts")
+    for b in range(3):
+        sink(spark.createDataFrame([(i, b, f"r{b}") for i in range(8)], s), b)
+    staged = spark.read.parquet(f"{t.path}/_staging")
+    assert [r[0] for r in staged.select("_batch").distinct().collect()] == ["b2"]
+    assert set(t.read().columns) == {"k", "ts", "v"} and t.read().count() == 8

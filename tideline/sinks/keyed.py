@@ -1,9 +1,9 @@
 """A keyed parquet table that supports upserts (MERGE update-all/insert-all).
 
 Rows are stored hive-partitioned by ``bucket = pmod(xxhash64(keys), N)``.
-An upsert reads only the buckets its batch touches (partition pruning),
-merges them with :func:`merge_rows`, stages the merged buckets as parquet in
-the shared scratch folder (this cuts the lineage to the files about to be
+An upsert reads only the buckets its batch touches, merges them with
+:func:`merge_rows`, stages the merged buckets as parquet in the table's own
+``_staging`` folder (this cuts the lineage to the files about to be
 replaced), and swaps them in with a dynamic partition overwrite. The cost of
 one upsert follows the touched buckets, not the table.
 
@@ -13,15 +13,24 @@ batch of ``b`` distinct keys touches at most ``min(b, N)`` buckets: at
 100 TB that is ~200k buckets, and an hourly batch of a few thousand keys
 rewrites a few TB at most rather than the whole table.
 
+Failures: ``_staging`` holds the last batch's merged buckets, tagged with
+its batch id. Readers never see it (Spark skips ``_``-folders), and each
+upsert replaces it, so it never holds more than one batch. It is complete
+once Spark's ``_SUCCESS`` marker is there. A batch replayed after a crash
+(same ``batch_id``) whose buckets were fully staged redoes the swap from
+them instead of merging again, so a driver that died half-way through the
+swap leaves no lost bucket behind. A crash before staging completed left
+the table untouched, and the replay merges again. Re-running a batch that
+did finish gives the same table (last batch wins).
+
 Limits: one writer at a time; readers may see a bucket between delete and
-rename (the swap is not atomic) — the staged copy stays in the scratch folder,
-so a failed swap can be redone. Re-running the same batch gives the same
-table (last batch wins), so a retried ``batch_id`` is safe. When the Delta
-Lake package is installed, ``fmt="delta"`` uses its MERGE instead.
+rename (the swap is not atomic for readers). When the Delta Lake package is
+installed, ``fmt="delta"`` uses its MERGE instead.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -30,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_per_key
 from tideline.operators.upsert import merge_rows
-from tideline.session import DYNAMIC_OVERWRITE, session_conf, workdir
+from tideline.session import DYNAMIC_OVERWRITE, session_conf
 from tideline.sinks.files import rebalanced
 
 
@@ -70,17 +79,71 @@ class KeyedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     # -- writing --------------------------------------------------------
-    def upsert(self, updates: DataFrame, only_newer: str | None = None) -> None:
-        """MERGE ``updates`` (at most one row per key) into the table."""
+    STAGING = "_staging"
+    BATCH_COL = "_batch"
+
+    def upsert(self, updates: DataFrame, only_newer: str | None = None,
+               batch_id: int | str | None = None) -> None:
+        """MERGE ``updates`` (at most one row per key) into the table.
+
+        Give the micro-batch id as ``batch_id`` to make a replay of a batch
+        that crashed mid-swap finish that swap (see the module notes).
+        """
         if self.fmt == "delta":
             return self._delta_merge(updates)
+        # a letter first: partition values are type-inferred, and a tag must stay text
+        tag = f"b{batch_id}" if batch_id is not None else f"u{uuid.uuid4().hex}"
+        if batch_id is not None:
+            staged = self._staged(tag)
+            if staged is not None:  # an earlier attempt staged this batch: finish its swap
+                self._swap(staged)
+                return
         # used twice (touched buckets, merge): computed once, cached for the call
         u = updates.withColumn(self.bucket_col, self.bucket()).persist()
         try:
-            self._upsert(u, only_newer)
+            self._upsert(u, only_newer, tag)
         finally:
             u.unpersist()
 
+    def _upsert(self, u: DataFrame, only_newer: str | None, tag: str) -> None:
+        # at most `buckets` small ints reach the driver, whatever the batch size
+        touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
+        if not touched:
+            return
+        base = self._buckets(touched)
+        if base is None:  # new table or new buckets only: nothing to merge with
+            self._write_buckets(u, self.path, replace=True)
+            return
+        merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
+        # staged first: the merge reads the buckets it is about to replace
+        staging = f"{self.path}/{self.STAGING}"
+        with session_conf(self.spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+            (rebalanced(merged, [self.bucket_col])
+                .withColumn(self.BATCH_COL, F.lit(tag))
+                .write.format(self.fmt).mode("overwrite")  # only the last batch is kept
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(self.BATCH_COL, self.bucket_col).save(staging))
+        staged = self._staged(tag)
+        if staged is None:
+            raise RuntimeError(f"staged buckets of batch {tag} not found under {staging}")
+        self._swap(staged)
+
+    def _staged(self, tag: str) -> DataFrame | None:
+        """The merged buckets staged for batch ``tag``, if that staging job committed."""
+        staging = f"{self.path}/{self.STAGING}"
+        try:
+            self.spark.read.text(f"{staging}/_SUCCESS")  # written only when the job commits
+            df = self.spark.read.format(self.fmt).load(staging)
+        except AnalysisException:  # nothing staged
+            return None
+        df = df.filter(F.col(self.BATCH_COL) == tag).drop(self.BATCH_COL)
+        return None if df.isEmpty() else df
+
+    def _swap(self, staged: DataFrame) -> None:
+        """Replace the staged buckets in the table (dynamic overwrite; idempotent)."""
+        cols = [c for c in staged.columns if c != self.bucket_col] + [self.bucket_col]
+        self._write_buckets(staged.select(*cols), self.path, replace=True, regroup=False)
+
     def _buckets(self, touched: list[int]) -> DataFrame | None:
         """The stored rows of the ``touched`` buckets, or None if none exists.
 
@@ -101,31 +164,17 @@ class KeyedTable:
         except AnalysisException:  # no table yet, or none of these buckets
             return None
 
-    def _write_buckets(self, df: DataFrame, path: str, replace: bool) -> None:
+    def _write_buckets(self, df: DataFrame, path: str, replace: bool, regroup: bool = True) -> None:
         # regrouped by bucket before writing: ~one file per bucket, not one per task and bucket
-        w = rebalanced(df, [self.bucket_col]).write.format(self.fmt).partitionBy(self.bucket_col)
+        if regroup:
+            df = rebalanced(df, [self.bucket_col])
+        w = df.write.format(self.fmt).partitionBy(self.bucket_col)
         if not replace:
             w.save(path)
             return
         with session_conf(self.spark, DYNAMIC_OVERWRITE):  # only the buckets in `df`
             w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
-    def _upsert(self, u: DataFrame, only_newer: str | None) -> None:
-        # at most `buckets` small ints reach the driver, whatever the batch size
-        touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
-        if not touched:
-            return
-        base = self._buckets(touched)
-        if base is None:  # new table or new buckets only: nothing to merge with
-            self._write_buckets(u, self.path, replace=True)
-            return
-        merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
-        # staged first: the merge reads the buckets it is about to replace
-        staging = workdir(self.spark, "keyed-staging")
-        self._write_buckets(merged, staging, replace=False)
-        self._write_buckets(self.spark.read.format(self.fmt).load(staging).select(*base.columns),
-                            self.path, replace=True)
-
     def _delta_merge(self, updates: DataFrame) -> None:  # pragma: no cover - needs Delta
         from delta.tables import DeltaTable  # type: ignore
         if not DeltaTable.isDeltaTable(self.spark, self.path):
@@ -142,8 +191,10 @@ def upsert_sink(table: KeyedTable, order_by: str, tie_break: Sequence[str] = (),
     """``foreachBatch`` callback: latest row per key of the batch, then MERGE.
 
     ``upsert`` caches the batch for its two uses and does nothing when the
-    batch touches no bucket (empty batch), so a batch is evaluated once.
+    batch touches no bucket (empty batch), so a batch is evaluated once. The
+    batch id goes along, so a replayed batch finishes an interrupted swap.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        table.upsert(latest_per_key(df, table.keys, order_by, tie_break), only_newer)
+        table.upsert(latest_per_key(df, table.keys, order_by, tie_break), only_newer,
+                     batch_id=batch_id)
     return run
