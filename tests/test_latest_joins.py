@@ -37,8 +37,10 @@ def test_interval_ends_inclusive(spark):
     left = spark.createDataFrame([(1, "a", T0), (2, "a", T0 + h), (3, "a", T0 + h + us), (4, "b", T0)],
                                  "oid INT, owner STRING, ots TIMESTAMP_NTZ")
     right = spark.createDataFrame([(9, "a", T0)], "mid INT, owner STRING, mts TIMESTAMP_NTZ")
-    got = rows(interval_join(left, right, ["owner"], "ots", "mts", "1 hour"), "oid", "mid")
-    assert got == [(1, 9), (2, 9)]
+    for spread in ("left", "right"):
+        got = rows(interval_join(left, right, ["owner"], "ots", "mts", "1 hour", spread=spread),
+                   "oid", "mid")
+        assert got == [(1, 9), (2, 9)]
 
 
 def _brute(left, right, width_us):
@@ -51,8 +53,9 @@ def _brute(left, right, width_us):
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.sampled_from(["1 hour", "90 minutes", "1 day"]))
-def test_interval_join_matches_brute_force(spark, seed, within):
+@given(st.integers(min_value=0, max_value=10_000), st.sampled_from(["1 hour", "90 minutes", "1 day"]),
+       st.sampled_from(["left", "right"]))
+def test_interval_join_matches_brute_force(spark, seed, within, spread):
     rnd = random.Random(seed)
     span = 3 * 86_400_000_000
 
@@ -62,9 +65,10 @@ def test_interval_join_matches_brute_force(spark, seed, within):
     left, right = mk(40), mk(40)
     # exact boundary partners
     right.append((1000, left[0][1], left[0][2] - dt.timedelta(microseconds=interval_micros(within))))
+    right.append((1001, left[1][1], left[1][2]))
     ldf = spark.createDataFrame(left, "oid INT, owner STRING, ots TIMESTAMP_NTZ")
     rdf = spark.createDataFrame(right, "mid INT, owner STRING, mts TIMESTAMP_NTZ")
-    got = rows(interval_join(ldf, rdf, ["owner"], "ots", "mts", within), "oid", "mid")
+    got = rows(interval_join(ldf, rdf, ["owner"], "ots", "mts", within, spread=spread), "oid", "mid")
     assert got == _brute(left, right, interval_micros(within))
 
 
