@@ -96,7 +96,14 @@ def _get(obj, key):
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators ignored as late (older than the watermark)."""
+    """Rows the stateful operators ignored as late (older than the watermark).
+
+    Summed over the progress reports the query still holds: Spark keeps the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` (100) of them, which
+    covers an ``availableNow`` run. For a query that runs for days, count in
+    a ``StreamingQueryListener`` (``onQueryProgress``) or a metrics sink
+    instead.
+    """
     total = 0
     for p in query.recentProgress:
         for op in _get(p, "stateOperators") or []:
