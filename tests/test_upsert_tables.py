@@ -107,6 +107,24 @@ def test_replace_partition_keeps_others_in_a_static_mode_session(spark):
         spark.conf.set(key, before)
 
 
+def test_rebuild_drops_partitions_the_new_rows_lack(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")  # a session that defaults to partition replacement
+    try:
+        db = cat.create_database(spark, unique_name("t"), workdir(spark, "db"))
+        t, loc = f"{db}.rebuilt", workdir(spark, "rebuilt")
+        s = "id INT, day STRING"
+        cat.rebuild_table(spark.createDataFrame([(1, "d1"), (2, "d2")], s), t, loc, ["day"])
+        cat.rebuild_table(spark.createDataFrame([(3, "d2")], s), t, loc, ["day"])
+        cat.repair(spark, t)
+        assert rows(spark.table(t)) == [(3, "d2")]
+        assert rows(spark.read.parquet(loc)) == [(3, "d2")]  # d1 is gone from storage too
+        assert spark.conf.get(key) == "dynamic"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_partition_exists_and_drop(spark):
     t = _table(spark)
     assert cat.partition_exists(spark, t, {"y": 2021})

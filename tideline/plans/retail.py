@@ -12,7 +12,7 @@ from tideline.operators.clean import retail_clean, retail_rejects
 from tideline.operators.windows import windowed_sum
 from tideline.plans.inputs import INVOICE_SCHEMA, K, invoice_messages, invoice_rows
 from tideline.session import workdir
-from tideline.sinks.catalog import repair
+from tideline.sinks.catalog import rebuild_table, repair
 from tideline.sinks.files import batch_writer
 from tideline.sources.feeds import Feed
 from tideline.sources.streams import stream_source
@@ -160,13 +160,10 @@ def retail_rebuild(spark: SparkSession, events: DataFrame, customer: DataFrame,
     }
     cleaned = clean_invoices(events, customer, nation).withColumn(
         "invoice_day", F.to_date("InvoiceDate"))
-    cleaned.write.mode("overwrite").partitionBy("invoice_day").option(
-        "path", f"{location}/cleaned").saveAsTable(names["cleaned"])
-    summary = customer_summary(orders, customer)
-    summary.write.mode("overwrite").option("path", f"{location}/summary").saveAsTable(names["summary"])
-    top_customers(spark.table(names["summary"]), k).write.mode("overwrite").option(
-        "path", f"{location}/top").saveAsTable(names["top"])
-    popular_items(lineitem, orders, customer, nation, part, country, k).write.mode(
-        "overwrite").option("path", f"{location}/popular").saveAsTable(names["popular"])
+    rebuild_table(cleaned, names["cleaned"], f"{location}/cleaned", ["invoice_day"])
+    rebuild_table(customer_summary(orders, customer), names["summary"], f"{location}/summary")
+    rebuild_table(top_customers(spark.table(names["summary"]), k), names["top"], f"{location}/top")
+    rebuild_table(popular_items(lineitem, orders, customer, nation, part, country, k),
+                  names["popular"], f"{location}/popular")
     repair(spark, names["cleaned"])
     return names

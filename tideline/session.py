@@ -25,7 +25,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -115,7 +114,10 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+# Overwrite modes are set per write (never left to the session): partition
+# replacement is dynamic, full rebuilds and single-batch staging are static.
 DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+STATIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "static"}
 
 
 _LOCAL_ROOT: str | None = None

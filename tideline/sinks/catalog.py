@@ -40,6 +40,23 @@ def ctas(spark: SparkSession, table: str, df: DataFrame, partition_by: Sequence[
     spark.catalog.dropTempView(view)
 
 
+def rebuild_table(df: DataFrame, table: str, location: str,
+                  partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Full rebuild of a catalog table at ``location``: every old row goes,
+    including partitions the new rows lack (the output is cleared first, then
+    rebuilt). Static overwrite is set for the write, so a session whose
+    default is dynamic does not keep stale partitions.
+    """
+    from tideline.session import STATIC_OVERWRITE, session_conf
+    from tideline.sinks.files import rebalanced
+    with session_conf(df.sparkSession, STATIC_OVERWRITE):
+        w = (rebalanced(df, partition_by).write.format(fmt).mode("overwrite")
+             .option("partitionOverwriteMode", "static").option("path", location))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.saveAsTable(table)
+
+
 def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
     """``INSERT INTO t SELECT …``: columns by position, as SQL does."""
     df.write.insertInto(table, overwrite=overwrite)
@@ -115,7 +132,7 @@ def manifest(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
 def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write the manifest as text files, one folder per partition."""
     m = manifest(df, partition_by).select(*partition_by, "path")
-    w = m.write.mode("overwrite")
+    w = m.write.mode("overwrite").option("partitionOverwriteMode", "static")  # whole manifest
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_per_key
 from tideline.operators.upsert import merge_rows
-from tideline.session import DYNAMIC_OVERWRITE, session_conf
+from tideline.session import DYNAMIC_OVERWRITE, STATIC_OVERWRITE, session_conf
 from tideline.sinks.files import rebalanced
 
 
@@ -117,7 +117,7 @@ class KeyedTable:
         merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
         # staged first: the merge reads the buckets it is about to replace
         staging = f"{self.path}/{self.STAGING}"
-        with session_conf(self.spark, {"spark.sql.sources.partitionOverwriteMode": "static"}):
+        with session_conf(self.spark, STATIC_OVERWRITE):
             (rebalanced(merged, [self.bucket_col])
                 .withColumn(self.BATCH_COL, F.lit(tag))
                 .write.format(self.fmt).mode("overwrite")  # only the last batch is kept
