@@ -99,7 +99,10 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
 
     For settings a write depends on but a per-write option does not reach
     (e.g. ``insertInto`` ignores ``partitionOverwriteMode``), so the result
-    does not depend on how the caller built the session.
+    does not depend on how the caller built the session. The setting is
+    session-wide while the block runs: threads that write concurrently
+    through ``insertInto`` should each use their own ``spark.newSession()``
+    (path writes also pass the option, which takes precedence).
     """
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
