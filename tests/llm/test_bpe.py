@@ -8,6 +8,7 @@ import pytest
 import tiktoken
 
 from tideline.llm import bpe
+from tideline.llm.memo import Memo
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -39,7 +40,7 @@ def test_segment_trees_agree_with_tiktoken(tik):
 def test_memo_of_any_size_gives_the_same_ids(tik):
     texts = odd_texts()
     for size in (1, 50, 10_000):
-        memo = bpe.Memo(public_tokenizers.PATTERN, bpe.merger(PATH).encode_pieces, size)
+        memo = Memo(bpe.piece_encoder(PATH, public_tokenizers.PATTERN), size)
         got = [list(memoryview(x).cast("I")) for x in memo.encode_texts(texts)]
         assert got == [tik.encode_ordinary(t) for t in texts]
 

@@ -16,22 +16,21 @@ seen, up to ``memo_size`` of them (then it starts anew).
 from __future__ import annotations
 
 import base64
-from array import array
-from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.llm.arrow import column, out
+from tideline.llm.memo import MEMO_SIZE, Memo, batches_of
 
 SHIFT = 32
 INF = np.int64(1) << np.int64(62)
 BATCH_LEN = 64
-MEMO_SIZE = 600_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -205,57 +204,17 @@ def merger(path: str) -> Merger:
     return _mergers[path]
 
 
-class Memo:
-    """Ids of what a worker has encoded, at most ``size`` entries at once.
+def piece_encoder(path: str, pattern: str):
+    """Encode texts: every match of the pattern by itself."""
+    find, m = regex.compile(pattern).findall, merger(path)
 
-    Texts are cut at single spaces first (``a b`` -> ``a``, `` b``): the
-    pattern always starts a match there unless white space stands next to
-    the space. Texts with such places are cut by the pattern alone.
-    """
-
-    def __init__(self, pattern: str, encode, size: int):
-        self.find = regex.compile(pattern).findall
-        self.encode, self.size, self.memo = encode, size, {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.memo) + len(words) > self.size:
-            self.memo.clear()
-        words = [w for w in words if w not in self.memo]
-        found = [[] if odd(w) else self.find(w) for w in words]
+    def encode(texts: list[str]) -> list[list[int]]:
+        found = [find(t) for t in texts]
         pieces = list({p for f in found for p in f})
-        ids = dict(zip(pieces, self.encode(pieces)))
-        for w, f in zip(words, found):
-            self.memo[w] = array("I", [i for p in f for i in ids[p]]).tobytes() if f else None
-
-    def encode_texts(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        cut = [chunks(t) for t in texts]
-        new = {w for c in cut for w in c} - self.memo.keys()
-        if new:
-            if len(self.memo) + len(new) > self.size:
-                new = {w for c in cut for w in c}
-            self._learn(new)
-        get = self.memo.__getitem__
-        for text, c in zip(texts, cut):
-            parts = [get(w) for w in c]
-            if None in parts:
-                pieces = self.find(text)
-                ids = dict(zip(u := list(set(pieces)), self.encode(u)))
-                yield array("I", [i for p in pieces for i in ids[p]]).tobytes()
-            else:
-                yield b"".join(parts)
-
+        ids = dict(zip(pieces, m.encode_pieces(pieces)))
+        return [[i for p in f for i in ids[p]] for f in found]
 
-def chunks(text: str) -> list[str]:
-    if not text:
-        return []
-    first, *rest = text.split(" ")
-    return [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
-
-
-def odd(w: str) -> bool:
-    """White space next to a cut: the pattern might match across it."""
-    return w[-1].isspace() or w[0] == " " and w[1].isspace()
+    return encode
 
 
 _memos: dict[tuple, Memo] = {}
@@ -264,23 +223,10 @@ _memos: dict[tuple, Memo] = {}
 def bpe_memo(path: str, pattern: str, size: int) -> Memo:
     key = (path, pattern, size)
     if key not in _memos:
-        _memos[key] = Memo(pattern, merger(path).encode_pieces, size)
+        _memos[key] = Memo(piece_encoder(path, pattern), size)
     return _memos[key]
 
 
-def batches_of(texts: list[str], chars: int = 1 << 21) -> Iterator[list[str]]:
-    """Runs of texts of about ``chars`` characters, at least one text each."""
-    run, n = [], 0
-    for t in texts:
-        run.append(t)
-        n += len(t)
-        if n >= chars:
-            yield run
-            run, n = [], 0
-    if run:
-        yield run
-
-
 def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text", memo_size: int = MEMO_SIZE) -> DataFrame:
     """(``id_col``, ids binary) per row: token ids as little-endian uint32.
@@ -302,7 +248,6 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    from pyspark.sql import functions as F
     return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 

@@ -11,11 +11,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import bpe
+from tideline.llm import bpe, quality, tokens, urls
+from tideline.session import workdir
 from tideline.sources.tables import load
 
 RANKS = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+# The URL rules, and the sites whose canonical URLs are listed.
+URL_RULES = (urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"),
+             urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"),
+             urls.Rule("block", "net", "/fr/"))
+LISTED_SITES = r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,8 +34,73 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.PATTERN)
 
 
+def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum, read back from the packed blocks."""
+    path = workdir(spark, "tokens")
+    tokens.write_tokens(load(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), end_id=END_ID)
+    return tokens.read_docs(tokens.read_blocks(spark, path))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL; the list holds the canonical URLs of the listed sites."""
+    pages = load(spark, sf_dir, "pages")
+    host, _ = urls.host_path(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_SITES)).select(urls.canonical_url(F.col("url")).alias("listed_url"))
+    return (urls.url_verdicts(pages, listed, URL_RULES)
+            .select("page_id", "host", "path", "rule", "verdict", "listed"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, compression ratios and verdict of every document."""
+    return quality.quality(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_token_blocks": op3_token_blocks,
+    "op4_url_filter": op4_url_filter,
+    "op6_quality_rules": op6_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_url_filter": r"""
+        WITH cut AS (
+          SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
+          FROM pages),
+        split AS (
+          SELECT page_id, rest,
+                 translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                 coalesce(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '') AS query
+          FROM cut),
+        bare AS (
+          SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':(80|443)?$', ''),
+                                   '^www\.', '') AS site,
+                 array_to_string(list_sort(list_filter(string_split(query, '&'),
+                   lambda a: a <> '' AND NOT regexp_matches(a, '^(utm_[^=]*|ref)(=|$)'))), '&') AS args
+          FROM split),
+        canon AS (
+          SELECT *, CASE WHEN rest IS NULL THEN NULL ELSE
+                 site || regexp_replace(path, '/+$', '') || CASE WHEN args = '' THEN '' ELSE '?' || args END END AS c
+          FROM bare),
+        listed AS (
+          SELECT DISTINCT c FROM canon
+          WHERE regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.')),
+        judged AS (
+          SELECT page_id, host, path, c IS NOT NULL AND c IN (SELECT c FROM listed WHERE c IS NOT NULL) AS listed,
+                 CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/')
+                        THEN 'www.example.com/en/'
+                      WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/')
+                        THEN 'example.com/en/'
+                      WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/'
+                      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                      WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                 END AS rule
+          FROM canon)
+        SELECT page_id, host, path, rule, listed,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                    WHEN rule IS NOT NULL THEN 'block'
+                    WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+        FROM judged""",
+}
