@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, quality, tokens, urls
+from tideline.llm import bpe, quality, tokens, toolcalls, urls
+from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
 
@@ -25,6 +26,8 @@ END_ID = 2
 URL_RULES = (urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"),
              urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"),
              urls.Rule("block", "net", "/fr/"))
+TOOLS = (Tool("search", (Param("query", "string"), Param("limit", "integer", True, 1, 150))),
+         Tool("analyse", (Param("query", "string"), Param("limit", "integer", False, 1, 300))))
 LISTED_SITES = r"(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\."
 
 
@@ -55,11 +58,39 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"))
 
 
+def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Conversations read as tool calls and results.
+
+    A system or user turn is a call identified by its place, its text the
+    query; it uses the result of the call two turns before. An assistant turn
+    is the result of the turn before it.
+    """
+    def ident(back: int):
+        return F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn") - back)
+
+    conv = F.col("conv_id").alias("conv")
+    tool = F.when(F.col("role") == "system", "configure").when(F.length("text") < 200, "search").otherwise("analyse")
+    arguments = F.to_json(F.struct(F.col("text").alias("query"), F.length("text").alias("limit")))
+    after = F.when((F.col("role") == "user") & (F.col("turn") >= 2), ident(2))
+    calls = turns.where("role in ('user', 'system')").select(
+        conv, F.col("turn").alias("seq"), ident(0).alias("call_id"), tool.alias("name"),
+        arguments.alias("arguments"), after.alias("after"))
+    results = turns.where("role = 'assistant'").select(
+        conv, F.col("turn").alias("seq"), ident(1).alias("call_id"), F.col("text").alias("content"))
+    return calls, results
+
+
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every call and result of the conversations, linked, ordered, checked and serialised."""
+    return toolcalls.link_calls(*conversation_calls(load(spark, sf_dir, "conversations")), TOOLS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_token_blocks": op3_token_blocks,
     "op4_url_filter": op4_url_filter,
     "op6_quality_rules": op6_quality_rules,
+    "op9_tool_calls": op9_tool_calls,
 }
 
 ORACLE: dict[str, str] = {
@@ -103,4 +134,38 @@ ORACLE: dict[str, str] = {
                     WHEN rule IS NOT NULL THEN 'block'
                     WHEN listed THEN 'block' ELSE 'allow' END AS verdict
         FROM judged""",
+    "op9_tool_calls": r"""
+        WITH calls AS (
+          SELECT conv_id AS conv, turn, role, text,
+                 'c' || conv_id || '-' || turn AS call_id,
+                 CASE WHEN role = 'system' THEN 'configure' WHEN length(text) < 200 THEN 'search' ELSE 'analyse' END AS name,
+                 CASE WHEN role = 'user' AND turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS after
+          FROM conversations WHERE role IN ('user', 'system')),
+        chained AS (
+          SELECT c.*, p.call_id IS NOT NULL AS there
+          FROM calls c LEFT JOIN calls p ON c.conv = p.conv AND c.after = p.call_id),
+        island AS (
+          SELECT *, sum(CASE WHEN there THEN 0 ELSE 1 END) OVER (PARTITION BY conv, turn % 2 ORDER BY turn) AS run
+          FROM chained),
+        leveled AS (
+          SELECT *, row_number() OVER (PARTITION BY conv, turn % 2, run ORDER BY turn) - 1 AS level FROM island),
+        results AS (
+          SELECT conv_id AS conv, 'c' || conv_id || '-' || (turn - 1) AS call_id, text AS content
+          FROM conversations WHERE role = 'assistant')
+        SELECT coalesce(c.conv, r.conv) AS conv, coalesce(c.call_id, r.call_id) AS call_id, turn AS seq, level,
+               CASE WHEN c.conv IS NULL THEN NULL WHEN after IS NOT NULL AND NOT there THEN 'dangling' ELSE 'ok' END AS chain,
+               name,
+               CASE WHEN name = 'configure' THEN 'no_such_tool'
+                    WHEN name = 'search' AND NOT length(text) BETWEEN 1 AND 150 THEN 'range:limit'
+                    WHEN name = 'analyse' AND NOT length(text) BETWEEN 1 AND 300 THEN 'range:limit' END AS error,
+               CASE WHEN c.conv IS NULL THEN 0 ELSE 1 END AS n_calls,
+               CASE WHEN r.conv IS NULL THEN 0 ELSE 1 END AS n_results,
+               CASE WHEN c.conv IS NULL THEN 'orphan' WHEN r.conv IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+               '{"after":' || coalesce(CAST(to_json(after) AS VARCHAR), 'null')
+               || ',"arguments":' || CASE WHEN c.conv IS NULL THEN 'null' ELSE
+                  '{"limit":' || length(text) || ',"query":' || CAST(to_json(text) AS VARCHAR) || '}' END
+               || ',"id":' || CAST(to_json(coalesce(c.call_id, r.call_id)) AS VARCHAR)
+               || ',"name":' || coalesce(CAST(to_json(name) AS VARCHAR), 'null')
+               || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS record
+        FROM leveled c FULL JOIN results r ON c.conv = r.conv AND c.call_id = r.call_id""",
 }
