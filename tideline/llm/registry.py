@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, quality, tokens, toolcalls, urls
+from tideline.llm import bpe, minhash, quality, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -53,6 +53,11 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "host", "path", "rule", "verdict", "listed"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document, by 4-word shingles."""
+    return minhash.near_duplicates(load(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, compression ratios and verdict of every document."""
     return quality.quality(load(spark, sf_dir, "documents"))
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_token_blocks": op3_token_blocks,
     "op4_url_filter": op4_url_filter,
+    "op5_minhash": op5_minhash,
     "op6_quality_rules": op6_quality_rules,
     "op9_tool_calls": op9_tool_calls,
 }

@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.session import shared_root
+from tideline.llm.scratch import Scratch
 
 
 class Param(NamedTuple):
@@ -82,8 +82,7 @@ def levels(calls: DataFrame) -> DataFrame:
     ``chain`` is ``ok``, ``dangling`` (the call names a call that isn't there;
     level 0), or ``cycle`` (it never reaches a start; level null).
     """
-    spark = calls.sparkSession
-    shared_root(spark)
+    keep = Scratch(calls.sparkSession, "levels").keep
     ids = calls.select("conv", F.col("call_id").alias("ptr"), F.lit(True).alias("there"))
     named = calls.where("after is not null").select("conv", "call_id", F.col("after").alias("ptr"))
     start = (named.join(ids, ["conv", "ptr"], "left")
@@ -92,14 +91,14 @@ def levels(calls: DataFrame) -> DataFrame:
                      F.when(F.col("there"), "ok").otherwise("dangling").alias("chain")))
     roots = calls.where("after is null").select("conv", "call_id", F.lit(None).cast("string").alias("ptr"),
                                                 F.lit(0).cast("long").alias("dist"), F.lit("ok").alias("chain"))
-    state = start.unionAll(roots).checkpoint()
+    state = keep(start.unionAll(roots))
     longest = state.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     reach = 1  # a pointer spans so many calls
     while reach <= longest and state.where("ptr is not null").limit(1).count():
         far = state.select("conv", F.col("call_id").alias("ptr"), F.col("ptr").alias("next"), F.col("dist").alias("more"))
         moved = (state.where("ptr is not null").join(far, ["conv", "ptr"])
                  .select("conv", "call_id", F.col("next").alias("ptr"), (F.col("dist") + F.col("more")).alias("dist"), "chain"))
-        state = state.where("ptr is null").unionAll(moved).checkpoint()
+        state = keep(state.where("ptr is null").unionAll(moved))
         reach *= 2
     return state.select("conv", "call_id", F.when(F.col("ptr").isNull(), F.col("dist")).alias("level"),
                         F.when(F.col("ptr").isNotNull(), "cycle").otherwise(F.col("chain")).alias("chain"))
