@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, minhash, quality, tokens, toolcalls, urls
+from tideline.llm import bpe, minhash, quality, repeats, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -90,6 +90,11 @@ def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toolcalls.link_calls(*conversation_calls(load(spark, sf_dir, "conversations")), TOOLS)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier ones."""
+    return repeats.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_token_blocks": op3_token_blocks,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash": op5_minhash,
     "op6_quality_rules": op6_quality_rules,
     "op9_tool_calls": op9_tool_calls,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {
