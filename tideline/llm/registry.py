@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, minhash, quality, repeats, tokens, toolcalls, urls
+from tideline.llm import bpe, decontaminate, minhash, quality, repeats, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -37,6 +37,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              public_tokenizers.PATTERN)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of a benchmark item every document holds, by greedy string tiling."""
+    return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and checksum, read back from the packed blocks."""
     path = workdir(spark, "tokens")
@@ -97,6 +102,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_decontaminate": op2_decontaminate,
     "op3_token_blocks": op3_token_blocks,
     "op4_url_filter": op4_url_filter,
     "op5_minhash": op5_minhash,
