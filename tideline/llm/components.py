@@ -23,12 +23,12 @@ def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     state = keep(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("up")))
     while True:
         top = state.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-        far = keep(state.join(top, "up").select("node", "up", "upper"))
+        far = state.join(top, "up").select("node", "up", "upper")
         near = (edges.join(far.select(F.col("node").alias("b"), "upper"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("upper").alias("near")))
         step = keep(far.join(near, "node"))
-        if not step.where("near < upper or upper < up").limit(1).count():
+        if step.where("near < upper or upper < up").isEmpty():
             return step.select("node", F.col("up").alias("component"))
         low = F.least("near", "upper").alias("up")
         state = keep(step.select("node", low).unionAll(step.select(F.col("up").alias("node"), F.col("near").alias("up")))
-                 .groupBy("node").agg(F.min("up").alias("up")))
+                     .groupBy("node").agg(F.min("up").alias("up")))

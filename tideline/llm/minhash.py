@@ -1,22 +1,22 @@
 """Near-duplicate documents by b-bit MinHash, links confirmed exactly (operator 5).
 
-1. Every text becomes its set of k-word shingles (64-bit hashes), 128 minima,
+1. Every text becomes its set of k-word shingles (64-bit hashes), 256 minima,
    their band keys, and a signature of the low ``BITS`` bits of each minimum.
    Texts with equal sets form one class; only classes are compared.
 2. Classes that agree on a band are candidates. A pair is estimated from the
    packed signatures: with b bits, unequal minima still agree once in 2**b,
-   so similarity is (agreement - 2**-b) / (1 - 2**-b). The cut is six
+   so similarity is (agreement - 2**-b) / (1 - 2**-b). The cut is five
    standard deviations below the limit.
 3. Pairs that pass are confirmed on the full shingle sets, and the links are
    gathered into components.
 
-A band bucket never gives all its pairs. Its members outside the bucket's
-largest component so far (``odd`` ones) are paired with all members if there
-are at most ``MAX_ODD`` of them. Otherwise the least member is paired with
-all, which joins a group of near copies to one component; buckets that still
-have more odd members are cut by further bands (each member goes on with the
-next ``REFINE`` bands), as near copies agree on many bands and others don't.
-The last level pairs whatever is left, so nothing is dropped.
+A band bucket never gives all its pairs. Its least member is paired with all
+others, which joins a group of near copies to one component. Members outside
+the bucket's largest component then (``odd`` ones) are paired with all members
+if there are at most ``MAX_ODD``. Buckets with more are cut by further bands
+(each member goes on with the next ``REFINE`` bands): near copies agree on many
+bands, others don't. The last level pairs whatever is left, so nothing is
+dropped.
 """
 
 from __future__ import annotations
@@ -35,9 +35,9 @@ from tideline.llm.hashing import U64, mix, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
 
 BANDS, ROWS, BITS = 32, 4, 2
-N_HASH = BANDS * ROWS
+N_HASH = 256  # the first BANDS * ROWS make the band keys, all the signature
 WORDS = N_HASH * BITS // 64
-MAX_ODD = 32
+MAX_ODD = 256
 REFINE = 8
 LEVELS = 6
 
@@ -63,7 +63,7 @@ def minima(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def band_keys(m: np.ndarray) -> np.ndarray:
-    parts = mix(m).reshape(len(m), BANDS, ROWS) * _BAND_MUL
+    parts = mix(m[:, :BANDS * ROWS]).reshape(len(m), BANDS, ROWS) * _BAND_MUL
     return mix(parts.sum(axis=2) + np.arange(BANDS, dtype=U64)).view(np.int64)
 
 
@@ -144,9 +144,11 @@ def estimate(left: str, right: str) -> Column:
     return (agreement(left, right) / N_HASH - c) / (1 - c)
 
 
-def slack() -> float:
-    """Six standard deviations of the estimate at its widest."""
-    return 6 * 0.5 / N_HASH ** 0.5 / (1 - 2.0 ** -BITS)
+def slack(limit: float) -> float:
+    """Five standard deviations of the estimate for a pair at the limit."""
+    c = 2.0 ** -BITS
+    agree = c + (1 - c) * limit
+    return 5 * (agree * (1 - agree) / N_HASH) ** 0.5 / (1 - c)
 
 
 class _Linker:
@@ -154,7 +156,7 @@ class _Linker:
 
     def __init__(self, scratch: Scratch, classes: DataFrame, sets: DataFrame, percent: int):
         self.scratch, self.classes, self.sets, self.percent = scratch, classes, sets, percent
-        self.links = self.comps = None
+        self.comps = None
 
     def label(self, members: DataFrame) -> DataFrame:
         """members with comp, the component known so far (the class itself without a link)."""
@@ -168,7 +170,7 @@ class _Linker:
         sig = self.classes.select("cls", *SIG)
         for side in ("a", "b"):
             pairs = pairs.join(sig.select(F.col("cls").alias(side), *[F.col(s).alias(side + s) for s in SIG]), side)
-        likely = self.scratch.keep(pairs.where(estimate("a", "b") >= self.percent / 100 - slack()).select("a", "b"))
+        likely = self.scratch.keep(pairs.where(estimate("a", "b") >= self.percent / 100 - slack(self.percent / 100)).select("a", "b"))
         full = (likely.join(self.sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
                 .join(self.sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a"))
         percent = self.percent
@@ -188,18 +190,32 @@ class _Linker:
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        new = full.select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")
-        known = new if self.links is None else new.unionAll(self.links)
-        self.links = self.scratch.keep(known)
-        self.comps = components(self.links, self.scratch)
+        self.join_up(self.scratch.keep(full.select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")))
+
+    def join_up(self, links: DataFrame) -> None:
+        """Join the components that new links connect; only those are labelled anew."""
+        nodes = links.select(F.col("a").alias("cls")).unionAll(links.select("b")).distinct()
+        if self.comps is None:
+            self.comps = components(links, self.scratch)
+            return
+        known = self.comps.select(F.col("node").alias("cls"), F.col("component").alias("comp"))
+        for side in ("a", "b"):
+            links = (links.join(known.select(F.col("cls").alias(side), F.col("comp").alias("c" + side)), side, "left")
+                     .withColumn("c" + side, F.coalesce("c" + side, side)))
+        between = self.scratch.keep(links.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+        if between.isEmpty():
+            return
+        joined = components(between, self.scratch).select(F.col("node").alias("comp"), "component")
+        every = self.label(known.select("cls").unionAll(nodes).distinct())
+        self.comps = self.scratch.keep(every.join(joined, "comp", "left")
+                                       .select(F.col("cls").alias("node"), F.coalesce("component", "comp").alias("component")))
 
     def stats(self, members: DataFrame) -> DataFrame:
         """Per bucket: main (its largest component) and n_odd (members outside it)."""
-        per = self.label(members).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least"))
+        per = self.label(members).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
         return self.scratch.keep(
-            per.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"),
-                                      F.min("least").alias("least"))
-            .select("bucket", F.col("big.comp").alias("main"), (F.col("all") - F.col("big.n")).alias("n_odd"), "least")
+            per.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"))
+            .select("bucket", F.col("big.comp").alias("main"), (F.col("all") - F.col("big.n")).alias("n_odd"))
             .where("n_odd > 0"))
 
     def odd_pairs(self, members: DataFrame, stats: DataFrame) -> DataFrame:
@@ -211,19 +227,25 @@ class _Linker:
 
     def level(self, members: DataFrame, last: bool) -> DataFrame | None:
         """Settle what one level of buckets can; the members of the rest."""
-        stats = self.stats(members)
-        few = stats if last else stats.where(F.col("n_odd") <= MAX_ODD)
-        lead = stats.where(F.col("n_odd") > MAX_ODD)
-        self.confirm(self.odd_pairs(members, few))
-        if last or not lead.limit(1).count():
-            return None
-        first = members.join(lead.select("bucket", "least"), "bucket").where("cls <> least")
+        least = self.scratch.keep(members.groupBy("bucket").agg(F.min("cls").alias("least")))
+        first = members.join(least, "bucket").where("cls <> least")
+        if self.comps is not None:  # what is in one component already need not be paired
+            own = self.comps.select(F.col("node").alias("least"), F.col("component").alias("cl"))
+            first = self.label(first.select("cls", "least").distinct()).join(own, "least", "left").where(
+                "comp <> coalesce(cl, least)")
         self.confirm(first.select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct())
-        members = self.scratch.keep(members.join(lead.select("bucket"), "bucket"))
         stats = self.stats(members)
-        self.confirm(self.odd_pairs(members, stats.where(F.col("n_odd") <= MAX_ODD)))
-        rest = stats.where(F.col("n_odd") > MAX_ODD).select("bucket")
-        return self.scratch.keep(members.join(rest, "bucket")) if rest.limit(1).count() else None
+        if stats.isEmpty():
+            return None
+        self.confirm(self.odd_pairs(members, stats if last else stats.where(F.col("n_odd") <= MAX_ODD)))
+        if last:
+            return None
+        more = stats.where(F.col("n_odd") > MAX_ODD).select("bucket")
+        if more.isEmpty():
+            return None
+        members = self.scratch.keep(members.join(more, "bucket"))
+        rest = self.stats(members).select("bucket")
+        return None if rest.isEmpty() else self.scratch.keep(members.join(rest, "bucket"))
 
     def refine(self, members: DataFrame) -> DataFrame:
         """The members of each bucket, dealt by each of the next REFINE bands."""
