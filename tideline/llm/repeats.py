@@ -44,7 +44,8 @@ from tideline.llm.scratch import Scratch
 
 GRAM = 16
 POS_BITS = 28
-FLUSH = 1 << 20
+FLUSH = 1 << 18
+SLICE = 1 << 18  # bytes of text worked on at once
 PART_BYTES = 32 << 20  # text per part
 LAST = (1 << 63) - 1  # order of rows with a null id: after all others
 
@@ -240,14 +241,21 @@ def _ids(b: pa.RecordBatch, lo: int, hi: int, name: str) -> np.ndarray:
     return column(b, name).slice(lo, hi - lo).to_numpy(zero_copy_only=False)
 
 
+def _pieces(b: pa.RecordBatch, lo: int, hi: int, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(borders of the regions of a slice of texts, text of each region)."""
+    cuts = column(b, "cut").slice(lo, hi - lo).to_pylist()
+    return (np.concatenate([[0], *[o + np.asarray(c, np.int64) for o, c in zip(offs, cuts)]]),
+            np.repeat(np.arange(hi - lo), [len(c) for c in cuts]))
+
+
 def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
-    """(cls, starts, ends) of the byte runs to remove from each text.
+    """(cls, spans) of the byte runs to remove from each text: int64 pairs, in order.
 
     ``texts`` has (cls long, key long, text) with one row per distinct text;
     a run is covered by ``length``-byte strings that a smaller key also has.
     """
     def first_names(b):
-        for lo, hi, offs, data in text_slices(b, "text"):
+        for lo, hi, offs, data in text_slices(b, "text", SLICE):
             n1, n2, row = sample_names(data, offs, length)
             cls = _ids(b, lo, hi, "cls")
             _, one = np.unique(n1 ^ mix(row.astype(U64) + U64(1)), return_index=True)
@@ -258,7 +266,7 @@ def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch)
     def cut(it):
         """Regions: runs of windows whose sample occurs in another text."""
         for b in it:
-            for lo, hi, offs, data in text_slices(b, "text"):
+            for lo, hi, offs, data in text_slices(b, "text", SLICE):
                 start, at, cum = sampled(data, offs, length)
                 row = row_of(start, offs)
                 n1, _ = span_names(cum, at, at + GRAM)
@@ -266,56 +274,65 @@ def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch)
                 s, r = start[hit], row[hit]
                 if not len(s):
                     continue
-                new = np.append(True, (s[1:] > s[:-1] + 1) | (r[1:] != r[:-1]))
-                f = np.flatnonzero(new)
+                f = np.flatnonzero(np.append(True, (s[1:] > s[:-1] + 1) | (r[1:] != r[:-1])))
                 a, z, r = s[f], s[np.append(f[1:], len(s)) - 1] + length, r[f]
-                raw = data.tobytes()
-                yield out(["cls", "key", "at", "text"], pa.array(_ids(b, lo, hi, "cls")[r]), pa.array(_ids(b, lo, hi, "key")[r]),
-                          pa.array(a - offs[r]), pa.array([raw[i:j] for i, j in zip(a, z)], pa.binary()))
+                raw, one = data.tobytes(), np.unique(r)
+                own = [range(*x) for x in zip(np.searchsorted(r, one), np.searchsorted(r, one, "right"))]
+                yield out(["cls", "key", "at", "cut", "text"], pa.array(_ids(b, lo, hi, "cls")[one]), pa.array(_ids(b, lo, hi, "key")[one]),
+                          pa.array([(a[x] - offs[r[x]]).tolist() for x in own], pa.list_(pa.int64())),
+                          pa.array([np.cumsum((z - a)[x]).tolist() for x in own], pa.list_(pa.int64())),
+                          pa.array([b"".join(raw[a[i]:z[i]] for i in x) for x in own], pa.binary()))
 
-    regions = scratch.keep(texts.join(common, "cls").select("cls", "key", "text", "common")
-                           .mapInArrow(cut, "cls long, key long, at long, text binary"))
+    regions = scratch.keep(texts.join(common, "cls").select("cls", "key", "text", "common").mapInArrow(
+        cut, "cls long, key long, at array<long>, cut array<long>, text binary"))
 
     def second_names(b):
-        for lo, hi, offs, data in text_slices(b, "text"):
-            n1, n2, row, _ = stretch_names(data, offs, length)
-            yield n1, n2, _ids(b, lo, hi, "cls")[row], _ids(b, lo, hi, "key")[row]
+        for lo, hi, offs, data in text_slices(b, "text", SLICE):
+            inner, row_at = _pieces(b, lo, hi, offs)
+            n1, n2, piece, _ = stretch_names(data, inner, length)
+            yield n1, n2, _ids(b, lo, hi, "cls")[row_at[piece]], _ids(b, lo, hi, "key")[row_at[piece]]
 
-    whole = scratch.keep(merged(find_names(regions.select("cls", "key", "text"), second_names, True, parts), "whole"))
+    whole = scratch.keep(merged(find_names(regions.drop("at"), second_names, True, parts), "whole"))
     part = regions.join(whole, "cls", "left")
 
     def open_windows(b, lo, hi, offs, data):
-        """Windows of a slice: (starts, rows, whether their stretch repeats, names)."""
-        n1, _, row, (start, first, last, cum) = stretch_names(data, offs, length)
-        hit = _in(n1, row, [_names(x) for x in column(b, "whole").slice(lo, hi - lo).to_pylist()])
-        done = np.repeat(hit, last - first + 1)
-        return start, np.repeat(row, last - first + 1), done, cum
+        """Windows of a slice: starts, regions, texts, whether their stretch repeats; and the prefix hash."""
+        inner, row_at = _pieces(b, lo, hi, offs)
+        n1, _, piece, (start, first, last, cum) = stretch_names(data, inner, length)
+        hit = _in(n1, row_at[piece], [_names(x) for x in column(b, "whole").slice(lo, hi - lo).to_pylist()])
+        n = last - first + 1
+        piece = np.repeat(piece, n)
+        return start, piece, row_at[piece], np.repeat(hit, n), cum, inner
 
     def third_names(b):
-        for lo, hi, offs, data in text_slices(b, "text"):
-            start, row, done, cum = open_windows(b, lo, hi, offs, data)
+        for lo, hi, offs, data in text_slices(b, "text", SLICE):
+            start, _, row, done, cum, _ = open_windows(b, lo, hi, offs, data)
             s, row = start[~done], row[~done]
             n1, n2 = span_names(cum, s, s + length)
             yield n1, n2, _ids(b, lo, hi, "cls")[row], _ids(b, lo, hi, "key")[row]
 
-    single = scratch.keep(merged(find_names(part.select("cls", "key", "text", "whole"), third_names, True, parts), "single"))
+    single = scratch.keep(merged(find_names(part.drop("at"), third_names, True, parts), "single"))
 
     def mark(it):
         for b in it:
-            for lo, hi, offs, data in text_slices(b, "text"):
-                start, row, done, cum = open_windows(b, lo, hi, offs, data)
+            for lo, hi, offs, data in text_slices(b, "text", SLICE):
+                start, piece, row, done, cum, inner = open_windows(b, lo, hi, offs, data)
                 n1, _ = span_names(cum, start, start + length)
                 done |= _in(n1, row, [_names(x) for x in column(b, "single").slice(lo, hi - lo).to_pylist()])
-                s, r = start[done], row[done]
+                s, q = start[done], piece[done]
                 if not len(s):
                     continue
-                f = np.flatnonzero(np.append(True, (s[1:] > s[:-1] + length) | (r[1:] != r[:-1])))
-                z = s[np.append(f[1:], len(s)) - 1] + length
-                base = _ids(b, lo, hi, "at")[r[f]] - offs[r[f]]
-                yield out(["cls", "a", "z"], pa.array(_ids(b, lo, hi, "cls")[r[f]]), pa.array(s[f] + base), pa.array(z + base))
+                f = np.flatnonzero(np.append(True, (s[1:] > s[:-1] + length) | (q[1:] != q[:-1])))
+                at = np.concatenate([np.asarray(x, np.int64) for x in column(b, "at").slice(lo, hi - lo).to_pylist()])
+                base = (at - inner[:-1])[q[f]]
+                a, z, r = s[f] + base, s[np.append(f[1:], len(s)) - 1] + length + base, row[done][f]
+                one = np.unique(r)
+                own = zip(np.searchsorted(r, one), np.searchsorted(r, one, "right"))
+                yield out(["cls", "spans"], pa.array(_ids(b, lo, hi, "cls")[one]),
+                          pa.array([np.stack([a[i:j], z[i:j]], axis=1).tobytes() for i, j in own], pa.binary()))
 
-    spans = part.join(single, "cls", "left").select("cls", "at", "text", "whole", "single").mapInArrow(mark, "cls long, a long, z long")
-    return scratch.keep(spans.groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("spans")))
+    return scratch.keep(part.join(single, "cls", "left").select("cls", "at", "cut", "text", "whole", "single")
+                        .mapInArrow(mark, "cls long, spans binary").dropDuplicates(["cls"]))  # a row can be there twice
 
 
 def union_spans(spans) -> list[tuple[int, int]]:
@@ -357,27 +374,29 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
     both = rows.select("doc_id", "key", "sha", "text").join(settled, "sha", "left")
 
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
+
     def apply(it):
         for b in it:
-            cols: list[list] = [[] for _ in range(6)]
-            arr = column(b, "text").cast(pa.large_binary())
-            rest = b.select(["doc_id", "key", "least", "spans"]).to_pylist()
-            for i, r in enumerate(rest):
-                text = arr[i].as_py()
-                if r["least"] is not None and r["key"] > r["least"]:
+            found, size = [], 0
+            doc, key, least, spans = (column(b, c) for c in ("doc_id", "key", "least", "spans"))
+            for i, text in enumerate(column(b, "text").cast(pa.large_binary())):
+                text, low = text.as_py(), least[i].as_py()
+                if low is not None and key[i].as_py() > low:
                     cuts = [(0, len(text))]
                 else:
-                    cuts = union_spans((x["a"], x["z"]) for x in r["spans"] or [])
+                    cuts = union_spans(np.frombuffer(spans[i].as_py() or b"", np.int64).reshape(-1, 2).tolist())
                 kept, at = [], 0
                 for a, z in cuts:
                     kept.append(text[at:a])
                     at = z
                 kept = b"".join([*kept, text[at:]])
-                for c, v in zip(cols, (r["doc_id"], len(text), len(text) - len(kept), len(cuts), sha256(kept).hexdigest(), kept)):
-                    c.append(v)
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-            yield out(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-                      *[pa.array(c, k) for c, k in zip(cols, kinds)])
+                found.append((doc[i].as_py(), len(text), len(text) - len(kept), len(cuts), sha256(kept).hexdigest(), kept))
+                size += len(kept)
+                if size >= 1 << 22 or i + 1 == b.num_rows:
+                    yield out(names, *[pa.array(c, k) for c, k in zip(zip(*found), kinds)])
+                    found, size = [], 0
 
     schema = T.StructType([*[T.StructField(n, T.LongType()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
