@@ -206,7 +206,7 @@ def context_counts(stream: DataFrame, parts: int) -> DataFrame:
 
     def count(it):
         table = np.zeros((size, 2), np.uint32)
-        seen = 0
+        flat, one, seen = table.reshape(-1), np.uint32(1), 0
         for b in it:
             for r in b.to_pylist():
                 cls = np.frombuffer(r["classes"], np.uint8).astype(np.int64)
@@ -216,8 +216,7 @@ def context_counts(stream: DataFrame, parts: int) -> DataFrame:
                 at = slots(contexts(cls, np.frombuffer(r["recent"], np.uint16), first))
                 for node, bit in code_nodes(cls[learn]):
                     for a in at:
-                        k, n = np.unique(((a[learn] + node) << 1) + bit, return_counts=True)
-                        table.reshape(-1)[k] += n.astype(np.uint32)
+                        np.add.at(flat, ((a[learn] + node) << 1) + bit, one)
                 seen += len(learn)
                 if seen >= 1 << 31:  # before a count can overflow
                     yield from emit(table)
