@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, decontaminate, minhash, mixing, quality, repeats, tokens, toolcalls, urls
+from tideline.llm import bpe, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -68,6 +68,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(load(spark, sf_dir, "documents"))
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of the documents labelled good."""
+    trusted = load(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return kneser.classify(load(spark, sf_dir, "documents"), trusted)
+
+
 def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base score and mixed-context score of every document."""
     return mixing.score_texts(load(spark, sf_dir, "documents"))
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_minhash": op5_minhash,
     "op6_quality_rules": op6_quality_rules,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_context_mixing": op8_context_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_suffix_dedup": op10_suffix_dedup,
