@@ -248,11 +248,12 @@ def _pieces(b: pa.RecordBatch, lo: int, hi: int, offs: np.ndarray) -> tuple[np.n
             np.repeat(np.arange(hi - lo), [len(c) for c in cuts]))
 
 
-def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
+def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
     """(cls, spans) of the byte runs to remove from each text: int64 pairs, in order.
 
-    ``texts`` has (cls long, key long, text) with one row per distinct text;
-    a run is covered by ``length``-byte strings that a smaller key also has.
+    ``rows`` has (sha, cls, key, n_bytes, text), ``least`` the least key of
+    each text; a run is covered by ``length``-byte strings that a text with a
+    smaller key also has.
     """
     def first_names(b):
         for lo, hi, offs, data in text_slices(b, "text", SLICE):
@@ -261,7 +262,8 @@ def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch)
             _, one = np.unique(n1 ^ mix(row.astype(U64) + U64(1)), return_index=True)
             yield n1[one], n2[one], cls[row[one]], np.zeros(len(one), np.int64)
 
-    common = scratch.keep(merged(find_names(texts.select("cls", "text"), first_names, False, parts), "common"))
+    common = scratch.keep(merged(find_names(rows.where(F.col("n_bytes") >= length).select("cls", "text"), first_names, False, parts), "common")
+                          .join(least, "cls").select("sha", F.col("least").alias("key"), "common"))
 
     def cut(it):
         """Regions: runs of windows whose sample occurs in another text."""
@@ -283,7 +285,7 @@ def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch)
                           pa.array([np.cumsum((z - a)[x]).tolist() for x in own], pa.list_(pa.int64())),
                           pa.array([b"".join(raw[a[i]:z[i]] for i in x) for x in own], pa.binary()))
 
-    regions = scratch.keep(texts.join(common, "cls").select("cls", "key", "text", "common").mapInArrow(
+    regions = scratch.keep(rows.join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
         cut, "cls long, key long, at array<long>, cut array<long>, text binary"))
 
     def second_names(b):
@@ -311,7 +313,7 @@ def repeated_spans(texts: DataFrame, length: int, parts: int, scratch: Scratch)
             n1, n2 = span_names(cum, s, s + length)
             yield n1, n2, _ids(b, lo, hi, "cls")[row], _ids(b, lo, hi, "key")[row]
 
-    single = scratch.keep(merged(find_names(part.drop("at"), third_names, True, parts), "single"))
+    single = scratch.keep(merged(find_names(part.drop("at"), third_names, True, 4 * parts), "single"))
 
     def mark(it):
         for b in it:
@@ -368,9 +370,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     total = least.agg(F.sum("n")).first()[0] or 0
     floor = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(min(12, floor), -(-total // PART_BYTES))
-    texts = (rows.where(F.col("n_bytes") >= length).join(least.select("sha", F.col("least").alias("key")), ["sha", "key"])
-             .select("cls", "key", "text"))
-    spans = repeated_spans(texts, length, parts, scratch)
+    spans = repeated_spans(rows, least, length, parts, scratch)
     settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
     both = rows.select("doc_id", "key", "sha", "text").join(settled, "sha", "left")
 
