@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {

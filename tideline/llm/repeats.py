@@ -34,6 +34,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -348,20 +349,12 @@ def union_spans(spans) -> list[tuple[int, int]]:
     return [tuple(x) for x in res]
 
 
-def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
-
-    Removed is every byte covered by a ``length``-byte string that also starts
-    in a document with a smaller id, judged on the input; ``kept`` is the
-    rest, which may cut a UTF-8 character. A null text is empty. Rows of one
-    id never remove from each other; rows with a null id count as last and
-    remove from nothing but lose what others have. Texts shorter than
-    ``length`` lose nothing. Other columns are ignored.
-    """
+def with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, *carried) -> DataFrame:
+    """(doc_id, key, text, least, spans, and the ``carried`` columns) of every row."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} or more")
     scratch = Scratch(docs.sparkSession, "repeats")
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried)
             .withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
             .withColumn("sha", F.sha2("text", 256)).withColumn("cls", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"))
             .withColumn("n_bytes", F.octet_length("text").cast("long")))
@@ -372,7 +365,65 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     parts = max(min(12, floor), -(-total // PART_BYTES))
     spans = repeated_spans(rows, least, length, parts, scratch)
     settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
-    both = rows.select("doc_id", "key", "sha", "text").join(settled, "sha", "left")
+    return rows.join(settled, "sha", "left").drop("sha", "cls", "n_bytes")
+
+
+def cuts_of(length: int, key: int, least: int | None, spans: bytes | None) -> list[tuple[int, int]]:
+    """Runs to remove from a text of ``length`` bytes: all of a copy, else its spans."""
+    if least is not None and key > least:
+        return [(0, length)]
+    return union_spans(np.frombuffer(spans or b"", np.int64).reshape(-1, 2).tolist())
+
+
+def without_cuts(text: bytes, cuts: list[tuple[int, int]]) -> bytes:
+    parts, at = [], 0
+    for a, z in cuts:
+        parts.append(text[at:a])
+        at = z
+    return b"".join([*parts, text[at:]])
+
+
+def cut_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, their texts without what ``remove_repeats`` removes.
+
+    A character that loses a byte goes whole. Rows of whose text nothing is
+    left go; texts that were null or empty before stay as they are. Other
+    columns are unchanged, whatever their names.
+    """
+    rows = with_spans(docs, length, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index(text_col)
+
+    def run(it):
+        for b in it:
+            old = column(b, "text").cast(pa.large_binary())
+            texts, keep = [], []
+            key, least, spans = (column(b, c) for c in ("key", "least", "spans"))
+            for i, t in enumerate(old):
+                t = t.as_py()
+                cuts = cuts_of(len(t), key[i].as_py(), least[i].as_py(), spans[i].as_py())
+                left = without_cuts(t, cuts).decode("utf-8", "ignore") if cuts else None
+                texts.append(left)
+                keep.append(left != "")
+            cols = column(b, "row").flatten()
+            cut = pa.array([x is not None for x in texts], pa.bool_())
+            cols[at] = pa.compute.if_else(cut, pa.array(texts, pa.string()).cast(cols[at].type), cols[at])
+            yield pa.RecordBatch.from_arrays(cols, names=docs_names).filter(pa.array(keep, pa.bool_()))
+
+    docs_names = list(docs.columns)
+    return rows.select("row", "text", "key", "least", "spans").mapInArrow(run, docs.schema)
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (binary).
+
+    Removed is every byte covered by a ``length``-byte string that also starts
+    in a document with a smaller id, judged on the input; ``kept`` is the
+    rest, which may cut a UTF-8 character. A null text is empty. Rows of one
+    id never remove from each other; rows with a null id count as last and
+    remove from nothing but lose what others have. Texts shorter than
+    ``length`` lose nothing. Other columns are ignored.
+    """
+    both = with_spans(docs, length, id_col, text_col)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
@@ -382,16 +433,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
             found, size = [], 0
             doc, key, least, spans = (column(b, c) for c in ("doc_id", "key", "least", "spans"))
             for i, text in enumerate(column(b, "text").cast(pa.large_binary())):
-                text, low = text.as_py(), least[i].as_py()
-                if low is not None and key[i].as_py() > low:
-                    cuts = [(0, len(text))]
-                else:
-                    cuts = union_spans(np.frombuffer(spans[i].as_py() or b"", np.int64).reshape(-1, 2).tolist())
-                kept, at = [], 0
-                for a, z in cuts:
-                    kept.append(text[at:a])
-                    at = z
-                kept = b"".join([*kept, text[at:]])
+                text = text.as_py()
+                cuts = cuts_of(len(text), key[i].as_py(), least[i].as_py(), spans[i].as_py())
+                kept = without_cuts(text, cuts)
                 found.append((doc[i].as_py(), len(text), len(text) - len(kept), len(cuts), sha256(kept).hexdigest(), kept))
                 size += len(kept)
                 if size >= 1 << 22 or i + 1 == b.num_rows:
