@@ -3,7 +3,7 @@ import datetime as dt
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tideline.functions.decode import epoch_ms, json_decode, parse_time, payload_text, try_cast_cols
+from tideline.functions.decode import epoch_ms, json_decode, parse_time, payload_text
 from tideline.functions.fixed import INVOICE_DATE_FORMAT
 from tideline.functions.timeparts import with_time_parts
 from tideline.operators.clean import retail_clean, retail_rejects
@@ -45,11 +45,6 @@ def test_invoice_dates_padded_and_not(spark):
     assert got[2] is None
 
 
-def test_try_cast_bad_numbers(spark):
-    df = spark.createDataFrame([("abc", "1.5")], "q STRING, p STRING")
-    r = try_cast_cols(df, {"q": "int", "p": "double"}).collect()[0]
-    assert r.q is None and r.p == 1.5
-
 
 def _inv(spark, data):
     return spark.createDataFrame(data, "Country STRING, UnitPrice STRING, Quantity STRING, InvoiceDate STRING")
@@ -82,3 +77,22 @@ def test_time_parts_zero_padded(spark):
     r2 = with_time_parts(df, "2022-03-23 14:11:43", two_digit_year=True).collect()[0]
     assert (r2.year, r2.month, r2.day, r2.hour) == ("22", "03", "23", "14")
     assert with_time_parts(df, None).select(F.length("year")).collect()[0][0] == 4
+
+
+def test_prices_out_of_range_are_rejected_with_a_reason(spark):
+    raw = [(c, p, "2", "1/1/2024 1:00") for c, p in
+           [("FR", "1e20"), ("FR", "NaN"), ("FR", "Infinity"), ("FR", "0.000004"), ("FR", "-Infinity")]]
+    df = spark.createDataFrame(raw, "Country STRING, UnitPrice STRING, Quantity STRING, InvoiceDate STRING")
+    assert [r.UnitPrice for r in retail_clean(df).collect()] == [0.000004]
+    got = {r.reason: r.n for r in retail_rejects(df).collect()}
+    assert got == {"price_out_of_range": 3, "ok": 1, "price_not_positive": 1}
+    from tideline.plans.retail import sales_from_clean
+    assert [r.Total_sales for r in sales_from_clean(retail_clean(df)).collect()] == [0.000008]
+
+
+def test_messages_are_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.createDataFrame([('{"Country":"FR","UnitPrice":"1","Quantity":"2"}',)], "value STRING").write.text(path)
+    from tideline.plans.inputs import INVOICE_SCHEMA
+    p = retail_clean(json_decode(spark.read.text(path), INVOICE_SCHEMA))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("from_json") == 1

@@ -5,7 +5,7 @@ from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tideline.operators.joins import bounded_broadcast, enrich, interval_join, interval_micros
+from tideline.operators.joins import enrich, interval_join, interval_micros
 from tideline.operators.latest import latest_per_key, latest_semi
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
@@ -84,13 +84,6 @@ def test_enrich_inner_narrow_and_wide(spark):
     assert "Broadcast" in plan
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(5)
-    big = spark.range(100)
-    assert "broadcast" in bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in bounded_broadcast(big, 10)._jdf.queryExecution().logical().toString().lower()
-
-
 def test_interval_join_shuffles_on_key_and_time_bucket(spark):
     """At scale (no broadcast) a hot owner is spread over its time buckets:
     the shuffle key is (owner, bucket), not the owner alone."""
@@ -111,3 +104,14 @@ def test_interval_join_shuffles_on_key_and_time_bucket(spark):
                    interval_micros("1 hour"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_semi_is_one_scan_and_one_exchange(spark, tmp_path):
+    path = str(tmp_path / "e")
+    spark.range(100).selectExpr("id % 7 AS k", "id AS ts").write.parquet(path)
+    p = _plan(latest_semi(spark.read.parquet(path), ["k"], "ts"))
+    assert p.count("FileScan") == 1 and p.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in p

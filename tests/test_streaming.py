@@ -150,7 +150,7 @@ def test_upsert_stream_replay_keeps_the_table(spark):
     data = [(i % 7, i, f"r{i}") for i in range(40)]
     for lo in (0, 20):  # two files -> two batches
         spark.createDataFrame(data[lo:lo + 20], s).coalesce(1).write.mode("append").parquet(land)
-    t = KeyedTable(spark, workdir(spark, "ur-table"), ["k"], buckets=4)
+    t = KeyedTable(spark, workdir(spark, "ur-table"), ["k"], ["ts"])
     src = lambda: stream_source(spark, "parquet", land, schema=s, maxFilesPerTrigger=1)
     finish(start(src(), ck, fn=upsert_sink(t, "ts")))
     before = rows(t.read().select("k", "ts", "v"))
@@ -169,3 +169,55 @@ def test_stream_interval_join_equals_batch_on_a_dense_range(spark):
     got = rows(O.stream_interval_join(spark, ev, within="1 day"))
     expect = rows(O.orders_with_members(ev, within="1 day"))
     assert got == expect and len(got) > 20
+
+
+def test_rows_without_a_time_are_delivered(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, None), (3, dt.datetime(2024, 1, 9))],
+                               "a INT, ts TIMESTAMP_NTZ")
+    for rows_in in (df, df.where("ts is null")):
+        feed = Feed(spark, rows_in, "ts", 3)
+        for i in feed.slices:
+            feed.deliver(i)
+        assert rows(spark.read.parquet(feed.landing)) == rows(rows_in)
+
+
+def test_queries_started_together_keep_their_own_state_partitions(spark):
+    land = workdir(spark, "sp")
+    spark.createDataFrame([(i,) for i in range(10)], "a INT").write.parquet(land)
+    cks, qs = [], []
+    for n in (3, 5):
+        own = spark.newSession()
+        own.conf.set("spark.sql.shuffle.partitions", str(n))
+        cks.append((workdir(spark, "sp-ck"), n))
+        agg = own.readStream.schema("a INT").parquet(land).groupBy("a").count()
+        qs.append(start(agg, cks[-1][0], fn=lambda df, _: df.collect(), mode="complete"))
+    finish(*qs)
+    for ck, n in cks:
+        assert len([d for d in os.listdir(f"{ck}/state/0") if d.isdigit()]) == n
+
+
+def test_first_failure_stops_the_other_queries(spark):
+    import pytest
+    land = workdir(spark, "ff")
+    spark.createDataFrame([(1,)], "a INT").write.parquet(land)
+
+    def fail(df, _):
+        raise ValueError("no")
+    src = lambda: stream_source(spark, "parquet", land, schema="a INT")
+    other = start(src(), workdir(spark, "ff-a"), fn=lambda df, _: None, trigger={"processingTime": "1 second"})
+    bad = start(src(), workdir(spark, "ff-b"), fn=fail)
+    with pytest.raises(RuntimeError):
+        finish(other, bad)
+    assert not other.isActive
+
+
+def test_fixed_interval_trigger_picks_up_new_files(spark):
+    land, out = workdir(spark, "pt"), workdir(spark, "pt-out")
+    spark.createDataFrame([(1,)], "a INT").write.parquet(land)
+    q = start(stream_source(spark, "parquet", land, schema="a INT"), workdir(spark, "pt-ck"), fmt="parquet", path=out,
+              trigger={"processingTime": "500 milliseconds"})
+    q.processAllAvailable()
+    spark.createDataFrame([(2,)], "a INT").write.mode("append").parquet(land)
+    q.processAllAvailable()
+    q.stop()
+    assert rows(spark.read.parquet(out)) == [(1,), (2,)]

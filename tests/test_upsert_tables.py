@@ -8,7 +8,7 @@ from tideline.operators.setops import union_tagged
 from tideline.operators.upsert import merge_rows
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
-from tideline.sinks.keyed import KeyedTable, buckets_for, upsert_sink
+from tideline.sinks.keyed import KeyedTable, upsert_sink
 
 KV = "k INT, v STRING"
 
@@ -29,7 +29,7 @@ def test_merge_only_newer(spark):
 
 
 def test_keyed_table_upsert_and_rerun_is_idempotent(spark):
-    t = KeyedTable(spark, workdir(spark, "kt"), ["k"], buckets=4)
+    t = KeyedTable(spark, workdir(spark, "kt"), ["k"])
     t.upsert(spark.createDataFrame([(i, f"v{i}") for i in range(20)], KV))
     upd = spark.createDataFrame([(3, "x"), (25, "y")], KV)
     t.upsert(upd)
@@ -39,24 +39,12 @@ def test_keyed_table_upsert_and_rerun_is_idempotent(spark):
     assert len(once) == 21 and (3, "x") in once and (25, "y") in once and (4, "v4") in once
 
 
-def test_keyed_table_upsert_into_new_buckets_keeps_the_others(spark):
-    t = KeyedTable(spark, workdir(spark, "ktn"), ["k"], buckets=64)
-    t.upsert(spark.createDataFrame([(1, "a"), (2, "b")], KV))
-    have = {r[0] for r in spark.read.parquet(t.path).select("_bucket").distinct().collect()}
-    new_key = next(k for k in range(3, 500)
-                   if spark.range(1).select(F.pmod(F.xxhash64(F.lit(k).cast("int")), F.lit(64)))
-                   .first()[0] not in have)
-    t.upsert(spark.createDataFrame([(new_key, "c"), (1, "A")], KV))  # one new bucket, one old
-    t.upsert(spark.createDataFrame([(new_key + 0, "d")], KV))  # only that bucket, now existing
-    assert rows(t.read()) == sorted([(1, "A"), (2, "b"), (new_key, "d")])
-
-
 def test_upsert_fold_equals_global_latest(spark):
     rnd = random.Random(7)
     data = [(rnd.randrange(30), ts, f"r{ts}") for ts in range(300)]
     s = "k INT, ts INT, v STRING"
-    t = KeyedTable(spark, workdir(spark, "fold"), ["k"], buckets=8)
-    sink = upsert_sink(t, "ts")
+    t = KeyedTable(spark, workdir(spark, "fold"), ["k"])
+    sink = upsert_sink(t, "ts", writer="job")
     for b in range(5):  # in-order batches
         sink(spark.createDataFrame(data[b * 60:(b + 1) * 60], s), b)
     expect = rows(latest_per_key(spark.createDataFrame(data, s), ["k"], "ts"))
@@ -65,8 +53,8 @@ def test_upsert_fold_equals_global_latest(spark):
 
 def test_upsert_sink_skips_empty_batch(spark):
     t = KeyedTable(spark, workdir(spark, "empty"), ["k"])
-    upsert_sink(t, "k")(spark.createDataFrame([], KV), 0)
-    assert not t.exists()
+    upsert_sink(t, "k", writer="job")(spark.createDataFrame([], KV), 0)
+    assert not t.exists() or t.read().count() == 0
 
 
 def test_union_distinct_collapses_only_within_branch(spark):
@@ -152,33 +140,18 @@ def test_external_table_sees_partitions_after_repair(spark):
     assert rows(spark.table(t)) == [(1, "2024"), (2, "2025")]
 
 
-def test_add_partitions_registers_only_what_a_run_wrote(spark):
-    loc = workdir(spark, "inc")
-    first = spark.createDataFrame([(1, "2024", "01")], "id INT, year STRING, month STRING")
-    first.write.partitionBy("year", "month").parquet(loc)
-    db = cat.create_database(spark, unique_name("t"), workdir(spark, "db"))
-    t = f"{db}.inc"
-    cat.create_external(spark, t, "id INT, year STRING, month STRING", ["year", "month"], loc)
-    assert cat.add_partitions(spark, t, first, ["year", "month"]) == 1
-    run = spark.createDataFrame([(2, "2024", "02"), (3, "2024", "02"), (4, "2025", "01")],
-                                "id INT, year STRING, month STRING")
-    run.write.mode("append").partitionBy("year", "month").parquet(loc)
-    assert cat.add_partitions(spark, t, run, ["year", "month"]) == 2
-    assert cat.add_partitions(spark, t, run, ["year", "month"]) == 2  # re-run: no error, no change
-    assert rows(spark.table(t), "id") == [(1,), (2,), (3,), (4,)]
-    assert cat.partition_exists(spark, t, {"year": "2025", "month": "01"})
-
-
 def test_manifest_lists_each_file_once(spark):
     loc = workdir(spark, "man")
     df = spark.range(100).withColumn("p", F.col("id") % 2)
     df.repartition(3).write.partitionBy("p").parquet(loc)
     snap = spark.read.parquet(loc)
-    m = cat.manifest(snap, ["p"])
-    assert m.agg(F.sum("n_rows")).first()[0] == 100
+    m = cat.manifest(spark, loc)
     assert m.select("path").distinct().count() == m.count() == len(snap.inputFiles())
-    cat.write_manifest(snap, loc + "_manifest", ["p"])
-    assert spark.read.text(loc + "_manifest").count() == m.count()
+    assert m.where("length <= 0").count() == 0
+    cat.write_manifest(spark, loc, loc + "_manifest", "p")
+    names = spark.read.text(loc + "_manifest")
+    assert {(r.value.split("/p=")[1][0], r.p) for r in names.collect()} == {("0", 0), ("1", 1)}
+    assert names.count() == m.count()
 
 
 def test_retail_rebuild_overwrites_and_is_repeatable(spark):
@@ -197,11 +170,6 @@ def test_retail_rebuild_overwrites_and_is_repeatable(spark):
     assert first["cleaned"] == R.clean_invoices(t["events"], t["customer"], t["nation"]).count()
 
 
-def test_buckets_for_keeps_buckets_small():
-    assert buckets_for(1 << 20) == 16
-    assert buckets_for(100 * (1 << 40)) == 1 << 18  # 100 TB -> 262144 buckets of <= 512 MB
-
-
 def _parquet_files(path):
     import os
     return sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(path))
@@ -218,38 +186,79 @@ def test_partitioned_write_regroups_rows_by_partition(spark):
     assert rows(spark.read.parquet(grouped)) == rows(spark.read.parquet(plain))
 
 
-def test_upsert_replay_finishes_an_interrupted_swap(spark, monkeypatch):
-    import pytest
+S3 = "k INT, ts INT, v STRING"
 
-    import tideline.sinks.keyed as keyed
-    s = "k INT, ts INT, v STRING"
-    t = KeyedTable(spark, workdir(spark, "crash"), ["k"], buckets=4)
-    sink = upsert_sink(t, "ts")
-    first = [(i, 0, f"a{i}") for i in range(12)]
-    sink(spark.createDataFrame(first, s), 0)
-    second = [(i, 1, f"b{i}") for i in range(0, 12, 3)] + [(20, 1, "new")]
-    real_swap, real_merge = KeyedTable._swap, keyed.merge_rows
-
-    def dying_swap(self, staged):  # the driver dies right after staging committed
-        monkeypatch.setattr(KeyedTable, "_swap", real_swap)
-        raise RuntimeError("driver lost")
-    monkeypatch.setattr(KeyedTable, "_swap", dying_swap)
-    with pytest.raises(RuntimeError):
-        sink(spark.createDataFrame(second, s), 1)
-    merges = []
-    monkeypatch.setattr(keyed, "merge_rows", lambda *a, **k: merges.append(1) or real_merge(*a, **k))
-    sink(spark.createDataFrame(second, s), 1)  # the replayed batch
-    assert merges == []  # finished from the staged buckets, not merged again
-    expect = rows(latest_per_key(spark.createDataFrame(first + second, s), ["k"], "ts"))
-    assert rows(t.read().select("k", "ts", "v")) == expect
 
+def test_second_writer_and_reset_checkpoint_lose_nothing(spark):
+    t = KeyedTable(spark, workdir(spark, "writers"), ["k"])
+    t.upsert(spark.createDataFrame([(1, 0, "base"), (2, 0, "base")], S3), writer="a", batch=0)
+    t.upsert(spark.createDataFrame([(2, 1, "b"), (3, 1, "b")], S3), writer="b", batch=0)  # its own batch 0
+    t.upsert(spark.createDataFrame([(3, 2, "c")], S3), writer="b2", batch=0)  # as after a checkpoint reset
+    assert rows(t.read()) == [(1, 0, "base"), (2, 1, "b"), (3, 2, "c")]
 
-def test_staging_keeps_only_the_last_batch_and_stays_hidden(spark):
-    s = "k INT, ts INT, v STRING"
-    t = KeyedTable(spark, workdir(spark, "stg"), ["k"], buckets=4)
-    sink = upsert_sink(t, "ts")
-    for b in range(3):
-        sink(spark.createDataFrame([(i, b, f"r{b}") for i in range(8)], s), b)
-    staged = spark.read.parquet(f"{t.path}/_staging")
-    assert [r[0] for r in staged.select("_batch").distinct().collect()] == ["b2"]
-    assert set(t.read().columns) == {"k", "ts", "v"} and t.read().count() == 8
+
+def test_replay_keeps_its_place_and_null_keys_are_left_out(spark):
+    t = KeyedTable(spark, workdir(spark, "replay"), ["k"])
+    first = spark.createDataFrame([(1, 0, "a"), (None, 0, "n")], S3)
+    t.upsert(first, writer="a", batch=0)
+    t.upsert(spark.createDataFrame([(1, 1, "later")], S3), writer="b", batch=0)
+    t.upsert(first, writer="a", batch=0)  # replayed after the other writer's batch
+    assert rows(t.read()) == [(1, 1, "later")]
+
+
+def test_newest_wins_with_tie_break_whatever_the_batch_order(spark):
+    t = KeyedTable(spark, workdir(spark, "newest"), ["k"], ["ts", "v"])
+    for v in [(1, 10, "m"), (1, 5, "z"), (1, 10, "l"), (2, None, "x")]:
+        t.upsert(spark.createDataFrame([v], S3))
+    assert rows(t.read()) == [(1, 10, "m"), (2, None, "x")]
+
+
+def test_a_batch_that_dies_while_writing_changes_nothing(spark):
+    import pytest
+    t = KeyedTable(spark, workdir(spark, "dies"), ["k"])
+    t.upsert(spark.createDataFrame([(1, 0, "a")], S3), writer="a", batch=0)
+    bad = spark.createDataFrame([(1, 1, "b"), (2, 1, "x")], S3).withColumn(
+        "v", F.when(F.col("k") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("string"))
+    with pytest.raises(Exception):
+        t.upsert(bad, writer="a", batch=1)
+    assert rows(t.read()) == [(1, 0, "a")]
+    t.upsert(spark.createDataFrame([(1, 1, "b"), (2, 1, "x")], S3), writer="a", batch=1)  # the replay
+    assert rows(t.read()) == [(1, 1, "b"), (2, 1, "x")]
+
+
+def test_no_success_markers_are_needed(spark):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        t = KeyedTable(spark, workdir(spark, "nomark"), ["k"])
+        for b in range(3):
+            t.upsert(spark.createDataFrame([(1, b, f"r{b}"), (10 + b, b, "n")], S3), writer="a", batch=b)
+        assert t.read().count() == 4 and (1, 2, "r2") in rows(t.read())
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_compaction_keeps_the_rows_and_later_batches_go_on(spark):
+    name = unique_name("kt")
+    t = KeyedTable(spark, workdir(spark, "compact"), ["k"], ["ts"], name=name)
+    for b in range(4):
+        t.upsert(spark.createDataFrame([(i, b * 10 + i, f"r{b}") for i in range(b, 6)], S3), writer="a", batch=b)
+    before, old = rows(t.read()), t.path
+    t.compact()
+    assert t.path != old and rows(t.read()) == before and spark.read.parquet(t.path).count() == len(before)
+    t.upsert(spark.createDataFrame([(0, 99, "new"), (5, 1, "late")], S3), writer="a", batch=4)
+    t.compact()
+    assert dict((r[0], r[2]) for r in rows(t.read())) == {**{r[0]: r[2] for r in before}, 0: "new"}
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_inserts_write_few_files_per_partition(spark):
+    db = unique_name("files")
+    cat.create_database(spark, db, workdir(spark, db))
+    df = spark.range(0, 4000, 1, 20).selectExpr("id", "CAST(id % 4 AS INT) AS p")
+    cat.ctas(spark, f"{db}.t", df.limit(0), ["p"], location=f"{workdir(spark, 'files')}")
+    cat.insert_into(df, f"{db}.t")
+    loc = spark.sql(f"DESCRIBE EXTENDED {db}.t").where("col_name = 'Location'").first()["data_type"].replace("file:", "")
+    assert _parquet_files(loc) <= 8
+    cat.replace_partitions(df, f"{db}.t")
+    assert _parquet_files(loc) <= 8 and spark.table(f"{db}.t").count() == 4000

@@ -9,7 +9,7 @@ PERMISSIVE mode.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,22 +26,14 @@ def json_decode(df: DataFrame, schema: StructType | str, payload: str = "value",
     """``from_json(payload, schema)`` flattened to top-level columns.
 
     ``keep`` names input columns carried next to the decoded fields.
-    With ``keep_bad=False`` rows whose payload is not a JSON object
-    (every decoded field NULL *and* the text does not start with ``{``)
-    are dropped instead of becoming all-NULL rows.
+    With ``keep_bad=False`` rows whose payload does not start with ``{`` are
+    dropped instead of becoming all-NULL rows.
     """
     keep = list(keep)
-    parsed = df.select(*keep, F.from_json(F.col(payload), schema).alias("_data"),
-                       *([] if keep_bad else [F.col(payload).alias("_raw")]))
     if not keep_bad:
-        parsed = parsed.filter(F.col("_data").isNotNull()
-                               & F.ltrim(F.col("_raw")).startswith("{"))
-    return parsed.select(*keep, "_data.*")
-
-
-def try_cast_cols(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Replace each column by its ``try_cast`` (NULL when the text is bad)."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+        df = df.filter(F.ltrim(F.col(payload)).startswith("{"))
+    # a generator parses each message once, whatever filters and projections follow
+    return df.select(*keep, F.inline(F.array(F.from_json(F.col(payload), schema))))
 
 
 def parse_time(col: str | Column, fmt: str) -> Column:
@@ -74,8 +66,9 @@ def to_ntz(col: str | Column) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def exact_money(col: str | Column, scale: int = 4) -> Column:
-    """A double amount as decimal(18, scale): sums of it do not depend on
-    the order of addition, so every engine and every partitioning agrees."""
+def exact_money(col: str | Column, scale: int = 8) -> Column:
+    """A double amount as decimal(24, scale): sums of it do not depend on
+    the order of addition, so every engine and every partitioning agrees.
+    NULL where it does not fit (an infinite or not-a-number amount, too)."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal(18,{scale})")
+    return c.try_cast(f"decimal(24,{scale})")

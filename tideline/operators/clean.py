@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tideline.functions.decode import parse_time
 from tideline.functions.fixed import COUNTRY_PATTERN, INVOICE_DATE_FORMAT
 
+PRICE_LIMIT = 1e12  # prices are summed as decimals: 16 digits before the point, 8 after
 CLEAN_COLUMNS = ["Country", "UnitPrice", "Quantity", "InvoiceDate"]
 
 
@@ -27,14 +28,15 @@ def typed_invoice(df: DataFrame, date_format: str = INVOICE_DATE_FORMAT) -> Data
 
 def retail_clean(df: DataFrame, date_format: str = INVOICE_DATE_FORMAT,
                  country_pattern: str = COUNTRY_PATTERN) -> DataFrame:
-    """Keep rows with quantity > 0, price > 0 and a country holding a letter.
+    """Keep rows with quantity > 0, a price over 0 and under ``PRICE_LIMIT`` and
+    a country holding a letter.
 
-    Unparseable numbers are NULL and fail the comparisons, so they are
+    Not-a-number and infinite prices are over every limit. Unparseable numbers are NULL and fail the comparisons, so they are
     dropped too. A row whose date does not parse is kept with a NULL date
     (it passes every filter; a time window later ignores it).
     """
     t = typed_invoice(df, date_format)
-    return (t.filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0))
+    return (t.filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0) & (F.col("UnitPrice") < PRICE_LIMIT))
              .select(*CLEAN_COLUMNS)
              .filter(F.col("Country").rlike(country_pattern)))
 
@@ -49,6 +51,7 @@ def reject_reason(date_format: str = INVOICE_DATE_FORMAT,
              .when(q <= 0, "quantity_not_positive")
              .when(p.isNull(), "bad_price")
              .when(p <= 0, "price_not_positive")
+             .when(p >= PRICE_LIMIT, "price_out_of_range")
              .when(F.col("Country").isNull() | ~F.col("Country").rlike(country_pattern),
                    "bad_country")
              .when(d.isNull(), "no_date")

@@ -30,9 +30,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: str | Column,
 def latest_semi(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     """Rows whose ``ts`` equals the maximum ``ts`` of their key (ties all kept).
 
-    Per-key max is a partial+final hash aggregate; the semi join then runs on
-    (keys, ts), so one hot key is spread over its distinct timestamps.
-    Rows with a NULL key never match (plain equality), as in SQL.
+    ``rank() = 1`` over one shuffle; each map task keeps only the rows that
+    tie for its own maximum (``WindowGroupLimit``). Rows with a NULL key or
+    time never match, as in a join on them.
     """
-    mx = df.groupBy(*keys).agg(F.max(ts).alias(ts))
-    return df.join(mx, on=[*keys, ts], how="left_semi")
+    rows = df.dropna(subset=[*keys, ts])
+    w = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
+    return rows.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")

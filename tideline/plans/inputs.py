@@ -14,8 +14,13 @@ content, so cleaning and reject reasons see bad text on every run:
 
 * error events with k < 10: UnitPrice ``n/a``;  10 <= k < 15: Quantity ``abc``
 * error events with k >= 90: InvoiceDate ``unknown``
+* error events with 15 <= k < 20: UnitPrice ``1e20``; < 25: ``NaN``; < 30: ``Infinity``;
+  < 35: six decimals
 * signup events with k < 5: Country is the nation key (digits only)
 * view events write zero-padded dates, the others unpadded ones
+
+The event messages and the replayed events lack some values, by content too:
+signup events with k >= 95 have no time, view events with k = 99 no user.
 """
 
 from __future__ import annotations
@@ -33,7 +38,8 @@ def K() -> Column:
 
 def with_k(events: DataFrame) -> DataFrame:
     """``props`` ({"k": n}) decoded to an int column ``k``."""
-    return events.withColumn("k", K())
+    parsed = events.select("*", F.json_tuple("props", "k").alias("k"))  # a generator: parsed once per row
+    return parsed.withColumn("k", F.col("k").try_cast("int"))
 
 
 def membership_level(k: Column) -> Column:
@@ -41,6 +47,14 @@ def membership_level(k: Column) -> Column:
                         (F.pmod(k, F.lit(len(MEMBERSHIP_LEVELS))) + 1).cast("int"))
 
 
+def odd_events(events: DataFrame) -> DataFrame:
+    """The events, some without a time and some without a user (see above)."""
+    k = K()
+    return events.withColumns({
+        "ts": F.when(~((F.col("event_type") == "signup") & (k >= 95)), F.col("ts")),
+        "user_id": F.when(~((F.col("event_type") == "view") & (k == 99)), F.col("user_id"))})
+
+
 def order_events(events: DataFrame) -> DataFrame:
     return (events.filter(F.col("event_type") == "click")
             .select(F.col("event_id").alias("order_id"), F.col("user_id").alias("order_owner"),
@@ -58,9 +72,7 @@ def member_events(events: DataFrame) -> DataFrame:
 EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, ts BIGINT, k INT"
 ORDER_SCHEMA = "order_id BIGINT, order_owner BIGINT, order_value DOUBLE, timestamp BIGINT"
 MEMBER_SCHEMA = "member_id BIGINT, order_owner BIGINT, membership STRING, timestamp BIGINT"
-INVOICE_SCHEMA = ("Country STRING, Customer STRING, Description STRING, InvoiceDate STRING, "
-                  "InvoiceNo STRING, Quantity STRING, StockCode STRING, UnitPrice STRING, "
-                  "ingest_month INT, ingest_day INT, ingest_hour INT")
+INVOICE_SCHEMA = "Country STRING, InvoiceDate STRING, Quantity STRING, UnitPrice STRING"  # what is used of a message
 
 
 def event_messages(events: DataFrame, junk_errors: bool = False) -> DataFrame:
@@ -90,11 +102,11 @@ def member_messages(events: DataFrame) -> DataFrame:
 
 def invoice_rows(events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Invoice fields as text (the message body), plus ``ts`` for replay."""
+    # the dimensions first: the facts then move once, by customer
+    who = (customer.select("c_custkey", "c_name", "c_nationkey")
+           .join(nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")))
     e = with_k(events)
-    j = (e.join(customer.select("c_custkey", "c_name", "c_nationkey"),
-                e.user_id == customer.c_custkey)
-          .join(nation.select("n_nationkey", "n_name"),
-                F.col("c_nationkey") == F.col("n_nationkey")))
+    j = e.join(who, e.user_id == who.c_custkey)
     et, k = F.col("event_type"), F.col("k")
     err = et == "error"
     date_fmt = F.when(et == "view", F.date_format("ts", "MM/dd/yyyy HH:mm")) \
@@ -108,7 +120,9 @@ def invoice_rows(events: DataFrame, customer: DataFrame, nation: DataFrame) -> D
         F.col("event_id").cast("string").alias("InvoiceNo"),
         F.when(err & (k >= 10) & (k < 15), F.lit("abc")).otherwise(k.cast("string")).alias("Quantity"),
         F.col("user_id").cast("string").alias("StockCode"),
-        F.when(err & (k < 10), F.lit("n/a")).otherwise(F.col("value").cast("string")).alias("UnitPrice"),
+        F.when(err & (k < 10), F.lit("n/a")).when(err & k.between(15, 19), F.lit("1e20"))
+         .when(err & k.between(20, 24), F.lit("NaN")).when(err & k.between(25, 29), F.lit("Infinity"))
+         .when(err & k.between(30, 34), F.lit("12.345678")).otherwise(F.col("value").cast("string")).alias("UnitPrice"),
         F.month("ts").alias("ingest_month"), F.dayofmonth("ts").alias("ingest_day"),
         F.hour("ts").alias("ingest_hour"),
         "ts",

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.functions.fixed import MEMBERSHIP_LEVELS, PRODUCT_DIM_ROWS
 from tideline.plans import orders as O
@@ -52,6 +53,22 @@ def _top(orders, customer):
     return R.top_customers(R.customer_summary(orders, customer), TOP_K)
 
 
+def _rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four rebuilt retail tables after two runs, as (table, key, amount) rows."""
+    from tideline.session import workdir
+    db = T._database(spark, "retail")
+    for _ in range(2):
+        names = R.retail_rebuild(spark, *_t(spark, sf_dir, "events", "customer", "nation", "orders", "lineitem", "part"),
+                                 db, workdir(spark, "retail"), POPULAR_COUNTRY, TOP_K)
+    out = None
+    for role, key, amount in (("cleaned", "Country", "UnitPrice"), ("summary", "c_name", "total_spend"),
+                              ("top", "c_name", "total_spend"), ("popular", "p_name", "total_qty")):
+        rows = spark.table(names[role]).select(F.lit(role).alias("table_role"), F.col(key).alias("key"),
+                                               F.col(amount).cast("double").alias("amount"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # retail sales
     "sales_by_country_hour": _q(R.sales_by_country_hour, "events", "customer", "nation"),
@@ -61,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_drop": _qs(_late_drop, "events", "customer", "nation"),
     "retail_customer_summary": _q(R.customer_summary, "orders", "customer"),
     "retail_top_customer": _q(_top, "orders", "customer"),
+    "retail_rebuild": _rebuild,
     "retail_popular_item": _q(_popular, "lineitem", "orders", "customer", "nation", "part"),
     # orders: decode, join, latest, upsert
     "json_decode": _q(O.decode_event_messages, "events"),
@@ -72,9 +90,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "interval_join": _q(O.orders_with_members, "events"),
     "interval_join_day": _q(O.orders_with_members, "events", within="1 day"),
     "upsert_latest": _qs(O.upsert_latest, "events"),
+    "upsert_two_writers": _qs(O.upsert_two_writers, "events"),
+    "upsert_late_batch": _qs(O.upsert_late_batch, "events"),
     # streaming
     "stream_json_ingest": _qs(O.stream_json_ingest, "events"),
     "stream_interval_join": _qs(O.stream_interval_join, "events"),
+    "stream_interval_join_day": _qs(O.stream_interval_join, "events", within="1 day"),
     "stream_upsert_latest": _qs(O.stream_upsert_latest, "events"),
     "stream_two_topics": _qs(O.stream_two_topics, "events"),
     "stream_enrich_inline_dim": _qs(O.stream_enrich_products, "events"),
@@ -84,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_tagged_distinct": _q(T.union_tagged_distinct, "customer", "supplier"),
     "ctas_partitioned": _qs(T.ctas_partitioned, "orders"),
     "insert_into_select": _qs(T.insert_into_select, "orders"),
+    "partition_drop_insert": _qs(T.partition_drop_insert, "orders"),
     "replace_partition": _qs(T.replace_partition, "orders"),
     "external_table_repair": _qs(T.external_table_repair, "events"),
     "append_ingest_partitioned": _qs(T.append_ingest_partitioned, "events"),
@@ -126,18 +148,20 @@ INVOICE_CTES = f"""inv AS (
                       JOIN nation n ON c.c_nationkey = n.n_nationkey),
       typed AS (
         SELECT CASE WHEN et = 'signup' AND k < 5 THEN CAST(c_nationkey AS VARCHAR) ELSE n_name END AS Country,
-               CASE WHEN et = 'error' AND k < 10 THEN NULL ELSE value END AS UnitPrice,
+               CASE WHEN et <> 'error' THEN value WHEN k < 10 THEN NULL WHEN k BETWEEN 15 AND 19 THEN 1e20
+                    WHEN k BETWEEN 20 AND 24 THEN 'NaN'::DOUBLE WHEN k BETWEEN 25 AND 29 THEN 'Infinity'::DOUBLE
+                    WHEN k BETWEEN 30 AND 34 THEN 12.345678 ELSE value END AS UnitPrice,
                CASE WHEN et = 'error' AND k >= 10 AND k < 15 THEN NULL ELSE k END AS Quantity,
                CASE WHEN et = 'error' AND k >= 90 THEN NULL ELSE date_trunc('minute', ts) END AS InvoiceDate,
                ts
         FROM inv),
       clean AS (
         SELECT Country, UnitPrice, Quantity, InvoiceDate, ts FROM typed
-        WHERE Quantity > 0 AND UnitPrice > 0 AND regexp_matches(Country, '[A-Za-z]'))"""
+        WHERE Quantity > 0 AND UnitPrice > 0 AND UnitPrice < 1e12 AND regexp_matches(Country, '[A-Za-z]'))"""
 
 SALES_AGG = """SELECT Country, date_trunc('hour', InvoiceDate) AS start,
                date_trunc('hour', InvoiceDate) + INTERVAL 1 HOUR AS "end",
-               CAST(sum(CAST(UnitPrice AS DECIMAL(18,4)) * Quantity) AS DOUBLE) AS Total_sales
+               CAST(sum(CAST(UnitPrice AS DECIMAL(28,10)) * Quantity) AS DOUBLE) AS Total_sales
         FROM {src} WHERE InvoiceDate IS NOT NULL GROUP BY ALL"""
 
 SLICE = "floor(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) / 6)"
@@ -145,6 +169,9 @@ SLICE = "floor(datediff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(
 LATEST = """SELECT * FROM {src} QUALIFY row_number() OVER (
           PARTITION BY {keys} ORDER BY {order}) = 1"""
 
+ODD_TS = f"CASE WHEN event_type = 'signup' AND {K} >= 95 THEN NULL ELSE ts END"
+ODD_USER = f"CASE WHEN event_type = 'view' AND {K} = 99 THEN NULL ELSE user_id END"
+ODD = f"(SELECT event_id, {ODD_TS} AS ts, {ODD_USER} AS user_id, event_type, value, props FROM events)"
 JUNK = f"(event_type = 'error' AND {K} < 10)"
 DECODED = ", ".join(
     f"CASE WHEN {JUNK} THEN NULL ELSE {expr} END AS {name}"
@@ -160,7 +187,7 @@ ORACLE: dict[str, str] = {
     "sales_by_country_hour": f"""
       SELECT n.n_name AS Country, date_trunc('hour', e.ts) AS start,
              date_trunc('hour', e.ts) + INTERVAL 1 HOUR AS "end",
-             CAST(sum(CAST(e.value AS DECIMAL(18,4)) * CAST(json_extract(e.props, '$.k') AS INTEGER))
+             CAST(sum(CAST(e.value AS DECIMAL(28,10)) * CAST(json_extract(e.props, '$.k') AS INTEGER))
                   AS DOUBLE) AS Total_sales
       FROM events e JOIN customer c ON e.user_id = c.c_custkey
                     JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -174,6 +201,7 @@ ORACLE: dict[str, str] = {
                   WHEN Quantity <= 0 THEN 'quantity_not_positive'
                   WHEN UnitPrice IS NULL THEN 'bad_price'
                   WHEN UnitPrice <= 0 THEN 'price_not_positive'
+                  WHEN UnitPrice >= 1e12 THEN 'price_out_of_range'
                   WHEN Country IS NULL OR NOT regexp_matches(Country, '[A-Za-z]') THEN 'bad_country'
                   WHEN InvoiceDate IS NULL THEN 'no_date'
                   ELSE 'ok' END AS reason, count(*) AS n
@@ -207,7 +235,7 @@ ORACLE: dict[str, str] = {
           SELECT o_orderkey FROM orders WHERE o_custkey IN (
             SELECT c_custkey FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
             WHERE n.n_name = '{POPULAR_COUNTRY}'))),
-      pp AS (SELECT l_partkey, sum(l_quantity) AS total_qty, count(*) AS n_lines
+      pp AS (SELECT l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_qty, count(*) AS n_lines
              FROM li GROUP BY l_partkey ORDER BY total_qty DESC, l_partkey LIMIT {TOP_K})
       SELECT pp.l_partkey AS p_partkey, p.p_name, pp.total_qty, pp.n_lines
       FROM pp JOIN part p ON pp.l_partkey = p.p_partkey""",
@@ -235,22 +263,27 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT * FROM u""",
     "stream_json_ingest": f"""
       SELECT {DECODED}, {YEAR_PARTS.format(c=MS.format(c="CASE WHEN " + JUNK + " THEN NULL ELSE ts END"))}
-      FROM events""",
+      FROM {ODD}""",
     "stream_interval_join": _interval("1 HOUR"),
-    "stream_upsert_latest": LATEST.format(src="events", keys="user_id",
-                                          order="ts DESC, event_id DESC"),
-    "stream_two_topics": """
-      SELECT 'orders' AS topic, count(*) AS n_rows, count(DISTINCT user_id) AS n_owners,
-             min(date_trunc('millisecond', ts)) AS first_ts, max(date_trunc('millisecond', ts)) AS last_ts
+    "stream_interval_join_day": _interval("1 DAY"),
+    "stream_upsert_latest": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                          order="ts DESC NULLS LAST, event_id DESC"),
+    "upsert_two_writers": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                        order="ts DESC NULLS LAST, event_id DESC"),
+    "upsert_late_batch": LATEST.format(src="events", keys="user_id", order="ts DESC, event_id DESC"),
+    "stream_two_topics": f"""
+      SELECT 'orders' AS topic, event_id AS id, user_id AS order_owner, value AS order_value,
+             date_trunc('millisecond', ts) AS timestamp, NULL AS membership
       FROM events WHERE event_type = 'click'
       UNION ALL
-      SELECT 'membership', count(*), count(DISTINCT user_id),
-             min(date_trunc('millisecond', ts)), max(date_trunc('millisecond', ts))
+      SELECT 'membership', event_id, user_id, NULL, date_trunc('millisecond', ts), {LEVEL.format(k=K)}
       FROM events WHERE event_type = 'purchase'""",
     "stream_enrich_inline_dim": f"""
       SELECT p.order_id, e.event_id, e.user_id, date_trunc('millisecond', e.ts) AS ts, p.product_name
       FROM events e JOIN (VALUES {PRODUCTS}) p(order_id, product_name) ON {K} = p.order_id""",
-    "stream_archive_by_hour": "SELECT * FROM events",
+    "stream_archive_by_hour": f"""
+      SELECT *, strftime(ts, '%Y') AS ingest_year, strftime(ts, '%m') AS ingest_month,
+             strftime(ts, '%d') AS ingest_day, strftime(ts, '%H') AS ingest_hour FROM {ODD}""",
     "medallion_processed": f"""
       WITH {_orders_members(ms=True)},
       j AS (SELECT o.*, m.* FROM o JOIN m ON o.order_owner = m.member_owner
@@ -277,9 +310,28 @@ ORACLE: dict[str, str] = {
     "append_ingest_partitioned": f"""
       SELECT '2024' AS year, '01' AS month,
              CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '15' ELSE '31' END AS day,
-             '00' AS hour, {PER_PART}
-      FROM events GROUP BY ALL""",
-    "append_key_partitioned": f"SELECT event_type, {PER_PART} FROM events GROUP BY event_type",
+             '00' AS hour, *
+      FROM events""",
+    "append_key_partitioned": "SELECT * FROM events",
+    "snapshot_manifest": f"""
+      SELECT event_type, {PER_PART}
+      FROM (SELECT event_type, CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value FROM events)
+      GROUP BY event_type""",
+    "partition_drop_insert": f"""
+      SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) = 1998 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+             o_totalprice, o_orderdate, o_orderpriority, {O_YEAR} FROM orders""",
+    "retail_rebuild": f"""WITH {INVOICE_CTES},
+      spend AS (SELECT c.c_custkey, c.c_name, CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend
+                FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY ALL),
+      sold AS (SELECT l_partkey, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem
+               WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN (
+                 SELECT c_custkey FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+                 WHERE n.n_name = '{POPULAR_COUNTRY}')) GROUP BY l_partkey)
+      SELECT 'cleaned' AS table_role, Country AS key, UnitPrice AS amount FROM clean
+      UNION ALL SELECT 'summary', c_name, total_spend FROM spend
+      UNION ALL (SELECT 'top', c_name, total_spend FROM spend ORDER BY total_spend DESC, c_custkey LIMIT {TOP_K})
+      UNION ALL (SELECT 'popular', p_name, qty FROM sold JOIN part ON l_partkey = p_partkey
+                 ORDER BY qty DESC, l_partkey LIMIT {TOP_K})""",
     "taxi_style_refresh": """
       SELECT 'yellow' AS taxi_type, c_custkey AS party_key, c_name AS name, c_acctbal AS acctbal,
              c_nationkey AS partition_column FROM customer
@@ -287,4 +339,3 @@ ORACLE: dict[str, str] = {
       SELECT 'green', s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier""",
 }
 
-# snapshot_manifest lists files: no SQL equivalent (rows-only check).

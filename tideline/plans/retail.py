@@ -3,17 +3,19 @@ the batch rebuild (customer summary, top customers, popular items)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.decode import event_time, exact_money, json_decode
 from tideline.functions.fixed import COUNTRY_PATTERN, SALES_WATERMARK, SALES_WINDOW
-from tideline.operators.clean import retail_clean, retail_rejects
+from tideline.operators.clean import PRICE_LIMIT, retail_clean, retail_rejects
 from tideline.operators.windows import windowed_sum
-from tideline.plans.inputs import INVOICE_SCHEMA, K, invoice_messages, invoice_rows
+from tideline.plans.inputs import INVOICE_SCHEMA, invoice_messages, invoice_rows, with_k
 from tideline.session import workdir
 from tideline.sinks.catalog import rebuild_table, repair
 from tideline.sinks.files import batch_writer
+from tideline.sinks.keyed import absent
 from tideline.sources.feeds import Feed
 from tideline.sources.streams import stream_source
 from tideline.streaming.runner import dropped_rows, finish, start
@@ -30,15 +32,16 @@ def sales_by_country_hour(events: DataFrame, customer: DataFrame, nation: DataFr
     sum per (country, hour). Both sums are decimal, so the two-step total
     equals the one-step one exactly.
     """
-    e = (events.select("user_id", "ts", F.col("value").alias("UnitPrice"), K().alias("Quantity"))
-               .filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0)))
+    e = (with_k(events.select("user_id", "ts", F.col("value").alias("UnitPrice"), "props"))
+         .withColumnRenamed("k", "Quantity")
+         .filter((F.col("Quantity") > 0) & (F.col("UnitPrice") > 0) & (F.col("UnitPrice") < PRICE_LIMIT)))
     per_user = (e.groupBy("user_id", F.window("ts", size).alias("w"))
                  .agg(F.sum(exact_money("UnitPrice") * F.col("Quantity")).alias("amt")))
     c = customer.select("c_custkey", "c_nationkey")
     n = nation.select("n_nationkey", F.col("n_name").alias("Country"))
-    j = (per_user.join(c, per_user.user_id == c.c_custkey)
-                 .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-                 .filter(F.col("Country").rlike(country_pattern)))
+    who = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+            .filter(F.col("Country").rlike(country_pattern)))
+    j = per_user.join(who, per_user.user_id == who.c_custkey)
     return (j.groupBy("Country", "w").agg(F.sum("amt").cast("double").alias("Total_sales"))
              .select("Country", F.col("w.start").cast("timestamp_ntz").alias("start"),
                      F.col("w.end").cast("timestamp_ntz").alias("end"), "Total_sales"))
@@ -76,7 +79,7 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
     feed = Feed(spark, invoice_messages(events, customer, nation), "ts", days, fmt="text",
                 name="invoices")
     out, ckpt = workdir(spark, "totalsales"), workdir(spark, "totalsales-ckpt")
-    order = list(reversed(feed.slices)) if newest_first else feed.slices
+    order = sorted(feed.slices, key=lambda i: -1 if i is None else i, reverse=True) if newest_first else feed.slices
     dropped = 0
     for i in order:
         feed.deliver(i)
@@ -95,8 +98,10 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
 def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
-    except Exception:  # nothing was ever written (every batch was empty)
-        return spark.createDataFrame([], ddl)
+    except AnalysisException as e:
+        if not absent(e):
+            raise
+        return spark.createDataFrame([], ddl)  # nothing was ever written: every batch was empty
 
 
 # ---- batch rebuild: summary, top customers, popular items ---------------
@@ -138,7 +143,7 @@ def popular_items(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     ords = orders.join(cust, orders.o_custkey == cust.c_custkey, "left_semi").select("o_orderkey")
     li = lineitem.join(ords, lineitem.l_orderkey == ords.o_orderkey, "left_semi")
     per_part = (li.groupBy("l_partkey")
-                  .agg(F.sum("l_quantity").alias("total_qty"),
+                  .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_qty"),
                        F.count(F.lit(1)).alias("n_lines")))
     top = per_part.orderBy(F.col("total_qty").desc(), F.col("l_partkey").asc()).limit(k)
     p = part.select("p_partkey", "p_name")
@@ -153,10 +158,10 @@ def retail_rebuild(spark: SparkSession, events: DataFrame, customer: DataFrame,
     """Full rebuild of the four retail output tables (each overwritten whole),
     then partition sync. Returns table names by role."""
     names = {
-        "cleaned": f"{database}.batch01_order_cleaned",
-        "summary": f"{database}.batch02_customerordersummary",
-        "top": f"{database}.batch03_topcustomer",
-        "popular": f"{database}.batch04_popularitem",
+        "cleaned": f"{database}.invoices_clean",
+        "summary": f"{database}.customer_totals",
+        "top": f"{database}.customers_top",
+        "popular": f"{database}.items_popular",
     }
     cleaned = clean_invoices(events, customer, nation).withColumn(
         "invoice_day", F.to_date("InvoiceDate"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.timeparts import with_time_parts
 from tideline.operators.setops import union_tagged
+from tideline.plans.inputs import odd_events
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
 from tideline.sinks.files import append_partitioned
@@ -122,7 +123,7 @@ def append_ingest_partitioned(spark: SparkSession, events: DataFrame,
     for batch, at in zip(_two_batches(events, split), ingest_at):
         _append_ingest(batch, path, at=at)
     back = spark.read.schema(EVENT_DDL + ", year STRING, month STRING, day STRING, hour STRING").parquet(path)
-    return _per_partition(back, ["year", "month", "day", "hour"])
+    return back
 
 
 def append_key_partitioned(spark: SparkSession, events: DataFrame,
@@ -131,19 +132,33 @@ def append_key_partitioned(spark: SparkSession, events: DataFrame,
     path = workdir(spark, "raw-by-type")
     for batch in _two_batches(events, split):
         append_partitioned(batch, path, ["event_type"])
-    back = spark.read.schema(EVENT_DDL).parquet(path)
-    return _per_partition(back, ["event_type"])
+    return spark.read.schema(EVENT_DDL).parquet(path)
 
 
 def snapshot_manifest(spark: SparkSession, events: DataFrame, split: str = "2024-01-15") -> DataFrame:
-    """Files of the current snapshot of a partitioned table, per partition,
-    also written as text manifests (one folder per partition)."""
+    """Text manifests of a partitioned table's files, one folder per partition,
+    made after one partition was replaced (by its doubled values); then rows
+    and value per partition, read through the files the manifests name."""
     path = workdir(spark, "manifested")
     for batch in _two_batches(events, split):
         append_partitioned(batch, path, ["event_type"])
-    snap = spark.read.schema(EVENT_DDL).parquet(path)
-    cat.write_manifest(snap, f"{path}_manifest", ["event_type"])
-    return cat.manifest(snap, ["event_type"])
+    again = events.where("event_type = 'click'").withColumn("value", F.col("value") * 2)
+    append_partitioned(again, path, ["event_type"], mode="overwrite", options={"partitionOverwriteMode": "dynamic"})
+    cat.write_manifest(spark, path, f"{path}_manifest", "event_type")
+    listed = [r["value"] for r in spark.read.text(f"{path}_manifest").collect()]  # a name per data file
+    return _per_partition(spark.read.schema(EVENT_DDL).option("basePath", path).parquet(*listed), ["event_type"])
+
+
+def partition_drop_insert(spark: SparkSession, orders: DataFrame, year: int = 1998) -> DataFrame:
+    """If the partition of ``year`` exists, drop it and its files, then insert its orders again, closed."""
+    db = _database(spark)
+    t = f"{db}.orders_by_year"
+    cat.ctas(spark, t, orders_by_year(orders), ["o_year"])
+    if cat.partition_exists(spark, t, {"o_year": year}):
+        cat.drop_partition(spark, t, {"o_year": year})
+    closed = orders_by_year(orders).where(F.col("o_year") == year).withColumn("o_orderstatus", F.lit("F"))
+    cat.insert_into(closed.select(*spark.table(t).columns), t)
+    return spark.table(t)
 
 
 # ---- tagged-union partition refresh ---------------------------------------
@@ -169,11 +184,11 @@ def refresh_summary(spark: SparkSession, sources: dict[str, str], summary: str,
     or ``only`` those values), drop staging. Re-running gives the same table."""
     for t in sources.values():
         cat.repair(spark, t)
-    staging = f"{db}.aggregate_staging"
+    staging = f"{db}.party_staging"
     cat.drop_table(spark, staging)
     tagged = union_tagged({tag: spark.table(t) for tag, t in sources.items()}, "taxi_type")
     cat.ctas(spark, staging, tagged, ["partition_column"],
-             location=workdir(spark, "aggregate-staging"))
+             location=workdir(spark, "party-staging"))
     rows = spark.table(staging)
     if only is not None:
         rows = rows.filter(F.col("partition_column").isin(only))
@@ -191,9 +206,9 @@ def taxi_style_refresh(spark: SparkSession, customer: DataFrame, supplier: DataF
         t = f"{db}.{tag}_taxi"
         cat.create_external(spark, t, PARTY_DDL, ["partition_column"], loc)
         sources[tag] = t
-    summary = f"{db}.aggregate_summary"
+    summary = f"{db}.party_summary"
     spark.sql(f"CREATE TABLE {summary} (taxi_type STRING, {PARTY_DDL}) USING parquet "
-              f"PARTITIONED BY (partition_column) LOCATION '{workdir(spark, 'aggregate-summary')}'")
+              f"PARTITIONED BY (partition_column) LOCATION '{workdir(spark, 'party-summary')}'")
     for _ in range(runs):
         refresh_summary(spark, sources, summary, db)
     return spark.table(summary)
@@ -208,9 +223,7 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
     """Tail a catalog table as a stream; each micro-batch is archived
     (exactly once, file sink) under
     ``ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH`` of its
-    ingest time (the batch timestamp, which a replay reuses), so a batch lands
-    in one partition and each task writes one file. Returns the archived rows
-    (the partition values depend on when it ran)."""
+    event time. Returns the archived rows with their path columns."""
     from tideline.sinks.files import stream_append
     from tideline.sources.feeds import Feed
     from tideline.sources.streams import table_stream
@@ -220,13 +233,13 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
     t = f"{db}.orderlog_landing"
     spark.sql(f"CREATE TABLE {t} ({EVENT_DDL}) USING parquet "
               f"LOCATION '{workdir(spark, 'orderlog-landing')}'")
-    feed = Feed(spark, events, "ts", days, name="orderlog")
+    feed = Feed(spark, odd_events(events), "ts", days, name="orderlog")
     archive, ckpt = workdir(spark, "orderlog"), workdir(spark, "orderlog-ckpt")
     cols = spark.table(t).columns
     for i in feed.slices:
         cat.insert_into(feed.slice(i).select(*cols), t)
         src = table_stream(spark, t)
-        stamped = with_time_parts(src, None, prefix="ingest_")  # the batch timestamp
+        stamped = with_time_parts(src, "ts", prefix="ingest_")
         finish(stream_append(stamped, archive, ckpt, ARCHIVE_PARTS))
     back = spark.read.schema(EVENT_DDL + ", " + ", ".join(f"{c} STRING" for c in ARCHIVE_PARTS)).parquet(archive)
-    return back.select(*cols)
+    return back.select(*cols, *ARCHIVE_PARTS)

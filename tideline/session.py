@@ -66,9 +66,6 @@ def scale_conf(cores: int, shuffle_bytes: int, target_bytes: int = 256 * MB,
     }
 
 
-# Runtime settings that are safe to apply to a session someone else built.
-RUNTIME_CONF = ("spark.sql.session.timeZone",)
-
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "tideline", extra: dict | None = None) -> SparkSession:
@@ -77,7 +74,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "16g")
+         .config("spark.driver.memory", "8g")
          .config("spark.sql.warehouse.dir", _local_scratch("warehouse")))
     for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
@@ -120,7 +117,6 @@ def session_conf(spark: SparkSession, settings: dict[str, str]):
 # Overwrite modes are set per write (never left to the session): partition
 # replacement is dynamic, full rebuilds and single-batch staging are static.
 DYNAMIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-STATIC_OVERWRITE = {"spark.sql.sources.partitionOverwriteMode": "static"}
 
 
 _LOCAL_ROOT: str | None = None
@@ -151,6 +147,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc is not None and sc.getCheckpointDir().isDefined():
         root = sc.getCheckpointDir().get()
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_scratch("checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir().isDefined():
@@ -163,13 +162,5 @@ def workdir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Total task slots of the cluster (cores), used to size stream state."""
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:  # no SparkContext (e.g. a remote session)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"

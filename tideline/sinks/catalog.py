@@ -47,19 +47,26 @@ def rebuild_table(df: DataFrame, table: str, location: str,
     rebuilt). Static overwrite is set for the write, so a session whose
     default is dynamic does not keep stale partitions.
     """
-    from tideline.session import STATIC_OVERWRITE, session_conf
     from tideline.sinks.files import rebalanced
-    with session_conf(df.sparkSession, STATIC_OVERWRITE):
-        w = (rebalanced(df, partition_by).write.format(fmt).mode("overwrite")
-             .option("partitionOverwriteMode", "static").option("path", location))
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(table)
+    w = (rebalanced(df, partition_by).write.format(fmt).mode("overwrite")
+         .option("partitionOverwriteMode", "static").option("path", location))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(table)
 
 
 def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
-    """``INSERT INTO t SELECT …``: columns by position, as SQL does."""
-    df.write.insertInto(table, overwrite=overwrite)
+    """``INSERT INTO t SELECT …``: columns by position, as SQL does (rows
+    regrouped by the table's partition columns first)."""
+    _regrouped(df, table).write.insertInto(table, overwrite=overwrite)
+
+
+def _regrouped(df: DataFrame, table: str) -> DataFrame:
+    from tideline.sinks.files import rebalanced
+    spark = df.sparkSession
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    place = {name: i for i, name in enumerate(spark.table(table).columns)}
+    return rebalanced(df, [df.columns[place[p]] for p in parts])
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
@@ -71,6 +78,7 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     the write (a session left in static mode would wipe the whole table).
     """
     from tideline.session import DYNAMIC_OVERWRITE, session_conf
+    df = _regrouped(df, table)
     with session_conf(df.sparkSession, DYNAMIC_OVERWRITE):
         df.write.insertInto(table, overwrite=True)
 
@@ -96,43 +104,18 @@ def repair(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {_q(table)}")
 
 
-def add_partitions(spark: SparkSession, table: str, written: DataFrame,
-                   partition_by: Sequence[str], chunk: int = 500) -> int:
-    """Register only the partitions present in ``written`` (the rows a run
-    just wrote): ``ALTER TABLE … ADD IF NOT EXISTS PARTITION (…) …``.
-
-    ``MSCK REPAIR`` lists every partition folder of the table on each run, so
-    its cost grows with the table's history; this grows with one run's
-    output. Only the distinct partition values reach the driver (an hourly
-    run writes a handful), never rows. Returns how many values were given.
-    """
-    cols = list(partition_by)
-    specs = [r.asDict() for r in written.select(*cols).distinct().collect()]
-    for i in range(0, len(specs), chunk):
-        parts = " ".join(f"PARTITION ({_spec(sp)})" for sp in specs[i:i + chunk])
-        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {parts}")
-    return len(specs)
-
-
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
 
 
-def manifest(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-    """The data files a reader of ``df``'s current snapshot must see.
-
-    Distributed: ``input_file_name`` per row, then a distinct per partition
-    (files, not rows, reach the shuffle after partial aggregation).
-    Returns ``partition cols…, path, n_rows``.
-    """
-    return (df.select(*partition_by, F.input_file_name().alias("path"))
-              .groupBy(*partition_by, "path").agg(F.count(F.lit(1)).alias("n_rows")))
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The data files under a table's folder: path, length (a file listing; no row is read)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .load(path).select("path", "length"))
 
 
-def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write the manifest as text files, one folder per partition."""
-    m = manifest(df, partition_by).select(*partition_by, "path")
-    w = m.write.mode("overwrite").option("partitionOverwriteMode", "static")  # whole manifest
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.text(path)
+def write_manifest(spark: SparkSession, table_path: str, path: str, partition: str) -> None:
+    """Write the manifest as text files, one folder per value of ``partition``."""
+    value = F.regexp_extract("path", f"/{partition}=([^/]*)/", 1)
+    (manifest(spark, table_path).select(value.alias(partition), "path")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).text(path))

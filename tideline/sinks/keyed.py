@@ -1,200 +1,135 @@
-"""A keyed parquet table that supports upserts (MERGE update-all/insert-all).
-
-Rows are stored hive-partitioned by ``bucket = pmod(xxhash64(keys), N)``.
-An upsert reads only the buckets its batch touches, merges them with
-:func:`merge_rows`, stages the merged buckets as parquet in the table's own
-``_staging`` folder (this cuts the lineage to the files about to be
-replaced), and swaps them in with a dynamic partition overwrite. The cost of
-one upsert follows the touched buckets, not the table.
-
-Sizing: an upsert rewrites every bucket its batch touches, so a bucket
-should stay small (``buckets_for(table_bytes)`` aims at ~512 MB each). A
-batch of ``b`` distinct keys touches at most ``min(b, N)`` buckets: at
-100 TB that is ~200k buckets, and an hourly batch of a few thousand keys
-rewrites a few TB at most rather than the whole table.
-
-Failures: ``_staging`` holds the last batch's merged buckets, tagged with
-its batch id. Readers never see it (Spark skips ``_``-folders), and each
-upsert replaces it, so it never holds more than one batch. It is complete
-once Spark's ``_SUCCESS`` marker is there. A batch replayed after a crash
-(same ``batch_id``) whose buckets were fully staged redoes the swap from
-them instead of merging again, so a driver that died half-way through the
-swap leaves no lost bucket behind. A crash before staging completed left
-the table untouched, and the replay merges again. Re-running a batch that
-did finish gives the same table (last batch wins).
-
-Limits: one writer at a time; readers may see a bucket between delete and
-rename (the swap is not atomic for readers). When the Delta Lake package is
-installed, ``fmt="delta"`` uses its MERGE instead.
+"""A keyed table that takes upserts as appends and resolves them on read.
+
+Each batch is appended under its own ``writer=<id>/batch=<id>`` folder by a
+dynamic partition overwrite, with a sequence number. Reading keeps one row per
+key: the last write, or with ``newest`` the greatest of those columns (ties:
+the last write). So an upsert costs what its batch holds, whatever the size of
+the table; several writers never touch each other's folders; a batch replayed
+after a crash replaces its own folder and nothing else, under the number it
+had; and a new or reset checkpoint is a new writer, whose batch 0 is its own.
+
+``compact`` writes the current rows into a fresh folder and points the catalog
+table at it (``ALTER TABLE … SET LOCATION``). Run it on its own schedule while
+no writer is writing: what is appended to the old folder meanwhile stays there.
+The old folder is left for readers that still use it.
+
+A row with a NULL key can't be matched later, so it is not stored (pipelines
+count or divert such rows before).
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.latest import latest_per_key
-from tideline.operators.upsert import merge_rows
-from tideline.session import DYNAMIC_OVERWRITE, STATIC_OVERWRITE, session_conf
-from tideline.sinks.files import rebalanced
 
+SEQ = "_seq"
+LOG_COLS = ("writer", "batch", SEQ)
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-def buckets_for(table_bytes: int, target_bytes: int = 512 << 20, minimum: int = 16) -> int:
-    """Bucket count that keeps each bucket near ``target_bytes`` (the unit an
-    upsert rewrites); a power of two, so growing the table doubles it."""
-    n = max(minimum, -(-table_bytes // target_bytes))
-    return 1 << (n - 1).bit_length()
 
-
-GLOB_MAX = 1024  # bucket names listed one by one before reading the table root instead
+def absent(e: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path (yet)."""
+    return (e.getCondition() or "").split(".")[0] in ABSENT
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 buckets: int = 64, fmt: str = "parquet", bucket_col: str = "_bucket"):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.buckets, self.fmt, self.bucket_col = buckets, fmt, bucket_col
+    """A keyed table at ``path``; with ``name`` the catalog says where it is now."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], newest: Sequence[str] = (),
+                 name: str | None = None):
+        self.spark, self.root, self.keys, self.newest, self.name = spark, path.rstrip("/"), list(keys), list(newest), name
+
+    @property
+    def path(self) -> str:
+        """The folder in use."""
+        if self.name and self.spark.catalog.tableExists(self.name):
+            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Location'").collect()
+            return rows[0]["data_type"].rstrip("/")
+        return f"{self.root}/v0"
 
-    # -- reading --------------------------------------------------------
-    def _raw(self) -> DataFrame | None:
+    def _log(self) -> DataFrame | None:
         try:
-            return self.spark.read.format(self.fmt).load(self.path)
-        except AnalysisException:
-            return None
+            return self.spark.read.parquet(self.path)
+        except AnalysisException as e:
+            if absent(e):
+                return None
+            raise
 
     def exists(self) -> bool:
-        return self._raw() is not None
+        return self._log() is not None
 
     def read(self) -> DataFrame:
-        df = self._raw()
-        if df is None:
+        """The current row of every key."""
+        log = self._log()
+        if log is None:
             raise FileNotFoundError(self.path)
-        return df.drop(self.bucket_col) if self.fmt != "delta" else df
+        return self._current(log).drop(*LOG_COLS)
 
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+    def _current(self, log: DataFrame) -> DataFrame:
+        order = [*self.newest, SEQ, "writer", "batch"]
+        return latest_per_key(log, self.keys, order[0], order[1:])
 
-    # -- writing --------------------------------------------------------
-    STAGING = "_staging"
-    BATCH_COL = "_batch"
-
-    def upsert(self, updates: DataFrame, only_newer: str | None = None,
-               batch_id: int | str | None = None) -> None:
-        """MERGE ``updates`` (at most one row per key) into the table.
-
-        Give the micro-batch id as ``batch_id`` to make a replay of a batch
-        that crashed mid-swap finish that swap (see the module notes).
-        """
-        if self.fmt == "delta":
-            return self._delta_merge(updates)
-        # a letter first: partition values are type-inferred, and a tag must stay text
-        tag = f"b{batch_id}" if batch_id is not None else f"u{uuid.uuid4().hex}"
-        if batch_id is not None:
-            staged = self._staged(tag)
-            if staged is not None:  # an earlier attempt staged this batch: finish its swap
-                self._swap(staged)
-                return
-        # used twice (touched buckets, merge): computed once, cached for the call
-        u = updates.withColumn(self.bucket_col, self.bucket()).persist()
+    def _sequence(self, writer: str, batch: str) -> int:
+        """The number a replayed batch had, else the time in microseconds."""
         try:
-            self._upsert(u, only_newer, tag)
-        finally:
-            u.unpersist()
-
-    def _upsert(self, u: DataFrame, only_newer: str | None, tag: str) -> None:
-        # at most `buckets` small ints reach the driver, whatever the batch size
-        touched = [r[0] for r in u.select(self.bucket_col).distinct().collect()]
-        if not touched:
-            return
-        base = self._buckets(touched)
-        if base is None:  # new table or new buckets only: nothing to merge with
-            self._write_buckets(u, self.path, replace=True)
-            return
-        merged = merge_rows(base, u.select(*base.columns), self.keys, only_newer)
-        # staged first: the merge reads the buckets it is about to replace
-        staging = f"{self.path}/{self.STAGING}"
-        with session_conf(self.spark, STATIC_OVERWRITE):
-            (rebalanced(merged, [self.bucket_col])
-                .withColumn(self.BATCH_COL, F.lit(tag))
-                .write.format(self.fmt).mode("overwrite")  # only the last batch is kept
-                .option("partitionOverwriteMode", "static")
-                .partitionBy(self.BATCH_COL, self.bucket_col).save(staging))
-        staged = self._staged(tag)
-        if staged is None:
-            raise RuntimeError(f"staged buckets of batch {tag} not found under {staging}")
-        self._swap(staged)
-
-    def _staged(self, tag: str) -> DataFrame | None:
-        """The merged buckets staged for batch ``tag``, if that staging job committed."""
-        staging = f"{self.path}/{self.STAGING}"
-        try:
-            self.spark.read.text(f"{staging}/_SUCCESS")  # written only when the job commits
-            df = self.spark.read.format(self.fmt).load(staging)
-        except AnalysisException:  # nothing staged
-            return None
-        df = df.filter(F.col(self.BATCH_COL) == tag).drop(self.BATCH_COL)
-        return None if df.isEmpty() else df
-
-    def _swap(self, staged: DataFrame) -> None:
-        """Replace the staged buckets in the table (dynamic overwrite; idempotent)."""
-        cols = [c for c in staged.columns if c != self.bucket_col] + [self.bucket_col]
-        self._write_buckets(staged.select(*cols), self.path, replace=True, regroup=False)
-
-    def _buckets(self, touched: list[int]) -> DataFrame | None:
-        """The stored rows of the ``touched`` buckets, or None if none exists.
-
-        Only those buckets' folders are listed (a glob over their names), so
-        an upsert does not list the whole table. Past ``GLOB_MAX`` names or
-        half the buckets the table root is read and pruned instead: the glob
-        is matched name by name against every bucket folder, and a batch that
-        touches that many buckets rewrites far more data than one listing
-        costs.
+            old = self.spark.read.parquet(f"{self.path}/writer={writer}/batch={batch}").agg(F.min(SEQ)).first()[0]
+        except AnalysisException as e:
+            if not absent(e):
+                raise
+            old = None
+        return time.time_ns() // 1000 if old is None else old
+
+    def upsert(self, updates: DataFrame, writer: str | None = None, batch: int | str = 0) -> None:
+        """Store ``updates`` (at most one row per key, rows with NULL keys are left out).
+
+        (``writer``, ``batch``) names the batch: the same names replace it,
+        new ones add to it. Without a writer the call is one of its own.
         """
-        try:
-            if len(touched) > min(GLOB_MAX, self.buckets // 2):
-                df = self._raw()
-                return None if df is None else df.filter(F.col(self.bucket_col).isin(touched))
-            names = ",".join(str(b) for b in sorted(touched))
-            return (self.spark.read.format(self.fmt).option("basePath", self.path)
-                    .load(f"{self.path}/{self.bucket_col}={{{names}}}"))
-        except AnalysisException:  # no table yet, or none of these buckets
-            return None
-
-    def _write_buckets(self, df: DataFrame, path: str, replace: bool, regroup: bool = True) -> None:
-        # regrouped by bucket before writing: ~one file per bucket, not one per task and bucket
-        if regroup:
-            df = rebalanced(df, [self.bucket_col])
-        w = df.write.format(self.fmt).partitionBy(self.bucket_col)
-        if not replace:
-            w.save(path)
-            return
-        with session_conf(self.spark, DYNAMIC_OVERWRITE):  # only the buckets in `df`
-            w.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
-
-    def _delta_merge(self, updates: DataFrame) -> None:  # pragma: no cover - needs Delta
-        from delta.tables import DeltaTable  # type: ignore
-        if not DeltaTable.isDeltaTable(self.spark, self.path):
-            updates.write.format("delta").save(self.path)
+        writer, batch = f"w{writer or uuid.uuid4().hex}", f"b{batch}"
+        has_key = F.lit(True)
+        for k in self.keys:
+            has_key = has_key & F.col(k).isNotNull()
+        rows = updates.where(has_key).withColumns(
+            {SEQ: F.lit(self._sequence(writer, batch)).cast("long"), "writer": F.lit(writer), "batch": F.lit(batch)})
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("writer", "batch").parquet(self.path))
+
+    def compact(self) -> None:
+        """Rewrite the table as one batch of current rows in a fresh folder; needs ``name``."""
+        if not self.name:
+            raise ValueError("compact needs a catalog name to switch")
+        log = self._log()
+        if log is None:
             return
-        cond = " AND ".join(f"s.`{k}` = b.`{k}`" for k in self.keys)
-        (DeltaTable.forPath(self.spark, self.path).alias("b")
-            .merge(updates.alias("s"), cond)
-            .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute())
+        fresh = f"{self.root}/v{time.time_ns() // 1000}"
+        current = self._current(log).withColumns({"writer": F.lit("wcompacted"), "batch": F.lit("b0")})
+        current.write.partitionBy("writer", "batch").parquet(fresh)
+        if self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"ALTER TABLE {self.name} SET LOCATION '{fresh}'")
+        else:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in log.drop("writer", "batch").schema)
+            self.spark.sql(f"CREATE TABLE {self.name} ({columns}, writer STRING, batch STRING) USING parquet "
+                           f"PARTITIONED BY (writer, batch) LOCATION '{fresh}'")
 
 
 def upsert_sink(table: KeyedTable, order_by: str, tie_break: Sequence[str] = (),
-                only_newer: str | None = None) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback: latest row per key of the batch, then MERGE.
+                writer: str | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback: latest row per key of the batch, then upsert.
 
-    ``upsert`` caches the batch for its two uses and does nothing when the
-    batch touches no bucket (empty batch), so a batch is evaluated once. The
-    batch id goes along, so a replayed batch finishes an interrupted swap.
+    The writer is the streaming query's id, which its checkpoint keeps: a
+    restart replays its own batches, a new checkpoint is another writer. Give
+    ``writer`` to call the sink outside a streaming query.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        table.upsert(latest_per_key(df, table.keys, order_by, tie_break), only_newer,
-                     batch_id=batch_id)
+        who = writer or df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not who:
+            raise ValueError("no streaming query id here: give upsert_sink a writer")
+        table.upsert(latest_per_key(df, table.keys, order_by, tie_break), writer=who.replace("-", ""), batch=batch_id)
     return run

@@ -20,32 +20,32 @@ class Feed:
     def __init__(self, spark: SparkSession, df: DataFrame, ts_col: str, days: int,
                  fmt: str = "parquet", name: str = "feed"):
         self.spark, self.fmt = spark, fmt
+        self.schema = df.withColumn("_slice", F.lit(None).cast("bigint")).schema
         self.staging = workdir(spark, f"{name}-staging")
         self.landing = workdir(spark, f"{name}-landing")
         bounds = df.agg(F.min(F.to_date(ts_col)).alias("lo"),
-                        F.max(F.to_date(ts_col)).alias("hi")).first()
-        if bounds["lo"] is None:
-            self.slices: list[int] = []
+                        F.max(F.to_date(ts_col)).alias("hi"),
+                        F.count_if(F.col(ts_col).isNull()).alias("undated")).first()
+        self.slices: list[int | None] = [None]
+        if bounds["lo"] is None:  # no row has a time
+            df.withColumn("_slice", F.lit(None).cast("bigint")).write.partitionBy("_slice").parquet(self.staging)
             return
         lo = F.lit(bounds["lo"]).cast("date")
         sliced = df.withColumn("_slice", F.floor(F.datediff(F.to_date(ts_col), lo) / days))
         sliced.write.partitionBy("_slice").parquet(self.staging)
         n = (bounds["hi"] - bounds["lo"]).days // days + 1
-        self.slices = list(range(n))
+        self.slices = [*range(n), *([None] if bounds["undated"] else [])]
 
-    def slice(self, i: int) -> DataFrame:
-        """Rows of slice ``i`` (a partition-pruned read of the staging copy)."""
-        return (self.spark.read.parquet(self.staging)
-                .filter(F.col("_slice") == i).drop("_slice"))
+    def slice(self, i: int | None) -> DataFrame:
+        """Rows of slice ``i`` (a partition-pruned read of the staging copy);
+        ``None``, the last slice, has the rows without a time."""
+        staged = self.spark.read.schema(self.schema).parquet(self.staging)
+        return staged.filter(F.col("_slice").eqNullSafe(F.lit(i).cast("bigint"))).drop("_slice")
 
-    def deliver(self, i: int) -> None:
+    def deliver(self, i: int | None) -> None:
         part = self.slice(i)
         if self.fmt == "text":
             part.select("value").write.mode("append").text(self.landing)
         else:
             part.write.mode("append").format(self.fmt).save(self.landing)
 
-
-def slice_origin_sql(table: str, ts_col: str) -> str:
-    """The same slice origin in SQL (first calendar day of the data)."""
-    return f"(SELECT min(CAST({ts_col} AS DATE)) FROM {table})"

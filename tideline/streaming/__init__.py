@@ -1,3 +1,3 @@
 from tideline.streaming.runner import (  # noqa: F401
-    StreamSpec, drain, dropped_rows, finish, input_rows, run_all, start,
+    StreamSpec, dropped_rows, finish, input_rows, run_all, start,
 )

@@ -3,38 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tideline.session import default_parallelism
 
 
 def start(df: DataFrame, checkpoint: str, fn: Callable | None = None,
           fmt: str | None = None, path: str | None = None, mode: str = "append",
           trigger: dict | None = None, partition_by: Sequence[str] = (),
-          name: str | None = None, state_partitions: int | None = 0) -> StreamingQuery:
+          name: str | None = None) -> StreamingQuery:
     """Start a query with a checkpoint (restart resumes from it, exactly once
     for idempotent sinks). ``fn`` makes it a ``foreachBatch`` query; the
     default trigger drains what is available and stops (``availableNow``),
     pass e.g. ``{"processingTime": "60 seconds"}`` for a fixed cadence.
 
-    ``state_partitions`` fixes how many partitions the query's state (and
-    shuffles) use; Spark records it in the checkpoint on the first run and
-    keeps it for the life of the query. ``0`` (default) means the cluster's
-    task slots, ``None`` the session's ``spark.sql.shuffle.partitions``.
+    A stateful query keeps the ``spark.sql.shuffle.partitions`` of its session
+    at the first start (Spark records it in the checkpoint): set it to what
+    the state needs, in a ``newSession()`` where queries differ.
     """
-    if state_partitions is not None:
-        spark = df.sparkSession
-        n = state_partitions or default_parallelism(spark)
-        key = "spark.sql.shuffle.partitions"
-        old = spark.conf.get(key)
-        spark.conf.set(key, str(n))
-        try:
-            return start(df, checkpoint, fn, fmt, path, mode, trigger, partition_by, name, None)
-        finally:
-            spark.conf.set(key, old)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -48,19 +37,21 @@ def start(df: DataFrame, checkpoint: str, fn: Callable | None = None,
 
 
 def finish(*queries: StreamingQuery) -> None:
-    """Wait for queries to end; re-raise the first failure."""
-    for q in queries:
-        q.awaitTermination()
-    for q in queries:
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
-
-
-def drain(df: DataFrame, checkpoint: str, **kw) -> StreamingQuery:
-    """Start with ``availableNow`` and wait until everything available is processed."""
-    q = start(df, checkpoint, **kw)
-    finish(q)
-    return q
+    """Wait for queries to end; at the first failure stop the others and raise it."""
+    left = list(queries)
+    while left:
+        for q in list(left):
+            if q.exception() is not None:
+                for other in queries:
+                    other.stop()
+                raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+            if not q.isActive:
+                left.remove(q)
+        if left:
+            try:
+                left[0].awaitTermination(0.2)
+            except StreamingQueryException:
+                pass  # reported above
 
 
 @dataclass
@@ -78,7 +69,6 @@ class StreamSpec:
     path: str | None = None
     partition_by: Sequence[str] = ()
     fmt: str = "parquet"
-    extra: dict = field(default_factory=dict)
 
 
 def run_all(specs: Sequence[StreamSpec], wait: bool = True) -> list[StreamingQuery]:
