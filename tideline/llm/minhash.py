@@ -258,7 +258,7 @@ class _Linker:
 def shared_buckets(scratch: Scratch, rows: DataFrame) -> DataFrame:
     """The rows (cls, band, bucket) of buckets with two members or more."""
     keys = scratch.keep(rows.groupBy("bucket").count().where("count > 1").select("bucket"))
-    return scratch.keep(rows.join(keys, "bucket").select("cls", "band", "bucket"))
+    return scratch.keep(rows.join(keys, "bucket").select("cls", "band", "bucket"), large=True)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
         .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), *[F.first(s).alias(s) for s in SIG]))
     members = shared_buckets(scratch, classes.select("cls", F.posexplode("bands").alias("band", "bucket")))
     wanted = members.select("cls").distinct().join(classes.select("cls", F.col("rep").alias("_id")), "cls")
-    sets = scratch.keep(shingle_sets(rows.join(wanted, "_id").select("cls", "_text"), k))
+    sets = scratch.keep(shingle_sets(rows.join(wanted, "_id").select("cls", "_text"), k), large=True)
     linker = _Linker(scratch, classes, sets, percent)
     rest, depth = members, 0
     while rest is not None:

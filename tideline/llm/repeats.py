@@ -264,7 +264,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
             yield n1[one], n2[one], cls[row[one]], np.zeros(len(one), np.int64)
 
     common = scratch.keep(merged(find_names(rows.where(F.col("n_bytes") >= length).select("cls", "text"), first_names, False, parts), "common")
-                          .join(least, "cls").select("sha", F.col("least").alias("key"), "common"))
+                          .join(least, "cls").select("sha", F.col("least").alias("key"), "common"), large=True)
 
     def cut(it):
         """Regions: runs of windows whose sample occurs in another text."""
@@ -287,7 +287,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                           pa.array([b"".join(raw[a[i]:z[i]] for i in x) for x in own], pa.binary()))
 
     regions = scratch.keep(rows.join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
-        cut, "cls long, key long, at array<long>, cut array<long>, text binary"))
+        cut, "cls long, key long, at array<long>, cut array<long>, text binary"), large=True)
 
     def second_names(b):
         for lo, hi, offs, data in text_slices(b, "text", SLICE):
@@ -295,7 +295,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
             n1, n2, piece, _ = stretch_names(data, inner, length)
             yield n1, n2, _ids(b, lo, hi, "cls")[row_at[piece]], _ids(b, lo, hi, "key")[row_at[piece]]
 
-    whole = scratch.keep(merged(find_names(regions.drop("at"), second_names, True, parts), "whole"))
+    whole = scratch.keep(merged(find_names(regions.drop("at"), second_names, True, parts), "whole"), large=True)
     part = regions.join(whole, "cls", "left")
 
     def open_windows(b, lo, hi, offs, data):
@@ -314,7 +314,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
             n1, n2 = span_names(cum, s, s + length)
             yield n1, n2, _ids(b, lo, hi, "cls")[row], _ids(b, lo, hi, "key")[row]
 
-    single = scratch.keep(merged(find_names(part.drop("at"), third_names, True, 4 * parts), "single"))
+    single = scratch.keep(merged(find_names(part.drop("at"), third_names, True, 4 * parts), "single"), large=True)
 
     def mark(it):
         for b in it:
@@ -335,7 +335,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                           pa.array([np.stack([a[i:j], z[i:j]], axis=1).tobytes() for i, j in own], pa.binary()))
 
     return scratch.keep(part.join(single, "cls", "left").select("cls", "at", "cut", "text", "whole", "single")
-                        .mapInArrow(mark, "cls long, spans binary").dropDuplicates(["cls"]))  # a row can be there twice
+                        .mapInArrow(mark, "cls long, spans binary").dropDuplicates(["cls"]), large=True)  # a row can be there twice
 
 
 def union_spans(spans) -> list[tuple[int, int]]:

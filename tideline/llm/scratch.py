@@ -8,6 +8,8 @@ renames columns.)
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.session import shared_root, workdir
@@ -20,9 +22,19 @@ class Scratch:
         shared_root(spark)
         self.spark, self.path, self.n = spark, workdir(spark, name), 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """``df``, written and read back."""
+    def keep(self, df: DataFrame, large: bool = False) -> DataFrame:
+        """``df``, written and read back.
+
+        Spark deletes the shuffle files of a plan once the driver's garbage
+        collector finds it unused, which may be long after; with ``large``
+        that is asked for at once, as the next steps need the disk.
+        """
         self.n += 1
         path = f"{self.path}/{self.n:04d}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        if large:
+            del df
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+        return kept
