@@ -28,6 +28,12 @@ def test_merge_only_newer(spark):
         [(1, 10, "new"), (2, 3, "fresh"), (3, 1, "ins")]
 
 
+def test_merge_only_newer_honours_the_tie_break(spark):
+    s = "k INT, ts INT, id INT"
+    base, upd = spark.createDataFrame([(1, 5, 9), (2, 5, 1)], s), spark.createDataFrame([(1, 5, 3), (2, 5, 2)], s)
+    assert rows(merge_rows(base, upd, ["k"], only_newer=["ts", "id"])) == [(1, 5, 9), (2, 5, 2)]
+
+
 def test_keyed_table_upsert_and_rerun_is_idempotent(spark):
     t = KeyedTable(spark, workdir(spark, "kt"), ["k"])
     t.upsert(spark.createDataFrame([(i, f"v{i}") for i in range(20)], KV))

@@ -18,7 +18,7 @@ from tideline.sinks.files import batch_writer
 from tideline.sinks.keyed import absent
 from tideline.sources.feeds import Feed
 from tideline.sources.streams import stream_source
-from tideline.streaming.runner import dropped_rows, finish, start
+from tideline.streaming.runner import finish, start
 
 
 def sales_by_country_hour(events: DataFrame, customer: DataFrame, nation: DataFrame,
@@ -73,21 +73,27 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
 
     Append mode: a window is written once, after the watermark (max event
     time seen minus ``delay``) passes its end. ``newest_first`` replays the
-    slices in reverse, so older rows arrive late and are dropped; the count
-    of dropped rows goes to ``report["dropped"]``.
+    slices in reverse, so older rows arrive late and are dropped; the number
+    of late rows goes to ``report["dropped"]``.
     """
     feed = Feed(spark, invoice_messages(events, customer, nation), "ts", days, fmt="text",
                 name="invoices")
     out, ckpt = workdir(spark, "totalsales"), workdir(spark, "totalsales-ckpt")
     order = sorted(feed.slices, key=lambda i: -1 if i is None else i, reverse=True) if newest_first else feed.slices
-    dropped = 0
+    dropped, behind = 0, None
     for i in order:
         feed.deliver(i)
         src = stream_source(spark, "text", feed.landing)
-        agg = sales_from_clean(retail_clean(json_decode(src, INVOICE_SCHEMA)), delay=delay)
+        clean = retail_clean(json_decode(src, INVOICE_SCHEMA))
+        # a row is late if its window ends at or before the watermark the run starts with
+        end = F.window(event_time("InvoiceDate"), SALES_WINDOW)["end"]
+        if behind:
+            clean = clean.observe("rows", F.count_if(end <= F.lit(behind).cast("timestamp")).alias("late"))
+        agg = sales_from_clean(clean, delay=delay)
         q = start(agg, ckpt, fn=batch_writer("parquet", path=out))
         finish(q)
-        dropped += dropped_rows(q)
+        dropped += sum(p.observedMetrics["rows"]["late"] for p in q.recentProgress if "rows" in p.observedMetrics)
+        behind = q.recentProgress[-1].eventTime.get("watermark", behind) if q.recentProgress else behind
     if report is not None:
         report["dropped"] = dropped
     return _read_or_empty(spark, out, "Country STRING, start TIMESTAMP_NTZ, "

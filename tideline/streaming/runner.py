@@ -86,7 +86,9 @@ def _get(obj, key):
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the stateful operators ignored as late (older than the watermark).
+    """Groups of rows the stateful operators ignored as late (older than the
+    watermark). Spark sums rows per task and key before the operator, so late
+    rows of one window count once per task; ``stream_sales`` counts rows.
 
     Summed over the progress reports the query still holds: Spark keeps the
     last ``spark.sql.streaming.numRecentProgressUpdates`` (100) of them, which
