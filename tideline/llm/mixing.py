@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,19 @@ def crc_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """An array as zstandard over its byte planes (low bytes first)."""
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def spread(raw: bytes, kind) -> np.ndarray:
+    """The array of ``squeezed``."""
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, len(planes) // size).T).reshape(-1).view(kind)
+
+
 # ---- shards and counts --------------------------------------------------
 
 SHARD = ("shard long, doc_ids array<long>, held array<boolean>, n_tokens array<long>, n_bytes array<long>, "
@@ -56,7 +70,7 @@ def shards(rows: DataFrame, parts: int) -> DataFrame:
 
     vocab has the distinct word hashes, by part (hash modulo ``parts``, where
     ``cuts`` says where each part ends) and hash; train their counts over the
-    shard's training texts; tokens indexes vocab.
+    shard's training texts; tokens indexes vocab. All but vocab are squeezed.
     """
     def run(it):
         from pyspark import TaskContext
@@ -77,11 +91,12 @@ def shards(rows: DataFrame, parts: int) -> DataFrame:
             learn = np.repeat(~np.array(ho, bool), cnt)
             train = np.bincount(tokens[learn], minlength=len(u)).astype(np.uint32)
             cuts = np.searchsorted(part[o], np.arange(parts), "right").astype(np.uint32)
-            recent = (mix(u[o]) >> U64(40)).astype(np.uint32)
+            recent = (mix(u[o]) >> U64(40)).astype(np.uint16)
             return out(["shard", "doc_ids", "held", "n_tokens", "n_bytes", "vocab", "train", "cuts", "tokens", "recent"],
                        pa.array([task << 32 | seq], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([ho], pa.list_(pa.bool_())),
                        pa.array([cnt.tolist()], pa.list_(pa.int64())), pa.array([size.tolist()], pa.list_(pa.int64())),
-                       *[pa.array([x.tobytes()], pa.binary()) for x in (u[o], train, cuts, tokens, recent)])
+                       pa.array([u[o].tobytes()], pa.binary()),
+                       *[pa.array([squeezed(x)], pa.binary()) for x in (train, cuts, tokens, recent)])
 
         for b in it:
             for lo, hi, offs, data in text_slices(b, "text"):
@@ -109,18 +124,18 @@ def counted(texts: DataFrame, parts: int) -> DataFrame:
     def deal(it):
         for b in it:
             for r in b.to_pylist():
-                v, c, ends = np.frombuffer(r["vocab"], U64), np.frombuffer(r["train"], np.uint32), np.frombuffer(r["cuts"], np.uint32)
+                v, c, ends = np.frombuffer(r["vocab"], U64), spread(r["train"], np.uint32), spread(r["cuts"], np.uint32)
                 a = np.append(0, ends[:-1])
                 yield out(["shard", "part", "v", "c"], pa.array([r["shard"]] * parts, pa.int64()), pa.array(range(parts), pa.int32()),
                           pa.array([v[i:j].tobytes() for i, j in zip(a, ends)], pa.binary()),
-                          pa.array([c[i:j].tobytes() for i, j in zip(a, ends)], pa.binary()))
+                          pa.array([squeezed(c[i:j]) for i, j in zip(a, ends)], pa.binary()))
 
     def total(it):
         rows = [r for b in it for r in b.to_pylist()]
         for part in sorted({r["part"] for r in rows}):
             own = [r for r in rows if r["part"] == part]
             v = np.concatenate([np.frombuffer(r["v"], U64) for r in own])
-            c = np.concatenate([np.frombuffer(r["c"], np.uint32) for r in own]).astype(np.int64)
+            c = np.concatenate([spread(r["c"], np.uint32) for r in own]).astype(np.int64)
             u, inv = np.unique(v, return_inverse=True)
             n = np.zeros(len(u), np.int64)
             np.add.at(n, inv, c)
@@ -128,7 +143,7 @@ def counted(texts: DataFrame, parts: int) -> DataFrame:
             back = np.split(n[inv], ends[:-1])
             tot = np.append((n > 0).sum(), np.bincount(bit_length(n), n, minlength=CLASSES)).astype(np.int64)
             yield out(["shard", "part", "counts"], pa.array([r["shard"] for r in own] + [-1 - part], pa.int64()),
-                      pa.array([part] * (len(own) + 1), pa.int32()), pa.array([x.tobytes() for x in back] + [tot.tobytes()], pa.binary()))
+                      pa.array([part] * (len(own) + 1), pa.int32()), pa.array([squeezed(x) for x in [*back, tot]], pa.binary()))
 
     return (texts.select("shard", "vocab", "train", "cuts").mapInArrow(deal, "shard long, part int, v binary, c binary")
             .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, counts binary"))
@@ -153,8 +168,8 @@ def streams(texts: DataFrame, counts: DataFrame, n_train: int, n_types: int, cla
     def run(it):
         for b in it:
             for r in b.to_pylist():
-                c = np.frombuffer(b"".join(x["counts"] for x in r["counts"]), np.int64)
-                tok = np.frombuffer(r["tokens"], np.uint32)
+                c = np.concatenate([spread(x["counts"], np.int64) for x in r["counts"]])
+                tok = spread(r["tokens"], np.uint32)
                 cls = bit_length(c)
                 cnt = np.array(r["n_tokens"], np.int64)
                 first = np.cumsum(cnt) - cnt
@@ -166,8 +181,8 @@ def streams(texts: DataFrame, counts: DataFrame, n_train: int, n_types: int, cla
                           pa.array([r["n_tokens"]], pa.list_(pa.int64())), pa.array([r["n_bytes"]], pa.list_(pa.int64())),
                           pa.array([per((c > 0).astype(np.int64)).tolist()], pa.list_(pa.int64())),
                           pa.array([per(base).tolist()], pa.list_(pa.float64())), pa.array([per(share).tolist()], pa.list_(pa.float64())),
-                          pa.array([cls.astype(np.uint8)[tok].tobytes()], pa.binary()),
-                          pa.array([np.frombuffer(r["recent"], np.uint32).astype(np.uint16)[tok].tobytes()], pa.binary()))
+                          pa.array([squeezed(cls.astype(np.uint8)[tok])], pa.binary()),
+                          pa.array([squeezed(spread(r["recent"], np.uint16)[tok])], pa.binary()))
 
     return (texts.select("shard", "doc_ids", "held", "n_tokens", "n_bytes", "tokens", "recent").join(each, "shard")
             .mapInArrow(run, STREAM))
@@ -209,11 +224,11 @@ def context_counts(stream: DataFrame, parts: int) -> DataFrame:
         flat, one, seen = table.reshape(-1), np.uint32(1), 0
         for b in it:
             for r in b.to_pylist():
-                cls = np.frombuffer(r["classes"], np.uint8).astype(np.int64)
+                cls = spread(r["classes"], np.uint8).astype(np.int64)
                 cnt = np.array(r["n_tokens"], np.int64)
                 first = np.cumsum(cnt) - cnt
                 learn = np.flatnonzero(np.repeat(~np.array(r["held"], bool), cnt))
-                at = slots(contexts(cls, np.frombuffer(r["recent"], np.uint16), first))
+                at = slots(contexts(cls, spread(r["recent"], np.uint16), first))
                 for node, bit in code_nodes(cls[learn]):
                     for a in at:
                         np.add.at(flat, ((a[learn] + node) << 1) + bit, one)
@@ -229,14 +244,15 @@ def context_counts(stream: DataFrame, parts: int) -> DataFrame:
             block = table[p * width:(p + 1) * width]
             at = np.flatnonzero(block.any(axis=1)).astype(np.uint32)
             if len(at):
-                yield out(["part", "at", "n"], pa.array([p], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([block[at].tobytes()], pa.binary()))
+                yield out(["part", "at", "n"], pa.array([p], pa.int32()), pa.array([squeezed(np.diff(at, prepend=np.uint32(0)))], pa.binary()),
+                          pa.array([squeezed(block[at].reshape(-1))], pa.binary()))
 
     def total(it):
         tables: dict[int, np.ndarray] = {}
         for b in it:
             for r in b.to_pylist():
                 t = tables.setdefault(r["part"], np.zeros((width, 2), np.uint64))
-                t[np.frombuffer(r["at"], np.uint32)] += np.frombuffer(r["n"], np.uint32).reshape(-1, 2)
+                t[np.cumsum(spread(r["at"], np.uint32), dtype=np.int64)] += spread(r["n"], np.uint32).reshape(-1, 2)
         for p, t in tables.items():
             yield out(["part", "guess"], pa.array([p], pa.int32()), pa.array([stretched(t).tobytes()], pa.binary()))
 
@@ -305,10 +321,10 @@ def scored(stream: DataFrame, guess: np.ndarray, n_train: int) -> DataFrame:
         guess = shared.value
         for b in it:
             for r in b.to_pylist():
-                cls = np.frombuffer(r["classes"], np.uint8).astype(np.int64)
+                cls = spread(r["classes"], np.uint8).astype(np.int64)
                 cnt = np.array(r["n_tokens"], np.int64)
                 start = np.cumsum(cnt) - cnt
-                at = slots(contexts(cls, np.frombuffer(r["recent"], np.uint16), start))
+                at = slots(contexts(cls, spread(r["recent"], np.uint16), start))
                 segs = -(-cnt // SEGMENT)
                 doc = np.repeat(np.arange(len(cnt)), segs)
                 nth = np.arange(len(doc)) - np.repeat(np.cumsum(segs) - segs, segs)
@@ -341,12 +357,12 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     held = crc_held_out(F.col(id_col)) if held_out is None else held_out
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held"), F.col(text_col).alias("text"))
     texts = scratch.keep(shards(rows, parts))
-    counts = scratch.keep(counted(texts, parts))
+    counts = scratch.keep(counted(texts, parts), large=True)
     totals = np.zeros(CLASSES + 1, np.int64)
     for r in counts.where("shard < 0").select("counts").toLocalIterator():  # a row per part
-        totals += np.frombuffer(r["counts"], np.int64)
+        totals += spread(r["counts"], np.int64)
     n_train = int(totals[1:].sum())
-    stream = scratch.keep(streams(texts, counts, n_train, int(totals[0]), totals[1:]))
+    stream = scratch.keep(streams(texts, counts, n_train, int(totals[0]), totals[1:]), large=True)
     n = int(BASE[-1])
     guess = np.zeros((parts, -(-n // parts)), np.float32)
     for r in scratch.keep(context_counts(stream, parts)).toLocalIterator():  # BASE[-1] numbers in all
