@@ -11,10 +11,13 @@ serves to find repeats.
 
 1. Sampled suffixes are sorted by the name of their first GRAM bytes. Windows
    whose sample occurs in one text only can't repeat and are dropped.
-2. Recursion on names: the stretch that all windows of one sample cover gets
+2. A window holds, besides its sample's GRAM bytes, half of its other bytes on
+   one side of them at least. So the same is done with the names of a sample
+   and that much before it, or after it.
+3. Recursion on names: the stretch that all windows of one sample cover gets
    a name of its own; where the same stretch occurs in an earlier document,
    all its windows repeat there, and need not be sorted any more.
-3. The remaining windows are sorted by name and neighbours compared; those
+4. The remaining windows are sorted by name and neighbours compared; those
    that also start in an earlier document are marked.
 
 Sorting happens in blocks: a task gathers names of up to ``FLUSH`` positions,
@@ -106,8 +109,29 @@ def runs_of(start: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.append(first[1:], len(at)) - 1 if len(first) else first
 
 
+LEFT = U64(0x2545F4914F6CDD1D)  # tells names of the left half from those of the right
+
+
+def half_names(data, offsets, length):
+    """Step 2: (name, row) of each run of windows with one sample, left and right halves; and the runs.
+
+    A half is (names, runs that have it); the name covers the sample and half
+    of the rest of a window on that side.
+    """
+    start, at, cum = sampled(data, offsets, length)
+    first, last = runs_of(start, at)
+    rest = length - GRAM
+    side = (rest + 1) // 2
+    s = at[first]
+    left = np.flatnonzero(s - start[first] >= side)
+    right = np.flatnonzero(rest - (s - start[last]) >= side)
+    l1, _ = span_names(cum, s[left] - side, s[left] + GRAM)
+    r1, _ = span_names(cum, s[right], s[right] + GRAM + side)
+    return (l1 ^ LEFT, left), (r1, right), row_of(start[first], offsets), (start, at, first, last, rest, side)
+
+
 def stretch_names(data, offsets, length):
-    """Step 2: names of the stretch of each run of windows with one sample, and what it covers."""
+    """Step 3: names of the stretch of each run of windows with one sample, and what it covers."""
     start, at, cum = sampled(data, offsets, length)
     first, last = runs_of(start, at)
     a, b = start[first], start[last] + length
@@ -249,6 +273,20 @@ def _pieces(b: pa.RecordBatch, lo: int, hi: int, offs: np.ndarray) -> tuple[np.n
             np.repeat(np.arange(hi - lo), [len(c) for c in cuts]))
 
 
+REGION = "cls long, key long, at array<long>, cut array<long>, text binary"
+
+
+def regions_out(b: pa.RecordBatch, lo: int, hi: int, data: np.ndarray, a: np.ndarray, z: np.ndarray, row: np.ndarray,
+                at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row per text with regions a to z of a slice: their places ``at`` in the text, their ends in ``text``, their bytes."""
+    raw, one = data.tobytes(), np.unique(row)
+    own = [slice(*x) for x in zip(np.searchsorted(row, one), np.searchsorted(row, one, "right"))]
+    yield out(["cls", "key", "at", "cut", "text"], pa.array(_ids(b, lo, hi, "cls")[one]), pa.array(_ids(b, lo, hi, "key")[one]),
+              pa.array([at[x].tolist() for x in own], pa.list_(pa.int64())),
+              pa.array([np.cumsum((z - a)[x]).tolist() for x in own], pa.list_(pa.int64())),
+              pa.array([b"".join(raw[i:j] for i, j in zip(a[x], z[x])) for x in own], pa.binary()))
+
+
 def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
     """(cls, spans) of the byte runs to remove from each text: int64 pairs, in order.
 
@@ -279,15 +317,43 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                     continue
                 f = np.flatnonzero(np.append(True, (s[1:] > s[:-1] + 1) | (r[1:] != r[:-1])))
                 a, z, r = s[f], s[np.append(f[1:], len(s)) - 1] + length, r[f]
-                raw, one = data.tobytes(), np.unique(r)
-                own = [range(*x) for x in zip(np.searchsorted(r, one), np.searchsorted(r, one, "right"))]
-                yield out(["cls", "key", "at", "cut", "text"], pa.array(_ids(b, lo, hi, "cls")[one]), pa.array(_ids(b, lo, hi, "key")[one]),
-                          pa.array([(a[x] - offs[r[x]]).tolist() for x in own], pa.list_(pa.int64())),
-                          pa.array([np.cumsum((z - a)[x]).tolist() for x in own], pa.list_(pa.int64())),
-                          pa.array([b"".join(raw[a[i]:z[i]] for i in x) for x in own], pa.binary()))
+                yield from regions_out(b, lo, hi, data, a, z, r, a - offs[r])
 
     regions = scratch.keep(rows.join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
-        cut, "cls long, key long, at array<long>, cut array<long>, text binary"), large=True)
+        cut, REGION), large=True)
+
+    def both_halves(b):
+        for lo, hi, offs, data in text_slices(b, "text", SLICE):
+            inner, row_at = _pieces(b, lo, hi, offs)
+            (l1, left), (r1, right), piece, _ = half_names(data, inner, length)
+            n1, row = np.concatenate([l1, r1]), row_at[piece[np.concatenate([left, right])]]
+            _, one = np.unique(n1 ^ mix(row.astype(U64) + U64(1)), return_index=True)
+            yield n1[one], np.zeros(len(one), np.uint32), _ids(b, lo, hi, "cls")[row[one]], np.zeros(len(one), np.int64)
+
+    halves = scratch.keep(merged(find_names(regions.select("cls", "cut", "text"), both_halves, False, parts), "halves"), large=True)
+
+    def narrow(it):
+        """Regions: runs of windows of which a half occurs in another text."""
+        for b in it:
+            for lo, hi, offs, data in text_slices(b, "text", SLICE):
+                inner, row_at = _pieces(b, lo, hi, offs)
+                (l1, left), (r1, right), piece, (start, at, first, last, rest, side) = half_names(data, inner, length)
+                names = [_names(x) for x in column(b, "halves").slice(lo, hi - lo).to_pylist()]
+                hit = np.zeros((2, len(first)), bool)
+                hit[0, left] = _in(l1, row_at[piece[left]], names)
+                hit[1, right] = _in(r1, row_at[piece[right]], names)
+                n = last - first + 1
+                before = at - start
+                keep = np.repeat(hit[0], n) & (before >= side) | np.repeat(hit[1], n) & (rest - before >= side)
+                s, q = start[keep], np.repeat(piece, n)[keep]
+                if not len(s):
+                    continue
+                f = np.flatnonzero(np.append(True, (s[1:] > s[:-1] + 1) | (q[1:] != q[:-1])))
+                places = np.concatenate([np.asarray(x, np.int64) for x in column(b, "at").slice(lo, hi - lo).to_pylist()])
+                yield from regions_out(b, lo, hi, data, s[f], s[np.append(f[1:], len(s)) - 1] + length, row_at[q[f]],
+                                       s[f] + (places - inner[:-1])[q[f]])
+
+    regions = scratch.keep(regions.join(halves, "cls").mapInArrow(narrow, REGION), large=True)
 
     def second_names(b):
         for lo, hi, offs, data in text_slices(b, "text", SLICE):
