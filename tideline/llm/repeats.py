@@ -37,7 +37,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -273,6 +273,25 @@ def _pieces(b: pa.RecordBatch, lo: int, hi: int, offs: np.ndarray) -> tuple[np.n
             np.repeat(np.arange(hi - lo), [len(c) for c in cuts]))
 
 
+def zipped(df: DataFrame) -> DataFrame:
+    """``df`` with its column ``text`` as zstandard, to be shuffled."""
+    kind = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema])
+
+    def run(it):
+        z = zstandard.ZstdCompressor(level=3)
+        for b in it:
+            i = b.schema.get_field_index("text")
+            yield b.set_column(i, "text", pa.array([z.compress(x.as_py()) for x in b.column(i).cast(pa.large_binary())], pa.binary()))
+
+    return df.mapInArrow(run, kind)
+
+
+def unzipped(b: pa.RecordBatch) -> pa.RecordBatch:
+    """A batch of ``zipped`` with its texts as bytes."""
+    z, i = zstandard.ZstdDecompressor(), b.schema.get_field_index("text")
+    return b.set_column(i, "text", pa.array([z.decompress(x.as_py()) for x in b.column(i)], pa.large_binary()))
+
+
 REGION = "cls long, key long, at array<long>, cut array<long>, text binary"
 
 
@@ -306,7 +325,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
 
     def cut(it):
         """Regions: runs of windows whose sample occurs in another text."""
-        for b in it:
+        for b in map(unzipped, it):
             for lo, hi, offs, data in text_slices(b, "text", SLICE):
                 start, at, cum = sampled(data, offs, length)
                 row = row_of(start, offs)
@@ -319,7 +338,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                 a, z, r = s[f], s[np.append(f[1:], len(s)) - 1] + length, r[f]
                 yield from regions_out(b, lo, hi, data, a, z, r, a - offs[r])
 
-    regions = scratch.keep(rows.join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
+    regions = scratch.keep(zipped(rows.select("sha", "cls", "key", "text")).join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
         cut, REGION), large=True)
 
     def both_halves(b):
@@ -416,7 +435,7 @@ def union_spans(spans) -> list[tuple[int, int]]:
 
 
 def with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, *carried) -> DataFrame:
-    """(doc_id, key, text, least, spans, and the ``carried`` columns) of every row."""
+    """(doc_id, key, text, least, spans, and the ``carried`` columns) of every row; text is zipped."""
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} or more")
     scratch = Scratch(docs.sparkSession, "repeats")
@@ -431,7 +450,7 @@ def with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, *carrie
     parts = max(min(12, floor), -(-total // PART_BYTES))
     spans = repeated_spans(rows, least, length, parts, scratch)
     settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
-    return rows.join(settled, "sha", "left").drop("sha", "cls", "n_bytes")
+    return zipped(rows.drop("cls", "n_bytes")).join(settled, "sha", "left").drop("sha")
 
 
 def cuts_of(length: int, key: int, least: int | None, spans: bytes | None) -> list[tuple[int, int]]:
@@ -456,26 +475,26 @@ def cut_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
     left go; texts that were null or empty before stay as they are. Other
     columns are unchanged, whatever their names.
     """
-    rows = with_spans(docs, length, id_col, text_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    at = docs.columns.index(text_col)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    rows = with_spans(docs, length, id_col, text_col,
+                      F.struct(F.col(f"`{text_col}`").isNull().alias("no_text"), *others).alias("row"))
+    names, at = list(docs.columns), docs.columns.index(text_col)
 
     def run(it):
+        z = zstandard.ZstdDecompressor()
         for b in it:
-            old = column(b, "text").cast(pa.large_binary())
+            none, *cols = column(b, "row").flatten()
             texts, keep = [], []
             key, least, spans = (column(b, c) for c in ("key", "least", "spans"))
-            for i, t in enumerate(old):
-                t = t.as_py()
+            for i, t in enumerate(column(b, "text")):
+                t = z.decompress(t.as_py())
                 cuts = cuts_of(len(t), key[i].as_py(), least[i].as_py(), spans[i].as_py())
-                left = without_cuts(t, cuts).decode("utf-8", "ignore") if cuts else None
-                texts.append(left)
-                keep.append(left != "")
-            cols = column(b, "row").flatten()
-            cut = pa.array([x is not None for x in texts], pa.bool_())
-            cols[at] = pa.compute.if_else(cut, pa.array(texts, pa.string()).cast(cols[at].type), cols[at])
-            yield pa.RecordBatch.from_arrays(cols, names=docs_names).filter(pa.array(keep, pa.bool_()))
-
-    docs_names = list(docs.columns)
+                left = without_cuts(t, cuts).decode("utf-8", "ignore")
+                texts.append(None if none[i].as_py() else left)
+                keep.append(not cuts or left != "")
+            cols.insert(at, pa.array(texts, pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep, pa.bool_()))
+
     return rows.select("row", "text", "key", "least", "spans").mapInArrow(run, docs.schema)
 
 
@@ -495,11 +514,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
 
     def apply(it):
+        z = zstandard.ZstdDecompressor()
         for b in it:
             found, size = [], 0
             doc, key, least, spans = (column(b, c) for c in ("doc_id", "key", "least", "spans"))
-            for i, text in enumerate(column(b, "text").cast(pa.large_binary())):
-                text = text.as_py()
+            for i, text in enumerate(column(b, "text")):
+                text = z.decompress(text.as_py())
                 cuts = cuts_of(len(text), key[i].as_py(), least[i].as_py(), spans[i].as_py())
                 kept = without_cuts(text, cuts)
                 found.append((doc[i].as_py(), len(text), len(text) - len(kept), len(cuts), sha256(kept).hexdigest(), kept))
