@@ -278,7 +278,7 @@ def zipped(df: DataFrame) -> DataFrame:
     kind = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == "text" else f for f in df.schema])
 
     def run(it):
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=1)
         for b in it:
             i = b.schema.get_field_index("text")
             yield b.set_column(i, "text", pa.array([z.compress(x.as_py()) for x in b.column(i).cast(pa.large_binary())], pa.binary()))
@@ -372,7 +372,9 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                 yield from regions_out(b, lo, hi, data, s[f], s[np.append(f[1:], len(s)) - 1] + length, row_at[q[f]],
                                        s[f] + (places - inner[:-1])[q[f]])
 
-    regions = scratch.keep(regions.join(halves, "cls").mapInArrow(narrow, REGION), large=True)
+    wide = regions
+    regions = scratch.keep(wide.join(halves, "cls").mapInArrow(narrow, REGION), large=True)
+    scratch.drop(common, wide, halves)
 
     def second_names(b):
         for lo, hi, offs, data in text_slices(b, "text", SLICE):
@@ -419,8 +421,10 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                 yield out(["cls", "spans"], pa.array(_ids(b, lo, hi, "cls")[one]),
                           pa.array([np.stack([a[i:j], z[i:j]], axis=1).tobytes() for i, j in own], pa.binary()))
 
-    return scratch.keep(part.join(single, "cls", "left").select("cls", "at", "cut", "text", "whole", "single")
+    spans = scratch.keep(part.join(single, "cls", "left").select("cls", "at", "cut", "text", "whole", "single")
                         .mapInArrow(mark, "cls long, spans binary").dropDuplicates(["cls"]), large=True)  # a row can be there twice
+    scratch.drop(regions, whole, single)
+    return spans
 
 
 def union_spans(spans) -> list[tuple[int, int]]:
@@ -450,6 +454,7 @@ def with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, *carrie
     parts = max(min(12, floor), -(-total // PART_BYTES))
     spans = repeated_spans(rows, least, length, parts, scratch)
     settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
+    scratch.drop(least, spans)
     return zipped(rows.drop("cls", "n_bytes")).join(settled, "sha", "left").drop("sha")
 
 

@@ -21,6 +21,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         shared_root(spark)
         self.spark, self.path, self.n = spark, workdir(spark, name), 0
+        self.paths: dict[int, str] = {}
+        self.frames: list[DataFrame] = []  # so that an id stands for one table
 
     def keep(self, df: DataFrame, large: bool = False) -> DataFrame:
         """``df``, written and read back.
@@ -33,8 +35,17 @@ class Scratch:
         path = f"{self.path}/{self.n:04d}"
         df.write.parquet(path)
         kept = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(kept)] = path
+        self.frames.append(kept)
         if large:
             del df
             gc.collect()
             self.spark.sparkContext._jvm.System.gc()
         return kept
+
+    def drop(self, *kept: DataFrame) -> None:
+        """Delete tables that nothing will read any more (what came of them is written)."""
+        jvm = self.spark.sparkContext._jvm
+        for df in kept:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df)))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
