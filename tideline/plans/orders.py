@@ -26,7 +26,7 @@ from tideline.session import unique_name, workdir
 from tideline.sinks.files import stream_append
 from tideline.sinks.keyed import KeyedTable, absent, upsert_sink
 from tideline.sources.feeds import Feed
-from tideline.sources.streams import stream_source
+from tideline.sources.streams import json_stream
 from tideline.sources.tables import inline_table
 from tideline.streaming.runner import StreamSpec, finish, run_all, start
 
@@ -146,7 +146,7 @@ def stream_json_ingest(spark: SparkSession, events: DataFrame, days: int = 6) ->
     parts = ["year", "month", "day"]
     for i in feed.slices:
         feed.deliver(i)
-        dec = json_decode(stream_source(spark, "text", feed.landing), EVENT_SCHEMA)
+        dec = json_stream(spark, "text", EVENT_SCHEMA, feed.landing)
         dec = with_time_parts(dec.withColumn("ts", to_ntz(epoch_ms("ts"))), "ts", parts)
         finish(stream_append(dec, raw, ckpt, parts))
     return _read(spark, raw, EVENT_ROW + ", year STRING, month STRING, day STRING")
@@ -210,9 +210,9 @@ def stream_two_topics(spark: SparkSession, events: DataFrame, days: int = 6) ->
     for i in of.slices:
         of.deliver(i)
         mf.deliver(i)
-        o = json_decode(stream_source(spark, "text", of.landing), ORDER_SCHEMA) \
+        o = json_stream(spark, "text", ORDER_SCHEMA, of.landing) \
             .withColumn("timestamp", to_ntz(epoch_ms("timestamp")))
-        m = json_decode(stream_source(spark, "text", mf.landing), MEMBER_SCHEMA) \
+        m = json_stream(spark, "text", MEMBER_SCHEMA, mf.landing) \
             .withColumn("timestamp", to_ntz(epoch_ms("timestamp")))
         # ingest time = the micro-batch's timestamp (kept in the offset log)
         run_all([StreamSpec(with_time_parts(o, None), None, ck_o, path=raw_o,
@@ -238,7 +238,7 @@ def stream_enrich_products(spark: SparkSession, events: DataFrame, days: int = 6
     dim = product_dim(spark)
     for i in feed.slices:
         feed.deliver(i)
-        dec = json_decode(stream_source(spark, "text", feed.landing), EVENT_SCHEMA)
+        dec = json_stream(spark, "text", EVENT_SCHEMA, feed.landing)
         dec = dec.select("event_id", "user_id", to_ntz(epoch_ms("ts")).alias("ts"),
                          F.col("k").alias("order_id"))
         # stream-static join with the broadcast literal; ingest time = batch timestamp
@@ -276,9 +276,9 @@ def order_medallion(spark: SparkSession, events: DataFrame, days: int = 10,
     for i in of.slices:
         of.deliver(i)
         mf.deliver(i)
-        o = json_decode(stream_source(spark, "text", of.landing), ORDER_SCHEMA).select(
+        o = json_stream(spark, "text", ORDER_SCHEMA, of.landing).select(
             "order_id", "order_owner", "order_value", to_ntz(epoch_ms("timestamp")).alias("order_ts"))
-        m = json_decode(stream_source(spark, "text", mf.landing), MEMBER_SCHEMA).select(
+        m = json_stream(spark, "text", MEMBER_SCHEMA, mf.landing).select(
             "member_id", F.col("order_owner").alias("member_owner"), "membership",
             to_ntz(epoch_ms("timestamp")).alias("member_ts"))
         run_all([StreamSpec(with_time_parts(o, None), None, ck["o"], path=raw_o,

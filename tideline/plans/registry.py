@@ -109,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replace_partition": _qs(T.replace_partition, "orders"),
     "external_table_repair": _qs(T.external_table_repair, "events"),
     "append_ingest_partitioned": _qs(T.append_ingest_partitioned, "events"),
+    "archive_by_hour": _qs(T.archive_by_hour, "events"),
     "append_key_partitioned": _qs(T.append_key_partitioned, "events"),
     "snapshot_manifest": _qs(T.snapshot_manifest, "events"),
     "taxi_style_refresh": _qs(T.taxi_style_refresh, "customer", "supplier"),
@@ -281,6 +282,9 @@ ORACLE: dict[str, str] = {
     "stream_enrich_inline_dim": f"""
       SELECT p.order_id, e.event_id, e.user_id, date_trunc('millisecond', e.ts) AS ts, p.product_name
       FROM events e JOIN (VALUES {PRODUCTS}) p(order_id, product_name) ON {K} = p.order_id""",
+    "archive_by_hour": """
+      SELECT *, strftime(ts, '%Y') AS ingest_year, strftime(ts, '%m') AS ingest_month,
+             strftime(ts, '%d') AS ingest_day, strftime(ts, '%H') AS ingest_hour FROM events""",
     "stream_archive_by_hour": f"""
       SELECT *, strftime(ts, '%Y') AS ingest_year, strftime(ts, '%m') AS ingest_month,
              strftime(ts, '%d') AS ingest_day, strftime(ts, '%H') AS ingest_hour FROM {ODD}""",

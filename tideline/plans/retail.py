@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions.decode import event_time, exact_money, json_decode
+from tideline.functions.decode import event_time, exact_money
 from tideline.functions.fixed import COUNTRY_PATTERN, SALES_WATERMARK, SALES_WINDOW
 from tideline.operators.clean import PRICE_LIMIT, retail_clean, retail_rejects
 from tideline.operators.windows import windowed_sum
@@ -17,7 +17,7 @@ from tideline.sinks.catalog import rebuild_table, repair
 from tideline.sinks.files import batch_writer
 from tideline.sinks.keyed import absent
 from tideline.sources.feeds import Feed
-from tideline.sources.streams import stream_source
+from tideline.sources.streams import json_stream
 from tideline.streaming.runner import finish, start
 
 
@@ -83,8 +83,7 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
     dropped, behind = 0, None
     for i in order:
         feed.deliver(i)
-        src = stream_source(spark, "text", feed.landing)
-        clean = retail_clean(json_decode(src, INVOICE_SCHEMA))
+        clean = retail_clean(json_stream(spark, "text", INVOICE_SCHEMA, feed.landing))
         # a row is late if its window ends at or before the watermark the run starts with
         end = F.window(event_time("InvoiceDate"), SALES_WINDOW)["end"]
         if behind:

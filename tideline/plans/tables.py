@@ -12,7 +12,7 @@ from tideline.operators.setops import union_tagged
 from tideline.plans.inputs import odd_events
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
-from tideline.sinks.files import append_partitioned
+from tideline.sinks.files import append_partitioned, archive_by_time
 from tideline.sinks.files import append_ingest_partitioned as _append_ingest
 
 
@@ -214,6 +214,13 @@ def taxi_style_refresh(spark: SparkSession, customer: DataFrame, supplier: DataF
     return spark.table(summary)
 
 
+def archive_by_hour(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Events archived by event time under zero-padded ``ingest_*=`` folders, read back with them."""
+    path = workdir(spark, "archive")
+    archive_by_time(events, path, at="ts")
+    return spark.read.schema(EVENT_DDL + ", " + ", ".join(f"{c} STRING" for c in ARCHIVE_PARTS)).parquet(path)
+
+
 # ---- stream archive from a catalog table ------------------------------------
 
 ARCHIVE_PARTS = ["ingest_year", "ingest_month", "ingest_day", "ingest_hour"]
