@@ -1,6 +1,6 @@
 """Near-duplicate documents by b-bit MinHash, links confirmed exactly (operator 5).
 
-1. Every text becomes its set of k-word shingles (64-bit hashes), 256 minima,
+1. Every text becomes its set of k-word shingles (64-bit hashes), 512 minima,
    their band keys, and a signature of the low ``BITS`` bits of each minimum.
    Texts with equal sets form one class; only classes are compared.
 2. Classes that agree on a band are candidates. A pair is estimated from the
@@ -35,7 +35,7 @@ from tideline.llm.hashing import U64, mix, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
 
 BANDS, ROWS, BITS = 32, 4, 2
-N_HASH = 256  # the first BANDS * ROWS make the band keys, all the signature
+N_HASH = 512  # the first BANDS * ROWS make the band keys, all the signature
 WORDS = N_HASH * BITS // 64
 MAX_ODD = 256
 REFINE = 8
@@ -165,12 +165,18 @@ class _Linker:
         return (members.join(self.comps, members.cls == self.comps.node, "left")
                 .select(*members.columns, F.coalesce("component", "cls").alias("comp")))
 
-    def confirm(self, pairs: DataFrame) -> None:
-        """Add those of the candidate pairs (a, b) that are links."""
-        sig = self.classes.select("cls", *SIG)
-        for side in ("a", "b"):
-            pairs = pairs.join(sig.select(F.col("cls").alias(side), *[F.col(s).alias(side + s) for s in SIG]), side)
-        likely = self.scratch.keep(pairs.where(estimate("a", "b") >= self.percent / 100 - slack(self.percent / 100)).select("a", "b"))
+    def likely(self, left: str, right: str) -> Column:
+        """Whether the estimate from the columns left + s0.. and right + s0.. allows a link."""
+        return estimate(left, right) >= self.percent / 100 - slack(self.percent / 100)
+
+    def confirm(self, pairs: DataFrame, estimated: bool = False) -> None:
+        """Add those of the candidate pairs (a, b) that are links; ``estimated`` ones passed the estimate."""
+        if not estimated:
+            sig = self.classes.select("cls", *SIG)
+            for side in ("a", "b"):
+                pairs = pairs.join(sig.select(F.col("cls").alias(side), *[F.col(s).alias(side + s) for s in SIG]), side)
+            pairs = pairs.where(self.likely("a", "b"))
+        likely = self.scratch.keep(pairs.select("a", "b").distinct())
         full = (likely.join(self.sets.select(F.col("cls").alias("b"), F.col("hashes").alias("hb")), "b")
                 .join(self.sets.select(F.col("cls").alias("a"), F.col("hashes").alias("ha")), "a"))
         percent = self.percent
@@ -219,11 +225,14 @@ class _Linker:
             .where("n_odd > 0"))
 
     def odd_pairs(self, members: DataFrame, stats: DataFrame) -> DataFrame:
-        """Each odd member with every member of its bucket, each pair once."""
-        m = self.scratch.keep(self.label(members).join(stats.select("bucket", "main"), "bucket"))
-        odd = m.where("comp <> main").select("bucket", F.col("cls").alias("b"), F.col("comp").alias("cb"))
-        pairs = m.join(odd, "bucket").where("comp <> cb and (comp = main or cls < b)")
-        return pairs.select(F.least("cls", "b").alias("a"), F.greatest("cls", "b").alias("b")).distinct()
+        """Each odd member with every member of its bucket that the estimate allows."""
+        sig = self.classes.select("cls", *SIG)
+        m = self.scratch.keep(self.label(members).join(stats.select("bucket", "main"), "bucket").join(sig, "cls"))
+        left = m.select("bucket", "comp", "main", F.col("cls").alias("a"), *[F.col(s).alias("a" + s) for s in SIG])
+        odd = m.where("comp <> main").select("bucket", F.col("comp").alias("cb"), F.col("cls").alias("b"),
+                                             *[F.col(s).alias("b" + s) for s in SIG])
+        allowed = F.expr("comp <> cb and (comp = main or a < b)") & self.likely("a", "b")
+        return left.join(odd, (left["bucket"] == odd["bucket"]) & allowed).select("a", "b")
 
     def level(self, members: DataFrame, last: bool) -> DataFrame | None:
         """Settle what one level of buckets can; the members of the rest."""
@@ -237,7 +246,7 @@ class _Linker:
         stats = self.stats(members)
         if stats.isEmpty():
             return None
-        self.confirm(self.odd_pairs(members, stats if last else stats.where(F.col("n_odd") <= MAX_ODD)))
+        self.confirm(self.odd_pairs(members, stats if last else stats.where(F.col("n_odd") <= MAX_ODD)), estimated=True)
         if last:
             return None
         more = stats.where(F.col("n_odd") > MAX_ODD).select("bucket")
