@@ -21,7 +21,7 @@ import numpy as np
 
 from tideline.llm.hashing import U64, mix, powers, prefix_hash
 
-MEMO_SIZE = 1_500_000
+MEMO_SIZE = 1_000_000
 BATCH_BYTES = 1 << 21
 
 _VISIBLE = np.zeros(256, bool)  # ASCII, and lead bytes of blocks without white space
