@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tideline.llm import mixing as X
 
@@ -98,3 +99,52 @@ def test_empty_table_and_only_held_out(spark):
     one = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     [r] = X.score_texts(spark.createDataFrame([(one, "a b")], "doc_id long, text string")).collect()
     assert (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and math.isfinite(r.score)
+
+
+def test_words_of_one_class_are_told_apart_by_context(spark, monkeypatch):
+    """Words of equal counts in a fixed order: their class says nothing, the words before say all."""
+    order = [f"w{i}" for i in range(256)]
+    turn = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    rows = [(i, " ".join(order)) for i in range(40)]
+    rows += [(1000 + turn[0], " ".join(order)), (1000 + turn[1], " ".join(random.Random(1).sample(order, 256)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") >= 1000
+    good, bad = sorted(X.score_texts(df, held).where("doc_id >= 1000").collect(), key=lambda r: r.doc_id != 1000 + turn[0])
+    assert good.base_score == bad.base_score or math.isclose(good.base_score, bad.base_score)
+    assert good.score > 0.3 * bad.score and good.score > -256 * math.log10(256) / 2
+    monkeypatch.setattr(X, "HOT_CLASS", 1)  # every context dealt by parts of the code: the same counts
+    monkeypatch.setattr(X, "SHARD_TOKENS", 700)
+    again = {r.doc_id: r.score for r in X.score_texts(df.repartition(3), held).collect()}
+    assert math.isclose(again[good.doc_id], good.score, rel_tol=1e-6)
+    assert math.isclose(again[bad.doc_id], bad.score, rel_tol=1e-6)
+
+
+def test_a_word_is_one_event_of_a_distribution():
+    rng = np.random.default_rng(4)
+    guess = rng.normal(0, 2, int(X.BASE[-1])).astype(np.float32)
+    types = np.zeros(X.CLASSES, np.int64)
+    types[[1, 3, 4]] = 11, 1, 300
+    bits = X.rank_bits(types)
+    assert bits[[0, 1, 3, 4]].tolist() == [0, 4, 0, 9]
+    n = 2000
+    cls = rng.choice([1, 3, 4], n)
+    rank = rng.integers(0, types[cls])
+    code = X.codes(cls, rank, bits)
+    first = np.array([0])
+    ctx, value, kind, _, _, entry, _ = X.entries(code, first, bits, 1, 4)
+    count = np.bincount(entry)
+    total = 0.0
+    for c, r in [(c, r) for c in range(X.CLASSES) for r in range(max(1, int(types[c])))]:
+        # the same text, then each word in turn, under the counts of the text
+        cl, rk = np.append(cls[:12], c), np.append(rank[:12], r)
+        one, val, kd, _, at, _, _ = X.entries(X.codes(cl, rk, bits), first, bits, 1, 4)
+        inv, start, end, flat = X.along(np.concatenate([value, val]), np.concatenate([ctx, one]), np.concatenate([kind, kd]),
+                                        np.concatenate([count, np.zeros(len(one))]), bits)
+        own = start[inv[len(ctx):]]
+        begin = np.append(own, len(flat))[at]
+        flat = np.concatenate([flat, np.zeros(64, np.float16)])
+        more = X.slots(X.contexts(cl, np.zeros(13, np.uint16), first))
+        words = (rk, bits[cl], np.maximum(types, 1)[cl], flat, begin)
+        whole, but = (X.mix_segments(guess, cl, more, first, np.array([k]), words)[0] for k in (13, 12))
+        total += 10 ** (whole - but)
+    assert math.isclose(total, 1, rel_tol=1e-3)

@@ -2,20 +2,26 @@
 
 A text is its words (A-Z lower-cased) and an end. Word counts over all
 training texts give every word a class, the bit length of its count (0: not
-seen), coded in six bits. Each bit is predicted from several hashed contexts
-(counts of both outcomes over all training texts); the predictions are mixed
-in the logistic domain by weights picked by a gate, and the result is refined
-by an adaptive map. Weights and map are learned online, bit by bit, anew for
-every segment of ``SEGMENT`` tokens. A seen word then costs its share of its
-class. The events are the base model's: the seen words and one "unseen".
+seen), and a rank among the words of its class. A word is coded by six bits of
+class, then the bits of its rank, so every word has a code of its own. Each
+bit is predicted from several contexts (counts of both outcomes over all
+training texts); the predictions are mixed in the logistic domain by weights
+picked by a gate, and the result is refined by an adaptive map. Weights and
+map are learned online, bit by bit, anew for every segment of ``SEGMENT``
+tokens. The events are the base model's: the seen words and one "unseen".
 
 1. Texts are written as shards of token streams over a vocabulary of their
    own, so that a word is counted and looked up once per shard.
 2. Vocabularies are dealt by word hash; counts are summed there and sent back
    to the shards that hold the word.
-3. With the counts, shards become streams of classes; context counts are
-   summed over all training texts, in tables of fixed size.
-4. Segments are scored side by side, one token of each at a time.
+3. With the counts, shards become streams of classes and ranks. Counts in
+   contexts of classes are summed over all training texts in tables of fixed
+   size.
+4. Every shard's distinct (context, word) pairs, the context being the word
+   before or the two words before, are dealt by context and summed there; the
+   predictions along the word's code come back, a number per bit. Contexts of
+   very common words are dealt by parts of the code as well.
+5. Segments are scored side by side, one token of each at a time.
 """
 
 from __future__ import annotations
@@ -38,6 +44,13 @@ CONTEXT_BITS = (0, 6, 12, 15, 16)  # order 0; last class; last two; last word; l
 N_CTX = len(CONTEXT_BITS)
 BASE = np.cumsum([0, *[CLASSES << b for b in CONTEXT_BITS]])
 END = np.uint64(0x5851F42D4C957F2D)
+RANK_BITS = 32
+MIDDLE = 8  # bits of a rank that a common context's second entry codes
+HOT_CLASS = 21  # contexts whose words all have this class or more are dealt by parts of the code
+PAIR_TOKENS = 1 << 21  # tokens per part of the (context, word) pairs
+EXACT = 2  # contexts by whole words
+NONE = U64((CLASSES - 1) << RANK_BITS)  # before the first word of a text
+STATES, RANK_DEPTH = 3, 16
 RATE, MAP_RATE, MAP_SIZE, CLAMP = 0.015, 0.02, 33, 11.0
 
 
@@ -117,9 +130,11 @@ def shards(rows: DataFrame, parts: int) -> DataFrame:
 
 
 def counted(texts: DataFrame, parts: int) -> DataFrame:
-    """(shard, part, counts binary): the count over all shards of each word a shard has; shard -1 - part has totals.
+    """(shard, part, counts binary, ranks binary) of each word a shard has; shard -1 - part has totals.
 
-    Totals are the distinct words seen, then the tokens of each class.
+    Counts are over all shards, ranks among the part's seen words of the
+    class. Totals are the distinct words seen, then the tokens of each class,
+    then the distinct words of each.
     """
     def deal(it):
         for b in it:
@@ -140,13 +155,20 @@ def counted(texts: DataFrame, parts: int) -> DataFrame:
             n = np.zeros(len(u), np.int64)
             np.add.at(n, inv, c)
             ends = np.cumsum([len(r["v"]) // 8 for r in own])
-            back = np.split(n[inv], ends[:-1])
-            tot = np.append((n > 0).sum(), np.bincount(bit_length(n), n, minlength=CLASSES)).astype(np.int64)
-            yield out(["shard", "part", "counts"], pa.array([r["shard"] for r in own] + [-1 - part], pa.int64()),
-                      pa.array([part] * (len(own) + 1), pa.int32()), pa.array([squeezed(x) for x in [*back, tot]], pa.binary()))
+            cls = bit_length(n)
+            types = np.bincount(cls, n > 0, minlength=CLASSES).astype(np.int64)
+            o = np.argsort(cls, kind="stable")
+            rank = np.empty(len(n), np.uint32)
+            rank[o] = np.arange(len(n)) - np.searchsorted(cls[o], np.arange(CLASSES))[cls[o]]
+            rank[n == 0] = 0
+            back, ranks = np.split(n[inv], ends[:-1]), np.split(rank[inv], ends[:-1])
+            tot = np.concatenate([[(n > 0).sum()], np.bincount(cls, n, minlength=CLASSES), types]).astype(np.int64)
+            yield out(["shard", "part", "counts", "ranks"], pa.array([r["shard"] for r in own] + [-1 - part], pa.int64()),
+                      pa.array([part] * (len(own) + 1), pa.int32()), pa.array([squeezed(x) for x in [*back, tot]], pa.binary()),
+                      pa.array([*map(squeezed, ranks), None], pa.binary()))
 
     return (texts.select("shard", "vocab", "train", "cuts").mapInArrow(deal, "shard long, part int, v binary, c binary")
-            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, counts binary"))
+            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, counts binary, ranks binary"))
 
 
 def bit_length(n: np.ndarray) -> np.ndarray:
@@ -156,32 +178,38 @@ def bit_length(n: np.ndarray) -> np.ndarray:
 
 # ---- class streams and contexts -----------------------------------------
 
-STREAM = ("doc_ids array<long>, held array<boolean>, n_tokens array<long>, n_bytes array<long>, n_known array<long>, "
-          "base array<double>, share array<double>, classes binary, recent binary")
+STREAM = ("shard long, doc_ids array<long>, held array<boolean>, n_tokens array<long>, n_bytes array<long>, n_known array<long>, "
+          "base array<double>, classes binary, ranks binary, recent binary")
 
 
-def streams(texts: DataFrame, counts: DataFrame, n_train: int, n_types: int, class_total: np.ndarray) -> DataFrame:
-    """Per shard: base score, known words and in-class log10 share of each text, and its classes."""
-    each = counts.where("shard >= 0").groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("part", "counts"))).alias("counts"))
-    log_total = np.log10(np.maximum(class_total, 1).astype(np.float64))
+def streams(texts: DataFrame, counts: DataFrame, n_train: int, n_types: int, before: np.ndarray) -> DataFrame:
+    """Per shard: base score and known words of each text, its classes and ranks.
+
+    ``before`` has the words of each class in earlier parts, by part.
+    """
+    each = counts.where("shard >= 0").groupBy("shard").agg(
+        F.array_sort(F.collect_list(F.struct("part", "counts", "ranks"))).alias("counts"))
 
     def run(it):
         for b in it:
             for r in b.to_pylist():
-                c = np.concatenate([spread(x["counts"], np.int64) for x in r["counts"]])
+                own = [spread(x["counts"], np.int64) for x in r["counts"]]
+                c = np.concatenate(own)
                 tok = spread(r["tokens"], np.uint32)
                 cls = bit_length(c)
+                rank = np.concatenate([spread(x["ranks"], np.uint32) for x in r["counts"]])
+                rank = np.where(c > 0, rank + before[np.repeat([x["part"] for x in r["counts"]], [len(x) for x in own]), cls], 0)
                 cnt = np.array(r["n_tokens"], np.int64)
                 first = np.cumsum(cnt) - cnt
                 base = np.log10((c + 1) / (n_train + n_types + 1))
-                share = np.where(c > 0, np.log10(np.maximum(c, 1)) - log_total[cls], 0.0)
                 per = lambda x: np.add.reduceat(x[tok], first)  # noqa: E731  every text has its end token
-                yield out(["doc_ids", "held", "n_tokens", "n_bytes", "n_known", "base", "share", "classes", "recent"],
+                yield out([c.split()[0] for c in STREAM.split(", ")], pa.array([r["shard"]], pa.int64()),
                           pa.array([r["doc_ids"]], pa.list_(pa.int64())), pa.array([r["held"]], pa.list_(pa.bool_())),
                           pa.array([r["n_tokens"]], pa.list_(pa.int64())), pa.array([r["n_bytes"]], pa.list_(pa.int64())),
                           pa.array([per((c > 0).astype(np.int64)).tolist()], pa.list_(pa.int64())),
-                          pa.array([per(base).tolist()], pa.list_(pa.float64())), pa.array([per(share).tolist()], pa.list_(pa.float64())),
+                          pa.array([per(base).tolist()], pa.list_(pa.float64())),
                           pa.array([squeezed(cls.astype(np.uint8)[tok])], pa.binary()),
+                          pa.array([squeezed(rank.astype(np.uint32)[tok])], pa.binary()),
                           pa.array([squeezed(spread(r["recent"], np.uint16)[tok])], pa.binary()))
 
     return (texts.select("shard", "doc_ids", "held", "n_tokens", "n_bytes", "tokens", "recent").join(each, "shard")
@@ -265,23 +293,162 @@ def stretched(n: np.ndarray) -> np.ndarray:
     return np.clip(np.log((n[:, 1] + 0.4) / (n[:, 0] + 0.4)), -CLAMP, CLAMP).astype(np.float32)
 
 
+# ---- contexts of whole words --------------------------------------------
+
+def rank_bits(types: np.ndarray) -> np.ndarray:
+    """Bits of a rank, by class."""
+    return np.where(types > 1, bit_length(np.maximum(types - 1, 0)), 0)
+
+
+def codes(cls: np.ndarray, rank: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Class and rank of every token as one number, the rank's first bit highest."""
+    return cls.astype(U64) << U64(RANK_BITS) | rank.astype(U64) << (RANK_BITS - bits[cls]).astype(U64)
+
+
+def reach(code: np.ndarray, kind: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bit and end of what an entry codes: all, the class, the first bits of the rank, the rest."""
+    end = DEPTH + bits[(code >> U64(RANK_BITS)).astype(np.int64)]
+    middle = np.minimum(end, DEPTH + MIDDLE)
+    return np.array([0, 0, DEPTH, DEPTH + MIDDLE])[kind], np.select([kind == 1, kind == 2], [DEPTH, middle], end)
+
+
+def entries(code: np.ndarray, first: np.ndarray, bits: np.ndarray, parts: int, hot: int):
+    """Distinct (context, word) entries of a shard, by part and hash.
+
+    Returns context, code, kind and end of each part; the entry of every
+    token, by context and third of the code (class, first bits of the rank,
+    rest; -1: none); and (entry, token) of all places. A context with an
+    unseen word has no entry, as no training text has it.
+    """
+    one = np.append(NONE, code[:-1])
+    one[first] = NONE
+    two = np.append(NONE, one[:-1])
+    two[first] = NONE
+    low = np.minimum(one, two)
+    n, cls = len(code), (code >> U64(RANK_BITS)).astype(np.int64)
+    found = []  # context, code, kind, token, order and thirds of the code
+    for order, (ctx, least) in enumerate([(mix(one ^ END), one), (mix(mix(one) + two), low)]):
+        least = (least >> U64(RANK_BITS)).astype(np.int64)
+        few, many = np.flatnonzero((least > 0) & (least < hot)), np.flatnonzero(least >= hot)
+        found.append((ctx[few], code[few], 0, few, order, (0, 1, 2)))
+        for kind, keep, above in ((1, RANK_BITS, 64), (2, RANK_BITS - MIDDLE, RANK_BITS), (3, 0, RANK_BITS - MIDDLE)):
+            i = many[bits[cls[many]] > (kind - 2) * MIDDLE] if kind > 1 else many
+            own = ctx[i] + U64(kind) if above == 64 else mix(ctx[i] + U64(kind)) + (code[i] >> U64(above))
+            found.append((mix(own), code[i] >> U64(keep) << U64(keep), kind, i, order, (kind - 1,)))
+    ctx, value, token = (np.concatenate([x[j] for x in found]) for j in (0, 1, 3))
+    kind = np.repeat(np.array([x[2] for x in found], np.uint8), [len(x[0]) for x in found])
+    _, one_of, inv = np.unique(mix(ctx + mix(value ^ U64(1))), return_index=True, return_inverse=True)
+    part = (ctx[one_of] % U64(parts)).astype(np.int64)
+    o = np.argsort(part, kind="stable")
+    back = np.empty(len(o), np.int64)
+    back[o] = np.arange(len(o))
+    at, a = np.full((EXACT, 3, n), -1, np.int64), 0
+    entry = back[inv]
+    for x in found:
+        for third in x[5]:
+            at[x[4], third, x[3]] = entry[a:a + len(x[3])]
+        a += len(x[3])
+    pick = one_of[o]
+    return ctx[pick], value[pick], kind[pick], np.searchsorted(part[o], np.arange(parts), "right"), at, entry, token
+
+
+def along(code: np.ndarray, ctx: np.ndarray, kind: np.ndarray, n: np.ndarray, bits: np.ndarray):
+    """Predictions of the bits of each entry from the counts ``n`` of all of its context.
+
+    Returns (entry of each row given, first and end of each entry's
+    predictions, predictions).
+    """
+    _, own = np.unique(ctx, return_inverse=True)
+    key, pick, inv = np.unique(own.astype(U64) << U64(DEPTH + RANK_BITS) | code, return_index=True, return_inverse=True)
+    total = np.bincount(inv, n, minlength=len(key))
+    lo, hi = reach(code[pick], kind[pick], bits)
+    end = np.cumsum(hi - lo)
+    start = end - (hi - lo)
+    flat = np.zeros(int(end[-1]), np.float16)
+    for d in range(int(hi.max())):
+        s = np.flatnonzero((lo <= d) & (d < hi))
+        if not len(s):
+            continue
+        k, t = key[s], total[s]
+        shift = U64(DEPTH + RANK_BITS - 1 - d)
+        node = k >> (shift + U64(1))
+        new = np.append(True, node[1:] != node[:-1])
+        runs = np.flatnonzero(new)
+        ones, both = np.add.reduceat(t * (k >> shift & U64(1)), runs), np.add.reduceat(t, runs)
+        flat[start[s] + d - lo[s]] = stretched(np.stack([both - ones, ones], axis=1))[np.cumsum(new) - 1]
+    return inv, start, end, flat
+
+
+def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
+    """(shard, part, flat binary): float16 predictions along the code of each of a shard's entries, in order."""
+    hot = HOT_CLASS
+
+    def deal(it):
+        for b in it:
+            for r in b.to_pylist():
+                cls, cnt = spread(r["classes"], np.uint8).astype(np.int64), np.array(r["n_tokens"], np.int64)
+                code = codes(cls, spread(r["ranks"], np.uint32), bits)
+                ctx, value, kind, ends, _, entry, token = entries(code, np.cumsum(cnt) - cnt, bits, parts, hot)
+                learn = np.repeat(~np.array(r["held"], bool), cnt)
+                n = np.bincount(entry, learn[token], minlength=len(ctx)).astype(np.uint32)
+                for p, (i, j) in enumerate(zip(np.append(0, ends[:-1]), ends)):
+                    if j > i:
+                        yield out(["shard", "part", "ctx", "code", "kind", "n"], pa.array([r["shard"]], pa.int64()), pa.array([p], pa.int32()),
+                                  pa.array([ctx[i:j].tobytes()], pa.binary()),
+                                  *[pa.array([squeezed(x[i:j])], pa.binary()) for x in (value, kind, n)])
+
+    def total(it):
+        rows = [r for b in it for r in b.to_pylist()]
+        for part in sorted({r["part"] for r in rows}):
+            own = [r for r in rows if r["part"] == part]
+            ctx = np.concatenate([np.frombuffer(r["ctx"], U64) for r in own])
+            code, kind, n = (np.concatenate([spread(r[c], t) for r in own]) for c, t in (("code", U64), ("kind", np.uint8), ("n", np.uint32)))
+            inv, start, end, flat = along(code, ctx, kind, n, bits)
+            a = 0
+            for r in own:
+                e = inv[a:a + len(r["ctx"]) // 8]
+                a += len(e)
+                size = (end - start)[e]
+                upto = np.cumsum(size)
+                pick = np.repeat(start[e] - (upto - size), size) + np.arange(upto[-1])
+                yield out(["shard", "part", "flat"], pa.array([r["shard"]], pa.int64()), pa.array([part], pa.int32()),
+                          pa.array([squeezed(flat[pick])], pa.binary()))
+
+    return (stream.select("shard", "classes", "ranks", "n_tokens", "held")
+            .mapInArrow(deal, "shard long, part int, ctx binary, code binary, kind binary, n binary")
+            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, flat binary"))
+
+
 # ---- scoring ------------------------------------------------------------
 
-def mix_segments(guess: np.ndarray, cls: np.ndarray, at: list[np.ndarray], first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """log10 probability of the classes of each segment (``length`` tokens from ``first``).
+def mix_segments(guess: np.ndarray, cls: np.ndarray, at: list[np.ndarray], first: np.ndarray, length: np.ndarray,
+                 words: tuple | None = None) -> np.ndarray:
+    """log10 probability of each segment (``length`` tokens from ``first``): its classes and, given ``words``, their words.
+
+    ``words`` has every token's rank, the bits of it and the words of its
+    class, then the predictions in contexts of whole words and where those of
+    a token begin, by context and third of the code.
 
-    The gate that picks a weight set is the bit's depth and whether the word
-    before was seen; the map is picked by depth.
+    The gate that picks a weight set is the bit's depth and, for classes,
+    whether the word before was seen, for ranks, how many contexts predict;
+    the map is picked by depth or that number. A rank's first input is the
+    share of each half in the words left; a bit that only one half allows
+    costs nothing.
     """
     n = len(first)
     order = np.argsort(-length, kind="stable")
     first, length = first[order], length[order]
-    w = np.full((n, 2 * DEPTH, N_CTX), 0.35, np.float32)
+    w = np.full((n, 2 * DEPTH, N_CTX + (EXACT if words else 0)), 0.35, np.float32)
     grid = np.linspace(-CLAMP, CLAMP, MAP_SIZE, dtype=np.float32)
     fine = np.broadcast_to(1 / (1 + np.exp(-grid)), (n, DEPTH, MAP_SIZE)).astype(np.float32)
     total = np.zeros(n)
     scale = np.float32((MAP_SIZE - 1) / (2 * CLAMP))
     prev = np.zeros(n, np.int64)
+    if words:
+        rank, size, types, flat, begin = words
+        w[:, :, :N_CTX], w[:, :, N_CTX:] = 0.2, 0.4
+        v = np.full((n, RANK_DEPTH * STATES, EXACT + 1), 0.5, np.float32)
+        sharp = np.broadcast_to(1 / (1 + np.exp(-grid)), (n, STATES, MAP_SIZE)).astype(np.float32)
     for t in range(int(length[0]) if n else 0):
         k = int(np.searchsorted(-length, -t, "left"))  # segments longer than t
         i = first[:k] + t
@@ -291,6 +458,8 @@ def mix_segments(guess: np.ndarray, cls: np.ndarray, at: list[np.ndarray], first
         d = 0
         for node, bit in code_nodes(c):
             x = guess[here + node[:, None]]
+            if words:
+                x = np.concatenate([x, flat[begin[:, 0, i] + d].T.astype(np.float32)], axis=1)
             gate = prev[:k] * DEPTH + d
             wk = w[rows, gate]
             dot = np.clip((wk * x).sum(axis=1), -CLAMP, CLAMP)
@@ -304,6 +473,28 @@ def mix_segments(guess: np.ndarray, cls: np.ndarray, at: list[np.ndarray], first
             fine[rows, d, cell] = q + np.float32(MAP_RATE) * (y - q)
             d += 1
         prev[:k] = c > 0
+        for d in range(int(size[i].max()) if words else 0):
+            live = np.flatnonzero(size[i] > d)
+            j = i[live]
+            half = np.int64(1) << (size[j] - 1 - d)
+            bit = rank[j] // half & 1
+            left = types[j] - rank[j] // half // 2 * half * 2
+            two = left > half  # words in both halves
+            live, j, half, bit, left = live[two], j[two], half[two], bit[two], left[two]
+            known = flat[begin[:, 1 if d < MIDDLE else 2, j] + DEPTH + d].T.astype(np.float32)
+            x = np.concatenate([np.log(np.minimum(left - half, half) / half)[:, None].astype(np.float32), known], axis=1)
+            state = (known != 0).sum(axis=1)
+            gate = min(d, RANK_DEPTH - 1) * STATES + state
+            wk = v[live, gate]
+            dot = np.clip((wk * x).sum(axis=1), -CLAMP, CLAMP)
+            p = 1 / (1 + np.exp(-dot))
+            cell = np.rint((dot + CLAMP) * scale).astype(np.int64)
+            q = sharp[live, state, cell]
+            y = bit.astype(np.float32)
+            fin = 0.5 * (p + q)
+            total[live] += np.log10(np.where(bit == 1, fin, 1 - fin))
+            v[live, gate] = wk + np.float32(RATE) * (y - p)[:, None] * x
+            sharp[live, state, cell] = q + np.float32(MAP_RATE) * (y - q)
     res = np.empty(n)
     res[order] = total
     return res
@@ -313,8 +504,10 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
           "score double, bits_per_byte double")
 
 
-def scored(stream: DataFrame, guess: np.ndarray, n_train: int) -> DataFrame:
-    """One row per text of the class streams, by SCORES."""
+def scored(stream: DataFrame, guess: np.ndarray, words: DataFrame, bits: np.ndarray, types: np.ndarray, parts: int, n_train: int) -> DataFrame:
+    """One row per text of the class streams, by SCORES; ``words`` are the ``word_guesses`` of ``parts`` parts."""
+    each = words.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("part", "flat"))).alias("flat"))
+    hot = HOT_CLASS
     shared = stream.sparkSession.sparkContext.broadcast(guess)  # a table of fixed size
 
     def run(it):
@@ -325,20 +518,27 @@ def scored(stream: DataFrame, guess: np.ndarray, n_train: int) -> DataFrame:
                 cnt = np.array(r["n_tokens"], np.int64)
                 start = np.cumsum(cnt) - cnt
                 at = slots(contexts(cls, spread(r["recent"], np.uint16), start))
+                rank = spread(r["ranks"], np.uint32).astype(np.int64)
+                _, value, kind, _, place, _, _ = entries(codes(cls, rank, bits), start, bits, parts, hot)
+                lo, hi = reach(value, kind, bits)
+                flat = [spread(x["flat"], np.float16) for x in r["flat"] or []]
+                n = sum(map(len, flat))
+                flat = np.concatenate([*flat, np.zeros(DEPTH + RANK_BITS, np.float16)])  # the last are for no entry
+                begin = np.append(np.cumsum(hi - lo) - (hi - lo) - lo, n)[place]
                 segs = -(-cnt // SEGMENT)
                 doc = np.repeat(np.arange(len(cnt)), segs)
                 nth = np.arange(len(doc)) - np.repeat(np.cumsum(segs) - segs, segs)
                 first = start[doc] + nth * SEGMENT
                 length = np.minimum(cnt[doc] - nth * SEGMENT, SEGMENT)
-                bits = np.bincount(doc, mix_segments(guess, cls, at, first, length), minlength=len(cnt))
-                score = bits + np.array(r["share"])
+                score = np.bincount(doc, mix_segments(
+                    guess, cls, at, first, length, (rank, bits[cls], types[cls], flat, begin)), minlength=len(cnt))
                 size = np.array(r["n_bytes"], np.float64)
                 bpb = np.where(size > 0, -score * np.log2(10) / np.maximum(size, 1), 0.0)
                 yield out([c.split()[0] for c in SCORES.split(", ")], pa.array(r["doc_ids"], pa.int64()), pa.array(r["held"], pa.bool_()),
                           pa.array(r["n_tokens"], pa.int64()), pa.array(r["n_known"], pa.int64()),
                           pa.array([n_train] * len(cnt), pa.int64()), pa.array(r["base"], pa.float64()), pa.array(score), pa.array(bpb))
 
-    return stream.mapInArrow(run, SCORES)
+    return stream.join(each, "shard", "left").mapInArrow(run, SCORES)
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -358,13 +558,21 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held"), F.col(text_col).alias("text"))
     texts = scratch.keep(shards(rows, parts))
     counts = scratch.keep(counted(texts, parts), large=True)
-    totals = np.zeros(CLASSES + 1, np.int64)
-    for r in counts.where("shard < 0").select("counts").toLocalIterator():  # a row per part
-        totals += spread(r["counts"], np.int64)
-    n_train = int(totals[1:].sum())
-    stream = scratch.keep(streams(texts, counts, n_train, int(totals[0]), totals[1:]), large=True)
+    totals, before = np.zeros(2 * CLASSES + 1, np.int64), np.zeros((parts, CLASSES), np.int64)
+    for r in counts.where("shard < 0").select("part", "counts").toLocalIterator():  # a row per part
+        own = spread(r["counts"], np.int64)
+        totals += own
+        before[r["part"]] = own[CLASSES + 1:]
+    before = np.cumsum(before, axis=0) - before
+    n_train, types = int(totals[1:CLASSES + 1].sum()), totals[CLASSES + 1:]
+    bits = rank_bits(types)
+    stream = scratch.keep(streams(texts, counts, n_train, int(totals[0]), before), large=True)
+    scratch.drop(texts, counts)
     n = int(BASE[-1])
     guess = np.zeros((parts, -(-n // parts)), np.float32)
     for r in scratch.keep(context_counts(stream, parts)).toLocalIterator():  # BASE[-1] numbers in all
         guess[r["part"]] = np.frombuffer(r["guess"], np.float32)
-    return scored(stream, guess.ravel()[:n], n_train)
+    n_tokens = stream.select(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    pair_parts = max(parts, -(-n_tokens // PAIR_TOKENS))
+    words = scratch.keep(word_guesses(stream, bits, pair_parts), large=True)
+    return scored(stream, guess.ravel()[:n], words, bits, types, pair_parts, n_train)
