@@ -67,3 +67,21 @@ def test_long_text_and_empty_table(spark):
     got = {r.doc_id: (r.n_removed, r.n_spans) for r in R.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {0: (0, 0), 1: (200, 1), 2: (100, 1)}
     assert R.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("flush", [64, 1000])
+def test_different_texts_with_one_key_all_lose_what_an_earlier_one_has(spark, monkeypatch, flush):
+    monkeypatch.setattr(R, "FLUSH", flush)
+    monkeypatch.setattr(R, "SLICE", 600)
+    monkeypatch.setattr(R, "PART_BYTES", 4000)
+    rnd = random.Random(8)
+    prose = lambda n: "".join(rnd.choices("etaoinsrhl ", k=n))
+    rows = []
+    for i in range(40):
+        p = prose(130)
+        rows += [(i, prose(70) + p), (1000 + i, p + prose(70)), (1000 + i, prose(30) + p), (None, p + prose(40)), (None, prose(60) + p)]
+    for parts in (1, 4):
+        rnd.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = sorted((tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in R.remove_repeats(df).collect()), key=str)
+        assert got == brute(rows)

@@ -21,7 +21,8 @@ serves to find repeats.
    that also start in an earlier document are marked.
 
 Sorting happens in blocks: a task gathers names of up to ``FLUSH`` positions,
-drops those it can decide itself (of equal names only the first goes on), and
+drops those it can decide itself (of equal names only the texts with the least
+key go on), and
 deals the rest by name to ``parts`` tasks, which sort them and send back the
 names of each text that were found elsewhere. A string common to a third of
 all documents thus reaches its task once per block.
@@ -151,14 +152,20 @@ def _replies(cls: np.ndarray, names: np.ndarray):
 
 
 def _decide(n1, n2, cls, key, many, later: bool):
-    """Sort by name; (order, first of its name, found elsewhere) of the sorted rows."""
-    o = np.lexsort((key, n2, n1))
+    """Sort by name; (order, to go on, found elsewhere) of the sorted rows.
+
+    Of rows with one name the first goes on; with ``later``, every text that
+    has the least key of it (rows of one id, or without, may differ in text).
+    """
+    o = np.lexsort((cls, key, n2, n1) if later else (key, n2, n1))
     s1, s2 = n1[o], n2[o]
     new = np.append(True, (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])) if len(o) else np.empty(0, bool)
     first = np.flatnonzero(new)
     group = np.cumsum(new) - 1
     if later:  # neighbours with the same name and a smaller key before them
-        hit = key[o] > key[o][first][group]
+        k, c = key[o], cls[o]
+        hit = k > k[first][group]
+        new |= ~hit & np.append(True, c[1:] != c[:-1]) if len(o) else new
     else:
         c = cls[o]
         other = (c != c[first][group]) | many[o]
