@@ -88,3 +88,14 @@ def test_empty_tables(spark):
     [r] = D.contamination(one, b).collect()
     assert r.kept and r.n_items == 0
     assert D.may_be(D.bitmap(b.selectExpr("item_id as seed"), 0), np.arange(5, dtype=np.uint64)).sum() == 0
+
+
+def test_an_item_of_few_different_seeds_is_found(spark):
+    odd = [f"x{i}" for i in range(30)]
+    items = {1: ["a", "b"] * 30, 2: ["a", "b"] * 30 + odd, 3: ["a", "b"] * 40 + [f"y{i}" for i in range(20)]}
+    docs = [(1, " ".join(items[1])), (2, "z " + " ".join(["a", "b"] * 25)), (3, " ".join(odd)), (4, "a b a b a c")]
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id long, text string")
+    got = {r.doc_id: r for r in D.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got[1].n_items == 3 and got[1].coverage == 1.0 and got[1].item_id == 1
+    assert got[2].n_items == 3 and not got[2].kept
+    assert got[3].kept and got[4].kept

@@ -114,10 +114,11 @@ def tiles(p: list[int], t: list[int], least: int = TILE) -> list[tuple[int, int,
 def item_words(bench: DataFrame, id_col: str, text_col: str, coverage: float) -> tuple[DataFrame, DataFrame]:
     """(item_id, words binary, n_words) and (seed, item_id, joined) of items with TILE words or more.
 
-    A contaminated text shares at least coverage * words / TILE seeds of an
-    item, so of the seeds that most items have, one less than that need not
-    be joined (``joined`` false); a phrase common to many items then does
-    not pair every text with every item.
+    The tiles of a contaminated text hold a seed at coverage * words / TILE
+    places of an item at least, so the seeds that most items have need not be
+    joined (``joined`` false) while all their places in the item are fewer;
+    a phrase common to many items then does not pair every text with every
+    item.
     """
     rows = bench.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).where("item_id is not null")
 
@@ -128,18 +129,22 @@ def item_words(bench: DataFrame, id_col: str, text_col: str, coverage: float) ->
                 ends = np.cumsum(row_counts(row, hi - lo))
                 h, r = shingles(words, row, hi - lo, TILE, short=False)
                 cuts = np.cumsum(row_counts(r, hi - lo))
-                seeds = [np.unique(x).view(np.int64).tolist() for x in np.split(h, cuts[:-1])]
+                seeds, places = zip(*(np.unique(x, return_counts=True) for x in np.split(h, cuts[:-1])))
                 text = [x.tobytes() for x in np.split(words, ends[:-1])]
-                yield out(["item_id", "words", "n_words", "seeds"], column(b, "item_id").slice(lo, hi - lo), pa.array(text, pa.binary()),
-                          pa.array([len(x) // 8 for x in text], pa.int64()), pa.array(seeds, pa.list_(pa.int64())))
+                yield out(["item_id", "words", "n_words", "seeds", "places"], column(b, "item_id").slice(lo, hi - lo), pa.array(text, pa.binary()),
+                          pa.array([len(x) // 8 for x in text], pa.int64()),
+                          pa.array([x.view(np.int64).tolist() for x in seeds], pa.list_(pa.int64())),
+                          pa.array([x.tolist() for x in places], pa.list_(pa.int64())))
 
-    items = rows.mapInArrow(run, "item_id long, words binary, n_words long, seeds array<long>").where("size(seeds) > 0")
+    items = rows.mapInArrow(run, "item_id long, words binary, n_words long, seeds array<long>, places array<long>").where("size(seeds) > 0")
     items = items.dropDuplicates(["item_id", "words"])
-    each = items.select("item_id", "words", "n_words", F.explode("seeds").alias("seed"))
+    each = items.select("item_id", "words", "n_words", F.explode(F.arrays_zip("seeds", "places")).alias("at"))
+    each = each.select("item_id", "words", "n_words", F.col("at.seeds").alias("seed"), F.col("at.places").alias("places"))
     common = each.groupBy("seed").agg(F.count(F.lit(1)).alias("n_items"))
     spare = F.ceil(F.col("n_words") * coverage / TILE) - 1
-    rank = F.row_number().over(Window.partitionBy("item_id", "words").orderBy(F.desc("n_items"), "seed"))
-    seeds = each.join(common, "seed").select("seed", "item_id", (rank > spare).alias("joined"))
+    upto = F.sum("places").over(Window.partitionBy("item_id", "words").orderBy(F.desc("n_items"), "seed")
+                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seeds = each.join(common, "seed").select("seed", "item_id", (upto > spare).alias("joined"))
     return items.select("item_id", "words", "n_words"), seeds
 
 
