@@ -313,7 +313,7 @@ def reach(code: np.ndarray, kind: np.ndarray, bits: np.ndarray) -> tuple[np.ndar
 
 
 def entries(code: np.ndarray, first: np.ndarray, bits: np.ndarray, parts: int, hot: int):
-    """Distinct (context, word) entries of a shard, by part and hash.
+    """Distinct (context, word) entries of a shard, by context.
 
     Returns context, code, kind and end of each part; the entry of every
     token, by context and third of the code (class, first bits of the rank,
@@ -338,10 +338,10 @@ def entries(code: np.ndarray, first: np.ndarray, bits: np.ndarray, parts: int, h
     ctx, value, token = (np.concatenate([x[j] for x in found]) for j in (0, 1, 3))
     kind = np.repeat(np.array([x[2] for x in found], np.uint8), [len(x[0]) for x in found])
     _, one_of, inv = np.unique(mix(ctx + mix(value ^ U64(1))), return_index=True, return_inverse=True)
-    part = (ctx[one_of] % U64(parts)).astype(np.int64)
-    o = np.argsort(part, kind="stable")
+    o = np.argsort(ctx[one_of], kind="stable")
     back = np.empty(len(o), np.int64)
     back[o] = np.arange(len(o))
+    part = ((ctx[one_of[o]] >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)  # ascending, as contexts are
     at, a = np.full((EXACT, 3, n), -1, np.int64), 0
     entry = back[inv]
     for x in found:
@@ -349,7 +349,7 @@ def entries(code: np.ndarray, first: np.ndarray, bits: np.ndarray, parts: int, h
             at[x[4], third, x[3]] = entry[a:a + len(x[3])]
         a += len(x[3])
     pick = one_of[o]
-    return ctx[pick], value[pick], kind[pick], np.searchsorted(part[o], np.arange(parts), "right"), at, entry, token
+    return ctx[pick], value[pick], kind[pick], np.searchsorted(part, np.arange(parts), "right"), at, entry, token
 
 
 def along(code: np.ndarray, ctx: np.ndarray, kind: np.ndarray, n: np.ndarray, bits: np.ndarray):
@@ -393,21 +393,23 @@ def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
                 n = np.bincount(entry, learn[token], minlength=len(ctx)).astype(np.uint32)
                 for p, (i, j) in enumerate(zip(np.append(0, ends[:-1]), ends)):
                     if j > i:
-                        yield out(["shard", "part", "ctx", "code", "kind", "n"], pa.array([r["shard"]], pa.int64()), pa.array([p], pa.int32()),
-                                  pa.array([ctx[i:j].tobytes()], pa.binary()),
-                                  *[pa.array([squeezed(x[i:j])], pa.binary()) for x in (value, kind, n)])
+                        new = np.flatnonzero(np.append(True, ctx[i + 1:j] != ctx[i:j - 1]))
+                        step, run = np.diff(ctx[i:j][new], prepend=U64(0)), np.diff(new, append=j - i).astype(np.uint32)
+                        yield out(["shard", "part", "step", "run", "code", "kind", "n"], pa.array([r["shard"]], pa.int64()), pa.array([p], pa.int32()),
+                                  *[pa.array([squeezed(x)], pa.binary()) for x in (step, run, value[i:j], kind[i:j], n[i:j])])
 
     def total(it):
         rows = [r for b in it for r in b.to_pylist()]
         for part in sorted({r["part"] for r in rows}):
             own = [r for r in rows if r["part"] == part]
-            ctx = np.concatenate([np.frombuffer(r["ctx"], U64) for r in own])
+            ctx = [np.repeat(np.cumsum(spread(r["step"], U64)), spread(r["run"], np.uint32)) for r in own]
+            sizes, ctx = [len(x) for x in ctx], np.concatenate(ctx)
             code, kind, n = (np.concatenate([spread(r[c], t) for r in own]) for c, t in (("code", U64), ("kind", np.uint8), ("n", np.uint32)))
             inv, start, end, flat = along(code, ctx, kind, n, bits)
             a = 0
-            for r in own:
-                e = inv[a:a + len(r["ctx"]) // 8]
-                a += len(e)
+            for r, k in zip(own, sizes):
+                e = inv[a:a + k]
+                a += k
                 size = (end - start)[e]
                 upto = np.cumsum(size)
                 pick = np.repeat(start[e] - (upto - size), size) + np.arange(upto[-1])
@@ -415,7 +417,7 @@ def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
                           pa.array([squeezed(flat[pick])], pa.binary()))
 
     return (stream.select("shard", "classes", "ranks", "n_tokens", "held")
-            .mapInArrow(deal, "shard long, part int, ctx binary, code binary, kind binary, n binary")
+            .mapInArrow(deal, "shard long, part int, step binary, run binary, code binary, kind binary, n binary")
             .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, flat binary"))
 
 
