@@ -138,10 +138,13 @@ def test_a_word_is_one_event_of_a_distribution():
         # the same text, then each word in turn, under the counts of the text
         cl, rk = np.append(cls[:12], c), np.append(rank[:12], r)
         one, val, kd, _, at, _, _ = X.entries(X.codes(cl, rk, bits), first, bits, 1, 4)
-        inv, start, end, flat = X.along(np.concatenate([value, val]), np.concatenate([ctx, one]), np.concatenate([kind, kd]),
+        inv, told, size, flat = X.along(np.concatenate([value, val]), np.concatenate([ctx, one]), np.concatenate([kind, kd]),
                                         np.concatenate([count, np.zeros(len(one))]), bits)
-        own = start[inv[len(ctx):]]
-        begin = np.append(own, len(flat))[at]
+        e = inv[len(ctx):]
+        start = np.cumsum(size) - size
+        flat = X.whole(val, kd, bits, told[e], size[e], np.concatenate([flat[start[i]:start[i] + size[i]] for i in e]))
+        lo, hi = X.reach(val, kd, bits)
+        begin = np.append(np.cumsum(hi - lo) - hi, len(flat))[at]
         flat = np.concatenate([flat, np.zeros(64, np.float16)])
         more = X.slots(X.contexts(cl, np.zeros(13, np.uint16), first))
         words = (rk, bits[cl], np.maximum(types, 1)[cl], flat, begin)

@@ -47,7 +47,7 @@ END = np.uint64(0x5851F42D4C957F2D)
 RANK_BITS = 32
 MIDDLE = 8  # bits of a rank that a common context's second entry codes
 HOT_CLASS = 21  # contexts whose words all have this class or more are dealt by parts of the code
-PAIR_TOKENS = 1 << 21  # tokens per part of the (context, word) pairs
+PAIR_TOKENS = 1 << 20  # tokens per part of the (context, word) pairs
 EXACT = 2  # contexts by whole words
 NONE = U64((CLASSES - 1) << RANK_BITS)  # before the first word of a text
 STATES, RANK_DEPTH = 3, 16
@@ -355,16 +355,15 @@ def entries(code: np.ndarray, first: np.ndarray, bits: np.ndarray, parts: int, h
 def along(code: np.ndarray, ctx: np.ndarray, kind: np.ndarray, n: np.ndarray, bits: np.ndarray):
     """Predictions of the bits of each entry from the counts ``n`` of all of its context.
 
-    Returns (entry of each row given, first and end of each entry's
-    predictions, predictions).
+    Returns (entry of each row given, its count, how many predictions it has,
+    predictions). An entry has those of the bits before only it has counts;
+    ``whole`` knows the others.
     """
     _, own = np.unique(ctx, return_inverse=True)
     key, pick, inv = np.unique(own.astype(U64) << U64(DEPTH + RANK_BITS) | code, return_index=True, return_inverse=True)
-    total = np.bincount(inv, n, minlength=len(key))
+    total = np.bincount(inv, n, minlength=len(key)).astype(np.int64)
     lo, hi = reach(code[pick], kind[pick], bits)
-    end = np.cumsum(hi - lo)
-    start = end - (hi - lo)
-    flat = np.zeros(int(end[-1]), np.float16)
+    at, found = [np.empty(0, np.int64)], [np.empty(0, np.float16)]
     for d in range(int(hi.max())):
         s = np.flatnonzero((lo <= d) & (d < hi))
         if not len(s):
@@ -373,14 +372,31 @@ def along(code: np.ndarray, ctx: np.ndarray, kind: np.ndarray, n: np.ndarray, bi
         shift = U64(DEPTH + RANK_BITS - 1 - d)
         node = k >> (shift + U64(1))
         new = np.append(True, node[1:] != node[:-1])
-        runs = np.flatnonzero(new)
-        ones, both = np.add.reduceat(t * (k >> shift & U64(1)), runs), np.add.reduceat(t, runs)
-        flat[start[s] + d - lo[s]] = stretched(np.stack([both - ones, ones], axis=1))[np.cumsum(new) - 1]
-    return inv, start, end, flat
+        runs, run = np.flatnonzero(new), np.cumsum(new) - 1
+        ones, both = np.add.reduceat(t * (k >> shift & U64(1)).astype(np.int64), runs), np.add.reduceat(t, runs)
+        shared = both[run] > t
+        at.append(s[shared])
+        found.append(stretched(np.stack([both - ones, ones], axis=1)).astype(np.float16)[run[shared]])
+    at = np.concatenate(at)
+    return inv, total, np.bincount(at, minlength=len(key)), np.concatenate(found)[np.argsort(at, kind="stable")]
+
+
+def whole(code: np.ndarray, kind: np.ndarray, bits: np.ndarray, n: np.ndarray, size: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """All predictions of the entries: those sent, then of bits that only an entry's own count tells."""
+    lo, hi = reach(code, kind, bits)
+    upto = np.cumsum(hi - lo)
+    e = np.repeat(np.arange(len(code)), hi - lo)
+    d = np.arange(len(e)) - np.repeat(upto - (hi - lo), hi - lo)
+    sure = stretched(np.stack([np.zeros(len(n), np.int64), n], axis=1)).astype(np.float16)
+    sure[n == 0] = 0
+    one = code[e] >> (DEPTH + RANK_BITS - 1 - d - lo[e]).astype(U64) & U64(1)
+    res = np.where(one == 1, sure[e], -sure[e])
+    res[d < size[e]] = flat
+    return res
 
 
 def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
-    """(shard, part, flat binary): float16 predictions along the code of each of a shard's entries, in order."""
+    """(shard, part, total, size, flat, all binary): ``along`` of a shard's entries, in order."""
     hot = HOT_CLASS
 
     def deal(it):
@@ -405,20 +421,21 @@ def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
             ctx = [np.repeat(np.cumsum(spread(r["step"], U64)), spread(r["run"], np.uint32)) for r in own]
             sizes, ctx = [len(x) for x in ctx], np.concatenate(ctx)
             code, kind, n = (np.concatenate([spread(r[c], t) for r in own]) for c, t in (("code", U64), ("kind", np.uint8), ("n", np.uint32)))
-            inv, start, end, flat = along(code, ctx, kind, n, bits)
+            inv, count, have, flat = along(code, ctx, kind, n, bits)
+            start = np.cumsum(have) - have
             a = 0
             for r, k in zip(own, sizes):
                 e = inv[a:a + k]
                 a += k
-                size = (end - start)[e]
+                size = have[e]
                 upto = np.cumsum(size)
                 pick = np.repeat(start[e] - (upto - size), size) + np.arange(upto[-1])
-                yield out(["shard", "part", "flat"], pa.array([r["shard"]], pa.int64()), pa.array([part], pa.int32()),
-                          pa.array([squeezed(flat[pick])], pa.binary()))
+                yield out(["shard", "part", "total", "size", "flat"], pa.array([r["shard"]], pa.int64()), pa.array([part], pa.int32()),
+                          *[pa.array([squeezed(x)], pa.binary()) for x in (count[e], size.astype(np.uint8), flat[pick])])
 
     return (stream.select("shard", "classes", "ranks", "n_tokens", "held")
             .mapInArrow(deal, "shard long, part int, step binary, run binary, code binary, kind binary, n binary")
-            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, flat binary"))
+            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, total binary, size binary, flat binary"))
 
 
 # ---- scoring ------------------------------------------------------------
@@ -508,7 +525,7 @@ SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 def scored(stream: DataFrame, guess: np.ndarray, words: DataFrame, bits: np.ndarray, types: np.ndarray, parts: int, n_train: int) -> DataFrame:
     """One row per text of the class streams, by SCORES; ``words`` are the ``word_guesses`` of ``parts`` parts."""
-    each = words.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("part", "flat"))).alias("flat"))
+    each = words.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("part", "total", "size", "flat"))).alias("words"))
     hot = HOT_CLASS
     shared = stream.sparkSession.sparkContext.broadcast(guess)  # a table of fixed size
 
@@ -521,9 +538,12 @@ def scored(stream: DataFrame, guess: np.ndarray, words: DataFrame, bits: np.ndar
                 start = np.cumsum(cnt) - cnt
                 at = slots(contexts(cls, spread(r["recent"], np.uint16), start))
                 rank = spread(r["ranks"], np.uint32).astype(np.int64)
-                _, value, kind, _, place, _, _ = entries(codes(cls, rank, bits), start, bits, parts, hot)
+                _, value, kind, ends, place, _, _ = entries(codes(cls, rank, bits), start, bits, parts, hot)
                 lo, hi = reach(value, kind, bits)
-                flat = [spread(x["flat"], np.float16) for x in r["flat"] or []]
+                flat = []
+                for x in r["words"] or []:
+                    i, j = ends[x["part"] - 1] if x["part"] else 0, ends[x["part"]]
+                    flat.append(whole(value[i:j], kind[i:j], bits, spread(x["total"], np.int64), spread(x["size"], np.uint8), spread(x["flat"], np.float16)))
                 n = sum(map(len, flat))
                 flat = np.concatenate([*flat, np.zeros(DEPTH + RANK_BITS, np.float16)])  # the last are for no entry
                 begin = np.append(np.cumsum(hi - lo) - (hi - lo) - lo, n)[place]
