@@ -70,8 +70,8 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Perplexity of every document under a model of the documents labelled good."""
-    trusted = load(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    """Perplexity of every document under a model of the documents labelled good and not toxic."""
+    trusted = load(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
     return kneser.classify(load(spark, sf_dir, "documents"), trusted)
 
 
