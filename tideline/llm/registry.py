@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
+from tideline.llm import bpe, centroids, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -112,6 +112,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds from 40 seeds."""
+    return centroids.cluster(load(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -123,10 +128,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
 
+def _centroid_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Rounds one after the other: nearest centroid by (distance, number), then floor of the mean."""
+    gap = "list_sum(list_transform(list_zip(v.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = [f"""kept AS MATERIALIZED (
+          SELECT row_number() OVER () AS row, vec_id,
+                 list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+          FROM embeddings
+          WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}),
+        c0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+          FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+          SELECT row, any_value(vec_id) AS vec_id, any_value(v) AS v, min(d).c AS c, min(d).gap AS gap
+          FROM (SELECT v.row, v.vec_id, v.v, {{'gap': {gap}, 'c': c.c}} AS d FROM kept v, c{r} c) GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS MATERIALIZED (
+          SELECT c, list(CAST(floor(CAST(s - (s % n + n) % n AS DOUBLE) / n) AS BIGINT) ORDER BY i) AS v
+          FROM (SELECT c, i, sum(x) AS s, count(*) AS n
+                FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i) GROUP BY c),
+        c{r + 1} AS MATERIALIZED (
+          SELECT c{r}.c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.c = m{r}.c)""")
+    return f"""WITH {', '.join(steps)}
+        SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(gap AS BIGINT) AS distance,
+               CAST(sum(gap) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+               CAST(sum(gap) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c ON a.c = c.c"""
+
+
 ORACLE: dict[str, str] = {
+    "op13_centroids": _centroid_sql(),
     "op4_url_filter": r"""
         WITH cut AS (
           SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
