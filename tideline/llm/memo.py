@@ -34,23 +34,32 @@ _STOP = np.zeros(256, bool)
 _STOP[list(b",.;:!?")] = True
 
 
-def cuts(data: np.ndarray) -> np.ndarray:
-    """Whether a word starts at each byte, by the rules above (row starts come on top)."""
-    n = len(data)
-    start = np.zeros(n, bool)
-    if n < 3:
-        return start
-    before, here, after = data[:-2], data[1:-1], data[2:]
-    # the lead byte of the character before a place: the byte itself, or one to three further back
-    lead = before.copy()
+def _leads(data: np.ndarray) -> np.ndarray:
+    """The lead byte of the character before each place from the second on: the byte itself, or one to three further back."""
+    lead = data[:-2].copy()
     for back in (1, 2, 3):
         tail = np.flatnonzero((lead & 0xC0) == 0x80)
         tail = tail[tail >= back]
         lead[tail] = data[tail - back]
-    start[1:-1] = (here == 32) & _VISIBLE[lead] & _VISIBLE[after]
+    return lead
+
+
+def space_cuts(data: np.ndarray) -> np.ndarray:
+    """Whether each byte is a single space between two visible characters."""
+    start = np.zeros(len(data), bool)
+    if len(data) >= 3:
+        start[1:-1] = (data[1:-1] == 32) & _VISIBLE[_leads(data)] & _VISIBLE[data[2:]]
+    return start
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Whether a word starts at each byte, by the rules above (row starts come on top)."""
+    start = space_cuts(data)
+    if len(data) < 3:
+        return start
     letter, stop = _LETTER[data], _STOP[data]
     start[1:] |= stop[1:] & letter[:-1]
-    start[2:] |= letter[2:] & (data[1:-1] == 10) & _VISIBLE[lead]
+    start[2:] |= letter[2:] & (data[1:-1] == 10) & _VISIBLE[_leads(data)]
     return start
 
 

@@ -14,13 +14,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe, centroids, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
+from tideline.llm import align, bpe, centroids, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 END_ID = 2
 
 # The URL rules, and the sites whose canonical URLs are listed.
@@ -112,6 +113,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
 
 
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers over every document."""
+    found, _ = align.align(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
+                           public_tokenizers.path(PIECES), links="end")
+    return found
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after five rounds from 40 seeds."""
     return centroids.cluster(load(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64)
@@ -128,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_align_tokens": op12_align_tokens,
     "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
