@@ -8,11 +8,13 @@ from hashlib import sha256
 import numpy as np
 import public_tokenizers
 import pytest
+import test_align
 import test_decontaminate
 import test_minhash
 import test_mixing
 import test_quality
 import test_repeats
+import test_setjoin
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -89,3 +91,13 @@ def test_op8(spark, sf):
 def test_op10(spark, sf):
     got = run(spark, sf, "op10_suffix_dedup")
     assert {i: tuple(r) for i, r in got.items()} == {r[0]: r[:5] for r in test_repeats.brute(sf[1])}
+
+
+def test_op11(spark, sf):
+    got = run(spark, sf, "op11_ngram_join")
+    assert sorted(map(tuple, got.values()), key=str) == test_setjoin.brute(sf[1])
+
+
+def test_op12(spark, sf):
+    got = run(spark, sf, "op12_align_tokens")
+    assert sorted(map(tuple, got.values()), key=str) == sorted(test_align.brute(sf[1])[0], key=str)

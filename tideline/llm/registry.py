@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import align, bpe, centroids, decontaminate, kneser, minhash, mixing, quality, repeats, tokens, toolcalls, urls
+from tideline.llm import align, bpe, centroids, decontaminate, kneser, minhash, mixing, quality, repeats, setjoin, tokens, toolcalls, urls
 from tideline.llm.toolcalls import Param, Tool
 from tideline.session import workdir
 from tideline.sources.tables import load
@@ -113,6 +113,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(load(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 90 % of all 3-word shingles."""
+    return setjoin.ngram_join(load(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between the tokens of two tokenizers over every document."""
     found, _ = align.align(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER),
@@ -136,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_tool_calls": op9_tool_calls,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_ngram_join": op11_ngram_join,
     "op12_align_tokens": op12_align_tokens,
     "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
