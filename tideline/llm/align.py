@@ -41,8 +41,9 @@ from tideline.llm.hashing import U64, mix, powers, prefix_hash
 from tideline.llm.memo import ranges, space_cuts
 from tideline.llm.scratch import Scratch
 
-SHARD_BYTES = 8 << 20
-CHUNK_BYTES = 1 << 16  # words encoded together
+SHARD_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 15  # words encoded together
+BLOCK_WORDS = 1 << 14  # words aligned together
 MARK = "▁"
 SHARD = ("shard long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
          "groups_sha256 array<string>, doc_words binary, doc_ends binary, word_links binary, word_ends binary, "
@@ -185,6 +186,15 @@ def _tokens(side: Side, words: list[bytes], joint: np.ndarray) -> tuple[np.ndarr
 
 def align_words(a: Side, b: Side, words: list[bytes], joint: np.ndarray, links: str) -> Words:
     """Align each word; those whose tokens don't cover them on both sides are bad and have none."""
+    parts = [_align_block(a, b, words[lo:lo + BLOCK_WORDS], joint[lo:lo + BLOCK_WORDS], links)
+             for lo in range(0, max(1, len(words)), BLOCK_WORDS)]
+    for i, p in enumerate(parts):
+        p.link_word += i * BLOCK_WORDS
+    joined = {f: np.concatenate([getattr(p, f) for p in parts]) for f in Words.__dataclass_fields__ if f != "groups"}
+    return Words(groups=[g for p in parts for g in p.groups], **joined)
+
+
+def _align_block(a: Side, b: Side, words: list[bytes], joint: np.ndarray, links: str) -> Words:
     n = len(words)
     ids_a, own_a, bad_a = _tokens(a, words, joint)
     ids_b, own_b, bad_b = _tokens(b, words, joint)
@@ -283,6 +293,7 @@ class _Shard:
         np.add.at(count, back, used[found.link_word])
         order = np.argsort(found.link_word, kind="stable")
         pack = zstandard.ZstdCompressor(level=1).compress
+        planes = lambda x: pack(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
         digest = [sha256(b";".join([found.groups[w] for w in words[i:j].tolist()])).hexdigest() if j > i else ""
                   for i, j in zip(begins.tolist(), ends.tolist())]
         one = lambda x, t: pa.array([x], pa.list_(t))
@@ -291,9 +302,9 @@ class _Shard:
                    pa.array([number], pa.int64()), one(pa.concat_arrays(self.ids).to_pylist(), pa.int64()),
                    one(total(found.n_a), pa.int64()), one(total(found.n_b), pa.int64()),
                    one(total(found.n_groups), pa.int64()), one(total(n_links), pa.int64()), one(digest, pa.string()),
-                   pa.array([pack(words.astype("<i4").tobytes())], pa.binary()),
+                   pa.array([planes(words)], pa.binary()),
                    pa.array([pack(ends.astype("<i8").tobytes())], pa.binary()),
-                   pa.array([pack(back[order].astype("<i4").tobytes())], pa.binary()),
+                   pa.array([planes(back[order])], pa.binary()),
                    pa.array([pack(np.cumsum(n_links).astype("<i8").tobytes())], pa.binary()),
                    one((pair >> 32).astype(np.int32), pa.int32()), one((pair & 0xFFFFFFFF).astype(np.int32), pa.int32()),
                    one(count, pa.int64()))
@@ -330,8 +341,9 @@ def pair_counts(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs, total.join(top, "b").select("a", "b", "count", (F.col("count") == F.col("top")).alias("best"))
 
 
-def _unpack(raw: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+def _unpack(raw: bytes, planes: bool = False) -> np.ndarray:
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return flat.reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64) if planes else flat.view("<i8")
 
 
 DOC = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
@@ -342,8 +354,8 @@ def _finish(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         for k in range(batch.num_rows):
             get = lambda c: column(batch, c)[k]  # noqa: E731,B023
-            words, ends = _unpack(get("doc_words").as_py(), "<i4"), _unpack(get("doc_ends").as_py(), "<i8")
-            links, last = _unpack(get("word_links").as_py(), "<i4"), _unpack(get("word_ends").as_py(), "<i8")
+            words, ends = _unpack(get("doc_words").as_py(), True), _unpack(get("doc_ends").as_py())
+            links, last = _unpack(get("word_links").as_py(), True), _unpack(get("word_ends").as_py())
             at = column(batch, "at")[k].values
             at = np.zeros(0, np.int64) if at is None else at.to_numpy()
             count = np.zeros(int(links.max()) + 1 if len(links) else 0, np.int64)
@@ -383,5 +395,6 @@ def align(docs: DataFrame, path_a: str, path_b: str, links: str = "end", id_col:
     known = (pairs.join(counts, ["a", "b"])
              .groupBy("shard").agg(F.collect_list(F.struct("at", "count", F.col("best").cast("long").alias("best"))).alias("p"))
              .select("shard", F.col("p.at").alias("at"), F.col("p.count").alias("count"), F.col("p.best").alias("best")))
-    full = table.drop("a", "b", "n").join(known, "shard", "left").drop("shard")
+    # written first: where its files are small Spark sends it to the table's tasks, else both sides are dealt by shard
+    full = table.drop("a", "b", "n").join(keep(known), "shard", "left").drop("shard")
     return full.mapInArrow(_finish, DOC), counts
