@@ -119,14 +119,15 @@ def sieve(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def shared_tokens(sets: DataFrame, percent: int) -> DataFrame:
-    """(cls, n, most, tokens, rare) of the classes that still may link: shared tokens, rarest first, and the first of them.
+    """(cls, n, kept, most, tokens, rare) of the sets (cls, tokens) that still may link: shared tokens, rarest first.
 
     Every partner has one of the ``rare`` tokens among its own rare ones, and ``most`` tokens at most.
     """
-    each = sets.select("cls", F.size("tokens").cast("long").alias("n"), F.explode("tokens").alias("t"))
+    each = sets.select("cls", F.explode("tokens").alias("t"))
     df = each.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    own = (each.join(df, "t").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
-           .select("cls", "n", F.col("s.t").alias("tokens"), F.size("s").cast("long").alias("kept")))
+    size = sets.select("cls", F.size("tokens").cast("long").alias("n"))
+    own = (each.join(df, "t").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("s"))
+           .select("cls", F.col("s.t").alias("tokens"), F.size("s").cast("long").alias("kept")).join(size, "cls"))
     return (own.where(f"100 * kept >= {percent} * n")
             .select("cls", "n", "kept", "tokens", F.expr(f"({100 + percent} * kept) div {percent} - n").alias("most"),
                     F.expr(f"slice(tokens, 1, cast(kept - ceil({percent} * n / 100) + 1 as int))").alias("rare")))
@@ -201,7 +202,7 @@ def _open(percent: int, upward: bool):
                     group.add(*rows)
                 elif group.cls:
                     found = group.links(*rows, percent, upward)
-                    yield out(["a", "b"], pa.array([a for a, _ in found], pa.string()), pa.array([x for _, x in found], pa.string()))
+                    yield out(["a", "b"], pa.array([a for a, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64()))
 
     return run
 
@@ -218,7 +219,7 @@ def opened(items: DataFrame, queries: DataFrame, members: DataFrame, percent: in
     m = (members.join(salts, "g").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
          .join(items, "cls").withColumn("query", F.lit(False)))
     return (q.select(cols).unionAll(m.select(cols)).repartition("g", "salt").sortWithinPartitions("g", "salt", "query")
-            .mapInArrow(_open(percent, upward), "a string, b string"))
+            .mapInArrow(_open(percent, upward), "a long, b long"))
 
 
 # ---- the join -----------------------------------------------------------
@@ -236,7 +237,7 @@ def star_links(items: DataFrame, percent: int, keep) -> DataFrame:
     pairs = keep(post.join(hub, "t").where("cls <> hub.cls").where(fits("n", "most", "hub.n", "hub.most"))
                  .select("cls", F.col("hub.cls").alias("hub")).distinct())
     g = F.xxhash64("hub").alias("g")
-    flat = items.withColumn("rank", F.col("cls"))
+    flat = items.withColumn("rank", F.col("cls").cast("string"))
     return keep(opened(flat, pairs.select(g, "cls"), pairs.select(g, F.col("hub").alias("cls")).distinct(), percent, False))
 
 
@@ -262,9 +263,10 @@ def with_families(items: DataFrame, found: DataFrame) -> DataFrame:
     """items with component, family (the component, or the least token of a class on its own) and rank (size, component)."""
     size = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     of = found.join(size, "component").select(F.col("node").alias("cls"), "component", "size")
-    number = F.lpad(F.coalesce("size", F.lit(1)).cast("string"), 19, "0")
-    return (items.join(of, "cls", "left").withColumn("rank", F.concat(number, F.coalesce("component", "cls")))
-            .withColumn("family", F.coalesce("component", F.array_min("tokens").cast("string")))
+    place = F.concat(*[F.lpad(c.cast("string"), 19, "0") for c in (F.coalesce("size", F.lit(1)), F.coalesce("component", "cls"))])
+    family = F.when(F.col("component").isNull(), F.struct(F.lit(False), F.array_min("tokens"))).otherwise(
+        F.struct(F.lit(True), F.col("component")))
+    return (items.join(of, "cls", "left").withColumn("rank", place).withColumn("family", F.xxhash64(family))
             .withColumn("component", F.coalesce("component", "cls")).drop("size"))
 
 
@@ -300,22 +302,28 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "do
     scratch = Scratch(docs.sparkSession, "setjoin")
     keep = scratch.keep
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    feats = keep(features(rows, k, percent))
-    classes = keep(feats.where("cls is not null").groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("first").alias("first")))
-    live = keep(sieve(classes, percent), large=True)
+    wide = keep(features(rows, k, percent))
+    firsts = keep(wide.where("cls is not null").groupBy("cls").agg(
+        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("first").alias("first")), large=True)
+    feats, classes = keep(wide.drop("first")), keep(firsts.drop("first"))
+    scratch.drop(wide)
+    live = keep(sieve(firsts, percent), large=True)
+    scratch.drop(firsts)
     own = live.where("rep is not null").select(F.col("rep").alias("_id"), F.col("cls").alias("want"))
     sets = full_sets(rows.join(own, "_id").select("want", "_text"), k)
     if not live.where("rep is null").isEmpty():  # texts that only rows without an id have
         nameless = full_sets(rows.where("_id is null").select(F.lit(None).cast("string").alias("want"), "_text"), k)
         sets = sets.unionAll(nameless.join(live.where("rep is null").select("cls"), "cls", "left_semi"))
-    sets = keep(sets.dropDuplicates(["cls"]), large=True)
-    items = keep(shared_tokens(sets, percent), large=True)
-    found = linked_classes(items, percent, scratch)
-    joined = keep(classes.select("cls", "rep").join(found, "cls", "left")
-                  .select("cls", "rep", F.coalesce("component", "cls").alias("component")))
-    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = keep(joined.join(least, "component").select("cls", "component_id"))
+    # from here on a class is a number, given once and written
+    sets = keep(sets.dropDuplicates(["cls"]).withColumn("number", F.monotonically_increasing_id()), large=True)
+    names = keep(sets.select("cls", "number"))
+    items = keep(shared_tokens(sets.select(F.col("number").alias("cls"), "tokens"), percent), large=True)
+    scratch.drop(sets)
+    found = linked_classes(items, percent, scratch).withColumnRenamed("cls", "number").join(names, "number")
+    joined = keep(classes.join(found.select("cls", "component"), "cls", "left").select("cls", "rep", "component"))
+    least = joined.where("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = keep(joined.join(least, "component", "left").select(
+        "cls", F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id")))
     comp = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return feats.select("doc_id", "n_shingles", "cls").join(of_class, "cls", "left").select(
         "doc_id", "n_shingles", comp.alias("component_id"))
