@@ -264,8 +264,8 @@ def with_families(items: DataFrame, found: DataFrame) -> DataFrame:
     size = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     of = found.join(size, "component").select(F.col("node").alias("cls"), "component", "size")
     place = F.concat(*[F.lpad(c.cast("string"), 19, "0") for c in (F.coalesce("size", F.lit(1)), F.coalesce("component", "cls"))])
-    family = F.when(F.col("component").isNull(), F.struct(F.lit(False), F.array_min("tokens"))).otherwise(
-        F.struct(F.lit(True), F.col("component")))
+    family = F.when(F.col("component").isNull(), F.struct(F.lit(False).alias("linked"), F.array_min("tokens").alias("of"))).otherwise(
+        F.struct(F.lit(True).alias("linked"), F.col("component").alias("of")))
     return (items.join(of, "cls", "left").withColumn("rank", place).withColumn("family", F.xxhash64(family))
             .withColumn("component", F.coalesce("component", "cls")).drop("size"))
 
