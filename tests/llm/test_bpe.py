@@ -67,3 +67,18 @@ def test_frame_with_nulls_repeats_and_clashing_columns(spark, tik):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode_decode(df, PATH, public_tokenizers.PATTERN).collect() == []
+
+
+@pytest.mark.parametrize("pattern", [r"[\s\S]+", r"\p{L}+ |\P{L}+|\p{L}+"])
+def test_other_patterns_get_whole_texts(spark, pattern, tmp_path):
+    """A rank file in which a letter and the space after it merge: no cut before a space is certain."""
+    import base64
+    ranks = {bytes([i]): i for i in range(256)} | {b" c": 257, b"e c": 258, b"e ": 259, b"th": 256}
+    path = str(tmp_path / "own.tiktoken")
+    with open(path, "wb") as f:
+        f.write(b"\n".join(base64.b64encode(t) + b" " + str(r).encode() for t, r in ranks.items()))
+    texts = ["the cat", "the cat, the cow", "e c\ne c"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lib = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: list(memoryview(bytes(r.ids)).cast("I")) for r in bpe.encode(df, path, pattern).collect()}
+    assert got == {i: lib.encode_ordinary(t) for i, t in enumerate(texts)}

@@ -69,12 +69,11 @@ def test_components_match_brute_force(spark, k):
     assert got == brute(rows, k)
 
 
-def test_hot_buckets_lose_no_link(spark, monkeypatch):
-    """Many near copies of one text, and many texts that share half of theirs, with every bucket over the limit."""
-    monkeypatch.setattr(M, "MAX_ODD", 3)
+def test_hot_buckets_lose_no_link(spark):
+    """Many near copies of one text, many of them too far from the others, and many texts that share half of theirs."""
     rnd = random.Random(4)
     base, passage = [f"b{i}" for i in range(120)], [f"p{i}" for i in range(60)]
-    texts = [edited(rnd, base, rnd.choice([1, 2, 3])) for _ in range(60)]
+    texts = [edited(rnd, base, rnd.choice([1, 2, 3, 4, 6])) for _ in range(60)]
     texts += [" ".join(passage + [f"x{rnd.random()}" for _ in range(40)]) for _ in range(40)]
     texts += [edited(rnd, t.split(), 1) for t in texts[60:70]]
     rnd.shuffle(texts)
@@ -93,6 +92,28 @@ def test_null_ids_repeats_and_differing_rows(spark):
                                                    (7, 2, 7, True), (7, 1, 7, True)], key=str)
 
 
+def test_rows_without_an_id_link_like_others(spark):
+    u = [f"u{i}" for i in range(60)]
+    rows = [(None, " ".join(u)), (None, " ".join(u + ["x"])), (None, "z"), (12, " ".join(u[1:]))]
+    got = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k=4).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 57, 12, False), (None, 58, 12, False), (None, 1, None, True),
+                                                       (12, 56, 12, True)], key=str)
+
+
+def test_one_row_of_each_group_stays(spark):
+    t = " ".join(f"w{i}" for i in range(50))
+    u = " ".join(f"u{i}" for i in range(50))
+    rows = [(3, t, 0), (3, t, 1), (9, t + " more", 2), (3, t + " x", 3), (None, t, 4), (None, u, 5), (None, u, 6), (None, u + " x", 7),
+            (5, None, 8), (5, None, 9), (6, "alone", 10), (6, "alone", 11), (7, "", 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    left = M.drop_near_duplicates(df, k=5)
+    assert left.columns == df.columns
+    got = [tuple(r) for r in left.collect()]
+    assert sorted(k for _, _, k in got if k >= 8) in ([8, 9, 10, 12], [8, 9, 11, 12])
+    assert [(i, x) for i, x, k in got if i == 3] in ([(3, t)], [(3, t + " x")])
+    assert len([k for _, _, k in got if 5 <= k <= 7]) == 1 and not {2, 4} & {k for _, _, k in got}
+
+
 def test_empty_table(spark):
     assert M.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -18,7 +18,7 @@ import test_setjoin
 import tiktoken
 from tokenizers import Tokenizer
 
-from tideline.llm import bpe
+from tideline.llm import bpe, quality
 from tideline.llm.registry import QUERIES, RANKS, TOKENIZER
 
 
@@ -80,6 +80,8 @@ def test_op5(spark, sf):
 def test_op6(spark, sf):
     got = run(spark, sf, "op6_quality_rules")
     assert {i: tuple(r)[1:7] for i, r in got.items()} == {i: test_quality.brute(t) for i, t in sf[1]}
+    assert {i: r.kept for i, r in got.items()} == {i: not test_quality.brute(t)[-1] and quality.compression((t or "").encode())[3]
+                                                   for i, t in sf[1]}
 
 
 def test_op8(spark, sf):

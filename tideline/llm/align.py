@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.hashing import U64, mix, powers, prefix_hash
 from tideline.llm.memo import ranges, space_cuts
 from tideline.llm.scratch import Scratch
@@ -326,7 +326,7 @@ def shards(docs: DataFrame, path_a: str, path_b: str, links: str = "end", shard_
         if shard.ids:
             yield shard.row(part << 32 | n, a, b, links, cuts, added)
 
-    return docs.mapInArrow(run, SHARD)
+    return docs.transform(arrow_map, run, SHARD)
 
 
 def pair_counts(table: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -397,4 +397,4 @@ def align(docs: DataFrame, path_a: str, path_b: str, links: str = "end", id_col:
              .select("shard", F.col("p.at").alias("at"), F.col("p.count").alias("count"), F.col("p.best").alias("best")))
     # written first: where its files are small Spark sends it to the table's tasks, else both sides are dealt by shard
     full = table.drop("a", "b", "n").join(keep(known), "shard", "left").drop("shard")
-    return full.mapInArrow(_finish, DOC), counts
+    return full.transform(arrow_map, _finish, DOC), counts

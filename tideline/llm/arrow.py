@@ -3,18 +3,24 @@
 Every Python step of this subpackage is a ``mapInArrow`` over a stream of
 batches. A batch is cut into slices of about ``max_bytes`` of text (always
 whole rows, at least one), so working memory follows the slice or the longest
-single text, never the partition.
+single text, never the partition. Spark keeps Python workers for the next
+task, so a step gives back what it grew when its batches end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+from tideline.llm import hashing
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20  # of rows that Spark hands over at once (or one row)
 
 
 def text_slices(batch: pa.RecordBatch, col: str,
@@ -49,10 +55,21 @@ def out(names: list[str], *arrays) -> pa.RecordBatch:
                                       names=names)
 
 
-def binary_rows(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """A binary column whose row i is the bytes of values[offsets[i]:offsets[i+1]]."""
-    size = values.dtype.itemsize
-    n = len(offsets) - 1
-    return pa.Array.from_buffers(pa.large_binary(), n, [
-        None, pa.py_buffer((np.asarray(offsets, np.int64) * size).tobytes()),
-        pa.py_buffer(np.ascontiguousarray(values).tobytes())]).cast(pa.binary())
+def release() -> None:
+    """Give memory that nothing uses back to the system: tables grown on demand, arrow's pool, the C library's."""
+    hashing.forget()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` over batches of ``BATCH_BYTES`` (a setting of the session), released at the end."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+    def body(it):
+        yield from run(it)
+        release()
+
+    return df.mapInArrow(body, schema)

@@ -19,13 +19,14 @@ import base64
 from hashlib import sha256
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.arrow import column, out
+from tideline.llm.arrow import arrow_map, column, out
 from tideline.llm.memo import MEMO_SIZE, Memo, batches_of
 
 SHIFT = 32
@@ -221,9 +222,11 @@ _memos: dict[tuple, Memo] = {}
 
 
 def bpe_memo(path: str, pattern: str, size: int) -> Memo:
+    """Texts are cut into words for the pattern whose matches are known to start there; others get them whole."""
     key = (path, pattern, size)
     if key not in _memos:
-        _memos[key] = Memo(piece_encoder(path, pattern), size)
+        whole = pattern != public_tokenizers.PATTERN
+        _memos[key] = Memo(piece_encoder(path, pattern), size, lambda text: whole)
     return _memos[key]
 
 
@@ -231,7 +234,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
            text_col: str = "text", memo_size: int = MEMO_SIZE) -> DataFrame:
     """(``id_col``, ids binary) per row: token ids as little-endian uint32.
 
-    No special tokens. A null or empty text has no ids; every row of the
+    Every match of ``pattern`` is encoded by itself, whatever the pattern. No
+    special tokens. A null or empty text has no ids; every row of the
     input gives one row, also repeated ones and those with a null id. Other
     columns are ignored whatever their names.
     """
@@ -244,7 +248,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id"
             ids = [x for part in batches_of(column(b, "_text").to_pylist()) for x in memo.encode_texts(part)]
             yield out([id_col, "ids"], column(b, "_id"), pa.array(ids, pa.binary()))
 
-    return _source(docs, id_col, text_col).mapInArrow(run, schema)
+    return _source(docs, id_col, text_col).transform(arrow_map, run, schema)
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -285,7 +289,7 @@ def decode(encoded: DataFrame, rank_file: str, id_col: str = "doc_id") -> DataFr
             data = [decode_bytes(x or b"", table, offs) for x in column(b, "ids").to_pylist()]
             yield out([id_col, "data"], column(b, id_col), pa.array(data, pa.binary()))
 
-    return encoded.select(id_col, "ids").mapInArrow(run, schema)
+    return encoded.select(id_col, "ids").transform(arrow_map, run, schema)
 
 
 def encode_decode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id",
@@ -317,4 +321,4 @@ def encode_decode(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "
             cols = [column(b, "_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
             yield out([f.name for f in fields], *cols, *[pa.array(raw, pa.binary())] * keep_ids)
 
-    return _source(docs, id_col, text_col).mapInArrow(run, T.StructType(fields))
+    return _source(docs, id_col, text_col).transform(arrow_map, run, T.StructType(fields))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import column, out
+from tideline.llm.arrow import arrow_map, column, out
 from tideline.llm.scratch import Scratch
 
 SLICE = 4096  # vectors in play at once
@@ -53,7 +53,7 @@ def integer_vectors(vectors: DataFrame, dims: int, scale: int, id_col: str, vec_
             ends = pa.array(np.arange(len(ok) + 1, dtype=np.int32) * dims)
             yield out(["vec_id", "v"], column(b, "vec_id").take(pa.array(ok)), pa.ListArray.from_arrays(ends, v))
 
-    return rows.mapInArrow(run, "vec_id long, v array<int>")
+    return rows.transform(arrow_map, run, "vec_id long, v array<int>")
 
 
 class Bisectors:
@@ -110,7 +110,7 @@ def moved(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
         yield out(["cluster", "n", "total"], pa.array(some, pa.int32()), pa.array(n[some]),
                   pa.array(total[some].tolist(), pa.list_(pa.int64())))
 
-    sums = (vectors.mapInArrow(run, "cluster int, n long, total array<long>")
+    sums = (vectors.transform(arrow_map, run, "cluster int, n long, total array<long>")
             .select("cluster", "n", F.posexplode("total").alias("at", "part"))
             .groupBy("cluster", "at").agg(F.sum("n").alias("n"), F.sum("part").alias("total")))
     after = centroids.copy()
@@ -128,7 +128,7 @@ def assigned(vectors: DataFrame, centroids: np.ndarray) -> DataFrame:
             best = planes.nearest(x)
             yield out(["vec_id", "cluster", "distance"], ids, pa.array(best, pa.int32()), pa.array(planes.distance(x, best)))
 
-    return vectors.mapInArrow(run, "vec_id long, cluster int, distance long")
+    return vectors.transform(arrow_map, run, "vec_id long, cluster int, distance long")
 
 
 def _summary(spark: SparkSession, found: DataFrame, centroids: np.ndarray) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.hashing import U64, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
 
@@ -136,7 +136,7 @@ def item_words(bench: DataFrame, id_col: str, text_col: str, coverage: float) ->
                           pa.array([x.view(np.int64).tolist() for x in seeds], pa.list_(pa.int64())),
                           pa.array([x.tolist() for x in places], pa.list_(pa.int64())))
 
-    items = rows.mapInArrow(run, "item_id long, words binary, n_words long, seeds array<long>, places array<long>").where("size(seeds) > 0")
+    items = rows.transform(arrow_map, run, "item_id long, words binary, n_words long, seeds array<long>, places array<long>").where("size(seeds) > 0")
     items = items.dropDuplicates(["item_id", "words"])
     each = items.select("item_id", "words", "n_words", F.explode(F.arrays_zip("seeds", "places")).alias("at"))
     each = each.select("item_id", "words", "n_words", F.col("at.seeds").alias("seed"), F.col("at.places").alias("places"))
@@ -209,7 +209,7 @@ def suspects(rows: DataFrame, filt: np.ndarray, most: int) -> DataFrame:
                 yield out(["doc_id", "cls", "seeds", "words"], column(b, "doc_id").slice(lo, n), pa.array(cls, pa.binary()),
                           pa.array(seeds, pa.list_(pa.int64())), pa.array(text, pa.binary()))
 
-    return rows.mapInArrow(run, "doc_id long, cls binary, seeds array<long>, words binary")
+    return rows.transform(arrow_map, run, "doc_id long, cls binary, seeds array<long>, words binary")
 
 
 def tile_pairs(pairs: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def tile_pairs(pairs: DataFrame) -> DataFrame:
                       column(b, "n_words"), pa.array(matched, pa.int64()), pa.array(count, pa.int64()))
 
     return (pairs.select("cls", "item_id", "n_words", "item_words", "words")
-            .mapInArrow(run, "cls binary, item_id long, n_words long, matched long, n_tiles long"))
+            .transform(arrow_map, run, "cls binary, item_id long, n_words long, matched long, n_tiles long"))
 
 
 def contamination(docs: DataFrame, bench: DataFrame, coverage: float = COVERAGE, id_col: str = "doc_id",

@@ -40,6 +40,13 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _pow, _inv
 
 
+def forget(most: int = 1 << 21) -> None:
+    """Drop the powers if a long text made them many."""
+    global _pow, _inv
+    if len(_pow) > most:
+        _pow, _inv = np.ones(1, U64), np.ones(1, U64)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """64-bit avalanche (two multiply-xorshift rounds)."""
     h = h ^ (h >> U64(33))

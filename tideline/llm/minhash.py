@@ -10,13 +10,17 @@
 3. Pairs that pass are confirmed on the full shingle sets, and the links are
    gathered into components.
 
-A band bucket never gives all its pairs. Its least member is paired with all
-others, which joins a group of near copies to one component. Members outside
-the bucket's largest component then (``odd`` ones) are paired with all members
-if there are at most ``MAX_ODD``. Buckets with more are cut by further bands
-(each member goes on with the next ``REFINE`` bands): near copies agree on many
-bands, others don't. The last level pairs whatever is left, so nothing is
-dropped.
+A band bucket never gives all its pairs. A set of which too few shingles are in
+any other set of a bucket can't link, and the number of those that are bounds
+the size of a partner (``most``); both are exact and come first. Of the rest,
+the member with the fewest own shingles is paired with all others, which joins
+a group of near copies to one component. Members outside the bucket's largest
+component then (``odd`` ones) are paired with the members whose sizes and
+signatures allow a link. No bucket is cut or capped.
+
+A pair at the limit of 0.8 shares one of the 32 bands of 4 minima with
+probability 1 - (1 - 0.8**4)**32 = 1 - 4.7e-8, and its estimate falls below
+the cut with 3e-7: the recall of links is 0.9999996 there and higher above.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.components import components
 from tideline.llm.hashing import U64, mix, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
@@ -37,9 +41,6 @@ from tideline.llm.scratch import Scratch
 BANDS, ROWS, BITS = 32, 4, 2
 N_HASH = 512  # the first BANDS * ROWS make the band keys, all the signature
 WORDS = N_HASH * BITS // 64
-MAX_ODD = 256
-REFINE = 8
-LEVELS = 6
 
 _rng = np.random.default_rng(97)
 _XOR = _rng.integers(0, 1 << 63, N_HASH, dtype=np.uint64) * U64(2) + U64(1)
@@ -47,7 +48,7 @@ _MUL = _rng.integers(0, 1 << 63, N_HASH, dtype=np.uint64) * U64(2) + U64(1)
 _BAND_MUL = _rng.integers(0, 1 << 63, ROWS, dtype=np.uint64) * U64(2) + U64(1)
 
 SIG = [f"s{i}" for i in range(WORDS)]
-FEATURES = [T.StructField("n_shingles", T.LongType()), T.StructField("cls", T.LongType()),
+FEATURES = [T.StructField("n_shingles", T.LongType()), T.StructField("digest", T.StringType()),
             T.StructField("bands", T.ArrayType(T.LongType())), *[T.StructField(s, T.LongType()) for s in SIG]]
 
 
@@ -75,9 +76,9 @@ def packed(m: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(low.reshape(len(m), WORDS, per) << shift, axis=2).view(np.int64)
 
 
-def class_id(shingle_set: np.ndarray) -> int:
-    """Signed 64-bit digest of a sorted set."""
-    return int.from_bytes(blake2b(shingle_set.tobytes(), digest_size=8).digest(), "little", signed=True)
+def class_id(shingle_set: np.ndarray) -> str:
+    """128-bit digest of a sorted set."""
+    return blake2b(shingle_set.tobytes(), digest_size=16).hexdigest()
 
 
 def _features(batch: pa.RecordBatch, k: int, names: list[str]):
@@ -88,44 +89,55 @@ def _features(batch: pa.RecordBatch, k: int, names: list[str]):
         cnt = row_counts(r, n)
         some = np.flatnonzero(cnt)
         ends = np.cumsum(cnt)
-        size, cls = [0] * n, [None] * n
+        size, digest = [0] * n, [None] * n
         for i in some.tolist():
             u = np.unique(h[ends[i] - cnt[i]:ends[i]])
-            size[i], cls[i] = len(u), class_id(u)
+            size[i], digest[i] = len(u), class_id(u)
         bands, sig = [None] * n, np.zeros((n, WORDS), np.int64)
         if len(some):
             m = minima(h, (ends - cnt)[some])
             for i, keys in zip(some.tolist(), band_keys(m).tolist()):
                 bands[i] = keys
             sig[some] = packed(m)
-        yield out(names, column(batch, "_id").slice(lo, n), pa.array(size, pa.int64()), pa.array(cls, pa.int64()),
-                  pa.array(bands, pa.list_(pa.int64())), *[pa.array(sig[:, i]) for i in range(WORDS)])
+        yield out(names, *[column(batch, c).slice(lo, n) for c in ("_id", "_key")], pa.array(size, pa.int64()),
+                  pa.array(digest, pa.string()), pa.array(bands, pa.list_(pa.int64())), *[pa.array(sig[:, i]) for i in range(WORDS)])
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, cls, bands, s0..) per row of (_id, _text); cls is null without words."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), *FEATURES])
+    """(doc_id, key, n_shingles, digest, bands, s0..) per row of (_id, _key, _text); digest is null without words."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("key", T.StringType()), *FEATURES])
 
     def run(it):
         for b in it:
             yield from _features(b, k, schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(arrow_map, run, schema)
 
 
 def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
-    """(cls, hashes): the sorted distinct shingle hashes of the rows (cls, _text) whose text has that class."""
+    """(digest, hashes): the sorted distinct shingle hashes of the rows (want, _text), where ``want`` is given those of that digest."""
     def run(it):
         for b in it:
-            want = column(b, "cls").to_pylist()
+            want = column(b, "want").to_pylist()
             for lo, hi, offs, data in text_slices(b, "_text"):
                 words, row, _, _ = word_hashes(data, offs)
                 h, r = shingles(words, row, hi - lo, k)
                 sets = [np.unique(x) for x in np.split(h, np.cumsum(row_counts(r, hi - lo))[:-1])]
-                own = [(c, x.tobytes()) for c, x in zip(want[lo:hi], sets) if class_id(x) == c]
-                yield out(["cls", "hashes"], pa.array([c for c, _ in own], pa.int64()), pa.array([x for _, x in own], pa.binary()))
+                own = [(c, x.view(np.int64)) for c, x, w in zip(map(class_id, sets), sets, want[lo:hi]) if len(x) and w in (None, c)]
+                yield out(["digest", "hashes"], pa.array([c for c, _ in own], pa.string()),
+                          pa.array([x for _, x in own], pa.list_(pa.int64())))
 
-    return texts.mapInArrow(run, "cls long, hashes binary").dropDuplicates(["cls"])
+    return texts.transform(arrow_map, run, "digest string, hashes array<long>")
+
+
+def bounds(sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, n, kept, most) of the sets (cls, hashes) that can link: shingles that others have too, greatest size of a partner."""
+    each = sets.select("cls", F.explode("hashes").alias("t"))
+    shared = each.groupBy("t").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("t")
+    kept = each.join(shared, "t").groupBy("cls").agg(F.count(F.lit(1)).alias("kept"))
+    return (kept.join(sets.select("cls", F.size("hashes").cast("long").alias("n")), "cls")
+            .where(f"100 * kept >= {percent} * n")
+            .select("cls", "n", "kept", F.expr(f"({100 + percent} * kept) div {percent} - n").alias("most")))
 
 
 def agreement(left: str, right: str) -> Column:
@@ -185,7 +197,7 @@ class _Linker:
             for batch in it:
                 keep = []
                 for x, y in zip(column(batch, "ha"), column(batch, "hb")):
-                    x, y = (np.frombuffer(v.as_buffer(), U64) for v in (x, y))
+                    x, y = (v.values.to_numpy().view(U64) for v in (x, y))
                     if len(x) > len(y):
                         x, y = y, x
                     if 100 * len(x) < percent * len(y) or not len(x):
@@ -196,7 +208,7 @@ class _Linker:
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        self.join_up(self.scratch.keep(full.select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long")))
+        self.join_up(self.scratch.keep(full.select("a", "b", "ha", "hb").transform(arrow_map, exact, "a long, b long")))
 
     def join_up(self, links: DataFrame) -> None:
         """Join the components that new links connect; only those are labelled anew."""
@@ -224,50 +236,65 @@ class _Linker:
             .select("bucket", F.col("big.comp").alias("main"), (F.col("all") - F.col("big.n")).alias("n_odd"))
             .where("n_odd > 0"))
 
+    def star_pairs(self, members: DataFrame) -> DataFrame:
+        """Each member with the one of its bucket that has the fewest own shingles."""
+        hub = (members.groupBy("bucket").agg(F.max(F.struct(F.expr("kept / n").alias("share"), "n", "cls", "most")).alias("hub"),
+                                             F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket", "hub"))
+        pairs = members.join(hub, "bucket").where("cls <> hub.cls and n <= hub.most and hub.n <= most")
+        return pairs.select(F.col("hub.cls").alias("a"), F.col("cls").alias("b")).distinct()
+
     def odd_pairs(self, members: DataFrame, stats: DataFrame) -> DataFrame:
-        """Each odd member with every member of its bucket that the estimate allows."""
+        """Each odd member with the members of its bucket whose sizes and signatures allow a link."""
         sig = self.classes.select("cls", *SIG)
         m = self.scratch.keep(self.label(members).join(stats.select("bucket", "main"), "bucket").join(sig, "cls"))
-        left = m.select("bucket", "comp", "main", F.col("cls").alias("a"), *[F.col(s).alias("a" + s) for s in SIG])
-        odd = m.where("comp <> main").select("bucket", F.col("comp").alias("cb"), F.col("cls").alias("b"),
-                                             *[F.col(s).alias("b" + s) for s in SIG])
-        allowed = F.expr("comp <> cb and (comp = main or a < b)") & self.likely("a", "b")
+        left = m.select("bucket", "comp", "main", "n", "most", F.col("cls").alias("a"), *[F.col(s).alias("a" + s) for s in SIG])
+        odd = m.where("comp <> main").select("bucket", F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"),
+                                             F.col("cls").alias("b"), *[F.col(s).alias("b" + s) for s in SIG])
+        allowed = F.expr("comp <> cb and (comp = main or a < b) and n <= mb and nb <= most") & self.likely("a", "b")
         return left.join(odd, (left["bucket"] == odd["bucket"]) & allowed).select("a", "b")
 
-    def level(self, members: DataFrame, last: bool) -> DataFrame | None:
-        """Settle what one level of buckets can; the members of the rest."""
-        least = self.scratch.keep(members.groupBy("bucket").agg(F.min("cls").alias("least")))
-        first = members.join(least, "bucket").where("cls <> least")
-        if self.comps is not None:  # what is in one component already need not be paired
-            own = self.comps.select(F.col("node").alias("least"), F.col("component").alias("cl"))
-            first = self.label(first.select("cls", "least").distinct()).join(own, "least", "left").where(
-                "comp <> coalesce(cl, least)")
-        self.confirm(first.select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct())
+    def settle(self, members: DataFrame) -> None:
+        """All links among the members (cls, bucket, n, kept, most) of the buckets."""
+        self.confirm(self.star_pairs(members))
         stats = self.stats(members)
-        if stats.isEmpty():
-            return None
-        self.confirm(self.odd_pairs(members, stats if last else stats.where(F.col("n_odd") <= MAX_ODD)), estimated=True)
-        if last:
-            return None
-        more = stats.where(F.col("n_odd") > MAX_ODD).select("bucket")
-        if more.isEmpty():
-            return None
-        members = self.scratch.keep(members.join(more, "bucket"))
-        rest = self.stats(members).select("bucket")
-        return None if rest.isEmpty() else self.scratch.keep(members.join(rest, "bucket"))
-
-    def refine(self, members: DataFrame) -> DataFrame:
-        """The members of each bucket, dealt by each of the next REFINE bands."""
-        bands = members.join(self.classes.select("cls", "bands"), "cls")
-        each = bands.select("cls", "bucket", "band", "bands", F.explode(F.array(*[F.lit(i) for i in range(1, REFINE + 1)])).alias("i"))
-        band = F.pmod(F.col("band") + F.col("i"), F.lit(BANDS)).cast("int")
-        return shared_buckets(self.scratch, each.select("cls", band.alias("band"), F.xxhash64("bucket", band, F.get("bands", band)).alias("bucket")))
+        if not stats.isEmpty():
+            self.confirm(self.odd_pairs(members, stats), estimated=True)
 
 
 def shared_buckets(scratch: Scratch, rows: DataFrame) -> DataFrame:
-    """The rows (cls, band, bucket) of buckets with two members or more."""
+    """The rows (cls, bucket) of buckets with two members or more."""
     keys = scratch.keep(rows.groupBy("bucket").count().where("count > 1").select("bucket"))
-    return scratch.keep(rows.join(keys, "bucket").select("cls", "band", "bucket"), large=True)
+    return scratch.keep(rows.join(keys, "bucket").select("cls", "bucket"), large=True)
+
+
+def search(rows: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(doc_id, key, n_shingles, component, component_id) per row of (_id, _key, _text).
+
+    component is a number for the rows that reach each other (null without
+    words), component_id the least id among them (null if none has one).
+    """
+    feats = scratch.keep(features(rows, k))
+    classes = scratch.keep(
+        feats.where("digest is not null").groupBy("digest")
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), *[F.first(s).alias(s) for s in SIG])
+        .withColumn("cls", F.monotonically_increasing_id()))
+    members = shared_buckets(scratch, classes.select("cls", F.explode("bands").alias("bucket")))
+    wanted = scratch.keep(members.select("cls").distinct().join(classes.select("cls", "digest", "rep"), "cls"))
+    named = wanted.where("rep is not null").select(F.col("rep").alias("_id"), F.col("digest").alias("want"))
+    sets = shingle_sets(rows.join(named, "_id").select("want", "_text"), k)
+    if not wanted.where("rep is null").isEmpty():  # texts that only rows without an id have
+        nameless = shingle_sets(rows.where("_id is null").select(F.lit(None).cast("string").alias("want"), "_text"), k)
+        sets = sets.unionAll(nameless.join(wanted.where("rep is null").select("digest"), "digest", "left_semi"))
+    sets = scratch.keep(sets.dropDuplicates(["digest"]).join(wanted.select("cls", "digest"), "digest").select("cls", "hashes"), large=True)
+    linker = _Linker(scratch, classes, sets, percent)
+    linker.settle(scratch.keep(members.join(bounds(sets, percent), "cls"), large=True))
+    joined = scratch.keep(classes.select("cls", "digest", "rep").join(linker.comps, F.col("cls") == F.col("node"), "left")
+                          .select("digest", "rep", F.coalesce("component", "cls").alias("component")))
+    least = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
+    of_class = scratch.keep(joined.join(least, "component").select("digest", "component", "component_id"))
+    found = feats.select("doc_id", "key", "n_shingles", "digest").join(of_class, "digest", "left")
+    comp = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", "key", "n_shingles", "component", comp.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -280,31 +307,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     component_id is the least id reachable, and kept says whether it is the
     document's own. A null, empty or wordless text has no shingles and no
     link. Repeated rows share their class, hence their result; rows of one id
-    with different texts are judged each by its text. Texts that only rows
-    with a null id have are not compared: such rows get the component of
-    their set, or null, and are kept only without one. Other columns are
+    with different texts are judged each by its text. Rows with a null id
+    link like others but lend no id: they get the least id of their
+    component, or null, and are kept only without one
+    (``drop_near_duplicates`` leaves one of those, too). Other columns are
     ignored.
     """
-    scratch = Scratch(docs.sparkSession, "minhash")
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    feats = scratch.keep(features(rows, k))
-    classes = scratch.keep(
-        feats.where("cls is not null").groupBy("cls")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), *[F.first(s).alias(s) for s in SIG]))
-    members = shared_buckets(scratch, classes.select("cls", F.posexplode("bands").alias("band", "bucket")))
-    wanted = members.select("cls").distinct().join(classes.select("cls", F.col("rep").alias("_id")), "cls")
-    sets = scratch.keep(shingle_sets(rows.join(wanted, "_id").select("cls", "_text"), k), large=True)
-    linker = _Linker(scratch, classes, sets, percent)
-    rest, depth = members, 0
-    while rest is not None:
-        rest = linker.level(rest, depth == LEVELS)
-        if rest is not None:
-            rest, depth = linker.refine(rest), depth + 1
-    joined = scratch.keep(classes.select("cls", "rep").join(linker.comps, F.col("cls") == F.col("node"), "left")
-                          .select("cls", "rep", F.coalesce("component", "cls").alias("component")))
-    least = scratch.keep(joined.groupBy("component").agg(F.min("rep").alias("component_id")))
-    of_class = scratch.keep(joined.join(least, "component").select("cls", "component_id"))
-    found = feats.select("doc_id", "n_shingles", "cls").join(of_class, "cls", "left")
-    comp = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (found.select("doc_id", "n_shingles", comp.alias("component_id"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.lit("").alias("_key"), F.col(text_col).alias("_text"))
+    found = search(rows, k, percent, Scratch(docs.sparkSession, "minhash"))
+    return (found.select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, of each group of near duplicates one row: that of the least id (null ids last, then by text).
+
+    Rows are told apart by id and text, so of rows that repeat both one is
+    left; rows without words are all kept. Columns are unchanged.
+    """
+    scratch = Scratch(docs.sparkSession, "near")
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"),
+                        F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("_key"))
+    rows = keyed.select("_id", "_key", F.col("row").getField(text_col).alias("_text"))
+    found = scratch.keep(search(rows, k, percent, scratch).where("component is not null").select("component", "doc_id", "key"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best")
+    groups = found.groupBy("component").agg(best, F.count(F.lit(1)).alias("n")).where("n > 1")
+    each = scratch.keep(found.join(groups, "component").select(
+        "doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("stays"))
+        .groupBy("doc_id", "key", "stays").agg(F.count(F.lit(1)).alias("n")))
+    is_row = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("key"))
+    left = keyed.join(each.where("not stays").select("doc_id", "key"), is_row, "left_anti")
+    again = scratch.keep(each.where("stays and n > 1").select("doc_id", "key"))
+    if again.isEmpty():
+        return left.select("row.*")
+    once = left.join(again, is_row, "left_semi").dropDuplicates(["_id", "_key"])
+    return left.join(again, is_row, "left_anti").unionAll(once).select("row.*")

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.hashing import U64, mix, row_counts, word_hashes
 from tideline.llm.scratch import Scratch
 
@@ -126,7 +126,7 @@ def shards(rows: DataFrame, parts: int) -> DataFrame:
         if held:
             yield close()
 
-    return rows.mapInArrow(run, SHARD)
+    return rows.transform(arrow_map, run, SHARD)
 
 
 def counted(texts: DataFrame, parts: int) -> DataFrame:
@@ -167,8 +167,8 @@ def counted(texts: DataFrame, parts: int) -> DataFrame:
                       pa.array([part] * (len(own) + 1), pa.int32()), pa.array([squeezed(x) for x in [*back, tot]], pa.binary()),
                       pa.array([*map(squeezed, ranks), None], pa.binary()))
 
-    return (texts.select("shard", "vocab", "train", "cuts").mapInArrow(deal, "shard long, part int, v binary, c binary")
-            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, counts binary, ranks binary"))
+    return (texts.select("shard", "vocab", "train", "cuts").transform(arrow_map, deal, "shard long, part int, v binary, c binary")
+            .repartitionById(parts, F.col("part")).transform(arrow_map, total, "shard long, part int, counts binary, ranks binary"))
 
 
 def bit_length(n: np.ndarray) -> np.ndarray:
@@ -213,7 +213,7 @@ def streams(texts: DataFrame, counts: DataFrame, n_train: int, n_types: int, bef
                           pa.array([squeezed(spread(r["recent"], np.uint16)[tok])], pa.binary()))
 
     return (texts.select("shard", "doc_ids", "held", "n_tokens", "n_bytes", "tokens", "recent").join(each, "shard")
-            .mapInArrow(run, STREAM))
+            .transform(arrow_map, run, STREAM))
 
 
 def contexts(cls: np.ndarray, recent: np.ndarray, start: np.ndarray) -> list[np.ndarray]:
@@ -284,8 +284,8 @@ def context_counts(stream: DataFrame, parts: int) -> DataFrame:
         for p, t in tables.items():
             yield out(["part", "guess"], pa.array([p], pa.int32()), pa.array([stretched(t).tobytes()], pa.binary()))
 
-    return (stream.select("classes", "recent", "n_tokens", "held").mapInArrow(count, "part int, at binary, n binary")
-            .repartitionById(parts, F.col("part")).mapInArrow(total, "part int, guess binary"))
+    return (stream.select("classes", "recent", "n_tokens", "held").transform(arrow_map, count, "part int, at binary, n binary")
+            .repartitionById(parts, F.col("part")).transform(arrow_map, total, "part int, guess binary"))
 
 
 def stretched(n: np.ndarray) -> np.ndarray:
@@ -434,8 +434,8 @@ def word_guesses(stream: DataFrame, bits: np.ndarray, parts: int) -> DataFrame:
                           *[pa.array([squeezed(x)], pa.binary()) for x in (count[e], size.astype(np.uint8), flat[pick])])
 
     return (stream.select("shard", "classes", "ranks", "n_tokens", "held")
-            .mapInArrow(deal, "shard long, part int, step binary, run binary, code binary, kind binary, n binary")
-            .repartitionById(parts, F.col("part")).mapInArrow(total, "shard long, part int, total binary, size binary, flat binary"))
+            .transform(arrow_map, deal, "shard long, part int, step binary, run binary, code binary, kind binary, n binary")
+            .repartitionById(parts, F.col("part")).transform(arrow_map, total, "shard long, part int, total binary, size binary, flat binary"))
 
 
 # ---- scoring ------------------------------------------------------------
@@ -560,7 +560,7 @@ def scored(stream: DataFrame, guess: np.ndarray, words: DataFrame, bits: np.ndar
                           pa.array(r["n_tokens"], pa.int64()), pa.array(r["n_known"], pa.int64()),
                           pa.array([n_train] * len(cnt), pa.int64()), pa.array(r["base"], pa.float64()), pa.array(score), pa.array(bpb))
 
-    return stream.join(each, "shard", "left").mapInArrow(run, SCORES)
+    return stream.join(each, "shard", "left").transform(arrow_map, run, SCORES)
 
 
 def score_texts(docs: DataFrame, held_out: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

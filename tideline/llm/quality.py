@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.hashing import SPACE, U64, mix, prefix_hash, powers, row_counts, shingles, word_hashes
 
 
@@ -156,7 +156,7 @@ def quality(docs: DataFrame, bands: Sequence[Band] = BANDS, id_col: str = "doc_i
             yield out(schema.names, column(b, "_id"), *judged(b, "_text", bands))
 
     return (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .mapInArrow(run, schema))
+            .transform(arrow_map, run, schema))
 
 
 def keep_quality(docs: DataFrame, bands: Sequence[Band] = BANDS, text_col: str = "text") -> DataFrame:
@@ -166,4 +166,4 @@ def keep_quality(docs: DataFrame, bands: Sequence[Band] = BANDS, text_col: str =
             kept = judged(b, text_col, bands)[6]
             yield b.filter(kept)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(arrow_map, run, docs.schema)

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,7 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_ngram_join": op11_ngram_join,
     "op12_align_tokens": op12_align_tokens,
     "op13_centroids": op13_centroids,
-    "pipeline": corpus_pipeline.run,
 }
 
 def _centroid_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.hashing import U64, mix, powers, prefix_hash
 from tideline.llm.scratch import Scratch
 
@@ -237,13 +237,15 @@ def find_names(rows: DataFrame, names_of: Callable[[pa.RecordBatch], Iterator[tu
                 many = np.zeros(len(n1), bool) if later else np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(n1)).astype(bool)
                 held.append((n1, n2, np.repeat(cls, cnt), np.repeat(k, cnt), many))
         if held:
-            n1, n2, cls, key, many = (np.concatenate(x) for x in zip(*held))
+            cols = [list(x) for x in zip(*held)]
+            held.clear()
+            n1, n2, cls, key, many = (np.concatenate(cols.pop(0)) for _ in range(5))
             o, _, hit = _decide(n1, n2, cls, key, many, later)
             c, names = _replies(cls[o[hit]], n1[o[hit]])
             for lo in range(0, len(c), 10_000):
                 yield out(["cls", "names"], pa.array(c[lo:lo + 10_000]), pa.array(names[lo:lo + 10_000], pa.binary()))
 
-    return rows.mapInArrow(deal, BLOCK).repartitionById(parts, F.col("part")).mapInArrow(settle, REPLY)
+    return rows.transform(arrow_map, deal, BLOCK).repartitionById(parts, F.col("part")).transform(arrow_map, settle, REPLY)
 
 
 def merged(replies: DataFrame, name: str) -> DataFrame:
@@ -290,7 +292,7 @@ def zipped(df: DataFrame) -> DataFrame:
             i = b.schema.get_field_index("text")
             yield b.set_column(i, "text", pa.array([z.compress(x.as_py()) for x in b.column(i).cast(pa.large_binary())], pa.binary()))
 
-    return df.mapInArrow(run, kind)
+    return df.transform(arrow_map, run, kind)
 
 
 def unzipped(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -299,7 +301,7 @@ def unzipped(b: pa.RecordBatch) -> pa.RecordBatch:
     return b.set_column(i, "text", pa.array([z.decompress(x.as_py()) for x in b.column(i)], pa.large_binary()))
 
 
-REGION = "cls long, key long, at array<long>, cut array<long>, text binary"
+REGION = "sha string, cls long, key long, at array<long>, cut array<long>, text binary"
 
 
 def regions_out(b: pa.RecordBatch, lo: int, hi: int, data: np.ndarray, a: np.ndarray, z: np.ndarray, row: np.ndarray,
@@ -307,14 +309,14 @@ def regions_out(b: pa.RecordBatch, lo: int, hi: int, data: np.ndarray, a: np.nda
     """One row per text with regions a to z of a slice: their places ``at`` in the text, their ends in ``text``, their bytes."""
     raw, one = data.tobytes(), np.unique(row)
     own = [slice(*x) for x in zip(np.searchsorted(row, one), np.searchsorted(row, one, "right"))]
-    yield out(["cls", "key", "at", "cut", "text"], pa.array(_ids(b, lo, hi, "cls")[one]), pa.array(_ids(b, lo, hi, "key")[one]),
+    yield out(["sha", "cls", "key", "at", "cut", "text"], column(b, "sha").slice(lo, hi - lo).take(pa.array(one)), pa.array(_ids(b, lo, hi, "cls")[one]), pa.array(_ids(b, lo, hi, "key")[one]),
               pa.array([at[x].tolist() for x in own], pa.list_(pa.int64())),
               pa.array([np.cumsum((z - a)[x]).tolist() for x in own], pa.list_(pa.int64())),
               pa.array([b"".join(raw[i:j] for i, j in zip(a[x], z[x])) for x in own], pa.binary()))
 
 
 def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, scratch: Scratch) -> DataFrame:
-    """(cls, spans) of the byte runs to remove from each text: int64 pairs, in order.
+    """(sha, spans) of the byte runs to remove from each text: int64 pairs, in order.
 
     ``rows`` has (sha, cls, key, n_bytes, text), ``least`` the least key of
     each text; a run is covered by ``length``-byte strings that a text with a
@@ -345,7 +347,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                 a, z, r = s[f], s[np.append(f[1:], len(s)) - 1] + length, r[f]
                 yield from regions_out(b, lo, hi, data, a, z, r, a - offs[r])
 
-    regions = scratch.keep(zipped(rows.select("sha", "cls", "key", "text")).join(common, ["sha", "key"]).select("cls", "key", "text", "common").mapInArrow(
+    regions = scratch.keep(zipped(rows.select("sha", "cls", "key", "text")).join(common, ["sha", "key"]).select("sha", "cls", "key", "text", "common").transform(arrow_map,
         cut, REGION), large=True)
 
     def both_halves(b):
@@ -380,7 +382,7 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                                        s[f] + (places - inner[:-1])[q[f]])
 
     wide = regions
-    regions = scratch.keep(wide.join(halves, "cls").mapInArrow(narrow, REGION), large=True)
+    regions = scratch.keep(wide.join(halves, "cls").transform(arrow_map, narrow, REGION), large=True)
     scratch.drop(common, wide, halves)
 
     def second_names(b):
@@ -425,11 +427,11 @@ def repeated_spans(rows: DataFrame, least: DataFrame, length: int, parts: int, s
                 a, z, r = s[f] + base, s[np.append(f[1:], len(s)) - 1] + length + base, row[done][f]
                 one = np.unique(r)
                 own = zip(np.searchsorted(r, one), np.searchsorted(r, one, "right"))
-                yield out(["cls", "spans"], pa.array(_ids(b, lo, hi, "cls")[one]),
+                yield out(["sha", "spans"], column(b, "sha").slice(lo, hi - lo).take(pa.array(one)),
                           pa.array([np.stack([a[i:j], z[i:j]], axis=1).tobytes() for i, j in own], pa.binary()))
 
-    spans = scratch.keep(part.join(single, "cls", "left").select("cls", "at", "cut", "text", "whole", "single")
-                        .mapInArrow(mark, "cls long, spans binary").dropDuplicates(["cls"]), large=True)  # a row can be there twice
+    spans = scratch.keep(part.join(single, "cls", "left").select("sha", "at", "cut", "text", "whole", "single")
+                        .transform(arrow_map, mark, "sha string, spans binary").dropDuplicates(["sha"]), large=True)  # a row can be there twice
     scratch.drop(regions, whole, single)
     return spans
 
@@ -460,7 +462,7 @@ def with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, *carrie
     floor = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(min(12, floor), -(-total // PART_BYTES))
     spans = repeated_spans(rows, least, length, parts, scratch)
-    settled = scratch.keep(least.join(spans, "cls", "left").select("sha", "least", "spans"))
+    settled = scratch.keep(least.join(spans, "sha", "left").select("sha", "least", "spans"))
     scratch.drop(least, spans)
     return zipped(rows.drop("cls", "n_bytes")).join(settled, "sha", "left").drop("sha")
 
@@ -507,7 +509,7 @@ def cut_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_
             cols.insert(at, pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return rows.select("row", "text", "key", "least", "spans").mapInArrow(run, docs.schema)
+    return rows.select("row", "text", "key", "least", "spans").transform(arrow_map, run, docs.schema)
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -542,4 +544,4 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
 
     schema = T.StructType([*[T.StructField(n, T.LongType()) for n in ("doc_id", "n_bytes", "n_removed", "n_spans")],
                            T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
-    return both.select("doc_id", "key", "text", "least", "spans").mapInArrow(apply, schema)
+    return both.select("doc_id", "key", "text", "least", "spans").transform(arrow_map, apply, schema)

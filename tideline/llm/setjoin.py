@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.arrow import column, out, text_slices
+from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.components import components
 from tideline.llm.hashing import row_counts, shingles, word_hashes
 from tideline.llm.memo import ranges
@@ -91,7 +91,7 @@ def features(rows: DataFrame, k: int, percent: int) -> DataFrame:
                           pa.array([class_id(s) if len(s) else None for s in sets], pa.string()),
                           lists([s[:p] for s, p in zip(sets, prefix(n, percent).tolist())]))
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, cls string, first array<long>")
+    return rows.transform(arrow_map, run, "doc_id long, n_shingles long, cls string, first array<long>")
 
 
 def full_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -104,7 +104,7 @@ def full_sets(texts: DataFrame, k: int) -> DataFrame:
                        if len(s) and w in (None, c)]
                 yield out(["cls", "tokens"], pa.array([c for c, _ in own], pa.string()), lists([s for _, s in own]))
 
-    return texts.mapInArrow(run, "cls string, tokens array<long>")
+    return texts.transform(arrow_map, run, "cls string, tokens array<long>")
 
 
 def sieve(classes: DataFrame, percent: int) -> DataFrame:
@@ -219,7 +219,7 @@ def opened(items: DataFrame, queries: DataFrame, members: DataFrame, percent: in
     m = (members.join(salts, "g").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
          .join(items, "cls").withColumn("query", F.lit(False)))
     return (q.select(cols).unionAll(m.select(cols)).repartition("g", "salt").sortWithinPartitions("g", "salt", "query")
-            .mapInArrow(_open(percent, upward), "a long, b long"))
+            .transform(arrow_map, _open(percent, upward), "a long, b long"))
 
 
 # ---- the join -----------------------------------------------------------
@@ -320,10 +320,11 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "do
     items = keep(shared_tokens(sets.select(F.col("number").alias("cls"), "tokens"), percent), large=True)
     scratch.drop(sets)
     found = linked_classes(items, percent, scratch).withColumnRenamed("cls", "number").join(names, "number")
-    joined = keep(classes.join(found.select("cls", "component"), "cls", "left").select("cls", "rep", "component"))
-    least = joined.where("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = keep(joined.join(least, "component", "left").select(
-        "cls", F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("component_id")).alias("component_id")))
+    joined = keep(found.select("cls", "component").join(classes, "cls"))
+    least = joined.groupBy("component").agg(F.min("rep").alias("least"))
+    linked = joined.join(least, "component").select("cls", "component", "least")
+    of_class = keep(classes.join(linked, "cls", "left").select(
+        "cls", F.when(F.col("component").isNull(), F.col("rep")).otherwise(F.col("least")).alias("component_id")))
     comp = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return feats.select("doc_id", "n_shingles", "cls").join(of_class, "cls", "left").select(
         "doc_id", "n_shingles", comp.alias("component_id"))

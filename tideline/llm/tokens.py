@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.llm.arrow import column, out
+from tideline.llm.arrow import arrow_map, column, out
 from tideline.llm.memo import MEMO_SIZE, Memo, batches_of
 
 BLOCK_TOKENS = 1 << 16
@@ -146,7 +146,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int | None
         if doc_ids:
             yield close()
 
-    ordered.mapInArrow(run, BLOCK).write.mode("overwrite").parquet(path)
+    ordered.transform(arrow_map, run, BLOCK).write.mode("overwrite").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
@@ -183,7 +183,7 @@ def read_docs(blocks: DataFrame, keep_ids: bool = False) -> DataFrame:
                         pa.array([zlib.crc32(x) for x in raw], pa.int64())]
                 yield out([f.name for f in fields], *cols, *[pa.array(raw, pa.binary())] * keep_ids)
 
-    return blocks.select("start", "n_tokens", "bits", "doc_ids", "doc_ends", "payload").mapInArrow(
+    return blocks.select("start", "n_tokens", "bits", "doc_ids", "doc_ends", "payload").transform(arrow_map,
         run, T.StructType(fields))
 
 

@@ -16,6 +16,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.scratch import Scratch
+
 MAX_BLOCKS = 1 << 16
 BLOCK_BITS = 512
 BITS_PER_KEY = 16
@@ -97,7 +99,7 @@ def listed_flags(pages: DataFrame, listed: DataFrame, id_col: str, url_col: str)
     ``listed`` has one column of canonical URLs (nulls and repeats allowed).
     """
     key = listed.columns[0]
-    urls = listed.select(F.col(key).alias("_listed")).where("_listed is not null").distinct()
+    urls = Scratch(listed.sparkSession, "urls").keep(listed.select(F.col(key).alias("_listed")).where("_listed is not null").distinct())
     n_blocks = blocks_for(urls.count())
     filt = F.broadcast(bloom_blocks(urls, "_listed", n_blocks))  # at most MAX_BLOCKS rows of 72 bytes
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
