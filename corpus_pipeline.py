@@ -6,10 +6,10 @@ it reads back to the next one. All stages but the last keep the columns of
 ``documents``.
 
 Rows: a null text counts as empty and fails the quality rules, so later stages
-get none in ``run``; on their own they keep such rows. Rows that share a
-doc_id share their fate in the stages that join on it; rows with a null id are
-never taken for copies of others by those stages, and kept. ``n_chars``, where
-there is one, is not recomputed when a passage is cut out of a text.
+get none in ``run``; on their own they keep such rows. Every stage decides by
+row, also among rows that share a doc_id or have none; of rows with equal id
+and text one is left. ``n_chars``, where there is one, is not recomputed when a
+passage is cut out of a text.
 """
 
 from __future__ import annotations
@@ -25,11 +25,6 @@ from tideline.sources.tables import load
 RANKS = "byte_bpe_50k.tiktoken"
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id is not among ``ids`` (null ids stay)."""
-    return docs.join(ids.select(F.col(ids.columns[0]).alias("doc_id")), "doc_id", "left_anti").select(docs.columns)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.keep_quality(docs)
@@ -37,8 +32,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (5-word shingles, similarity 0.8 or more): the least id."""
-    found = minhash.near_duplicates(docs, k=5, percent=80)
-    return without(docs, found.where("not kept and doc_id is not null").select("doc_id").distinct())
+    return minhash.drop_near_duplicates(docs, k=5, percent=80)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +44,12 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.contamination(docs, load(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("not kept").select("doc_id").distinct())
+    """Documents that hold no benchmark item (judged by their text, so also those without an id)."""
+    by_text = F.xxhash64(F.col("text"))
+    found = decontaminate.contamination(docs.select(by_text.alias("doc_id"), "text"), load(spark, sf_dir, "benchmark"))
+    leaks = found.where("not kept").select(F.col("doc_id").alias("_leak")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), by_text.alias("_text"))
+    return rows.join(leaks, F.col("_text") == F.col("_leak"), "left_anti").select("row.*")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
