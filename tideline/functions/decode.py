@@ -36,6 +36,34 @@ def json_decode(df: DataFrame, schema: StructType | str, payload: str = "value",
     return df.select(*keep, F.inline(F.array(F.from_json(F.col(payload), schema))))
 
 
+BAD_RECORD = "_bad_record"
+
+
+def json_sorted(df: DataFrame, schema: StructType | str, required: Iterable[str] = (), payload: str = "value",
+                keep: Iterable[str] = ()) -> DataFrame:
+    """``json_decode`` with a ``reason`` for every message that is not good, and the message as ``message``.
+
+    ``not_json`` (no object could be read), ``bad_field`` (a field's value is
+    not of its type; the corrupt-record column tells), ``missing:<field>`` for
+    the first of ``required`` without a value, null for good messages. The
+    fields of a bad message are null, so what it holds is read from
+    ``message``; good ones have a null ``message``.
+    """
+    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    names = schema.names
+    parsed = df.select(*keep, F.col(payload).alias("message"), F.inline(F.array(F.from_json(
+        F.col(payload), schema.add(BAD_RECORD, "string"), {"columnNameOfCorruptRecord": BAD_RECORD}))))
+    bad = F.col(BAD_RECORD).isNotNull()
+    reason = (F.when(F.col("message").isNull() | (bad & F.get_json_object("message", "$").isNull()), "not_json")
+              .when(bad, "bad_field"))
+    for n in required:
+        reason = reason.when(F.col(n).isNull(), f"missing:{n}")
+    parsed = parsed.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    return parsed.select(*keep, *[F.when(good, F.col(n)).alias(n) for n in names],
+                         F.when(~good, F.col("message")).alias("message"), "reason")
+
+
 def parse_time(col: str | Column, fmt: str) -> Column:
     """Text -> timestamp_ntz with a datetime pattern; NULL when it does not match."""
     c = F.col(col) if isinstance(col, str) else col

@@ -37,3 +37,18 @@ def latest_semi(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     rows = df.dropna(subset=[*keys, ts])
     w = Window.partitionBy(*keys).orderBy(F.col(ts).desc())
     return rows.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def latest_state(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The row with the greatest ``order_by`` (compared in turn, nulls least) of every key, as an aggregate.
+
+    On a stream it is stateful: in ``update`` mode a micro-batch emits the keys
+    whose rows it saw, each with its latest row over all batches so far. State
+    is one row per key and never shrinks (there is no time after which a key
+    could not come again); rows with a null key are left out. Ties go to the
+    greatest row, by all its columns in order.
+    """
+    cols = df.columns
+    order = F.struct(*order_by, *[c for c in cols if c not in order_by])
+    return (df.dropna(subset=list(keys)).groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys])
+            .agg(F.max_by(F.struct(*cols), order).alias("_row")).select("_row.*"))

@@ -69,18 +69,24 @@ def member_events(events: DataFrame) -> DataFrame:
 
 # ---- JSON messages ------------------------------------------------------
 
+EVENT_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+             "value DOUBLE, props STRING")
 EVENT_SCHEMA = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, ts BIGINT, k INT"
 ORDER_SCHEMA = "order_id BIGINT, order_owner BIGINT, order_value DOUBLE, timestamp BIGINT"
 MEMBER_SCHEMA = "member_id BIGINT, order_owner BIGINT, membership STRING, timestamp BIGINT"
 INVOICE_SCHEMA = "Country STRING, InvoiceDate STRING, Quantity STRING, UnitPrice STRING"  # what is used of a message
 
 
-def event_messages(events: DataFrame, junk_errors: bool = False) -> DataFrame:
-    """One JSON message per event (epoch-millisecond time, k flattened).
-    With ``junk_errors`` error events with k < 10 carry the text ``junk``."""
-    msg = F.to_json(F.struct(
+def event_message() -> Column:
+    """An event as JSON (epoch-millisecond time, k flattened)."""
+    return F.to_json(F.struct(
         "event_id", "user_id", "event_type", "value",
         to_epoch_ms("ts").alias("ts"), K().alias("k")))
+
+
+def event_messages(events: DataFrame, junk_errors: bool = False) -> DataFrame:
+    """One JSON message per event. With ``junk_errors`` error events with k < 10 carry the text ``junk``."""
+    msg = event_message()
     if junk_errors:
         msg = F.when((F.col("event_type") == "error") & (K() < 10), F.lit("junk")).otherwise(msg)
     return events.select(msg.alias("value"), "ts")

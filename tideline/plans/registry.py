@@ -41,10 +41,6 @@ def _qs(fn: Callable, *names: str, **kw) -> Callable[[SparkSession, str], DataFr
     return run
 
 
-def _late_drop(spark: SparkSession, events, customer, nation) -> DataFrame:
-    return R.stream_sales(spark, events, customer, nation, newest_first=True)
-
-
 def _popular(lineitem, orders, customer, nation, part):
     return R.popular_items(lineitem, orders, customer, nation, part, POPULAR_COUNTRY, TOP_K)
 
@@ -75,7 +71,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retail_clean": _q(R.clean_invoices, "events", "customer", "nation"),
     "retail_rejects": _q(R.invoice_rejects, "events", "customer", "nation"),
     "stream_sales_by_country_hour": _qs(R.stream_sales, "events", "customer", "nation"),
-    "stream_late_drop": _qs(_late_drop, "events", "customer", "nation"),
+    "stream_late_drop": _qs(R.stream_late_drop, "events", "customer", "nation"),
+    "stream_state_left": _qs(R.stream_state_left, "events", "customer", "nation"),
     "retail_customer_summary": _q(R.customer_summary, "orders", "customer"),
     "retail_top_customer": _q(_top, "orders", "customer"),
     "retail_rebuild": _rebuild,
@@ -92,11 +89,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_latest": _qs(O.upsert_latest, "events"),
     "upsert_two_writers": _qs(O.upsert_two_writers, "events"),
     "upsert_late_batch": _qs(O.upsert_late_batch, "events"),
+    "upsert_compacted": _qs(O.upsert_compacted, "events"),
+    "upsert_wider_batch": _qs(O.upsert_wider_batch, "events"),
+    "merge_newer": _q(O.merge_newer, "events"),
     # streaming
     "stream_json_ingest": _qs(O.stream_json_ingest, "events"),
     "stream_interval_join": _qs(O.stream_interval_join, "events"),
     "stream_interval_join_day": _qs(O.stream_interval_join, "events", within="1 day"),
+    "stream_interval_join_hot": _qs(O.stream_interval_join_hot, "events"),
     "stream_upsert_latest": _qs(O.stream_upsert_latest, "events"),
+    "stream_update_latest": _qs(O.stream_update_latest, "events"),
+    "stream_staged_append": _qs(O.stream_staged_append, "events"),
+    "stream_quarantine": _qs(O.stream_quarantine, "events"),
+    "stream_from_start": _qs(O.stream_from_start, "events"),
     "stream_two_topics": _qs(O.stream_two_topics, "events"),
     "stream_enrich_inline_dim": _qs(O.stream_enrich_products, "events"),
     "stream_archive_by_hour": _qs(T.stream_archive_by_hour, "events"),
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_drop_insert": _qs(T.partition_drop_insert, "orders"),
     "replace_partition": _qs(T.replace_partition, "orders"),
     "external_table_repair": _qs(T.external_table_repair, "events"),
+    "external_table_sync": _qs(T.external_table_sync, "events"),
     "append_ingest_partitioned": _qs(T.append_ingest_partitioned, "events"),
     "archive_by_hour": _qs(T.archive_by_hour, "events"),
     "append_key_partitioned": _qs(T.append_key_partitioned, "events"),
@@ -215,8 +221,16 @@ ORACLE: dict[str, str] = {
     "stream_late_drop": f"""WITH {INVOICE_CTES},
       newest AS (SELECT * FROM clean WHERE {SLICE} = (SELECT max({SLICE}) FROM events)),
       agg AS ({SALES_AGG.format(src='newest')})
-      SELECT * FROM agg
+      SELECT agg.*, (SELECT count(*) FROM clean WHERE InvoiceDate IS NOT NULL
+                     AND {SLICE} < (SELECT max({SLICE}) FROM events)) AS late_rows
+      FROM agg
       WHERE "end" <= (SELECT max(InvoiceDate) FROM newest) - INTERVAL 10 HOUR""",
+    "stream_state_left": f"""WITH {INVOICE_CTES}
+      SELECT Country, date_trunc('hour', InvoiceDate) AS start, date_trunc('hour', InvoiceDate) + INTERVAL 1 HOUR AS "end",
+             count(*) AS n_rows
+      FROM clean WHERE date_trunc('hour', InvoiceDate) + INTERVAL 1 HOUR
+                       > (SELECT max(InvoiceDate) FROM clean) - INTERVAL 10 HOUR
+      GROUP BY ALL""",
     "retail_customer_summary": """
       SELECT c.c_custkey, c.c_name, c.c_mktsegment, count(*) AS n_orders,
              CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend,
@@ -255,11 +269,11 @@ ORACLE: dict[str, str] = {
     "interval_join": _interval("1 HOUR"),
     "interval_join_day": _interval("1 DAY"),
     "upsert_latest": f"""
-      WITH e AS (SELECT *, {K} AS k FROM events),
+      WITH e AS (SELECT *, {K} AS k FROM {ODD} WHERE user_id IS NOT NULL),
       b AS ({LATEST.format(src="e WHERE ts < TIMESTAMP '2024-01-15'", keys="user_id, k",
                            order="ts DESC, event_id DESC")}),
-      u AS ({LATEST.format(src="e WHERE ts >= TIMESTAMP '2024-01-15'", keys="user_id, k",
-                           order="ts DESC, event_id DESC")})
+      u AS ({LATEST.format(src="e WHERE coalesce(ts >= TIMESTAMP '2024-01-15', true)", keys="user_id, k",
+                           order="ts DESC NULLS LAST, event_id DESC")})
       SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.user_id = b.user_id AND u.k = b.k)
       UNION ALL SELECT * FROM u""",
     "stream_json_ingest": f"""
@@ -271,7 +285,39 @@ ORACLE: dict[str, str] = {
                                           order="ts DESC NULLS LAST, event_id DESC"),
     "upsert_two_writers": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
                                         order="ts DESC NULLS LAST, event_id DESC"),
-    "upsert_late_batch": LATEST.format(src="events", keys="user_id", order="ts DESC, event_id DESC"),
+    "upsert_late_batch": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                       order="ts DESC NULLS LAST, event_id DESC"),
+    "merge_newer": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                 order="ts DESC NULLS LAST, event_id DESC"),
+    # the last batch that has the user wins, by the latest row it has
+    "upsert_compacted": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                      order="event_id % 4 DESC, ts DESC NULLS LAST, event_id DESC"),
+    "upsert_wider_batch": LATEST.format(
+        src=f"""(SELECT * EXCLUDE props, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN NULL ELSE {K} END AS k
+              FROM {ODD} WHERE user_id IS NOT NULL)""", keys="user_id", order="ts DESC NULLS LAST, event_id DESC"),
+    "stream_interval_join_hot": f"""WITH hot AS (
+        SELECT *, event_type = 'click' AND event_id % 3 = 0 OR event_type = 'purchase' AND event_id % 100 = 0 AS h
+        FROM events),
+      events AS (SELECT * EXCLUDE (h, user_id, ts), CASE WHEN h THEN 1 ELSE user_id END AS user_id,
+                        CASE WHEN h THEN TIMESTAMP '2024-01-20 10:00:00' + to_seconds(event_id % 3600) ELSE ts END AS ts
+                 FROM hot),
+      {_orders_members()}
+      SELECT o.*, m.* FROM o JOIN m ON o.order_owner = m.member_owner
+        AND o.order_ts >= m.member_ts AND o.order_ts <= m.member_ts + INTERVAL 15 MINUTE""",
+    "stream_update_latest": LATEST.format(src=f"{ODD} WHERE user_id IS NOT NULL", keys="user_id",
+                                          order="ts DESC NULLS LAST, event_id DESC"),
+    "stream_staged_append": f"SELECT * FROM {ODD} WHERE ts IS NOT NULL",
+    "stream_quarantine": f"""
+      SELECT event_id, user_id, event_type, value, {MS.format(c="ts")} AS ts, {K} AS k, NULL AS message, NULL AS reason
+      FROM events WHERE event_type <> 'error' OR {K} >= 20
+      UNION ALL
+      SELECT NULL, NULL, NULL, NULL, NULL, NULL,
+             CASE WHEN {K} < 10 THEN 'junk' WHEN {K} < 15 THEN '{{"event_id":"x' || event_id || '"}}'
+                  ELSE '{{"user_id":' || user_id || '}}' END,
+             CASE WHEN {K} < 10 THEN 'not_json' WHEN {K} < 15 THEN 'bad_field' ELSE 'missing:event_id' END
+      FROM events WHERE event_type = 'error' AND {K} < 20""",
+    "stream_from_start": f"""
+      SELECT event_id, user_id, event_type, value, {MS.format(c="ts")} AS ts, {K} AS k FROM events WHERE {SLICE} >= 2""",
     "stream_two_topics": f"""
       SELECT 'orders' AS topic, event_id AS id, user_id AS order_owner, value AS order_value,
              date_trunc('millisecond', ts) AS timestamp, NULL AS membership
@@ -315,12 +361,16 @@ ORACLE: dict[str, str] = {
       SELECT '2024' AS year, '01' AS month,
              CASE WHEN ts < TIMESTAMP '2024-01-15' THEN '15' ELSE '31' END AS day,
              '00' AS hour, *
-      FROM events""",
-    "append_key_partitioned": "SELECT * FROM events",
+      FROM {ODD}""",
+    "append_key_partitioned": f"SELECT * FROM {ODD}",
     "snapshot_manifest": f"""
-      SELECT event_type, {PER_PART}
-      FROM (SELECT event_type, CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value FROM events)
-      GROUP BY event_type""",
+      SELECT label, {PER_PART}
+      FROM (SELECT CASE event_type WHEN 'click' THEN 'c:lick' WHEN 'error' THEN '100 %' WHEN 'view' THEN 'v/i ew+1'
+                        WHEN 'signup' THEN NULL ELSE event_type END AS label,
+                   CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value FROM events)
+      GROUP BY label""",
+    "external_table_sync": f"""
+      SELECT event_type AS listed, event_type, {PER_PART} FROM events WHERE event_type <> 'error' GROUP BY event_type""",
     "partition_drop_insert": f"""
       SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) = 1998 THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
              o_totalprice, o_orderdate, o_orderpriority, {O_YEAR} FROM orders""",

@@ -11,13 +11,14 @@ from tideline.functions.decode import event_time, exact_money
 from tideline.functions.fixed import COUNTRY_PATTERN, SALES_WATERMARK, SALES_WINDOW
 from tideline.operators.clean import PRICE_LIMIT, retail_clean, retail_rejects
 from tideline.operators.windows import windowed_sum
+from tideline.plans.feeds import Feed
 from tideline.plans.inputs import INVOICE_SCHEMA, invoice_messages, invoice_rows, with_k
 from tideline.session import workdir
 from tideline.sinks.catalog import rebuild_table, repair
 from tideline.sinks.files import batch_writer
 from tideline.sinks.keyed import absent
-from tideline.sources.feeds import Feed
 from tideline.sources.streams import json_stream
+from tideline.streaming.metrics import BatchMetrics, state_rows
 from tideline.streaming.runner import finish, start
 
 
@@ -62,7 +63,10 @@ def sales_from_clean(clean: DataFrame, delay: str | None = None,
     c = clean.withColumn("InvoiceDate", event_time("InvoiceDate"))
     return windowed_sum(c, ["Country"], "InvoiceDate", size,
                         exact_money("UnitPrice") * F.col("Quantity"),
-                        out="Total_sales", delay=delay)
+                        out="Total_sales", delay=delay, count="n_rows")
+
+
+SALES_ROW = "Country STRING, start TIMESTAMP_NTZ, `end` TIMESTAMP_NTZ, Total_sales DOUBLE, n_rows BIGINT"
 
 
 def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
@@ -73,31 +77,53 @@ def stream_sales(spark: SparkSession, events: DataFrame, customer: DataFrame,
 
     Append mode: a window is written once, after the watermark (max event
     time seen minus ``delay``) passes its end. ``newest_first`` replays the
-    slices in reverse, so older rows arrive late and are dropped; the number
-    of late rows goes to ``report["dropped"]``.
+    slices in reverse, so older rows arrive late and are dropped. With a
+    ``report`` a listener keeps the figures of every micro-batch
+    (``report["metrics"]``), and the late rows are the dated rows observed
+    less those in windows written and those in windows still in the state:
+    ``report["dropped"]``, exact however the rows fell into batches.
     """
     feed = Feed(spark, invoice_messages(events, customer, nation), "ts", days, fmt="text",
                 name="invoices")
     out, ckpt = workdir(spark, "totalsales"), workdir(spark, "totalsales-ckpt")
     order = sorted(feed.slices, key=lambda i: -1 if i is None else i, reverse=True) if newest_first else feed.slices
-    dropped, behind = 0, None
+    metrics = BatchMetrics()
+    if report is not None:
+        spark.streams.addListener(metrics)
     for i in order:
         feed.deliver(i)
         clean = retail_clean(json_stream(spark, "text", INVOICE_SCHEMA, feed.landing))
-        # a row is late if its window ends at or before the watermark the run starts with
-        end = F.window(event_time("InvoiceDate"), SALES_WINDOW)["end"]
-        if behind:
-            clean = clean.observe("rows", F.count_if(end <= F.lit(behind).cast("timestamp")).alias("late"))
+        if report is not None:
+            clean = clean.observe("rows", F.count("InvoiceDate").alias("dated"))
         agg = sales_from_clean(clean, delay=delay)
         q = start(agg, ckpt, fn=batch_writer("parquet", path=out))
         finish(q)
-        dropped += sum(p.observedMetrics["rows"]["late"] for p in q.recentProgress if "rows" in p.observedMetrics)
-        behind = q.recentProgress[-1].eventTime.get("watermark", behind) if q.recentProgress else behind
+        if report is not None:
+            metrics.wait(q)
+    written = _read_or_empty(spark, out, SALES_ROW)
     if report is not None:
-        report["dropped"] = dropped
-    return _read_or_empty(spark, out, "Country STRING, start TIMESTAMP_NTZ, "
-                                      "`end` TIMESTAMP_NTZ, Total_sales DOUBLE").select(
-        "Country", "start", "end", "Total_sales")
+        spark.streams.removeListener(metrics)
+        counted = lambda df, n: df.agg(F.sum(n)).first()[0] or 0
+        left = state_rows(spark, ckpt)
+        report.update(metrics=metrics, checkpoint=ckpt, dropped=metrics.observed("dated") - counted(written, "n_rows")
+                      - counted(left, "state.count"))
+    return written.select("Country", "start", "end", "Total_sales")
+
+
+def stream_late_drop(spark: SparkSession, events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Windowed sales with the newest slice first, and next to them the rows that came too late for their window."""
+    report: dict = {}
+    sales = stream_sales(spark, events, customer, nation, newest_first=True, report=report)
+    return sales.withColumn("late_rows", F.lit(report["dropped"]).cast("bigint"))
+
+
+def stream_state_left(spark: SparkSession, events: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """The windows that a sales stream still holds in its state at the end: those the watermark has not passed."""
+    report: dict = {}
+    stream_sales(spark, events, customer, nation, report=report)
+    return state_rows(spark, report["checkpoint"]).select(
+        "Country", F.col("window.start").cast("timestamp_ntz").alias("start"),
+        F.col("window.end").cast("timestamp_ntz").alias("end"), F.col("state.count").alias("n_rows"))
 
 
 def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tideline.functions.timeparts import with_time_parts
 from tideline.operators.setops import union_tagged
-from tideline.plans.inputs import odd_events
+from tideline.plans.feeds import Feed
+from tideline.plans.inputs import EVENT_DDL, odd_events
 from tideline.session import unique_name, workdir
 from tideline.sinks import catalog as cat
-from tideline.sinks.files import append_partitioned, archive_by_time
 from tideline.sinks.files import append_ingest_partitioned as _append_ingest
+from tideline.sinks.files import append_partitioned, archive_by_time, stream_append
+from tideline.sources.streams import table_stream
+from tideline.streaming.runner import finish
 
 
 def _database(spark: SparkSession, prefix: str = "tl") -> str:
@@ -81,10 +84,6 @@ def event_parts(events: DataFrame) -> DataFrame:
     return with_time_parts(events, "ts")
 
 
-EVENT_DDL = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
-             "value DOUBLE, props STRING")
-
-
 def external_table_repair(spark: SparkSession, events: DataFrame,
                           report: dict | None = None) -> DataFrame:
     """Files written first, then an external table over them (it sees no
@@ -104,8 +103,10 @@ def external_table_repair(spark: SparkSession, events: DataFrame,
 
 
 def _two_batches(events: DataFrame, split: str) -> tuple[DataFrame, DataFrame]:
-    cut = F.lit(split).cast("timestamp_ntz")
-    return events.filter(F.col("ts") < cut), events.filter(F.col("ts") >= cut)
+    """The rows before ``split`` and the others, some of which have no time."""
+    later = F.coalesce(F.col("ts") >= F.lit(split).cast("timestamp_ntz"), F.lit(True))
+    odd = odd_events(events)
+    return odd.where(~later), odd.where(later)
 
 
 def _per_partition(df: DataFrame, parts: list[str]) -> DataFrame:
@@ -135,18 +136,47 @@ def append_key_partitioned(spark: SparkSession, events: DataFrame,
     return spark.read.schema(EVENT_DDL).parquet(path)
 
 
+def odd_labels(events: DataFrame) -> DataFrame:
+    """A partition column whose values storage has to escape, and null."""
+    kind = F.col("event_type")
+    return events.withColumn("label", F.when(kind == "click", "c:lick").when(kind == "error", "100 %").when(
+        kind == "view", "v/i ew+1").when(kind != "signup", kind))
+
+
 def snapshot_manifest(spark: SparkSession, events: DataFrame, split: str = "2024-01-15") -> DataFrame:
-    """Text manifests of a partitioned table's files, one folder per partition,
-    made after one partition was replaced (by its doubled values); then rows
-    and value per partition, read through the files the manifests name."""
+    """Text manifests of a partitioned table's files, one folder per partition
+    value. One partition is then replaced (by its doubled values) and its
+    manifest alone rewritten, and another gets files that no manifest names;
+    the rows and values per partition, read through the manifests."""
     path = workdir(spark, "manifested")
     for batch in _two_batches(events, split):
-        append_partitioned(batch, path, ["event_type"])
-    again = events.where("event_type = 'click'").withColumn("value", F.col("value") * 2)
-    append_partitioned(again, path, ["event_type"], mode="overwrite", options={"partitionOverwriteMode": "dynamic"})
-    cat.write_manifest(spark, path, f"{path}_manifest", "event_type")
-    listed = [r["value"] for r in spark.read.text(f"{path}_manifest").collect()]  # a name per data file
-    return _per_partition(spark.read.schema(EVENT_DDL).option("basePath", path).parquet(*listed), ["event_type"])
+        append_partitioned(odd_labels(batch), path, ["label"])
+    table = lambda: spark.read.schema(EVENT_DDL + ", label STRING").option("basePath", path).parquet(path)
+    cat.write_manifest(table(), f"{path}_manifest", "label")
+    clicks = odd_labels(odd_events(events)).where("event_type = 'click'")
+    append_partitioned(clicks.withColumn("value", F.col("value") * 2), path, ["label"], mode="overwrite",
+                       options={"partitionOverwriteMode": "dynamic"})
+    cat.write_manifest(table(), f"{path}_manifest", "label", changed=F.col("label") == "c:lick")
+    append_partitioned(odd_labels(odd_events(events)).where("event_type = 'error'"), path, ["label"])  # not in the snapshot
+    return _per_partition(cat.read_manifested(table(), f"{path}_manifest"), ["label"])
+
+
+def external_table_sync(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """An external table whose catalog follows its folders: one partition's
+    files are deleted, another's arrive, one sync registers the new one and
+    forgets the old one. Returns the partitions the catalog has, with their rows."""
+    loc, db = workdir(spark, "synced-files"), _database(spark)
+    t = f"{db}.synced"
+    append_partitioned(events.where("event_type <> 'view'"), loc, ["event_type"])
+    cat.create_external(spark, t, EVENT_DDL, ["event_type"], loc)
+    cat.sync(spark, t)
+    cat.delete_prefix(spark, f"{loc}/event_type=error")
+    append_partitioned(events.where("event_type = 'view'"), loc, ["event_type"])
+    cat.sync(spark, t)
+    listed = spark.sql(f"SHOW PARTITIONS {t}").select(F.regexp_replace("partition", "^event_type=", "").alias("listed"))
+    counts = _per_partition(spark.table(t), ["event_type"])
+    return listed.join(counts, listed["listed"] == counts["event_type"], "full").select(
+        "listed", "event_type", "n_rows", "total_value")
 
 
 def partition_drop_insert(spark: SparkSession, orders: DataFrame, year: int = 1998) -> DataFrame:
@@ -231,11 +261,6 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
     (exactly once, file sink) under
     ``ingest_year=YYYY/ingest_month=MM/ingest_day=DD/ingest_hour=HH`` of its
     event time. Returns the archived rows with their path columns."""
-    from tideline.sinks.files import stream_append
-    from tideline.sources.feeds import Feed
-    from tideline.sources.streams import table_stream
-    from tideline.streaming.runner import finish
-
     db = _database(spark)
     t = f"{db}.orderlog_landing"
     spark.sql(f"CREATE TABLE {t} ({EVENT_DDL}) USING parquet "
@@ -247,6 +272,6 @@ def stream_archive_by_hour(spark: SparkSession, events: DataFrame, days: int = 6
         cat.insert_into(feed.slice(i).select(*cols), t)
         src = table_stream(spark, t)
         stamped = with_time_parts(src, "ts", prefix="ingest_")
-        finish(stream_append(stamped, archive, ckpt, ARCHIVE_PARTS))
+        finish(stream_append(stamped, archive, ckpt, ARCHIVE_PARTS, spread=1))
     back = spark.read.schema(EVENT_DDL + ", " + ", ".join(f"{c} STRING" for c in ARCHIVE_PARTS)).parquet(archive)
     return back.select(*cols, *ARCHIVE_PARTS)

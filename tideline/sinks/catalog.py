@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -104,18 +104,50 @@ def repair(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {_q(table)}")
 
 
+def sync(spark: SparkSession, table: str) -> None:
+    """Make the partitions those found on storage: new ones are registered, those whose folder is gone are forgotten."""
+    spark.sql(f"MSCK REPAIR TABLE {_q(table)} SYNC PARTITIONS")
+
+
+def delete_prefix(spark: SparkSession, path: str) -> bool:
+    """Delete a folder and all below it; whether there was one."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True))
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_q(table)}")
 
 
-def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The data files under a table's folder: path, length (a file listing; no row is read)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-            .load(path).select("path", "length"))
+def file_path() -> Column:
+    """The file a row was read from, as storage names it (``_metadata.file_path`` is a URI, with escapes)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
+def manifest(table: DataFrame, partition: str) -> DataFrame:
+    """(partition value, path) of the data files of a table read from files.
+
+    The value is the column's, not cut out of the path, so names that storage
+    escapes (``:``, ``%``, null) come out right. Only footers are read.
+    """
+    return table.select(F.col(partition), file_path().alias("path")).distinct()
+
+
+def write_manifest(table: DataFrame, path: str, partition: str, changed: Column | None = None) -> None:
+    """Write the manifest as text files, one folder per value of ``partition``.
+
+    With ``changed`` (a condition on the partition column) only those
+    partitions are listed and rewritten, the manifests of the others stay; a
+    partition that lost all its files needs a full one.
+    """
+    rows = manifest(table if changed is None else table.where(changed), partition)
+    mode = "static" if changed is None else "dynamic"
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition).text(path))
 
 
-def write_manifest(spark: SparkSession, table_path: str, path: str, partition: str) -> None:
-    """Write the manifest as text files, one folder per value of ``partition``."""
-    value = F.regexp_extract("path", f"/{partition}=([^/]*)/", 1)
-    (manifest(spark, table_path).select(value.alias(partition), "path")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).text(path))
+def read_manifested(table: DataFrame, path: str) -> DataFrame:
+    """The rows of the table's files that a manifest names (a semi join in Spark; no listing on the driver)."""
+    listed = table.sparkSession.read.text(path).select(F.col("value").alias("_listed")).distinct()
+    return (table.select("*", file_path().alias("_file")).join(listed, F.col("_file") == F.col("_listed"), "left_semi")
+            .drop("_file"))

@@ -91,8 +91,25 @@ def archive_by_time(df: DataFrame, path: str, at=None, prefix: str = "ingest_",
     append_partitioned(with_time_parts(df, at, parts, prefix=prefix), path, cols, fmt)
 
 
+def grouped(df: DataFrame, cols: Sequence[str], spread: int = 1) -> DataFrame:
+    """Rows regrouped by the output partition columns by an explicit shuffle, for streams.
+
+    A value's rows meet in ``spread`` tasks at most (dealt by a hash of the
+    row, so a task that is run again writes the same rows): a batch has
+    ``values * spread`` files at most. Raise ``spread`` where one value holds
+    much of a batch.
+    """
+    cols = list(cols)
+    if not cols:
+        return df
+    if spread <= 1:
+        return df.repartition(*cols)
+    rest = [c for c in df.columns if c not in cols]
+    return df.repartition(*cols, F.pmod(F.xxhash64(*rest), F.lit(spread)))
+
+
 def stream_append(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
-                  fmt: str = "parquet", trigger: dict | None = None) -> StreamingQuery:
+                  fmt: str = "parquet", trigger: dict | None = None, spread: int | None = None) -> StreamingQuery:
     """Append a stream to a table folder through Spark's file sink: exactly once.
 
     At commit each micro-batch's files are listed in the folder's
@@ -103,7 +120,11 @@ def stream_append(df: DataFrame, path: str, checkpoint: str, partition_by: Seque
     columns made on the stream with ``with_time_parts(df, None)`` take the
     batch timestamp recorded in the offset log, so a replayed batch lands in
     the same partitions. Starts the query (``availableNow`` by default).
+    With ``spread`` rows are regrouped by the path columns first
+    (:func:`grouped`), which pays where a batch has many values of them.
     """
+    if spread:
+        df = grouped(df, partition_by, spread)
     return start(df, checkpoint, fmt=fmt, path=path, partition_by=partition_by, trigger=trigger)
 
 

@@ -1,3 +1,2 @@
-from tideline.streaming.runner import (  # noqa: F401
-    StreamSpec, dropped_rows, finish, input_rows, run_all, start,
-)
+from tideline.streaming.metrics import BatchMetrics, state_rows  # noqa: F401
+from tideline.streaming.runner import StreamSpec, finish, run_all, start  # noqa: F401

@@ -2,28 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tideline.session import session_conf
 
 
 def start(df: DataFrame, checkpoint: str, fn: Callable | None = None,
           fmt: str | None = None, path: str | None = None, mode: str = "append",
           trigger: dict | None = None, partition_by: Sequence[str] = (),
-          name: str | None = None) -> StreamingQuery:
+          name: str | None = None, conf: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start a query with a checkpoint (restart resumes from it, exactly once
     for idempotent sinks). ``fn`` makes it a ``foreachBatch`` query; the
     default trigger drains what is available and stops (``availableNow``),
     pass e.g. ``{"processingTime": "60 seconds"}`` for a fixed cadence.
 
-    A stateful query keeps the ``spark.sql.shuffle.partitions`` of its session
-    at the first start (Spark records it in the checkpoint): set it to what
-    the state needs, in a ``newSession()`` where queries differ.
+    A query keeps the session's settings of the moment it starts, some of them
+    for good (Spark records them in the checkpoint). ``conf`` sets its own:
+    ``spark.sql.shuffle.partitions`` to what its state needs, or
+    ``spark.sql.streaming.multipleWatermarkPolicy`` to ``max`` where a
+    slow input must not hold back the state of the others (its late rows are
+    then lost; the default, ``min``, waits for the slowest).
     """
+    if conf:
+        with session_conf(df.sparkSession, dict(conf)):
+            return start(df, checkpoint, fn, fmt, path, mode, trigger, partition_by, name)
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -79,29 +86,3 @@ def run_all(specs: Sequence[StreamSpec], wait: bool = True) -> list[StreamingQue
     if wait:
         finish(*qs)
     return qs
-
-
-def _get(obj, key):
-    return obj[key] if isinstance(obj, dict) else getattr(obj, key)
-
-
-def dropped_rows(query: StreamingQuery) -> int:
-    """Groups of rows the stateful operators ignored as late (older than the
-    watermark). Spark sums rows per task and key before the operator, so late
-    rows of one window count once per task; ``stream_sales`` counts rows.
-
-    Summed over the progress reports the query still holds: Spark keeps the
-    last ``spark.sql.streaming.numRecentProgressUpdates`` (100) of them, which
-    covers an ``availableNow`` run. For a query that runs for days, count in
-    a ``StreamingQueryListener`` (``onQueryProgress``) or a metrics sink
-    instead.
-    """
-    total = 0
-    for p in query.recentProgress:
-        for op in _get(p, "stateOperators") or []:
-            total += int(_get(op, "numRowsDroppedByWatermark") or 0)
-    return total
-
-
-def input_rows(query: StreamingQuery) -> int:
-    return sum(int(_get(p, "numInputRows") or 0) for p in query.recentProgress)
