@@ -13,10 +13,12 @@
 A band bucket never gives all its pairs. A set of which too few shingles are in
 any other set of a bucket can't link, and the number of those that are bounds
 the size of a partner (``most``); both are exact and come first. Of the rest,
-the member with the fewest own shingles is paired with all others, which joins
-a group of near copies to one component. Members outside the bucket's largest
-component then (``odd`` ones) are paired with the members whose sizes and
-signatures allow a link. No bucket is cut or capped.
+the member with the fewest own shingles is paired with all others; the estimate
+sorts those pairs, and the links join a group of near copies to one component.
+Members that stayed outside are then compared with the larger components of
+their buckets exactly, by the groups of ``setjoin``: rows are (member, group),
+never pairs of members, and a group is opened only where the overlap with its
+union allows a link. No bucket is cut or capped.
 
 A pair at the limit of 0.8 shares one of the 32 bands of 4 minima with
 probability 1 - (1 - 0.8**4)**32 = 1 - 4.7e-8, and its estimate falls below
@@ -37,6 +39,7 @@ from tideline.llm.arrow import arrow_map, column, out, text_slices
 from tideline.llm.components import components
 from tideline.llm.hashing import U64, mix, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
+from tideline.llm.setjoin import matrix_links, with_families
 
 BANDS, ROWS, BITS = 32, 4, 2
 N_HASH = 512  # the first BANDS * ROWS make the band keys, all the signature
@@ -228,14 +231,6 @@ class _Linker:
         self.comps = self.scratch.keep(every.join(joined, "comp", "left")
                                        .select(F.col("cls").alias("node"), F.coalesce("component", "comp").alias("component")))
 
-    def stats(self, members: DataFrame) -> DataFrame:
-        """Per bucket: main (its largest component) and n_odd (members outside it)."""
-        per = self.label(members).groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
-        return self.scratch.keep(
-            per.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "comp")).alias("big"))
-            .select("bucket", F.col("big.comp").alias("main"), (F.col("all") - F.col("big.n")).alias("n_odd"))
-            .where("n_odd > 0"))
-
     def star_pairs(self, members: DataFrame) -> DataFrame:
         """Each member with the one of its bucket that has the fewest own shingles."""
         hub = (members.groupBy("bucket").agg(F.max(F.struct(F.expr("kept / n").alias("share"), "n", "cls", "most")).alias("hub"),
@@ -243,22 +238,17 @@ class _Linker:
         pairs = members.join(hub, "bucket").where("cls <> hub.cls and n <= hub.most and hub.n <= most")
         return pairs.select(F.col("hub.cls").alias("a"), F.col("cls").alias("b")).distinct()
 
-    def odd_pairs(self, members: DataFrame, stats: DataFrame) -> DataFrame:
-        """Each odd member with the members of its bucket whose sizes and signatures allow a link."""
-        sig = self.classes.select("cls", *SIG)
-        m = self.scratch.keep(self.label(members).join(stats.select("bucket", "main"), "bucket").join(sig, "cls"))
-        left = m.select("bucket", "comp", "main", "n", "most", F.col("cls").alias("a"), *[F.col(s).alias("a" + s) for s in SIG])
-        odd = m.where("comp <> main").select("bucket", F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("most").alias("mb"),
-                                             F.col("cls").alias("b"), *[F.col(s).alias("b" + s) for s in SIG])
-        allowed = F.expr("comp <> cb and (comp = main or a < b) and n <= mb and nb <= most") & self.likely("a", "b")
-        return left.join(odd, (left["bucket"] == odd["bucket"]) & allowed).select("a", "b")
-
     def settle(self, members: DataFrame) -> None:
         """All links among the members (cls, bucket, n, kept, most) of the buckets."""
         self.confirm(self.star_pairs(members))
-        stats = self.stats(members)
-        if not stats.isEmpty():
-            self.confirm(self.odd_pairs(members, stats), estimated=True)
+        keep = self.scratch.keep
+        own = members.select("cls", "n", "kept", "most").distinct()
+        items = keep(with_families(own.join(self.sets.withColumnRenamed("hashes", "tokens"), "cls"), self.comps))
+        keys = members.select("cls", F.col("bucket").alias("t")).join(items.select(
+            "cls", "family", F.col("n").alias("nq"), F.col("most").alias("mq"), "rank"), "cls")
+        more = matrix_links(items, keys.drop("family"), keys.select("family", "t").distinct(), self.percent, keep)
+        if not more.isEmpty():
+            self.join_up(more)
 
 
 def shared_buckets(scratch: Scratch, rows: DataFrame) -> DataFrame:

@@ -241,14 +241,18 @@ def star_links(items: DataFrame, percent: int, keep) -> DataFrame:
     return keep(opened(flat, pairs.select(g, "cls"), pairs.select(g, F.col("hub").alias("cls")).distinct(), percent, False))
 
 
-def matrix_links(items: DataFrame, percent: int, keep) -> DataFrame:
-    """Links of each class to classes of larger components (items have family and rank)."""
+def matrix_links(items: DataFrame, post: DataFrame, tokens: DataFrame, percent: int, keep) -> DataFrame:
+    """Links of each class to classes of larger components (items have family and rank).
+
+    A class goes to the families that have one of its keys: ``post`` has the
+    keys t of each class, with its nq, mq and rank, ``tokens`` the distinct
+    (family, t).
+    """
     families = items.groupBy("family").agg(F.sum("kept").alias("kept"))
     dealt = keep(items.join(families.select("family", F.expr(f"cast(ceil(kept / {GROUP_TOKENS}) as int)").alias("groups")), "family")
                  .select("cls", "n", "most", "rank", "family", F.xxhash64("family", F.pmod(F.xxhash64("cls"), "groups")).alias("g")))
     high = dealt.groupBy("family").agg(F.max("rank").alias("high"))
-    matrix = (items.select("family", F.explode("tokens").alias("t")).distinct().join(high, "family"))
-    post = items.select("cls", F.col("n").alias("nq"), F.col("most").alias("mq"), "rank", F.explode("rare").alias("t"))
+    matrix = tokens.join(high, "family")
     reached = (post.join(matrix, (post["t"] == matrix["t"]) & (post["rank"] < matrix["high"]))
                .select("cls", "nq", "mq", "rank", "family").distinct())
     groups = dealt.groupBy("family", "g").agg(F.min("n").alias("least"), F.max("most").alias("widest"), F.max("rank").alias("top"))
@@ -275,7 +279,9 @@ def linked_classes(items: DataFrame, percent: int, scratch: Scratch) -> DataFram
     keep = scratch.keep
     first = components(star_links(items, percent, keep), scratch)
     items = keep(with_families(items, first))
-    more = matrix_links(items, percent, keep)
+    rare = items.select("cls", F.col("n").alias("nq"), F.col("most").alias("mq"), "rank", F.explode("rare").alias("t"))
+    tokens = items.select("family", F.explode("tokens").alias("t")).distinct()
+    more = matrix_links(items, rare, tokens, percent, keep)
     of = items.select("cls", "component")
     if more.isEmpty():
         return of
