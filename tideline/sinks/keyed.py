@@ -84,9 +84,10 @@ class KeyedTable:
     # ---- columns --------------------------------------------------------
 
     def columns(self) -> T.StructType:
-        """The columns of all batches so far (none before the first)."""
+        """The columns of all batches so far, in the order they came (none before the first)."""
         seen = self._read("columns")
-        return T.StructType([]) if seen is None else seen.schema
+        fields = [] if seen is None else sorted(seen.schema, key=lambda f: f.metadata["since"])
+        return T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
     def _by_name(self, updates: DataFrame) -> DataFrame:
         """``updates`` under the table's column names; new columns are added to the table."""
@@ -97,7 +98,7 @@ class KeyedTable:
                 raise ValueError(f"column {f.name} has the name of one of the table's own")
             old = known.get(f.name.lower())
             if old is None:
-                new.append(T.StructField(f.name, f.dataType))
+                new.append(T.StructField(f.name, f.dataType, metadata={"since": time.time_ns() + len(new)}))
             elif old.dataType.simpleString() != f.dataType.simpleString():
                 raise ValueError(f"column {f.name} is {f.dataType.simpleString()}, in the table {old.dataType.simpleString()}")
         if new:
