@@ -13,7 +13,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def payload_text(df: DataFrame, payload: str = "value") -> DataFrame:
@@ -50,11 +50,12 @@ def json_sorted(df: DataFrame, schema: StructType | str, required: Iterable[str]
     ``message``; good ones have a null ``message``.
     """
     schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    names = schema.names
+    names, wide = schema.names, StructType([*schema.fields, StructField(BAD_RECORD, StringType())])
     parsed = df.select(*keep, F.col(payload).alias("message"), F.inline(F.array(F.from_json(
-        F.col(payload), schema.add(BAD_RECORD, "string"), {"columnNameOfCorruptRecord": BAD_RECORD}))))
+        F.col(payload), wide, {"columnNameOfCorruptRecord": BAD_RECORD}))))
     bad = F.col(BAD_RECORD).isNotNull()
-    reason = (F.when(F.col("message").isNull() | (bad & F.get_json_object("message", "$").isNull()), "not_json")
+    blank = F.col("message").isNull() | (F.trim("message") == "")
+    reason = (F.when(blank | (bad & F.get_json_object("message", "$").isNull()), "not_json")
               .when(bad, "bad_field"))
     for n in required:
         reason = reason.when(F.col(n).isNull(), f"missing:{n}")

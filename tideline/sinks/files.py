@@ -42,7 +42,7 @@ def rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     AQE hashes rows by ``cols``, coalesces small groups, and splits a value
     that holds a third of the rows into advisory-size chunks written in
     parallel, so a partition gets about ``size / advisory size`` files.
-    Streams and sessions without AQE are returned unchanged (there the hint
+    Streams (see ``grouped``) and sessions without AQE are returned unchanged (there the hint
     would be a plain hash repartition that puts a hot value in one task).
     """
     cols = list(cols)
