@@ -151,10 +151,10 @@ def test_manifest_lists_each_file_once(spark):
     df = spark.range(100).withColumn("p", F.col("id") % 2)
     df.repartition(3).write.partitionBy("p").parquet(loc)
     snap = spark.read.parquet(loc)
-    m = cat.manifest(spark, loc)
+    m = cat.manifest(snap, "p")
     assert m.select("path").distinct().count() == m.count() == len(snap.inputFiles())
     assert m.where("length <= 0").count() == 0
-    cat.write_manifest(spark, loc, loc + "_manifest", "p")
+    cat.write_manifest(snap, loc + "_manifest", "p")
     names = spark.read.text(loc + "_manifest")
     assert {(r.value.split("/p=")[1][0], r.p) for r in names.collect()} == {("0", 0), ("1", 1)}
     assert names.count() == m.count()

@@ -126,12 +126,12 @@ def file_path() -> Column:
 
 
 def manifest(table: DataFrame, partition: str) -> DataFrame:
-    """(partition value, path) of the data files of a table read from files.
+    """(partition value, path, length) of the data files of a table read from files.
 
     The value is the column's, not cut out of the path, so names that storage
     escapes (``:``, ``%``, null) come out right. Only footers are read.
     """
-    return table.select(F.col(partition), file_path().alias("path")).distinct()
+    return table.select(F.col(partition), file_path().alias("path"), F.col("_metadata.file_size").alias("length")).distinct()
 
 
 def write_manifest(table: DataFrame, path: str, partition: str, changed: Column | None = None) -> None:
@@ -143,7 +143,7 @@ def write_manifest(table: DataFrame, path: str, partition: str, changed: Column
     """
     rows = manifest(table if changed is None else table.where(changed), partition)
     mode = "static" if changed is None else "dynamic"
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition).text(path))
+    (rows.drop("length").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition).text(path))
 
 
 def read_manifested(table: DataFrame, path: str) -> DataFrame:
