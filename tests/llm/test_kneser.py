@@ -139,6 +139,20 @@ def test_perplexity_threshold_and_verdict_by_the_definition(spark):
             assert got[i].kept == (ppl[i] <= want), i
 
 
+def test_every_trusted_text_of_the_first_half_is_learned_from(spark):
+    rnd = random.Random(31)
+    texts = {i: "".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9))) for i in range(8500)}
+    df = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    half = [r.id for r in spark.range(8500).where("pmod(xxhash64(id, 'half'), 2) = 0").collect()]
+    assert len(half) > 4000
+    p = direct([texts[i] for i in half])
+    got = {r.doc_id: r.log10_prob for r in K.classify(df, spark.range(8500)).collect()}
+    assert len(got) == 8500
+    for i in range(0, 8500, 97):
+        s = syms(texts[i])
+        assert math.isclose(got[i], sum(math.log10(p(s[j], tuple(s[j - K.ORDER + 1:j]))) for j in range(K.ORDER - 1, len(s))), abs_tol=1e-4)
+
+
 def test_no_trusted_text_and_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long")
     df = spark.createDataFrame([(1, "abc", "en")], "doc_id long, text string, lang string")
