@@ -141,3 +141,19 @@ def test_components_of_chains_and_hubs(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 200 for i in [*range(200, 250), 500]}, 2: 2, 3: 2}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_only_texts_of_wanted_classes_reach_the_join_that_fetches_them(spark, monkeypatch):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
+    one = [word() for _ in range(60)]
+    texts = [" ".join(one), " ".join([*one, word()]), *[" ".join(word() for _ in range(60)) for _ in range(400)]]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    seen = []
+    whole = M.possible
+    monkeypatch.setattr(M, "possible", lambda *a: seen.append(whole(*a)) or seen[-1])
+    got = {r.doc_id: r.component_id for r in M.near_duplicates(df, k=4).collect()}
+    assert got == {0: 0, 1: 0, **{i: i for i in range(2, 402)}}
+    [probe] = seen
+    passed = {r._id for r in probe.where("_maybe").select("_id").collect()}
+    assert {0, 1} <= passed and len(passed) < 100

@@ -40,6 +40,7 @@ from tideline.llm.components import components
 from tideline.llm.hashing import U64, mix, row_counts, shingles, word_hashes
 from tideline.llm.scratch import Scratch
 from tideline.llm.setjoin import matrix_links, with_families
+from tideline.llm.urls import possible
 
 BANDS, ROWS, BITS = 32, 4, 2
 N_HASH = 512  # the first BANDS * ROWS make the band keys, all the signature
@@ -271,7 +272,8 @@ def search(rows: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame
     members = shared_buckets(scratch, classes.select("cls", F.explode("bands").alias("bucket")))
     wanted = scratch.keep(members.select("cls").distinct().join(classes.select("cls", "digest", "rep"), "cls"))
     named = wanted.where("rep is not null").select(F.col("rep").alias("_id"), F.col("digest").alias("want"))
-    sets = shingle_sets(rows.join(named, "_id").select("want", "_text"), k)
+    own = possible(rows, "_id", named).where("_maybe")  # so the other texts need not be shuffled
+    sets = shingle_sets(own.join(named, "_id").select("want", "_text"), k)
     if not wanted.where("rep is null").isEmpty():  # texts that only rows without an id have
         nameless = shingle_sets(rows.where("_id is null").select(F.lit(None).cast("string").alias("want"), "_text"), k)
         sets = sets.unionAll(nameless.join(wanted.where("rep is null").select("digest"), "digest", "left_semi"))

@@ -93,6 +93,20 @@ def blocks_for(n: int) -> int:
     return min(MAX_BLOCKS, 1 << (need - 1).bit_length())
 
 
+def possible(rows: DataFrame, key: str, listed: DataFrame) -> DataFrame:
+    """rows with _maybe: whether ``key`` may be in the first column of ``listed`` (no: never); a table kept before."""
+    n_blocks = blocks_for(listed.count())
+    filt = F.broadcast(bloom_blocks(listed, listed.columns[0], n_blocks))  # at most MAX_BLOCKS rows of 72 bytes
+    block, bits = _place(F.col(key), n_blocks)
+    probe = rows.withColumn("block", block)
+    for i, b in enumerate(bits):
+        probe = probe.withColumn(f"_b{i}", b)
+    hit = F.lit(True)
+    for i in range(8):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(F.col(f"_b{i}")) != 0)
+    return probe.join(filt, "block", "left").select(*rows.columns, F.coalesce(hit, F.lit(False)).alias("_maybe"))
+
+
 def listed_flags(pages: DataFrame, listed: DataFrame, id_col: str, url_col: str) -> DataFrame:
     """(id, url, listed boolean) per row of pages, by the Bloom filter and the exact join.
 
@@ -100,18 +114,8 @@ def listed_flags(pages: DataFrame, listed: DataFrame, id_col: str, url_col: str)
     """
     key = listed.columns[0]
     urls = Scratch(listed.sparkSession, "urls").keep(listed.select(F.col(key).alias("_listed")).where("_listed is not null").distinct())
-    n_blocks = blocks_for(urls.count())
-    filt = F.broadcast(bloom_blocks(urls, "_listed", n_blocks))  # at most MAX_BLOCKS rows of 72 bytes
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"))
-    rows = rows.withColumn("_canon", canonical_url(F.col("_url")))
-    block, bits = _place(F.col("_canon"), n_blocks)
-    probe = rows.withColumn("block", block)
-    for i, b in enumerate(bits):
-        probe = probe.withColumn(f"_b{i}", b)
-    hit = F.lit(True)
-    for i in range(8):
-        hit = hit & (F.col(f"w{i}").bitwiseAND(F.col(f"_b{i}")) != 0)
-    probe = probe.join(filt, "block", "left").select("_id", "_url", "_canon", F.coalesce(hit, F.lit(False)).alias("_maybe"))
+    probe = possible(rows.withColumn("_canon", canonical_url(F.col("_url"))), "_canon", urls)
     sure = probe.where("not _maybe").select("_id", "_url", F.lit(False).alias("_hit"))
     exact = (probe.where("_maybe").join(urls.withColumn("_in", F.lit(True)), F.col("_canon") == F.col("_listed"), "left")
              .select("_id", "_url", F.coalesce("_in", F.lit(False)).alias("_hit")))
