@@ -151,3 +151,53 @@ def test_a_word_is_one_event_of_a_distribution():
         whole, but = (X.mix_segments(guess, cl, more, first, np.array([k]), words)[0] for k in (13, 12))
         total += 10 ** (whole - but)
     assert math.isclose(total, 1, rel_tol=1e-3)
+
+
+def test_what_comes_back_of_whole_word_contexts_is_small(spark, monkeypatch):
+    """Answers to shards: counts, each once, not a prediction for every bit of every entry."""
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(i, " ".join(words[int(3000 * rnd.random() ** 3)] for _ in range(400))) for i in range(100)]
+    seen, guesses = [], X.word_guesses
+
+    def kept(*args):
+        seen.append(guesses(*args))
+        return seen[0]
+
+    monkeypatch.setattr(X, "SHARD_TOKENS", 8000)
+    monkeypatch.setattr(X, "word_guesses", kept)
+    assert len(X.score_texts(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()) == 100
+    sizes = [F.coalesce(F.length(c), F.lit(0)) for c, kind in seen[0].dtypes if kind == "binary"]
+    total = seen[0].select(F.sum(sum(sizes, F.lit(0)))).first()[0]
+    assert 0 < total < 3.5 * 100 * 401  # 7.0 as predictions
+
+
+def test_counts_of_a_shared_beginning_are_sent_once():
+    rng = np.random.default_rng(9)
+    bits = np.zeros(X.CLASSES, np.int64)
+    bits[[2, 5]] = 6, 9
+    cls = rng.choice([2, 5], 4000)
+    code = np.unique(X.codes(cls, rng.integers(0, 1 << bits[cls]), bits))
+    ctx = np.sort(rng.integers(0, 40, len(code)).astype(np.uint64))
+    count = rng.integers(0, 900, len(code))
+    kind = np.zeros(len(code), np.uint8)
+    inv, total, size, other = X.along(code, ctx, kind, count, bits)
+    assert inv.tolist() == list(range(len(code))) and total.tolist() == count.tolist()
+    order, new = X.sent(ctx, code, X.reach(code, kind, bits)[0], size)
+    few, more = X.small(other[order[new]])
+    back = np.empty(len(other), np.int64)
+    back[order] = X.grown(few, more)[np.cumsum(new) - 1]
+    assert back.tolist() == other.tolist() and new.sum() < 0.7 * len(new)
+    e = 0
+    for c, k, n, m in zip(ctx, code, count, size):  # each count, by hand
+        for d in range(int(m)):
+            shift = np.uint64(X.DEPTH + X.RANK_BITS - 1 - d)
+            same = (ctx == c) & (code >> (shift + np.uint64(1)) == k >> (shift + np.uint64(1)))
+            assert other[e] == count[same & (code >> shift != k >> shift)].sum()
+            e += 1
+
+
+def test_context_keys_differ_for_different_pairs():
+    a, b = np.meshgrid(np.arange(64, dtype=np.uint64), np.arange(64, dtype=np.uint64))
+    key = X.context_keys(a.ravel(), b.ravel(), 6)
+    assert len(np.unique(key)) == 64 * 64 and int((key & np.uint64((1 << 52) - 1)).max()) == 0
