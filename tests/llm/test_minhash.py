@@ -157,3 +157,31 @@ def test_only_texts_of_wanted_classes_reach_the_join_that_fetches_them(spark, mo
     [probe] = seen
     passed = {r._id for r in probe.where("_maybe").select("_id").collect()}
     assert {0, 1} <= passed and len(passed) < 100
+
+
+def test_no_table_is_broadcast_by_the_size_of_its_files(spark):
+    sc, store = spark.sparkContext._jsc.sc(), spark._jsparkSession.sharedState().statusStore()
+
+    def executions():
+        sc.listenerBus().waitUntilEmpty()
+        each = store.executionsList()
+        return {each.apply(i).executionId(): each.apply(i).physicalPlanDescription() for i in range(each.size())}
+
+    rnd = random.Random(7)
+    base, passage = [f"b{i}" for i in range(120)], [f"p{i}" for i in range(60)]
+    texts = [edited(rnd, base, rnd.choice([1, 2, 3, 4, 6])) for _ in range(60)]
+    texts += [" ".join(passage + [f"x{rnd.random()}" for _ in range(40)]) for _ in range(40)]
+    before = executions()
+    out = M.near_duplicates(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), k=4)
+    out.write.format("noop").mode("overwrite").save()
+    tables = []
+    for e, plan in executions().items():
+        if e in before:
+            continue
+        lines = plan.split("== Initial Plan ==")[0].split("\n\n")[0].split("\n")  # the tree that ran
+        names = [re.sub(r"^[\s:|+\-*]*(\(\d+\))?|\s*\(\d+\).*$", "", x).strip() for x in lines]
+        for i, name in enumerate(names):
+            if name == "BroadcastExchange":  # a shuffle below it, and its size is known
+                below = next(x for x in names[i:] if x.startswith(("Scan", "Exchange", "ShuffleQueryStage", "AQEShuffleRead")))
+                tables += [(e, below)] if below.startswith("Scan") else []
+    assert tables == []

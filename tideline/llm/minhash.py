@@ -20,6 +20,10 @@ their buckets exactly, by the groups of ``setjoin``: rows are (member, group),
 never pairs of members, and a group is opened only where the overlap with its
 union allows a link. No bucket is cut or capped.
 
+Nothing is broadcast by the size of its files: joins with a written table sort
+and merge, but that with the Bloom filter of wanted texts (a fixed 4.5 MB at
+most); Spark may broadcast what it has measured while it runs.
+
 A pair at the limit of 0.8 shares one of the 32 bands of 4 minima with
 probability 1 - (1 - 0.8**4)**32 = 1 - 4.7e-8, and its estimate falls below
 the cut with 3e-7: the recall of links is 0.9999996 there and higher above.
@@ -306,7 +310,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.lit("").alias("_key"), F.col(text_col).alias("_text"))
-    found = search(rows, k, percent, Scratch(docs.sparkSession, "minhash"))
+    found = search(rows, k, percent, Scratch(docs.sparkSession, "minhash", merged=True))
     return (found.select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())))
 
@@ -322,7 +326,8 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
     keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"),
                         F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("_key"))
     rows = keyed.select("_id", "_key", F.col("row").getField(text_col).alias("_text"))
-    found = scratch.keep(search(rows, k, percent, scratch).where("component is not null").select("component", "doc_id", "key"))
+    of = search(rows, k, percent, Scratch(docs.sparkSession, "minhash", merged=True))
+    found = scratch.keep(of.where("component is not null").select("component", "doc_id", "key"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best")
     groups = found.groupBy("component").agg(best, F.count(F.lit(1)).alias("n")).where("n > 1")
     each = scratch.keep(found.join(groups, "component").select(
